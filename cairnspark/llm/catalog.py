@@ -1,12 +1,17 @@
 """Queries of this subpackage and their SQL where it can express them."""
 
-from cairnspark.llm import packing, quality, simhash, toxicity
+from cairnspark.llm import chat, digest, packing, quality, simhash, toxicity, warc
 
 QUERIES = {
+    "op1_chat": chat.op1_chat,
+    "op2_warc": warc.op2_warc,
     "op3_toxicity": toxicity.op3_toxicity,
     "op5_simhash": simhash.op5_simhash,
+    "op7_fingerprints": digest.op7_fingerprints,
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_packing": packing.op9_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat": chat.ORACLE_SQL,
+}
