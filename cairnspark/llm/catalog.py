@@ -1,15 +1,18 @@
 """Queries of this subpackage and their SQL where it can express them."""
 
-from cairnspark.llm import chat, digest, packing, quality, simhash, toxicity, warc
+from cairnspark.llm import chat, digest, html, packing, pieces, quality, simhash, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_chat": chat.op1_chat,
     "op2_warc": warc.op2_warc,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_token_counts": token_counts.op4_token_counts,
     "op5_simhash": simhash.op5_simhash,
+    "op6_pieces": pieces.op6_pieces,
     "op7_fingerprints": digest.op7_fingerprints,
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_packing": packing.op9_packing,
+    "op10_html": html.op10_html,
 }
 
 ORACLE_SQL: dict[str, str] = {
