@@ -20,6 +20,7 @@ import uuid
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cairnspark.llm.common import shared_folder, small_batches, table
 
@@ -29,7 +30,7 @@ HTTP_HEAD = f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}{
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def base32(hexadecimal: pd.Series) -> pd.Series:
     """Bare upper-case base32 of bytes given as hex."""
     return hexadecimal.map(lambda x: base64.b32encode(bytes.fromhex(x)).decode())
