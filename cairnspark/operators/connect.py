@@ -47,14 +47,16 @@ def unpivot_by_roles(rows: DataFrame, key: str, spec: DataFrame) -> DataFrame:
     )
 
 
-def numbered(rows: DataFrame, order: list[str], within: list[str] | None = None, name: str = "row_seq", partitions: int = 32) -> DataFrame:
+def numbered(rows: DataFrame, order: list[str], within: list[str] | None = None, name: str = "row_seq") -> DataFrame:
     """Gapless numbers from 1 by order, in each group of within, without a window over all rows.
 
     Rows are range-partitioned, numbered in their partition, and shifted by the counts of the
-    partitions before. Only one count for each partition and group is joined.
+    partitions before. Only one count for each partition and group is joined. Rows whose group
+    is null are left out.
     """
     within = within or []
     columns = rows.columns
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = rows.repartitionByRange(partitions, *within, *order).sortWithinPartitions(*within, *order)
     ranged = cut(ranged.withColumn("_part", F.spark_partition_id()))
     counts = ranged.groupBy("_part", *within).agg(F.count("*").alias("_n"))

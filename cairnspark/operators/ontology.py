@@ -58,6 +58,23 @@ def class_graph(statements: DataFrame, entities: DataFrame) -> DataFrame:
     return typed.groupBy("source", "target").agg(F.array_join(F.array_sort(F.collect_set("predicate")), ",").alias("predicates"), F.count("*").alias("n"))
 
 
+def attribute_star(statements: DataFrame, predicates: list[str]) -> DataFrame:
+    """Edges from an entity to one node {entity}::{predicate}::{value} for each literal of the named predicates."""
+    literal = statements.filter(F.col("predicate").isin(*predicates) & F.col("object_value").isNotNull())
+    node = F.concat_ws("::", "subject_id", "predicate", "object_value")
+    return literal.select(F.col("subject_id").alias("source"), node.alias("target"), F.col("predicate").alias("label")).distinct()
+
+
+def child_types(statements: DataFrame, entities: DataFrame, types: DataFrame, predicate: str) -> DataFrame:
+    """(parent, type, n): distinct children of each parent by type; children without one count as unknown.
+
+    types: pid, type. Edges run from child to parent.
+    """
+    edges = statements.filter(F.col("predicate") == predicate).select(F.col("object_id").alias("parent"), F.col("subject_id").alias("pid")).distinct()
+    typed = edges.join(entities.select("pid"), "pid").join(types, "pid", "left")
+    return typed.groupBy("parent", F.coalesce("type", F.lit("unknown")).alias("type")).agg(F.count_distinct("pid").alias("n"))
+
+
 def triples(inventoried: DataFrame, base: str = "urn:kg:") -> DataFrame:
     """N-Triples lines of the terms: one for each property's kind, domain and range class."""
     node = lambda c: F.concat(F.lit(f"<{base}"), c, F.lit(">"))

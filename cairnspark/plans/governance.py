@@ -205,6 +205,31 @@ def provenance_chain(spark: SparkSession, d: str) -> DataFrame:
     return statements(spark, d).join(named, F.col("subject_id") == F.col("pid")).select("subject_id", "label", "predicate", "source")
 
 
+@query(f"""WITH {STATEMENTS} SELECT DISTINCT subject_id AS source, subject_id || '::' || predicate || '::' || object_value AS target, predicate AS label
+FROM statements WHERE predicate IN ('hasName', 'hasStatus') AND object_value IS NOT NULL""")
+def attribute_star(spark: SparkSession, d: str) -> DataFrame:
+    return ontology.attribute_star(statements(spark, d), ["hasName", "hasStatus"])
+
+
+@query(f"""WITH {ENTITIES}, {STATEMENTS}, t AS (SELECT subject_id AS pid, min(object_value) AS type FROM statements WHERE predicate = 'hasType' GROUP BY 1),
+e AS (SELECT DISTINCT object_id AS parent, subject_id AS pid FROM statements WHERE predicate = 'locatedIn')
+SELECT parent, coalesce(type, 'unknown') AS type, count(DISTINCT pid) AS n FROM e JOIN entities USING (pid) LEFT JOIN t USING (pid) GROUP BY 1, 2""")
+def child_type_histogram(spark: SparkSession, d: str) -> DataFrame:
+    all_ = statements(spark, d)
+    types = all_.filter("predicate = 'hasType'").groupBy(F.col("subject_id").alias("pid")).agg(F.min("object_value").alias("type"))
+    return ontology.child_types(all_, entities(spark, d), types, "locatedIn")
+
+
+@query("""SELECT r_name AS region, kind, count(*) AS n FROM (SELECT c_nationkey AS k, 'ac' AS kind FROM customer UNION ALL SELECT s_nationkey, 'pl' FROM supplier)
+JOIN nation ON k = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2""")
+def region_type_tree(spark: SparkSession, d: str) -> DataFrame:
+    """Entities of each region by type; counted by nation before the small tables are joined."""
+    count = lambda t, k, kind: table(spark, d, t).groupBy(F.col(k).alias("n_nationkey")).agg(F.count("*").alias("k")).withColumn("kind", F.lit(kind))
+    by_nation = count("customer", "c_nationkey", "ac").unionByName(count("supplier", "s_nationkey", "pl"))
+    named = by_nation.join(table(spark, d, "nation"), "n_nationkey").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return named.groupBy(F.col("r_name").alias("region"), "kind").agg(F.sum("k").alias("n"))
+
+
 ALIASES = [("hasShape", "ring", 0), ("hasShape", "bolt", 0), ("hasName", "plate", 0), ("hasColour", "red", 0), ("hasAge", "old", 0), ("hasSize", "large", 0), ("hasLabel", "ring", 1), ("hasState", "hot", 0)]
 _SUGGEST = """WITH t AS (SELECT p_brand AS "table", p_name AS header, lower(trim(p_name)) AS h FROM part GROUP BY ALL),
 a(target, alias) AS (VALUES ('hasShape', 'ring'), ('hasShape', 'bolt'), ('hasName', 'plate'), ('hasColour', 'red'), ('hasAge', 'old'), ('hasSize', 'large'), ('hasState', 'hot')),

@@ -284,11 +284,9 @@ def geojson_features(spark: SparkSession, d: str) -> DataFrame:
     ring = F.transform(G.rings(F.col("wkt"))[0], lambda p: F.array(p["x"], p["y"]))
     feature = F.struct(F.struct(F.col("polygon_id").alias("ID")).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
     nation_polygons(spark, d).select(F.array(feature).alias("features")).write.json(path)
-    # the writer puts one collection on each line
-    schema = "features array<struct<properties: map<string, string>, geometry: struct<type: string, coordinates: array<array<array<double>>>>>>"
-    rows = spark.read.schema(schema).json(path).select(F.explode("features").alias("f"))
-    ring = F.col("f.geometry.coordinates")[0]
-    return rows.select(F.col("f.properties")["ID"].alias("polygon_id"), F.col("f.geometry.type").alias("kind"), F.size(ring).alias("corners"), F.round(ring[0][0], 6).alias("x_first"))
+    rows = readers.geojson_features(spark, path, multi_line=False)
+    first = F.col("rings")[0]
+    return rows.select(F.col("properties")["ID"].alias("polygon_id"), "kind", F.size(first).alias("corners"), F.round(first[0][0], 6).alias("x_first"))
 
 
 @query("SELECT 'east' AS region, CAST(r_regionkey AS BIGINT) AS key, r_name AS name FROM region UNION ALL SELECT 'west', CAST(n_nationkey AS BIGINT), n_name FROM nation")

@@ -28,10 +28,10 @@ def encoded_csv(spark: SparkSession, path: str, schema: str, encodings: tuple[st
     return spark.read.csv(path, header=True, schema=schema, encoding=use)
 
 
-def geojson_features(spark: SparkSession, path: str) -> DataFrame:
-    """(properties as JSON text, geometry type, ring coordinates) of GeoJSON feature collections."""
+def geojson_features(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """(properties, geometry type, rings) of GeoJSON feature collections, one a file or, without multi_line, one a line."""
     schema = "features array<struct<properties: map<string, string>, geometry: struct<type: string, coordinates: array<array<array<double>>>>>>"
-    rows = spark.read.schema(schema).json(path, multiLine=True).select(F.explode("features").alias("f"))
+    rows = spark.read.schema(schema).json(path, multiLine=multi_line).select(F.explode("features").alias("f"))
     return rows.select(F.col("f.properties").alias("properties"), F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates").alias("rings"))
 
 
