@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 #: Time formats of photo tables, tried in this order.
 CAPTURE_FORMATS = ("yyyy:MM:dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd")
 
+#: Fixed value: how persistent identifiers are written (region, type, temporal part, serial of seven digits at least).
+PID_FORMAT = "clkg:%s:%s-%s-%07d"
+
 
 def clean(c: Column, null_tokens: tuple[str, ...] = ("nan", "none")) -> Column:
     """Trimmed text; null where it is empty or one of the null tokens."""
@@ -51,7 +54,7 @@ def valid_type(c: Column) -> Column:
 def pid(region: Column, kind: Column, temporal: Column, serial: Column) -> Column:
     """Persistent identifier; seven digits are the least width, longer serials keep all theirs."""
     when = F.coalesce(F.nullif(F.trim(temporal), F.lit("")), F.lit("unk"))
-    return F.format_string("clkg:%s:%s-%s-%07d", region, kind, when, serial.cast("long"))
+    return F.format_string(PID_FORMAT, region, kind, when, serial.cast("long"))
 
 
 def capture_time(c: Column) -> Column:
