@@ -177,6 +177,14 @@ def test_simhash_edges(spark):
     assert simhash.near_duplicates(docs(spark, EDGE, IDS).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("share", [1, 10**9])
+def test_heavy_fingerprints_get_the_same_class(spark, monkeypatch, share):
+    rows = docs(spark, ["a b c d e"] * 30 + ["f g h i j", "k l m n o"] + [None] * 3, list(range(35)))
+    want = {tuple(r) for r in simhash.near_duplicates(rows).collect()}
+    monkeypatch.setattr(simhash, "HEAVY", share)  # none is heavy, or all are
+    assert {tuple(r) for r in simhash.near_duplicates(rows).collect()} == want and len(want) == 35
+
+
 # 6 pieces
 def test_n_best_equals_brute_force_and_decodes(spark):
     s = pieces.segmenter(pieces.default_model())
