@@ -100,27 +100,63 @@ def srid_of(crs: Column) -> Column:
     return out.otherwise(4326)
 
 
-def utm_to_wgs84(easting: Column, northing: Column, zone: int) -> tuple[Column, Column]:
-    """(longitude, latitude) in degrees of a northern UTM point, by the inverse transverse Mercator series."""
-    a, f, k0 = 6378137.0, 1 / 298.257223563, 0.9996
-    e2 = f * (2 - f)
-    ep2 = e2 / (1 - e2)
-    e1 = (1 - math.sqrt(1 - e2)) / (1 + math.sqrt(1 - e2))
-    mu = (northing / k0) / (a * (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256))
-    phi = (
+def known_srid(srid: Column) -> Column:
+    """True for systems that to_wgs84 handles: 4326, 4490 (taken as the same) and northern UTM zones; null counts as 4326."""
+    return F.coalesce(srid.isin(4326, 4490) | srid.between(32601, 32660), F.lit(True))
+
+
+def to_wgs84(wkt: Column, srid: Column) -> Column:
+    """The WKT text in degrees: each coordinate pair is projected where it stands; a projected height is left out."""
+    pair = rf"{NUMBER}\s+{NUMBER}(?:\s+{NUMBER})?"
+    found = F.regexp_extract_all(wkt, F.lit(f"({pair})"), F.lit(1))
+    between = F.split(wkt, pair)
+    bind = lambda v, body: F.element_at(F.transform(F.array(v), body), 1)
+
+    def projected(text: Column) -> Column:
+        xy = F.transform(F.split(text, r"\s+"), lambda t: t.cast("double"))
+
+        def of(e: Column, foot: Column) -> Column:
+            lon, lat = _from_foot(e, foot, srid - 32600)
+            return F.concat(lon.cast("string"), F.lit(" "), lat.cast("string"))
+
+        return bind(xy, lambda p: bind(_foot(p[1]), lambda foot: of(p[0], foot)))
+
+    moved = F.zip_with(F.transform(found, projected), F.slice(between, F.lit(2), F.size(found)), lambda p, after: F.concat(p, after))
+    return F.when(srid.between(32601, 32660), F.concat(between[0], F.array_join(moved, ""))).otherwise(wkt)
+
+
+#: The ellipsoid of WGS84 and the scale on the central meridian.
+_A, _F, _K0 = 6378137.0, 1 / 298.257223563, 0.9996
+_E2 = _F * (2 - _F)
+_EP2 = _E2 / (1 - _E2)
+
+
+def _foot(northing: Column) -> Column:
+    """Footpoint latitude in radians of a northing, by the inverse series."""
+    e1 = (1 - math.sqrt(1 - _E2)) / (1 + math.sqrt(1 - _E2))
+    mu = (northing / _K0) / (_A * (1 - _E2 / 4 - 3 * _E2**2 / 64 - 5 * _E2**3 / 256))
+    return (
         mu + F.sin(2 * mu) * (3 * e1 / 2 - 27 * e1**3 / 32) + F.sin(4 * mu) * (21 * e1**2 / 16 - 55 * e1**4 / 32)
         + F.sin(6 * mu) * (151 * e1**3 / 96) + F.sin(8 * mu) * (1097 * e1**4 / 512)
     )
+
+
+def _from_foot(easting: Column, phi: Column, zone: int | Column) -> tuple[Column, Column]:
     s, c, t2 = F.sin(phi), F.cos(phi), F.pow(F.tan(phi), 2)
-    w = 1 - e2 * s * s
-    n1, r1, c1 = a / F.sqrt(w), a * (1 - e2) / F.pow(w, 1.5), ep2 * c * c
-    d = (easting - 500000.0) / (n1 * k0)
+    w = 1 - _E2 * s * s
+    n1, r1, c1 = _A / F.sqrt(w), _A * (1 - _E2) / F.pow(w, 1.5), _EP2 * c * c
+    d = (easting - 500000.0) / (n1 * _K0)
     lat = phi - (n1 * F.tan(phi) / r1) * (
-        d * d / 2 - (5 + 3 * t2 + 10 * c1 - 4 * c1 * c1 - 9 * ep2) * F.pow(d, 4) / 24
-        + (61 + 90 * t2 + 298 * c1 + 45 * t2 * t2 - 252 * ep2 - 3 * c1 * c1) * F.pow(d, 6) / 720
+        d * d / 2 - (5 + 3 * t2 + 10 * c1 - 4 * c1 * c1 - 9 * _EP2) * F.pow(d, 4) / 24
+        + (61 + 90 * t2 + 298 * c1 + 45 * t2 * t2 - 252 * _EP2 - 3 * c1 * c1) * F.pow(d, 6) / 720
     )
     lon = (
         d - (1 + 2 * t2 + c1) * F.pow(d, 3) / 6
-        + (5 - 2 * c1 + 28 * t2 - 3 * c1 * c1 + 8 * ep2 + 24 * t2 * t2) * F.pow(d, 5) / 120
+        + (5 - 2 * c1 + 28 * t2 - 3 * c1 * c1 + 8 * _EP2 + 24 * t2 * t2) * F.pow(d, 5) / 120
     ) / c
     return F.degrees(lon) + (zone * 6 - 183.0), F.degrees(lat)
+
+
+def utm_to_wgs84(easting: Column, northing: Column, zone: int | Column) -> tuple[Column, Column]:
+    """(longitude, latitude) in degrees of a northern UTM point, by the inverse transverse Mercator series."""
+    return _from_foot(easting, _foot(northing), zone)

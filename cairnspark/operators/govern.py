@@ -63,6 +63,20 @@ def grade(metrics: DataFrame) -> DataFrame:
     return metrics.select("*", level.alias("grade"), actions.alias("actions"))
 
 
+def report(metrics: DataFrame) -> DataFrame:
+    """(region, dimension, metric, value, verdict) rows of d2, d3, d4, d6 (percent) and n_entities of every region."""
+    checks = [
+        ("D1", "entities", "n_entities", F.col("n_entities") > 0), ("D2", "dangling_percent", "d2", F.col("d2") < 1),
+        ("D3", "unevidenced_percent", "d3", F.col("d3") == 0), ("D4", "outlier_percent", "d4", F.col("d4") == 0),
+        ("D6", "photo_percent", "d6", F.col("d6") >= 80),
+    ]
+    rows = [
+        F.struct(F.lit(d).alias("dimension"), F.lit(m).alias("metric"), F.col(c).cast("double").alias("value"), F.when(ok, "pass").otherwise("check").alias("verdict"))
+        for d, m, c, ok in checks
+    ]
+    return metrics.select("region", F.inline(F.array(*rows)))
+
+
 def out_of_vocabulary(values: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Distinct values of each predicate and those outside its vocabulary, with their share in percent."""
     distinct = values.groupBy("predicate", "value").agg(F.count("*").alias("n"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairnspark.functions.clean import normal_header
@@ -26,12 +26,59 @@ def suggest(headers: DataFrame, aliases: DataFrame) -> DataFrame:
     best = matched.withColumn("cover", cover).filter(F.col("cover") >= MIN_COVER).groupBy("table", "header").agg(
         F.max_by(F.struct("target", "cover"), F.struct("cover", F.length("alias"), "alias")).alias("b")
     )
-    score = F.round(F.least(F.lit(0.99), 0.5 + F.col("b.cover") / 2), 2)
+    # least ignores nulls, so headers without an alias are left out first
+    score = F.when(F.col("b").isNotNull(), F.round(F.least(F.lit(0.99), 0.5 + F.col("b.cover") / 2), 2))
     return headers.join(best, ["table", "header"], "left").select(
         "table", "header", F.coalesce("b.target", F.lit("hasNotes")).alias("target"), F.coalesce(score, F.lit(0.2)).alias("score")
     )
 
 
+#: Fixed value: headers that name a relation, not data.
+RELATION = r"关系|consists|took\s*place|carried\s*out|has\s*type|has\s*time|\bP\d+\b|包含|发生在|执行者|有类型|有时间|有执行"
+SAMPLES = 20
+
+
+def suggest_mapping(cells: DataFrame, aliases: DataFrame, entity_types: tuple[str, ...]) -> DataFrame:
+    """(table, header, target, kind, score) for every column of many tables in one job.
+
+    cells: table, header, ord, value. In order: a relation header, an alias (see suggest), then by
+    the first SAMPLES filled cells: all entity types, longitudes, latitudes, dates; else a note.
+    """
+    order = F.row_number().over(Window.partitionBy("table", "header").orderBy(F.col("value").isNull() | (F.col("value") == ""), "ord"))
+    first = cells.select("table", "header", "value", order.alias("r")).filter(F.col("r") <= SAMPLES).withColumn(
+        "v", F.when(F.trim("value") != "", F.trim("value"))).withColumn("x", F.col("v").try_cast("double"))
+    dated = F.count_if(F.col("v").rlike(r"\d{3,4}\s*年|\d{4}-\d"))
+    profile = first.groupBy("table", "header").agg(
+        F.count("v").alias("n"), F.count("x").alias("numbers"), F.min("x").alias("low"), F.max("x").alias("high"),
+        F.bool_and(F.col("v").isin(*entity_types)).alias("typed"), dated.alias("dates"),
+    )
+    named = suggest(profile.select("table", "header"), aliases).withColumnRenamed("target", "by_alias").withColumnRenamed("score", "alias_score")
+    joined = profile.join(named, ["table", "header"])
+    some, numeric = F.col("n") > 0, F.col("numbers") * 10 >= F.col("n") * 7
+    wide = F.col("low").between(-180, 180) & F.col("high").between(-180, 180)
+    rules = [
+        (F.col("header").rlike(RELATION), (None, "relation_meta", 0.9)),
+        (F.col("alias_score") > 0.2, (F.col("by_alias"), "predicate", F.col("alias_score"))),
+        (some & F.col("typed"), ("ENTITY_TYPE", "role", 0.8)),
+        (some & numeric & wide & ((F.col("low") < -90) | (F.col("high") > 90)), ("LON", "role", 0.6)),
+        (some & numeric & F.col("low").between(-90, 90) & F.col("high").between(-90, 90), ("LAT", "role", 0.45)),
+        (some & (F.col("dates") * 10 >= F.col("n") * 6), ("hasShownDate", "predicate", 0.55)),
+        (F.lit(True), ("hasNotes", "predicate", 0.2)),
+    ]
+    column = lambda x: x if isinstance(x, Column) else F.lit(x)
+    said = [F.when(F.coalesce(when, F.lit(False)), F.struct(
+        column(t).cast("string").alias("target"), column(k).alias("kind"), column(s).cast("double").alias("score"))) for when, (t, k, s) in rules]
+    return joined.select("table", "header", F.coalesce(*said).alias("s")).select("table", "header", "s.*")
+
+
+def summary(suggested: DataFrame) -> DataFrame:
+    """Suggestions of each table: sure (score 0.5 or more), unsure and skipped."""
+    skipped = F.col("kind") == "relation_meta"
+    sure = ~skipped & (F.col("score") >= 0.5)
+    return suggested.groupBy("table").agg(
+        F.count_if(sure).alias("sure"), F.count_if(~skipped & ~sure).alias("unsure"), F.count_if(skipped).alias("skipped"))
+
+
 def mentions(texts: DataFrame, dictionary: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     """(text_key, surface, canonical, kind) of dictionary words in texts; each distinct text is annotated once.
 

@@ -1,16 +1,16 @@
 """Set-based promotion of staged rows: identifiers, entities, evidence and typed statements.
 
 A graph is a dict of DataFrames: registry (region, kind, natural_key, pid, serial), entities
-(pid, entity_type, label, stub), evidence (evidence_id, source_name, source_type, collector)
+(pid, entity_type, label, stub), evidence (evidence_id, source_name, source_type, collector, metadata)
 and statements (subject_id, predicate, object_value, object_id, geometry, valid_from, valid_to,
-evidence_id, confidence). Staged rows have batch_id, row_seq, source_uri, source_type, metadata,
+evidence_id, confidence). Staged rows have batch_id, row_seq, source_uri, source_type, metadata (optional), collector,
 region, kind, temporal, natural_key, predicate, stmt_value (JSON), valid_from, valid_to.
 Promoting the same rows again changes nothing: every insert is an anti join on a null-safe key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnspark.functions import clean as C
@@ -21,13 +21,18 @@ from cairnspark.operators.connect import numbered
 SCHEMAS = {
     "registry": "region string, kind string, natural_key string, pid string, serial long",
     "entities": "pid string, entity_type string, label string, stub boolean",
-    "evidence": "evidence_id long, source_name string, source_type string, collector string",
+    "evidence": "evidence_id long, source_name string, source_type string, collector string, metadata string",
     "statements": "subject_id string, predicate string, object_value string, object_id string, geometry string, "
     "valid_from string, valid_to string, evidence_id long, confidence double",
 }
 _KEY = ["subject_id", "predicate", "object_value", "object_id", "geometry", "valid_from", "evidence_id"]
 
 
+def statement_key() -> list[str]:
+    """Columns that make two statements the same, nulls being equal."""
+    return list(_KEY)
+
+
 def empty_graph(spark: SparkSession) -> dict[str, DataFrame]:
     return {n: spark.createDataFrame([], s) for n, s in SCHEMAS.items()}
 
@@ -41,6 +46,10 @@ def insert_new(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     return old.unionByName(fresh.join(old.select(*same, mark), ["_mark", *names], "left_anti").select(*old.columns))
 
 
+def _srid(stmt_value: Column) -> Column:
+    return F.get_json_object(stmt_value, "$.srid").try_cast("int")
+
+
 def reject(staged: DataFrame) -> DataFrame:
     """staged with a column error: the code of why a row cannot be promoted, or null."""
     value, kind = F.col("stmt_value"), C.json_kind(F.col("stmt_value"))
@@ -50,7 +59,8 @@ def reject(staged: DataFrame) -> DataFrame:
         .when(~F.coalesce(C.valid_type(F.col("kind")), F.lit(False)), "bad_type")
         .when(C.clean(F.col("natural_key")).isNull(), "no_key")
         .when(C.confidence_of(value).isNull(), "bad_confidence")
-        .when((kind == "geometry") & ~G.valid_wkt(F.get_json_object(value, "$.wkt")), "bad_geometry"),
+        .when((kind == "geometry") & ~G.valid_wkt(F.get_json_object(value, "$.wkt")), "bad_geometry")
+        .when((kind == "geometry") & ~G.known_srid(_srid(value)), "unknown_srid"),
     )
 
 
@@ -86,6 +96,8 @@ def upsert_labels(entities: DataFrame, named: DataFrame) -> DataFrame:
 
 def promote(graph: dict[str, DataFrame], staged: DataFrame) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
     """(new graph, audit row, rejected rows)."""
+    if "metadata" not in staged.columns:
+        staged = staged.withColumn("metadata", F.lit(None).cast("string"))
     checked = cut(reject(staged))
     rows = checked.filter(F.col("error").isNull()).drop("error")
     value = F.col("stmt_value")
@@ -116,7 +128,8 @@ def promote(graph: dict[str, DataFrame], staged: DataFrame) -> tuple[dict[str, D
     entities = cut(upsert_labels(graph["entities"], named))
 
     source = rows.groupBy(F.col("source_uri").alias("source_name")).agg(
-        F.min_by("source_type", "row_seq").alias("source_type"), F.min_by("collector", "row_seq").alias("collector")
+        F.min_by("source_type", "row_seq").alias("source_type"), F.min_by("collector", "row_seq").alias("collector"),
+        F.min_by("metadata", "row_seq").alias("metadata"),
     )
     top = graph["evidence"].agg(F.coalesce(F.max("evidence_id"), F.lit(0))).first()[0]
     unseen = source.join(graph["evidence"].select("source_name"), "source_name", "left_anti")
@@ -131,7 +144,7 @@ def promote(graph: dict[str, DataFrame], staged: DataFrame) -> tuple[dict[str, D
         .join(by_name, "source_uri", "left")
         .select(
             "subject_id", "predicate", C.literal_of(value).alias("object_value"), "object_id",
-            F.get_json_object(value, "$.wkt").alias("geometry"), "valid_from", "valid_to", "evidence_id", C.confidence_of(value).alias("confidence"),
+            G.to_wgs84(F.get_json_object(value, "$.wkt"), _srid(value)).alias("geometry"), "valid_from", "valid_to", "evidence_id", C.confidence_of(value).alias("confidence"),
         )
     )
     statements = cut(insert_new(graph["statements"], built, _KEY))

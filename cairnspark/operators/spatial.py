@@ -1,4 +1,4 @@
-"""Containment join of polygons and points over a grid."""
+"""Containment join of polygons and points over a grid, and the edges that it infers."""
 
 from __future__ import annotations
 
@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairnspark.functions import geo as G
+from cairnspark.functions.session import cut
+from cairnspark.operators.connect import numbered
+from cairnspark.operators.promote import insert_new, statement_key
 
 
 def contains_place(polygons: DataFrame, points: DataFrame, cell: float) -> DataFrame:
@@ -22,3 +25,36 @@ def contains_place(polygons: DataFrame, points: DataFrame, cell: float) -> DataF
     placed = points.withColumn("cx", F.floor(F.col("x") / cell)).withColumn("cy", F.floor(F.col("y") / cell))
     hits = placed.join(tiles, ["region", "cx", "cy"]).filter(G.inside(F.col("edges"), F.col("x"), F.col("y")))
     return hits.select("region", "polygon_id", "point_id").distinct()
+
+
+def infer_containment(graph: dict[str, DataFrame], cell: float) -> dict[str, DataFrame]:
+    """graph with a containsPlace edge from each unit to the places of its region inside it; a second run adds nothing.
+
+    Each region's edges have one evidence row spatial://{region}/inference/contains_place.
+    """
+    located = graph["statements"].filter((F.col("predicate") == "locatedAt") & F.col("geometry").isNotNull()).select("subject_id", F.col("geometry").alias("wkt"))
+    typed = located.join(graph["entities"].select(F.col("pid").alias("subject_id"), "entity_type"), "subject_id").withColumn(
+        "region", F.split_part("subject_id", F.lit(":"), F.lit(2)))
+    shape = G.kind(F.col("wkt"))
+    polygons = typed.filter((F.col("entity_type") == "clu") & shape.isin("POLYGON", "MULTIPOLYGON"))
+    points = typed.filter((F.col("entity_type") == "pl") & (shape == "POINT"))
+    inside = cut(contains_place(
+        polygons.select("region", F.col("subject_id").alias("polygon_id"), "wkt"),
+        points.select("region", F.col("subject_id").alias("point_id"), G.point_x(F.col("wkt")).alias("x"), G.point_y(F.col("wkt")).alias("y")), cell,
+    )).withColumn("source_name", F.concat(F.lit("spatial://"), "region", F.lit("/inference/contains_place")))
+    evidence = graph["evidence"]
+    top = evidence.agg(F.coalesce(F.max("evidence_id"), F.lit(0))).first()[0]
+    unseen = inside.select("source_name").distinct().join(evidence.select("source_name"), "source_name", "left_anti")
+    made = numbered(unseen, ["source_name"], None, "_n").select(
+        (F.col("_n") + F.lit(top)).alias("evidence_id"), "source_name", F.lit("spatial_inference").alias("source_type"),
+        F.lit("spatial_within_join").alias("collector"), F.lit(None).cast("string").alias("metadata"),
+    )
+    evidence = cut(evidence.unionByName(made))
+    ids = evidence.groupBy("source_name").agg(F.min("evidence_id").alias("evidence_id"))
+    none = F.lit(None).cast("string")
+    # one row for each region, so the side is small; Spark measures it and decides
+    edges = inside.join(ids, "source_name").select(
+        F.col("polygon_id").alias("subject_id"), F.lit("containsPlace").alias("predicate"), none.alias("object_value"), F.col("point_id").alias("object_id"),
+        none.alias("geometry"), none.alias("valid_from"), none.alias("valid_to"), "evidence_id", F.lit(1.0).alias("confidence"),
+    )
+    return {**graph, "evidence": evidence, "statements": cut(insert_new(graph["statements"], edges, statement_key()))}

@@ -235,7 +235,7 @@ _SUGGEST = """WITH t AS (SELECT p_brand AS "table", p_name AS header, lower(trim
 a(target, alias) AS (VALUES ('hasShape', 'ring'), ('hasShape', 'bolt'), ('hasName', 'plate'), ('hasColour', 'red'), ('hasAge', 'old'), ('hasSize', 'large'), ('hasState', 'hot')),
 m AS (SELECT "table", header, target, length(alias) / length(h) AS cover, row_number() OVER (PARTITION BY "table", header ORDER BY length(alias) / length(h) DESC, length(alias) DESC, alias DESC) AS r
 FROM t JOIN a ON contains(h, alias) AND (length(alias) > 3 OR contains(' ' || regexp_replace(h, '[^a-z0-9]+', ' ', 'g') || ' ', ' ' || alias || ' ')) WHERE length(alias) / length(h) >= 0.34)
-SELECT t."table", t.header, coalesce(target, 'hasNotes') AS target, coalesce(round(least(0.99, 0.5 + cover / 2), 2), 0.2) AS score FROM t LEFT JOIN m ON m."table" = t."table" AND m.header = t.header AND r = 1"""
+SELECT t."table", t.header, coalesce(target, 'hasNotes') AS target, CASE WHEN target IS NULL THEN 0.2 ELSE round(least(0.99, 0.5 + cover / 2), 2) END AS score FROM t LEFT JOIN m ON m."table" = t."table" AND m.header = t.header AND r = 1"""
 
 
 @query(_SUGGEST)

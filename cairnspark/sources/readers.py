@@ -43,3 +43,12 @@ def photo_folder(spark: SparkSession, path: str) -> DataFrame:
         F.concat(F.lit("img:"), relative).alias("natural_key"), F.regexp_extract(relative, "^([^/]+)/", 1).alias("place"),
         F.regexp_extract(relative, "/([^/]+)$", 1).alias("file"), F.col("length").alias("bytes"),
     )
+
+
+def alias_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """(predicate, alias, canonical) from a JSON file {predicate: {alias: canonical}}; keys that start with "_" are notes."""
+    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string, string>").alias("m"))
+    # notes may be of any shape, so only the values of predicates are read further
+    named = whole.select(F.explode(F.map_filter("m", lambda k, _: ~k.startswith("_"))).alias("predicate", "text"))
+    names = F.map_filter(F.from_json("text", "map<string, string>"), lambda k, _: ~k.startswith("_"))
+    return named.select("predicate", F.explode(names).alias("alias", "canonical"))

@@ -1,0 +1,83 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from cairnspark.operators import ingest, match, promote, spatial
+from cairnspark.sources import connectors, readers
+
+
+def said(frame):
+    return sorted((r["kind"], r["natural_key"], r["predicate"], r["stmt_value"]) for r in frame.collect())
+
+
+def test_points_without_key_or_columns(spark):
+    rows = spark.createDataFrame([("1", "a", "Gate", "群体"), ("2", " nan ", "Wall", None), (None, "c", "Tower", None)], "OBJECTID string, ID string, Name string, Layer string")
+    got = said(connectors.heritage_points(rows, "/x 100%.csv", "east"))
+    assert [(k, n, p) for k, n, p, _ in got] == [("clu", "a", "hasLayer"), ("clu", "a", "hasName")]
+    assert {r["Name"] for r in connectors.without_key(rows, "ID", "OBJECTID").collect()} == {"Wall", "Tower"}
+    assert connectors.heritage_points(rows.limit(0), "/x", "east").count() == 0
+    assert connectors.heritage_points(rows, "/x 100%.csv", "east").first()["source_uri"] == "file:///x 100%.csv#OBJECTID=1"
+
+
+def test_letter_without_number_says_nothing(spark):
+    rows = spark.createDataFrame([(None, "Q1", "Lin"), ("2", "", "Ke"), ("3", "Q3", "Wu")], "id string, collectNumber string, sender string")
+    assert {(k, n) for k, n, _, _ in said(connectors.letters(rows, "/l", "east"))} == {("doc", "Q3"), ("ac", "Wu")}
+
+
+def test_layer_needs_a_key_and_skips_absent_fields(spark):
+    rows = spark.createDataFrame([(1, "a", None, "POINT(1 2)"), (2, None, None, None)], "row int, k1 string, k2 string, wkt string")
+    got = said(connectors.vector_layer(rows, "/v", "east", "pl", ["k1", "k2"], "row", extra={"absent": "hasNote"}))
+    assert [(n, p) for _, n, p, _ in got] == [("a", "locatedAt")]
+    with pytest.raises(ValueError, match="key"):
+        connectors.vector_layer(rows, "/v", "east", "pl", [], "row")
+
+
+def test_sheet_numbers_rows_without_key_column(spark):
+    rows = spark.createDataFrame([(1, "x", "1"), (2, None, "none"), (3, "y", "2")], "row int, name string, lon string")
+    spec = [("name", "hasName", "VALUE"), ("lon", None, "LON"), ("lat", None, "LAT")]
+    got = said(connectors.template_sheet(rows, spec, "/t", "S", "east", "row", kind="ev", prefix="e"))
+    assert [(k, n, json.loads(v)["value"]) for k, n, _, v in got] == [("ev", "e-0001", "x"), ("ev", "e-0002", "y")]
+
+
+def test_spec_with_key_column_and_last_name_wins(spark):
+    rows = spark.createDataFrame([(1, "k1", "A"), (2, "k2", "A"), (3, None, "B")], "row int, a string, b string")
+    spec = {"region": "east", "subject": {"entity_type": "doc", "natural_key": {"column": 0}}, "columns": {"1": {"kind": "ref", "target": "seenIn", "ref_prefix": "p"}}}
+    got = said(connectors.mapped_table(rows, spec, "/s", "row"))
+    assert [(k, n, p) for k, n, p, _ in got] == [("doc", "k1", "seenIn"), ("doc", "k2", "seenIn"), ("pl", "p-A", "hasName")]
+
+
+def test_aliases_from_json_skip_notes(spark, tmp_path):
+    (tmp_path / "d.json").write_text(json.dumps({"_doc": "note", "hasType": {"a": "b", "_x": "y"}, "hasName": {}, "_more": {"p": {"q": 1}}}))
+    assert [tuple(r) for r in readers.alias_dictionary(spark, str(tmp_path / "d.json")).collect()] == [("hasType", "a", "b")]
+
+
+def test_mentions_become_statements(spark):
+    rows = connectors.survey_sites(spark.createDataFrame([("s1", "the old gate"), ("s2", "the old gate"), ("s3", "abc")], "site_id string, `简介` string"), "/s", "east")
+    words = spark.createDataFrame([("gate", "Gate", "Place"), ("old", "Old", "Other"), ("abc", "Abc", "Person")], "surface string, canonical string, kind string")
+    got = ingest.mention_statements(rows, words)
+    assert [(n, p) for _, n, p, _ in said(got)] == [("s1", "mentionsPlace"), ("s2", "mentionsPlace")]  # texts under four characters are not read
+    assert json.loads(got.first()["metadata"]) == {"extractor": "dictionary"}
+
+
+def test_ingest_projects_links_and_repeats_nothing(spark):
+    unit = spark.createDataFrame([(1, "u", "POLYGON((400000 0, 600000 0, 600000 200000, 400000 200000, 400000 0))")], "row int, ID string, wkt string")
+    points = spark.createDataFrame([("1", "in", "500000", "1000"), ("2", "out", "700000", "1000"), ("3", "edgeless", None, "1")], "OBJECTID string, ID string, POINT_X string, POINT_Y string")
+    sources = [connectors.vector_layer(unit, "/v", "east", "clu", ["ID"], "row", srid=32644), connectors.heritage_points(points, "/p", "east")]
+    graph, audit, rejected = ingest.ingest(promote.empty_graph(spark), sources, "b", 1.0)
+    assert audit.first()["status"] == "success" and rejected.count() == 0
+    edge = graph["statements"].filter("predicate = 'containsPlace'").collect()
+    names = {r["pid"]: r["natural_key"] for r in graph["registry"].collect()}
+    assert [(names[e["subject_id"]], names[e["object_id"]]) for e in edge] == [("u", "in")]
+    again = spatial.infer_containment(graph, 1.0)
+    assert again["statements"].count() == graph["statements"].count() and again["evidence"].count() == graph["evidence"].count()
+    bad = sources[0].withColumn("stmt_value", F.regexp_replace("stmt_value", "32644", "3857"))
+    assert [r["error"] for r in promote.reject(connectors.stage(bad, "b")).collect()] == ["unknown_srid"]
+
+
+def test_columns_without_cells_become_notes(spark):
+    cells = spark.createDataFrame([("t", "a", 1, None), ("t", "b", 1, " "), ("t", "关系", 1, "x"), ("t", "lat", 1, "12"), ("t", "lat", 2, "x")], "table string, header string, ord int, value string")
+    aliases = spark.createDataFrame([], "target string, alias string, priority int")
+    made = match.suggest_mapping(cells, aliases, ("pl",))
+    assert {r["header"]: r["target"] for r in made.collect()} == {"a": "hasNotes", "b": "hasNotes", "关系": None, "lat": "hasNotes"}
+    assert tuple(match.summary(made).first()) == ("t", 0, 3, 1)

@@ -61,3 +61,17 @@ def test_projection(spark):
     assert abs(one(spark, x, a=1) - 81) < 1e-9 and abs(one(spark, y, a=1)) < 1e-9
     assert one(spark, G.srid_of(F.col("c")), c="EPSG:32644") == 32644
     assert one(spark, G.srid_of(F.col("c")), c="unk") is None
+
+
+def test_shapes_are_projected_in_place(spark):
+    moved = lambda w, srid: one(spark, G.to_wgs84(F.col("w"), F.lit(srid)), w=w)
+    assert moved("POINT(1.5 2)", 4326) == "POINT(1.5 2)" and moved("POINT Z (1 2 3)", 4490) == "POINT Z (1 2 3)"
+    assert moved("POINT(500000.0 0.0 17)", 32644) == "POINT(81.0 0.0)"
+    w = "MULTIPOLYGON(((400000 0, 600000 0, 500000 3000000, 400000 0)), ((500000 0, 500000 1, 500001 0, 500000 0)))"
+    got = moved(w, 32644)
+    assert got.startswith("MULTIPOLYGON(((") and got.count("((") == 2 and got.endswith("))))"[1:])
+    assert one(spark, G.valid_wkt(F.col("w")), w=got)
+    lon, lat = G.utm_to_wgs84(F.lit(400000.0), F.lit(3000000.0), 44)
+    pair = one(spark, F.concat(lon.cast("string"), F.lit(" "), lat.cast("string")), a=1)
+    assert moved("POINT(400000 3000000)", 32644) == f"POINT({pair})"
+    assert one(spark, G.known_srid(F.lit(3857)), a=1) is False and one(spark, G.known_srid(F.lit(None).cast("int")), a=1) is True
