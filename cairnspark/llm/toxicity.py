@@ -7,6 +7,8 @@ starts and ends are symbols too. Landmarks give the Nyström map; a linear SVM w
 squared hinge loss is trained on it. A sentence scores as its highest unit, a text as its
 highest sentence, and training follows that: in each round a toxic document stands for
 its highest unit, a clean one for all its units, of which the highest wrong ones are mined.
+A logistic model of the highest margin, the second highest and the number of units turns
+margins into probabilities, as one strange unit among many is weak evidence.
 
 As the kernel is a sum over subsequences, the machine folds into one table with a weight
 for each subsequence, so scoring a unit does not depend on the number of landmarks.
@@ -20,6 +22,7 @@ labels every score is 0; only key and text are read, clashing columns do not mat
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -111,16 +114,27 @@ def _scores(found: list[bytes], weights: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Weights of subsequences, the bias, and the two numbers that turn a margin into a probability."""
+    """Weights of subsequences, the bias, and the logistic weights that turn a text's features into a probability."""
 
-    def __init__(self, weights: np.ndarray, bias: float, slope: float = 1.0, shift: float = 0.0):
-        self.weights, self.bias, self.slope, self.shift = weights.astype(np.float32), bias, slope, shift
+    def __init__(self, weights: np.ndarray, bias: float, logistic: np.ndarray | None = None):
+        self.weights, self.bias = weights.astype(np.float32), bias
+        self.logistic = np.array([1.0, 0.0, 0.0, 0.0]) if logistic is None else logistic
 
     def margins(self, found: list[bytes]) -> np.ndarray:
         return _scores(found, self.weights) + self.bias
 
-    def probability(self, margin: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -60, 60)))
+    def probability(self, features: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(features @ self.logistic, -60, 60)))
+
+
+def _features(bag: set[bytes], margin: dict[bytes, float]) -> tuple[float, float, float, float]:
+    """Highest and second highest margin of a text's units, logarithm of their number, and 1.
+
+    A long text has many units, of which one may look like an insult by chance; two seldom do.
+    """
+    top = heapq.nlargest(2, map(margin.__getitem__, bag))
+    first, second = (*top, -1.0, -1.0)[:2]
+    return first, second, float(np.log1p(len(bag))), 1.0
 
 
 def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 10.0) -> tuple[np.ndarray, float]:
@@ -138,19 +152,26 @@ def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 10.0) -
     return w[:-1], float(w[-1])
 
 
-def _platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic slope and shift with Platt's smoothed targets."""
+def _platt(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Logistic weights of the features, with Platt's smoothed targets; margins never count against a text's toxicity."""
     p, n = (y > 0).sum(), (y < 0).sum()
     target = np.where(y > 0, (p + 1) / (p + 2), 1 / (n + 2))
-    weight = np.where(y > 0, 0.5 / max(p, 1), 0.5 / max(n, 1)) * len(y)
-    x, w = np.stack([margin, np.ones(len(y))], axis=1), np.array([1.0, 0.0])
-    for _ in range(50):
-        q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x.T * (weight * q * (1 - q))) @ x + 1e-3 * np.eye(2), x.T @ (weight * (q - target)) + 1e-3 * w)
-        w = w - np.clip(step, -2, 2)
-        if abs(step).max() < 1e-6:
-            break
-    return max(float(w[0]), 1e-3), float(w[1])
+    use = np.ones(x.shape[1], bool)
+    while True:
+        w = np.zeros(x.shape[1])
+        w[0] = 1.0
+        for _ in range(100):
+            q = 1 / (1 + np.exp(-np.clip(x[:, use] @ w[use], -30, 30)))
+            ridge = 1e-3 * np.eye(use.sum())
+            step = np.linalg.solve((x[:, use].T * (q * (1 - q))) @ x[:, use] + ridge, x[:, use].T @ (q - target) + 1e-3 * w[use])
+            w[use] -= np.clip(step, -2, 2)
+            if abs(step).max() < 1e-6:
+                break
+        w[~use] = 0.0
+        if w[1] >= 0 or not use[1]:
+            w[0] = max(w[0], 1e-3)
+            return w
+        use[1] = False
 
 
 def _landmark_columns(found: list[bytes], landmarks: list[bytes]) -> np.ndarray:
@@ -207,9 +228,8 @@ def fit(bags: list[tuple[bool, set[bytes]]], landmarks: int = LANDMARKS, rounds:
         margin = dict(zip(everything, model.margins(everything), strict=True))
         witness = [best(u, margin) for u in own]
         hard |= set(sorted(in_clean, key=lambda x: (-margin[x], x))[:1000])
-    top = lambda u: max((margin[x] for x in u), default=-1.0)
-    tops = np.array([top(u) for u in toxic] + [top(u) for u in clean])
-    model.slope, model.shift = _platt(tops, np.array([1.0] * len(toxic) + [-1.0] * len(clean)))
+    x = np.array([_features(u, margin) for u in toxic + clean])
+    model.logistic = _platt(x, np.array([1.0] * len(toxic) + [-1.0] * len(clean)))
     return model
 
 
@@ -245,14 +265,14 @@ class Scorer:
     def __init__(self, model: Model, max_units: int = 400_000):
         self.model, self.margin, self.max_units = model, {}, max_units
 
-    def margins(self, texts) -> np.ndarray:
+    def features(self, texts) -> np.ndarray:
         bags = [units(t) for t in texts]
         known = self.margin
         if len(known) > self.max_units:
             known.clear()
         new = list(set().union(*bags).difference(known)) if bags else []
         known.update(zip(new, self.model.margins(new).tolist(), strict=True))
-        return np.array([max(map(known.__getitem__, b), default=-1.0) for b in bags])
+        return np.array([_features(b, known) for b in bags]).reshape(-1, 4)
 
 
 def training_sample(
@@ -291,7 +311,7 @@ def score(model: Model | None, text: Column) -> Column:
     def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(model)
         for t in batches:
-            yield pd.Series(model.probability(scorer.margins(t)))
+            yield pd.Series(model.probability(scorer.features(t)))
 
     return probability(text)
 

@@ -94,7 +94,7 @@ def test_toxicity_finds_disguised_insults(spark):
         text = " ".join(word() for _ in range(30)) + " You"
         bags.append((i % 3 == 0, toxicity.units(text + (" " + rng.choice(["blockhead!", "scoundrel."]) if i % 3 == 0 else ""))))
     model = toxicity.fit(bags)
-    score = lambda t: float(model.probability(toxicity.Scorer(model).margins([t]))[0])
+    score = lambda t: float(model.probability(toxicity.Scorer(model).features([t]))[0])
     assert all(score(f"an ontithe {x} re") >= 0.3 for x in ("blockhead", "Block-head", "b l o c k h e a d", "blockxhead", "SCOUNDREL"))
     assert max(score(" ".join(word() for _ in range(50))) for _ in range(50)) < 0.3 and score(None) == score("") == score(" ") < 0.3
     scored = docs(spark, EDGE, IDS).select("doc_id", toxicity.score(model, F.col("text")).alias("s")).collect()
@@ -105,6 +105,17 @@ def test_toxicity_finds_disguised_insults(spark):
 
 
 # 4 token counts
+def test_one_doubtful_unit_of_a_long_text_is_not_enough():
+    rng = np.random.default_rng(1)
+    clean = [(m, m - 1.5, np.log1p(200), 1.0) for m in rng.uniform(-1.5, 0.5, 300)]
+    bad = [(m, m - 0.1, np.log1p(200), 1.0) for m in rng.uniform(0.2, 1.5, 60)]
+    w = toxicity._platt(np.array(clean + bad), np.array([-1.0] * 300 + [1.0] * 60))
+    model = toxicity.Model(np.zeros(1), 0.0, w)
+    alone, pair = model.probability(np.array([(0.4, -1.1, np.log1p(200), 1.0), (0.4, 0.3, np.log1p(200), 1.0)]))
+    assert alone < 0.3 < pair and w[0] > 0 and w[1] >= 0
+    assert toxicity._features(set(), {}) == (-1.0, -1.0, 0.0, 1.0)
+
+
 def test_token_tree_equals_encoding_again(spark):
     path, rng = default_vocabulary(), random.Random(3)
     count = lambda t: len(encoding(path).encode_ordinary(t))
