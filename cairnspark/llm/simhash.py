@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from cairnspark.llm.common import cut, per_batch, small_batches, table
 from cairnspark.llm.components import connected_components
+from cairnspark.llm.nearcopies import near_copies
 
 SHINGLE, SEED, MAX_BITS, HOT_BUCKET, HEAVY = 3, 42, 3, 64, 1000
 
@@ -167,8 +168,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs without those whose component has a smaller key; rows with the same key stay or go together."""
-    dropped = near_duplicates(docs, key, text).filter(F.col(key) != F.col("component_id")).select(key)
+    """The rows of docs without those whose near copies (five-word shingles, similarity 0.8: see nearcopies)
+    have a smaller key; rows with the same key stay or go together."""
+    dropped = near_copies(docs, key, text).filter(F.col(key) != F.col("component_id")).select(key)
     return docs.join(dropped, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

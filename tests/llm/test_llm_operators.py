@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cairnspark.llm import chat, digest, html, packing, pieces, quality, simhash, token_counts, toxicity, warc
+from cairnspark.llm import chat, digest, html, nearcopies, packing, pieces, quality, simhash, token_counts, toxicity, warc
 from cairnspark.llm.tokens import default_vocabulary, encoding, token_ids
 
 DOCS = "doc_id long, text string, lang string, source string, key string, at long, fp long"
@@ -196,6 +196,30 @@ def test_heavy_fingerprints_get_the_same_class(spark, monkeypatch, share):
     assert {tuple(r) for r in simhash.near_duplicates(rows).collect()} == want and len(want) == 35
 
 
+@pytest.mark.parametrize("hot", [64, 3])
+def test_keep_one_joins_near_copies_only(spark, monkeypatch, hot):
+    monkeypatch.setattr(nearcopies, "HOT_BUCKET", hot)
+    rng = random.Random(15)
+    texts = []
+    for _ in range(12):
+        base = [f"w{rng.randint(0, 10**6)}" for _ in range(120)]
+        for _ in range(6):
+            copy = list(base)
+            for at in rng.sample(range(120), rng.randint(0, 6)):
+                copy[at] = f"x{rng.randint(0, 10**6)}"
+            texts.append(" ".join(copy))
+    texts += [None, "", "one two", "One  two"]
+    sets = [set(nearcopies.shingles(nearcopies.words_of(t)).tolist()) for t in texts]
+    parent = list(range(len(texts)))
+    near = lambda a, b: a == b or len(a & b) >= 0.8 * len(a | b)
+    for _ in texts:
+        for i in range(len(texts)):
+            parent[i] = min(parent[j] for j in range(len(texts)) if near(sets[i], sets[j]))
+    got = {r["doc_id"]: r["component_id"] for r in nearcopies.near_copies(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == parent and 12 < len(set(parent)) < 60
+    assert {r["doc_id"] for r in simhash.keep_one(docs(spark, texts)).collect()} == set(parent)
+
+
 # 6 pieces
 def test_n_best_equals_brute_force_and_decodes(spark):
     s = pieces.segmenter(pieces.default_model())
