@@ -150,6 +150,18 @@ def test_rank_file_and_tokenizer_agree():
         assert token_ids(t, default_vocabulary()).tolist() == whole.encode(t, add_special_tokens=False).ids
 
 
+def test_added_tokens_as_in_tokenizers():
+    import public_tokenizers
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(17)
+    parts = ["<|endoftext|>", "<|endoftext", "|>", " ", "\n", "a", "b ", "é", "漢", "'s", "<|ENDOFTEXT|>"]
+    texts = ["a <|endoftext|> b", *["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(2000)]]
+    for t in texts:
+        assert token_ids(t, default_vocabulary()).tolist() == whole.encode(t, add_special_tokens=False).ids, repr(t)
+    assert token_ids(texts[0], default_vocabulary()).tolist() == [64, 220, 50256, 275]
+
+
 # 5 SimHash
 def components(prints):
     parent = list(range(len(prints)))
