@@ -18,14 +18,18 @@ def points_csv(spark: SparkSession, path: str, schema: str, max_rows: int | None
 
 
 def encoded_csv(spark: SparkSession, path: str, schema: str, encodings: tuple[str, ...] = ("UTF-8", "GB18030")) -> DataFrame:
-    """A CSV in the first encoding that decodes the head of its files."""
-    head = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, 4096).alias("head"))
-    # the cut may split one character, so the last bytes do not count
-    whole = F.expr("is_valid_utf8(cast(substring(head, 1, greatest(0, octet_length(head) - 4)) as string))")
-    utf8 = head.agg(F.bool_and(whole)).first()[0]
-    use = encodings[0] if utf8 in (None, True) else encodings[1]
+    """A CSV whose files are each read in the first encoding that decodes all of their bytes."""
+    file = F.col("_metadata.file_path")
+    lines = spark.read.text(path).select(file.alias("file"), F.is_valid_utf8("value").alias("valid"))
+    files = lines.groupBy("file").agg(F.bool_and("valid").alias("utf8")).collect()
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    return spark.read.csv(path, header=True, schema=schema, encoding=use)
+    read = lambda use: spark.read.csv(path, header=True, schema=schema, encoding=use)
+    other = [r["file"] for r in files if not r["utf8"]]
+    if not other:
+        return read(encodings[0])
+    if len(other) == len(files):
+        return read(encodings[1])
+    return read(encodings[0]).filter(~file.isin(other)).unionByName(read(encodings[1]).filter(file.isin(other)))
 
 
 def geojson_features(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

@@ -88,3 +88,13 @@ def test_encoding_fallback(spark, tmp_path):
 def test_region_rule(spark, name):
     row = staged(spark, ROWS[:1]).withColumn("region", F.lit(name))
     assert (promote.reject(row).first()["error"] is None) == (name == "east")
+
+
+def test_each_file_is_decoded_over_all_its_bytes(spark, tmp_path):
+    late = "id,name\n" + "".join(f"{i},{'x' * 40}\n" for i in range(300)) + "300,照片\n"
+    (tmp_path / "a b.csv").write_bytes(late.encode("gb18030"))
+    (tmp_path / "c.csv").write_bytes(late.replace("300,", "301,").encode("utf-8"))
+    (tmp_path / "d.csv").write_bytes(b"id,name\n")
+    rows = readers.encoded_csv(spark, f"{tmp_path}/*.csv", "id int, name string").collect()
+    assert len(rows) == 602 and {r["id"]: r["name"] for r in rows if r["id"] >= 300} == {300: "照片", 301: "照片"}
+    assert readers.encoded_csv(spark, f"{tmp_path}/a*.csv", "id int, name string").filter("id = 300").first()["name"] == "照片"
