@@ -347,6 +347,12 @@ def test_html_blocks():
     assert html.main_text(html.parse("<p>unclosed <b>x<script>never")) == "unclosed x"
 
 
+def test_raw_elements_end_where_the_markup_says():
+    for raw in ("<script>x</script>", "<STYLE>p{}</Style >", "<textarea>\u0130</textarea>"):
+        assert html.main_text(html.parse("\u0130" * 12 + raw + "abcdefgh")).split()[-1].endswith("abcdefgh")
+    assert html.main_text(html.parse("\u0130" * 12 + "<p><script>x</ſcript></script>abcdefgh")) == "\u0130" * 12 + "\n\nabcdefgh"
+
+
 def test_template_is_what_all_pages_share(spark):
     body = "<body><p>Site name</p><p>{}</p><p>{}</p></body>"
     rows = [(i, f"http://h.example/{i}", body.format(f"text {i}", f"more {i}")) for i in range(5)]
