@@ -353,6 +353,42 @@ def test_raw_elements_end_where_the_markup_says():
     assert html.main_text(html.parse("\u0130" * 12 + "<p><script>x</ſcript></script>abcdefgh")) == "\u0130" * 12 + "\n\nabcdefgh"
 
 
+def test_alignment_is_best_in_lists_of_any_length(monkeypatch):
+    rng = random.Random(19)
+
+    def tree(depth):
+        return f"<{(t := rng.choice(['div', 'ul', 'b']))}>" + "".join(tree(depth - 1) for _ in range(rng.randint(0, 4) if depth else 0)) + f"</{t}>"
+
+    def best(x, y):
+        if x.label != y.label:
+            return 0
+        rows = [[0] * (len(y.children) + 1)]
+        for c in x.children:
+            rows.append([0])
+            for j, d in enumerate(y.children):
+                rows[-1].append(max(rows[-2][j + 1], rows[-1][j], rows[-2][j] + best(c, d)))
+        return 1 + rows[-1][-1]
+
+    for cells, memo, short in ((50_000, 1 << 20, 40), (2, 1 << 20, 2), (6, 2, 40)):
+        monkeypatch.setattr(html, "CELLS", cells)
+        monkeypatch.setattr(html, "MEMO", memo)
+        monkeypatch.setattr(html, "SHORT", short)
+        for _ in range(60):
+            a, b = (html.parse("".join(tree(3) for _ in range(rng.randint(0, 6)))) for _ in range(2))
+            pairs = html.align(a, b)
+            place = [{id(n): i for i, n in enumerate(html.nodes_of(t))} for t in (a, b)]
+            at = sorted((place[0][id(x)], place[1][id(y)]) for x, y in pairs)
+            assert len(pairs) == best(a, b) and all(x.label == y.label for x, y in pairs)
+            assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(at, at[1:]))
+    monkeypatch.undo()
+    long = ["<p><a>x</a></p>" if rng.random() < 0.5 else f"<div class=c{rng.randint(0, 9)}>y</div>" for _ in range(700)]
+    page = html.parse("".join(["<h1>t</h1>", *long, "<h2>end</h2>"]))
+    other = html.parse("".join(["<h3>t</h3>", *[x for x in long if rng.random() < 0.9], "<h4>u</h4>", "<h2>end</h2>"]))
+    assert len(html.align(page, other)) == sum(1 for _ in html.nodes_of(other)) - 2
+    deep = [html.parse("<div><i>x</i>" * 3000 + t) for t in ("<p>a", "<ul>b")]
+    assert len(html.align(*deep)) == 6001
+
+
 def test_template_is_what_all_pages_share(spark):
     body = "<body><p>Site name</p><p>{}</p><p>{}</p></body>"
     rows = [(i, f"http://h.example/{i}", body.format(f"text {i}", f"more {i}")) for i in range(5)]
