@@ -398,3 +398,17 @@ def test_template_is_what_all_pages_share(spark):
     assert [got[i] for i in range(5)] == [f"text {i}\n\nmore {i}" for i in range(5)]
     assert got[10] == "Site name\n\nonly\n\npage" and got[11] == "" and got[20] == "Site name\n\nx\n\ny"
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_odd_pages_do_not_undo_the_template(spark):
+    body = "<body><div class=top>{}</div><div class=text><p>{}</p></div></body>"
+    other = "<body><table><tr><td>Price list</td><td>{}</td></tr></table></body>"
+    pages = [None, "", "<p>404", "  "] + [body.format("Site name", f"text {i}") for i in range(20)] + [body.format("Special day", "text s")]
+    pages += [other.format(f"{i} pounds") for i in range(4)]
+    rows = [(i, "http://h.example/", p) for i, p in enumerate(pages)]
+    rows += [(100 + i, "http://three.example/", body.format("Own name", f"own {i}")) for i in range(3)]
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(4)] == ["", "", "404", ""]
+    assert [got[i + 4] for i in range(21)] == [*[f"text {i}" for i in range(20)], "Special day\n\ntext s"]
+    assert [got[i + 25] for i in range(4)] == [f"{i} pounds" for i in range(4)]
+    assert [got[i + 100] for i in range(3)] == [f"own {i}" for i in range(3)]
