@@ -252,9 +252,29 @@ def test_n_best_equals_brute_force_and_decodes(spark):
         assert np.allclose(s.encode(t)[2], brute(t))
     for t in ["▁x ▁ y", "  a ", "漢\U0001f600", "\x00", *[x or "" for x in EDGE]]:
         assert s.decode(s.encode(t)[0]) == t
+    for path in (None, "▁"):  # one at a time and many together give the same
+        some = ["".join(rng.choices("thea  ing.,é漢\x00\U0001f600\n" + (path or ""), k=rng.randint(0, 90))) for _ in range(400)]
+        alone = pieces.Segmenter(pieces.default_model())
+        assert pieces.Segmenter(pieces.default_model()).encode_all(some) == [alone.encode(t) for t in some]
     assert pieces.encode_texts(docs(spark, EDGE, IDS)).count() == len(EDGE)
 
 
+def test_pieces_beside_the_library():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    s, rng, same = pieces.segmenter(pieces.default_model()), random.Random(25), 0
+    for _ in range(400):
+        word = "".join(rng.choices("etaoinshr", k=rng.randint(1, 7)))
+        ids, _, scores = s.encode(word)
+        ours, theirs = np.frombuffer(ids, "<u4").tolist(), model.encode(word)
+        assert model.decode(ours) == word
+        score = sum(map(model.get_score, theirs))
+        assert score <= scores[0] + 1e-6 and (score < scores[0] - 1e-6 or len(set(np.round(scores[:2], 6))) < 2 or ours == theirs)
+        same += ours == theirs
+    assert 0 < same < 400
+
+
 # 7 digests
 def test_digests(spark):
     texts = [(i, t) for i, t in zip([9, 7, 5, 3, 1], ["abcdef ghij " * 20, "", None, "xyz", "漢字" * 50], strict=True)]
@@ -293,16 +313,81 @@ def test_counts_equal_brute_force(spark):
         windows = [tuple(words[k : k + 8]) for k in range(len(words) - 7)]
         many = {w for w, n in pd.Series(windows, dtype=object).value_counts().items() if n > 1} if windows else set()
         covered = {k + j for k, w in enumerate(windows) if w in many for j in range(8)}
-        want = (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in t), dup, len(covered))
-        assert tuple(got.loc[i, ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]]) == want, repr(t[:80])
-
-
-def test_em_keeps_clean_documents():
-    n, d = len(quality.RULES), len(quality.DEFECTS)
-    clean, junk = (0,) * d + (1,) * (n - d), (0, -1) + (0,) * (d - 2) + (1,) * (n - d)
-    model = quality.fit([(clean, 900), (junk, 70), ((0, 0, 0, -1, -1, 0, 0, 1, 0, 0), 30)])
-    assert quality.posterior(clean, model) > 0.7 and quality.posterior(junk, model) < 0.5
-    assert quality.posterior((0,) * n, quality.fit([])) > 0.5
+        marks = [w for w in words if not any(c.isalnum() for c in w)]
+        want = (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in t), dup, len(covered), len(set(words)), len(marks))
+        assert tuple(got.loc[i, ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_distinct", "n_wordless"]]) == want, repr(t[:80])
+
+
+def plain_em(rows):
+    """Expectation-maximisation document by document, with the rates themselves in place of their log-odds."""
+    score = lambda v: 1.0 + sum({-1: -2.0, 0: 0.0, 1: 0.25}[x] for x in v)
+    good = [1 / (1 + np.exp(-score(v))) for v in rows]
+    for _ in range(400):
+        rate = []
+        for side in (good, [1 - g for g in good]):
+            rate.append([{x: (sum(p for v, p in zip(rows, side, strict=True) if v[j] == x) + 1) / (sum(side) + 3) for x in (-1, 0, 1)} for j in range(len(rows[0]))])
+        prior = (sum(good) + 1) / (len(rows) + 2)
+        after = []
+        for v in rows:
+            a = prior * np.prod([rate[0][j][x] for j, x in enumerate(v)])
+            b = (1 - prior) * np.prod([rate[1][j][x] for j, x in enumerate(v)])
+            after.append(a / (a + b))
+        good = after
+    return good
+
+
+def drawn_votes(n=800, seed=21):
+    """Votes of good documents, of which a tenth fires rule 0 alone, and of bad ones, which fire rules 1 to 3 or abstain there."""
+    rng, rows = random.Random(seed), []
+    for i in range(n):
+        v = [1] * len(quality.RULES)
+        if i % 8:
+            v[0] = -1 if rng.random() < 0.1 else 1
+        else:
+            for j in (1, 2, 3, 4):
+                v[j] = rng.choices([-1, 0, 1], [6, 3, 1])[0]
+        rows.append(tuple(v))
+    return rows
+
+
+def test_em_equals_plain_em():
+    rows = drawn_votes(240)
+    counts = {v: rows.count(v) for v in set(rows)}
+    model = quality.fit(list(counts.items()), rounds=2000, rest=0)
+    assert np.allclose([quality.posterior(v, model) for v in rows], plain_em(rows), atol=1e-6)
+
+
+def test_em_weighs_votes_by_what_the_data_say():
+    rows = drawn_votes()
+    model = quality.fit([(v, rows.count(v)) for v in set(rows)])
+    clean = (1,) * len(quality.RULES)
+    put = lambda v, **at: tuple(at.get(f"r{j}", x) for j, x in enumerate(v))
+    assert quality.posterior(clean, model) > 0.99
+    assert quality.posterior(put(clean, r0=-1), model) > 0.9  # one rule fails, and the document stays
+    assert quality.posterior(put(clean, r1=0, r2=0, r3=0, r4=0), model) < 0.5  # no rule fails, and it goes
+    assert quality.posterior(put(clean, r1=-1, r2=-1), model) < 0.5  # evidence adds up
+    assert quality.posterior((0,) * len(quality.RULES), quality.fit([])) > 0.5
+
+
+def test_documents_that_fail_one_rule_stay(spark):
+    rng = random.Random(23)
+    word = lambda: "".join(rng.choice(["ta", "ri", "mo", "len", "ku", "so"]) for _ in range(2))
+    line = lambda n: " ".join(word() for _ in range(n)).capitalize() + "."
+    text = lambda: "\n".join(line(12) for _ in range(8))
+    numbers = lambda: " ".join(str(rng.randint(10**5, 10**6)) if i % 4 == 0 else word() + "." * (i % 12 == 3) for i in range(96))
+    marks = lambda: " ".join(word() + rng.choice(["###", "&&&", "%%%"]) for _ in range(90)) + "."
+    made = [text() for _ in range(300)] + [numbers() for _ in range(30)] + [marks() for _ in range(30)]
+    rows = {r["doc_id"]: r for r in quality.judge(docs(spark, made)).collect()}
+    assert all(rows[i]["kept"] for i in range(300)) and not any(rows[i]["kept"] for i in range(330, 360))
+    assert all(rows[i]["votes"]["digits"] == -1 and rows[i]["kept"] for i in range(300, 330))
+    assert {r["doc_id"] for r in quality.keep_good(docs(spark, made)).collect()} == {i for i, r in rows.items() if r["kept"]}
+
+
+def test_columns_of_the_input_are_left_alone(spark):
+    text = " ".join(f"word{i}" for i in range(60)) + "."
+    rows = spark.createDataFrame([(1, text, "a", "b")], "doc_id long, text string, judged string, _counts string")
+    kept = quality.keep_good(rows)
+    assert kept.columns == rows.columns and [tuple(r) for r in kept.collect()] == [(1, text, "a", "b")]
 
 
 def test_judge_edges(spark):
@@ -412,3 +497,39 @@ def test_odd_pages_do_not_undo_the_template(spark):
     assert [got[i + 4] for i in range(21)] == [*[f"text {i}" for i in range(20)], "Special day\n\ntext s"]
     assert [got[i + 25] for i in range(4)] == [f"{i} pounds" for i in range(4)]
     assert [got[i + 100] for i in range(3)] == [f"own {i}" for i in range(3)]
+
+
+def test_template_alone_removes_menus_and_footers(spark):
+    rng = random.Random(27)
+    word = lambda: "".join(rng.choice(["ta", "ri", "mo", "len", "ku", "so"]) for _ in range(3))
+    said = lambda n: " ".join(word() for _ in range(n))
+    page = lambda paras: (
+        "<body><div><ul>" + "".join(f"<li><a href='/{word()}'>{word()}</a></li>" for _ in range(rng.randint(4, 7))) + "</ul></div>"
+        f"<div><h1><a href='/x'>{said(4)}</a></h1>" + "".join(f"<p>{t}</p>" for t in paras) + f"</div><div>Copyright h.example {said(5)}</div></body>")
+    texts = [[said(30) for _ in range(rng.randint(1, 9))] for _ in range(12)]
+    rows = [(i, f"http://h.example/{i}", page(t)) for i, t in enumerate(texts)]
+    rows += [(50 + i, f"http://list.example/{i}", "<body><ul>" + "".join(f"<li><a>{said(3)}</a></li>" for _ in range(5)) + "</ul></body>") for i in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract(pages, names=False).collect()}
+    for i, t in enumerate(texts):
+        blocks = got[i].split("\n\n")
+        assert blocks[1:] == t and len(blocks[0].split()) == 4  # menu and footer went, the linked heading stays
+    assert all(len(got[50 + i].split("\n\n")) == 5 for i in range(4))  # a page that is nothing but links keeps them
+
+
+def test_deep_and_wide_pages(spark):
+    deep = lambda t: "<div>" * 5000 + f"<p>{t}</p>"
+    wide = lambda i: "<body>" + "".join(f"<p class=c{(k * i) % 3}>w{k} {i}</p>" for k in range(20_000))
+    rows = [(i, "http://deep.example/", deep(f"text {i}")) for i in range(4)] + [(10 + i, "http://wide.example/", wide(i + 1)) for i in range(3)]
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(4)] == [f"text {i}" for i in range(4)]
+    assert all(got[10 + i] == "\n\n".join(f"w{k} {i + 1}" for k in range(20_000)) for i in range(3))
+
+
+@pytest.mark.parametrize("heavy", [1, 10**9])
+def test_heavy_groups_give_the_same_texts(spark, monkeypatch, heavy):
+    body = "<body><p>Site name</p><p>{}</p></body>"
+    rows = [(i, f"http://h{i % 2}.example/{i}", body.format(f"text {i}")) for i in range(30)]
+    monkeypatch.setattr(html, "HEAVY", heavy)  # no group is heavy, or all are
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r["page_id"], r["text"]) for r in got) == [(i, f"text {i}") for i in range(30)]
