@@ -13,11 +13,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; where it is unset (tests on one machine), a temporary one."""
+    """The folder that spark.checkpoint.dir names. Where it is unset, a temporary one in local mode; on a cluster that is an error,
+    as each executor would write to a disk of its own."""
     sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir")
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
-    return sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+        if named is None and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return named or sc.getCheckpointDir()
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
@@ -25,6 +29,11 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared folder and cut its lineage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write df as a table in the shared folder and read it, which cuts its lineage.
+
+    A checkpoint keeps the size estimates of the plan it came from, which multiply from join to join until planning
+    itself takes minutes; a table has its true size, from which Spark decides what to broadcast.
+    """
+    path = fresh_folder(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
