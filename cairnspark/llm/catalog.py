@@ -17,4 +17,5 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_chat": chat.ORACLE_SQL,
+    "op2_warc": warc.ORACLE_SQL,
 }

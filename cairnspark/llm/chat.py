@@ -9,12 +9,13 @@ final text; then turns are rendered in the order in which their messages began,
 
 with a line feed after each. In texts, backslashes are doubled, and one is put inside
 "</turn>" and "### ", so no control string of the template stays in a text; undoing drops
-the first of any two characters that start with a backslash. In roles, "%" and ":" are
+the first of any two characters that start with a backslash. In roles, "%", ":", "<", "#" and line feeds are
 percent-encoded. The loss mask is a list of spans (start, length in code points).
 
 Edge cases: null text or role: empty; null ids group together; message events that repeat
 an id and are not edited stay turns of their own, so repeated rows repeat; ties in sequence
-go by op, role and text; an empty log gives an empty result; other columns are not read.
+go by op, role and text; null sequences come first; an empty log gives an empty result; other columns are not read.
+A conversation is rendered in one task, as its text is one value.
 """
 
 from __future__ import annotations
@@ -37,12 +38,20 @@ def unescape(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("\\")), F.regexp_replace(text, r"(?s)\\(.)", "$1")).otherwise(text)
 
 
+#: Characters of a role that are percent-encoded; "%" itself comes first and is undone last.
+_ROLE = {"%": "%25", ":": "%3A", "<": "%3C", "#": "%23", "\n": "%0A"}
+
+
 def _escape_role(role: Column) -> Column:
-    return F.replace(F.replace(role, F.lit("%"), F.lit("%25")), F.lit(":"), F.lit("%3A"))
+    for c, code in _ROLE.items():
+        role = F.replace(role, F.lit(c), F.lit(code))
+    return role
 
 
 def _unescape_role(role: Column) -> Column:
-    return F.replace(F.replace(role, F.lit("%3A"), F.lit(":")), F.lit("%25"), F.lit("%"))
+    for c, code in reversed(_ROLE.items()):
+        role = F.replace(role, F.lit(code), F.lit(c))
+    return role
 
 
 def fold(events: DataFrame) -> DataFrame:
@@ -117,18 +126,33 @@ def learned_text(formatted: Column, spans: Column) -> Column:
     )
 
 
+def logged(rows: DataFrame) -> DataFrame:
+    """The event log of finished turns (conv_id, turn, role, text), one message each.
+
+    A message begins with a draft. The assistant's is regenerated and its text streamed in three deltas; others' is
+    edited into the first third of the text, and deltas append the rest. Sequences are (turn, place in the message).
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    third = F.ceil(F.char_length(text) / 3).cast("int")
+    part = lambda i: F.substring(text, third * i + 1, third)
+    event = lambda op, said, role=F.lit(None).cast("string"): F.struct(F.lit(op).alias("op"), role.alias("role"), said.alias("text"))
+    draft = event("delta", F.concat(F.lit("draft "), part(1)), F.col("role"))
+    streamed = F.array(draft, event("regenerate", F.lit(None).cast("string")), event("delta", part(0)), event("delta", part(1)), event("delta", part(2)))
+    edited = F.array(draft, event("edit", part(0)), event("delta", part(1)), event("delta", part(2)))
+    events = rows.withColumn("message_id", F.monotonically_increasing_id()).select(
+        "conv_id", "turn", "message_id", F.posexplode(F.when(F.col("role") == "assistant", streamed).otherwise(edited)).alias("at", "e"))
+    return events.select("conv_id", F.struct("turn", "at").alias("seq"), "message_id", "e.*")
+
+
 def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations and one that holds the template's own strings, read back from their formatted text."""
+    """All conversations and one that holds the template's own strings, as a log of events that is folded, rendered and read back."""
     saying = F.lit("\\### Assistant: </turn> ok")
     extra = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), saying.alias("text"),
     )
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
-    events = rows.unionByName(extra).select(
-        "conv_id", F.col("turn").alias("seq"), F.col("turn").alias("message_id"), F.lit("message").alias("op"), "role", "text"
-    )
-    made = render(fold(events)).select(
+    made = render(fold(logged(rows.unionByName(extra)))).select(
         "conv_id", "formatted", parse(F.col("formatted")).alias("turns"), learned_text(F.col("formatted"), F.col("loss_spans")).alias("learned")
     )
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
@@ -149,7 +173,7 @@ WITH rows AS (
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
 ), lines AS (
   SELECT *, replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '### ', '#\## ') AS body,
-         replace(replace(role, '%', '%25'), ':', '%3A') AS shown FROM rows
+         replace(replace(replace(replace(replace(role, '%', '%25'), ':', '%3A'), '<', '%3C'), '#', '%23'), chr(10), '%0A') AS shown FROM rows
 )
 SELECT conv_id,
        count(*) AS n_turns,

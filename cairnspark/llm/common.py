@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -11,27 +10,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairnspark.functions.session import cut, shared_folder, table  # noqa: F401  shared with the operators
+
 #: Java regex class body of the white space that ends a word, and the characters themselves.
 SPACE = r"\x20\x09-\x0D"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+#: A value that more than one in HEAVY rows has is heavy; its rows are dealt over PARTS parts.
+HEAVY, PARTS = 1000, 64
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; where it is unset (tests on one machine), a temporary one."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
-    return sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
 
+def attach(rows: DataFrame, side: DataFrame, on: list[str], counts: DataFrame, spread: Column, how: str = "left") -> DataFrame:
+    """rows joined with side, which has one row for each value of on; counts (on, n) says how many rows have it.
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise df reliably in the shared folder and cut its lineage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    Fewer than HEAVY values are heavy. Only those values are broadcast; their rows are dealt over PARTS parts by
+    spread (a hash of what else a row holds), each part with its own copy of the side's row.
+    """
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    heavy = F.broadcast(counts.filter(F.col("n") * HEAVY > total).select(*on, F.lit(True).alias("_heavy")))
+    parts = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    many = side.join(heavy, on, "left").withColumn("_dealt", F.explode(parts)).drop("_heavy")
+    dealt = F.when(F.col("_heavy"), F.pmod(spread, F.lit(PARTS)).cast("int")).otherwise(0)
+    return rows.join(heavy, on, "left").withColumn("_dealt", dealt).drop("_heavy").join(many, [*on, "_dealt"], how).drop("_dealt")
 
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:

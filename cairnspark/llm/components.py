@@ -1,22 +1,32 @@
-"""Connected components of a set of links, by alternating large-star and small-star rounds."""
+"""Connected components of a set of links, by alternating large-star and small-star rounds.
+
+The centre of a star is one node with all members of its component, so joins by it deal its links over parts
+(see common.attach).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairnspark.llm.common import cut
+from cairnspark.llm.common import attach, cut
+
+
+def _with_least(links: DataFrame, least: DataFrame) -> DataFrame:
+    """links (u, v) with m, which least (u, m, n) gives for u."""
+    least = cut(least)
+    return attach(links, least.drop("n"), ["u"], least.select("u", "n"), F.xxhash64("v"), "inner")
 
 
 def _round(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     # large star: every larger neighbour of u is linked to u's smallest neighbour (or u)
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    large = both.filter(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    large = large.filter(F.col("u") != F.col("v")).distinct()
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count_if(F.col("v") > F.col("u")).alias("n"))
+    large = _with_least(both.filter(F.col("v") > F.col("u")), least.filter("n > 0")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    large = cut(large.filter(F.col("u") != F.col("v")).distinct())
     # small star: u and all its smaller neighbours are linked to the smallest of them
-    least = large.groupBy("u").agg(F.min("v").alias("m"))
-    small = large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+    least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    small = _with_least(large, least).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
     return small.filter(F.col("u") != F.col("v")).distinct()
 
 
@@ -38,6 +48,6 @@ def connected_components(edges: DataFrame, nodes: DataFrame, rounds: int = 60) -
             raise RuntimeError("the components did not settle")
     member = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     member = member.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-    labelled = member.join(nodes, "node")
-    least = labelled.groupBy("root").agg(F.min("label").alias("label"))
-    return labelled.select("node", "root").join(least, "root").select("node", "label")
+    labelled = cut(member.join(nodes, "node"))
+    least = cut(labelled.groupBy("root").agg(F.min("label").alias("label"), F.count("*").alias("n")))
+    return attach(labelled.select("node", "root"), least.drop("n"), ["root"], least.select("root", "n"), F.xxhash64("node")).select("node", "label")

@@ -8,7 +8,8 @@ and 0 where the sum reaches what independent digests have on average.
 
 Edge cases: null is the empty text; texts under four bytes are padded by zero bytes; equal
 texts have equal digests; an empty table gives an empty result; with repeated keys the
-order is by key, then by hash of the text; null keys come last; only key and text are read.
+order is by falling key, then by falling hash of the text; null keys come last; only key and text are read.
+Rows that are alike in key and text lie in one range, as nothing tells them apart.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from cairnspark.llm.common import small_batches, table
 
-BUCKETS, ROWS_A_BUCKET, MOST_RANGES = 256, 2000, 20_000
+BUCKETS, RANGE_BYTES = 256, 16 << 20
 _CHANCE = BUCKETS * 26 / 16  # mean difference of independent quartile codes: steps 0, 1, 2, 6 at 4, 6, 4, 2 of 16
 _STEP = np.array([[(0, 1, 2, 6)[abs(i - j)] for j in range(4)] for i in range(4)])
 _PAIRS = np.array(
@@ -67,34 +68,39 @@ def likeness(a: str, b: str) -> float:
 def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, text, next_text): next in descending order of the key, after the last the first; null texts empty.
 
-    The keys are cut into ranges of about ROWS_A_BUCKET rows (at most MOST_RANGES ranges, whose
-    bounds the driver holds), and the first row of each range is also sent to the range before it,
-    so the neighbour is found within a range and no task sees all rows.
+    Rows are cut into ranges of (key, hash of the text) that hold about RANGE_BYTES each, and the first row of each
+    range is also sent to the range before it, so the neighbour is found within a range and no task sees
+    all rows. The driver holds four longs for each range: some tens of MB at 100 TB.
     """
     least = -(2**63)
     rows = docs.select(
         F.col(key).cast("long").alias("key"),
         F.coalesce(F.col(key).cast("long"), F.lit(least)).alias("at"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
-    )
-    n = min(MOST_RANGES, max(1, rows.count() // ROWS_A_BUCKET))
-    bounds = (
-        rows.select("at").repartitionByRange(n, "at").groupBy(F.spark_partition_id()).agg(F.min("at"), F.max("at"))
-    ).collect()
-    low = np.array(sorted(b[1] for b in bounds), np.int64)
-    high = np.array(sorted(b[2] for b in bounds), np.int64)
+    ).withColumn("mark", F.xxhash64("text"))
+    size = rows.agg(F.sum(F.octet_length("text") + 40)).first()[0] or 0
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // RANGE_BYTES + 1)
+    order = F.struct("at", "mark")
+    ranged = rows.select("at", "mark").repartitionByRange(n, "at", "mark").groupBy(F.spark_partition_id()).agg(F.min(order).alias("l"), F.max(order).alias("h"))
+    bounds = ranged.select("l.*", F.col("h.at").alias("at2"), F.col("h.mark").alias("mark2")).toPandas().sort_values(["at", "mark"])
+    low_at, low_mark, high_at, high_mark = (bounds[c].to_numpy(np.int64) for c in ("at", "mark", "at2", "mark2"))
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("array<long>")
-    def places(at: pd.Series) -> pd.Series:
-        """The range of a key, and if it is the largest key of its range, the range that comes before it."""
-        i = np.maximum(np.searchsorted(low, at.to_numpy(), side="right") - 1, 0)
-        first = high[i] == at.to_numpy()
-        return pd.Series([[r, (r + 1) % len(low)] if f else [r] for r, f in zip(i.tolist(), first, strict=True)])
-
-    dealt = rows.select("*", F.posexplode(places("at")).alias("tail", "range"))
-    order = Window.partitionBy("range").orderBy("tail", F.desc("at"), F.xxhash64("text"))
-    return dealt.withColumn("next_text", F.lead("text").over(order)).filter("tail = 0").select("key", "text", "next_text")
+    def places(at: pd.Series, mark: pd.Series) -> pd.Series:
+        """The range of a row, and if it is the largest of its range, the range that comes before it."""
+        a, m = at.to_numpy(), mark.to_numpy()
+        first, last = np.searchsorted(low_at, a, side="left"), np.searchsorted(low_at, a, side="right")
+        i = last - 1
+        for r in np.flatnonzero(last > first):  # ranges that begin at this key, told apart by the hash
+            i[r] = first[r] + np.searchsorted(low_mark[first[r] : last[r]], m[r], side="right") - 1
+        i = np.maximum(i, 0)
+        tops = (high_at[i] == a) & (high_mark[i] == m)
+        return pd.Series([[r, (r + 1) % len(low_at)] if t else [r] for r, t in zip(i.tolist(), tops, strict=True)])
+
+    dealt = rows.select("*", F.posexplode(places("at", "mark")).alias("tail", "range")).repartition(n, "range")
+    falling = Window.partitionBy("range").orderBy("tail", F.desc("at"), F.desc("mark"))
+    return dealt.withColumn("next_text", F.lead("text").over(falling)).filter("tail = 0").select("key", "text", "next_text")
 
 
 def compare_with_edits(docs: DataFrame) -> DataFrame:

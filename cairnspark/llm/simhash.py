@@ -25,11 +25,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnspark.llm.common import cut, per_batch, small_batches, table
+from cairnspark.llm.common import attach, cut, per_batch, small_batches, table
 from cairnspark.llm.components import connected_components
 from cairnspark.llm.nearcopies import near_copies
 
-SHINGLE, SEED, MAX_BITS, HOT_BUCKET, HEAVY = 3, 42, 3, 64, 1000
+SHINGLE, SEED, MAX_BITS, HOT_BUCKET = 3, 42, 3, 64
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -137,20 +137,6 @@ def _hot_links(stored: DataFrame, probes: DataFrame, hot: DataFrame) -> DataFram
     return stars.select("u", "v").distinct()
 
 
-def _with_class(prints: DataFrame, named: DataFrame) -> DataFrame:
-    """prints joined with named (fp, n, component_id), where n counts the rows of a fingerprint.
-
-    Fewer than HEAVY fingerprints can each have more than one in HEAVY of all rows, so those are
-    broadcast and their rows stay where they are; the rows of all others are shuffled.
-    """
-    total = named.agg(F.sum("n")).first()[0] or 0
-    heavy = F.col("n") * HEAVY > total
-    few = F.broadcast(named.filter(heavy).drop("n"))
-    rest = named.filter(~heavy).drop("n")
-    others = prints.join(few.select("fp"), "fp", "left_anti")
-    return prints.join(few, "fp").unionByName(others.join(rest, "fp"))
-
-
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, fingerprint as 16 hex digits, component_id): every row of docs with its near-duplicate component."""
     prints = cut(fingerprints(docs, key, text))
@@ -162,7 +148,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             "fp", "n", F.coalesce("label", "first").alias("component_id")
         )
     )
-    return _with_class(prints, named).select(
+    return attach(prints, named.drop("n"), ["fp"], named.select("fp", "n"), F.xxhash64("key"), "inner").select(
         F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 

@@ -4,7 +4,9 @@ Payload bytes are stored once under their SHA-256, exact record headers in a tab
 their own; original records come back by a join on the digest, and each payload is
 verified against its digest when it is read. Of the records with one payload of at least
 min_bytes the one with the largest key is the response, the others are revisits of it.
-Both tables lie in one folder of the shared storage; export_text writes plain WARC files.
+Both tables lie in one folder of the shared storage, which is the caller's to remove; export_text writes plain
+WARC files. Records that share one payload with many others (empty or equal error pages) are joined in
+parts, see common.attach.
 
 Edge cases: null payload text: empty payload; equal empty payloads revisit as others do;
 rows repeated with key and payload are all responses of one stored payload; null keys
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cairnspark.llm.common import shared_folder, small_batches, table
+from cairnspark.llm.common import attach, cut, shared_folder, small_batches, table
 
 CRLF = "\r\n"
 DATE = "1970-01-01T00:00:00Z"  # the tables have no time of capture
@@ -73,10 +75,8 @@ def write_archive(
 
     keys = rows.select("key", "url", "digest", "bytes", F.sha1("payload").alias("sha1"))
     # a digest's first key matters only where rows repeat it, so the joined side is small
-    first = keys.filter(F.col("bytes") >= min_bytes).groupBy("digest").agg(
-        F.max("key").alias("first"), F.count("*").alias("n")
-    ).filter("n > 1").drop("n")
-    joined = keys.withColumn("sha1", base32("sha1")).join(first, "digest", "left")
+    first = cut(keys.filter(F.col("bytes") >= min_bytes).groupBy("digest").agg(F.max("key").alias("first"), F.count("*").alias("n")).filter("n > 1"))
+    joined = attach(keys.withColumn("sha1", base32("sha1")), first.drop("n"), ["digest"], first.select("digest", "n"), F.xxhash64("key", "url"))
     response = F.col("first").isNull() | F.col("first").eqNullSafe(F.col("key"))
     joined.select("digest", "key", _header(response).alias("header")).write.parquet(f"{folder}/headers")
     return folder
@@ -93,7 +93,9 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
         F.sha1("payload").alias("payload_sha1"),
     )
     end = F.encode(F.lit(CRLF + CRLF), "utf-8")
-    rows = spark.read.parquet(f"{folder}/headers").join(payloads, "digest")
+    headers = spark.read.parquet(f"{folder}/headers")
+    counts = headers.groupBy("digest").agg(F.count("*").alias("n"))
+    rows = attach(headers, payloads, ["digest"], counts, F.xxhash64("header"), "inner")
     body = F.when(field("WARC-Type") == "response", F.col("payload")).otherwise(F.encode(F.lit(""), "utf-8"))
     return rows.withColumn("record", F.concat(F.col("header"), body, end))
 
@@ -122,3 +124,16 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         page(field("WARC-Refers-To")).alias("refers_to"),
         (F.concat(F.lit("sha1:"), base32("payload_sha1")) == field("WARC-Payload-Digest")).alias("digest_matches"),
     )
+
+
+#: Base32 of the SHA-1 from its hex digits: five of them give four characters of five bits.
+ORACLE_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, html, sha1(html) AS hex, max(page_id) OVER (PARTITION BY html) AS first FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (
+  CAST(list_sum(list_transform(range(0, 5), k -> (instr('0123456789abcdef', substr(hex, CAST(5 * (i // 4) + k + 1 AS BIGINT), 1)) - 1) * CAST(pow(16, 4 - k) AS BIGINT))) AS BIGINT)
+  // CAST(pow(2, 15 - 5 * (i % 4)) AS BIGINT)) % 32 AS BIGINT), 1)), '') AS digest FROM h)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to, true AS digest_matches
+FROM b
+"""

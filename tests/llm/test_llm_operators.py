@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cairnspark.llm import chat, digest, html, nearcopies, packing, pieces, quality, simhash, token_counts, toxicity, warc
+from cairnspark.llm import chat, common, digest, html, nearcopies, packing, pieces, quality, simhash, token_counts, toxicity, warc
 from cairnspark.llm.tokens import default_vocabulary, encoding, token_ids
 
 DOCS = "doc_id long, text string, lang string, source string, key string, at long, fp long"
@@ -204,7 +204,7 @@ def test_simhash_edges(spark):
 def test_heavy_fingerprints_get_the_same_class(spark, monkeypatch, share):
     rows = docs(spark, ["a b c d e"] * 30 + ["f g h i j", "k l m n o"] + [None] * 3, list(range(35)))
     want = {tuple(r) for r in simhash.near_duplicates(rows).collect()}
-    monkeypatch.setattr(simhash, "HEAVY", share)  # none is heavy, or all are
+    monkeypatch.setattr(common, "HEAVY", share)  # none is heavy, or all are
     assert {tuple(r) for r in simhash.near_duplicates(rows).collect()} == want and len(want) == 35
 
 
@@ -292,11 +292,51 @@ def test_digests(spark):
 
 
 def test_next_across_ranges(spark, monkeypatch):
-    monkeypatch.setattr(digest, "ROWS_A_BUCKET", 5)
+    monkeypatch.setattr(digest, "RANGE_BYTES", 300)
     d = spark.range(97).select((F.col("id") * 3).alias("doc_id"), F.col("id").cast("string").alias("text"))
     assert {int(r["text"]): int(r["next_text"]) for r in digest.with_next(d).collect()} == {i: (i - 1) % 97 for i in range(97)}
 
 
+def test_next_of_a_key_that_repeats(spark, monkeypatch):
+    monkeypatch.setattr(digest, "RANGE_BYTES", 300)
+    rows = [(5, f"text {i}") for i in range(60)] + [(9, "last"), (1, "first"), (5, "text 7"), (None, "none")]
+    got = digest.with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 64 and sorted(r["text"] for r in got) == sorted(r["next_text"] for r in got) == sorted(t for _, t in rows)
+    by_text = {}
+    for r in got:
+        by_text.setdefault(r["text"], []).append(r["next_text"])
+    seen, at = [], "last"
+    while len(seen) < 63:
+        seen.append(at)
+        step = [t for t in by_text[at] if t != at]
+        at = step[0]
+    assert seen[-2:] == ["first", "none"] and at == "last" and by_text["text 7"].count("text 7") == 1
+
+
+def test_digest_counts_triplets():
+    rng = random.Random(29)
+    for _ in range(30):
+        raw = bytes(rng.randint(0, 255) for _ in range(rng.randint(0, 60)))
+        padded, counts = raw.ljust(4, b"\0"), [0] * 256
+        mix = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1)
+        for i in range(len(padded) - 3):
+            a, b, c, d = padded[i : i + 4]
+            for h in (a * mix[0] + b * mix[1] + c * mix[2], a * mix[0] + b * mix[1] + d * mix[3], a * mix[0] + c * mix[2] + d * mix[4]):
+                counts[(h * 0x2C1B3C6D & 0xFFFFFFFF) >> 24] += 1
+        assert digest._buckets(raw).tolist() == counts
+        text = raw.decode("latin-1")
+        made = bytes.fromhex(digest.digest(text))
+        counts = digest._buckets(text.encode()).tolist()
+        q1, q2, q3 = (sorted(counts)[k] for k in (63, 127, 191))
+        codes = [(n > q1) + (n > q2) + (n > q3) for n in counts]
+        assert [made[3 + i // 4] >> (2 * (i % 4)) & 3 for i in range(256)] == codes
+        other = digest.digest(text[::-1] + "x")
+        theirs = [bytes.fromhex(other)[3 + i // 4] >> (2 * (i % 4)) & 3 for i in range(256)]
+        apart = sum((0, 1, 2, 6)[abs(x - y)] for x, y in zip(codes, theirs, strict=True))
+        apart += min(12, abs(made[0] - bytes.fromhex(other)[0]) / 8) + sum(abs(made[k] - bytes.fromhex(other)[k]) for k in (1, 2)) / 32
+        assert digest.likeness(made.hex(), other) == pytest.approx(max(0, 1 - apart / 416)) or made.hex() == other
+
+
 # 8 quality
 def test_counts_equal_brute_force(spark):
     rng = random.Random(11)
@@ -530,6 +570,6 @@ def test_deep_and_wide_pages(spark):
 def test_heavy_groups_give_the_same_texts(spark, monkeypatch, heavy):
     body = "<body><p>Site name</p><p>{}</p></body>"
     rows = [(i, f"http://h{i % 2}.example/{i}", body.format(f"text {i}")) for i in range(30)]
-    monkeypatch.setattr(html, "HEAVY", heavy)  # no group is heavy, or all are
+    monkeypatch.setattr(common, "HEAVY", heavy)  # no group is heavy, or all are
     got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert sorted((r["page_id"], r["text"]) for r in got) == [(i, f"text {i}") for i in range(30)]
