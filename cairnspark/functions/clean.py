@@ -7,11 +7,13 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Time formats of photo tables, tried in this order.
-CAPTURE_FORMATS = ("yyyy:MM:dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd")
+#: Time formats of photo tables, tried in this order; months, days and hours may have one digit.
+CAPTURE_FORMATS = ("yyyy/M/d H:m:s", "yyyy/M/d H:m", "yyyy-M-d H:m:s", "yyyy-M-d H:m", "yyyy/M/d", "yyyy-M-d")
+#: Fixed value: the time format in the headers of image files.
+EXIF_FORMATS = ("yyyy:MM:dd HH:mm:ss",)
 
-#: Fixed value: how persistent identifiers are written (region, type, temporal part, serial of seven digits at least).
-PID_FORMAT = "clkg:%s:%s-%s-%07d"
+#: How persistent identifiers are written: prefix, region, type, temporal part, serial of seven digits at least.
+PID_FORMAT, PID_PREFIX = "%s:%s:%s-%s-%07d", "kg"
 
 
 def clean(c: Column, null_tokens: tuple[str, ...] = ("nan", "none")) -> Column:
@@ -51,15 +53,15 @@ def valid_type(c: Column) -> Column:
     return c.rlike("^[a-z]{2,4}$")
 
 
-def pid(region: Column, kind: Column, temporal: Column, serial: Column) -> Column:
+def pid(region: Column, kind: Column, temporal: Column, serial: Column, prefix: str = PID_PREFIX) -> Column:
     """Persistent identifier; seven digits are the least width, longer serials keep all theirs."""
     when = F.coalesce(F.nullif(F.trim(temporal), F.lit("")), F.lit("unk"))
-    return F.format_string(PID_FORMAT, region, kind, when, serial.cast("long"))
+    return F.format_string(PID_FORMAT, F.lit(prefix), region, kind, when, serial.cast("long"))
 
 
-def capture_time(c: Column) -> Column:
+def capture_time(c: Column, formats: tuple[str, ...] = CAPTURE_FORMATS) -> Column:
     """Timestamp by the first format that fits."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in CAPTURE_FORMATS])
+    return F.coalesce(*[F.try_to_timestamp(F.trim(c), F.lit(f)) for f in formats])
 
 
 def dms_to_decimal(degrees: Column, minutes: Column, seconds: Column, hemisphere: Column) -> Column:
@@ -68,9 +70,9 @@ def dms_to_decimal(degrees: Column, minutes: Column, seconds: Column, hemisphere
 
 
 def normal_header(c: Column) -> Column:
-    """A column header without standard-vocabulary codes and parentheses, blanks collapsed, lower case."""
-    x = F.regexp_replace(c, r"[EeＥ]\d+|[Pp]\d+", "")
-    x = F.regexp_replace(x, r"[（(][^（()）]*[)）]", "")
+    """A column header with standard-vocabulary codes and parentheses as blanks, blanks collapsed, lower case; what stands
+    in parentheses stays."""
+    x = F.regexp_replace(F.regexp_replace(c, r"[EeＥ]\d+|[Pp]\d+", " "), "[（()）]", " ")
     return F.lower(F.trim(F.regexp_replace(x, r"\s+", " ")))
 
 

@@ -37,3 +37,11 @@ def cut(df: DataFrame) -> DataFrame:
     path = fresh_folder(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table at path, or an empty one where none is written yet."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)

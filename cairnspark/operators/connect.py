@@ -31,7 +31,7 @@ def unpivot_by_roles(rows: DataFrame, key: str, spec: DataFrame) -> DataFrame:
         F.col(key).alias("natural_key"),
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), clean(F.col(f"`{c}`")).alias("cell")) for c in columns])),
     ).filter(F.col("cell").isNotNull())
-    cells = cells.join(F.broadcast(spec), "column")  # a spec has one row for each column of a sheet
+    cells = cells.join(spec, "column")  # a spec has one row for each column of a sheet; Spark measures it
     row_wide = cells.filter(F.col("role").isin("META", "CONFIDENCE")).groupBy("natural_key").agg(
         F.max(F.when(F.col("role") == "CONFIDENCE", F.col("cell"))).alias("confidence"),
         F.sort_array(F.collect_list(F.when(F.col("role") == "META", F.concat_ws("=", "column", "cell")))).alias("meta"),
@@ -50,22 +50,23 @@ def unpivot_by_roles(rows: DataFrame, key: str, spec: DataFrame) -> DataFrame:
 def numbered(rows: DataFrame, order: list[str], within: list[str] | None = None, name: str = "row_seq") -> DataFrame:
     """Gapless numbers from 1 by order, in each group of within, without a window over all rows.
 
-    Rows are range-partitioned, numbered in their partition, and shifted by the counts of the
-    partitions before. Only one count for each partition and group is joined. Rows whose group
-    is null are left out.
+    Rows are range-partitioned and sorted once and written with their place in the partition; the place in a group
+    follows from where the group begins there, and is shifted by its counts in the partitions before. Only one
+    count for each partition and group is joined. Rows whose group is null are left out.
     """
     within = within or []
     columns = rows.columns
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = rows.repartitionByRange(partitions, *within, *order).sortWithinPartitions(*within, *order)
-    ranged = cut(ranged.withColumn("_part", F.spark_partition_id()))
-    counts = ranged.groupBy("_part", *within).agg(F.count("*").alias("_n"))
+    place = F.monotonically_increasing_id()  # the partition in the upper bits, the place in the lower 33
+    ranged = cut(ranged.withColumn("_id", place)).select(
+        *[F.col(f"`{c}`") for c in columns], F.shiftright("_id", 33).alias("_part"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_local"))
+    counts = ranged.groupBy("_part", *within).agg(F.count("*").alias("_n"), F.min("_local").alias("_first"))
     before = counts.withColumn(
         "_before", F.coalesce(F.sum("_n").over(Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ).drop("_n")
-    local = F.row_number().over(Window.partitionBy("_part", *within).orderBy(*order))
-    out = ranged.withColumn("_local", local).join(before, ["_part", *within])
-    return out.withColumn(name, (F.col("_local") + F.col("_before")).cast("long")).select(*columns, name)
+    out = ranged.join(before, ["_part", *within])
+    return out.withColumn(name, (F.col("_local") - F.col("_first") + F.col("_before") + 1).cast("long")).select(*[F.col(f"`{c}`") for c in columns], name)
 
 
 def synthetic_keys(rows: DataFrame, group: str, order: str, prefix: str, width: int = 4) -> DataFrame:
@@ -77,3 +78,10 @@ def synthetic_keys(rows: DataFrame, group: str, order: str, prefix: str, width:
 def spread_ref_names(refs: DataFrame, nk: Column, kind: Column, label: Column, order: Column) -> DataFrame:
     """One hasName for each referenced (key, type): the last label wins."""
     return refs.groupBy(nk.alias("natural_key"), kind.alias("ref_type")).agg(F.max_by(label, order).alias("label"))
+
+
+def with_other(statements: DataFrame, predicate: str, other: str) -> DataFrame:
+    """Statements of a predicate, each beside those of another one about the same subject (columns other_*), null where there are none."""
+    right = statements.filter(F.col("predicate") == other).drop("predicate")
+    right = right.select(*[F.col(c).alias(c if c == "subject_id" else f"other_{c}") for c in right.columns])
+    return statements.filter(F.col("predicate") == predicate).join(right, "subject_id", "left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +28,8 @@ def dangling(statements: DataFrame, entities: DataFrame, predicates: list[str])
 
 
 def without_evidence(entities: DataFrame, statements: DataFrame) -> DataFrame:
-    """D3: entities that no statement speaks of, by type."""
-    spoken = statements.select(F.col("subject_id").alias("pid")).distinct().withColumn("spoken", F.lit(1))
+    """D3: entities that no statement with evidence speaks of, by type."""
+    spoken = statements.filter(F.col("evidence_id").isNotNull()).select(F.col("subject_id").alias("pid")).distinct().withColumn("spoken", F.lit(1))
     joined = entities.join(spoken, "pid", "left")
     bad = F.count_if(F.col("spoken").isNull())
     return joined.groupBy("entity_type").agg(F.count("*").alias("n"), bad.alias("unevidenced"), F.round(percent(bad, F.count("*")), 4).alias("rate"))
@@ -35,7 +37,7 @@ def without_evidence(entities: DataFrame, statements: DataFrame) -> DataFrame:
 
 def outliers(points: DataFrame, boxes: DataFrame) -> DataFrame:
     """D4: points outside their region's box; rate over all geometries and over places alone."""
-    joined = points.join(F.broadcast(boxes), "region")  # one box for each region
+    joined = points.join(boxes, "region")  # one box for each region, so the side is small; Spark measures it
     out = ~(F.col("x").between(F.col("lon_min"), F.col("lon_max")) & F.col("y").between(F.col("lat_min"), F.col("lat_max")))
     place = F.col("entity_type").isin("pl", "clu")
     bad = F.count_if(out & place)
@@ -50,6 +52,48 @@ def histogram(values: DataFrame, column: str, k: int) -> DataFrame:
     return values.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value").limit(k)
 
 
+def assets(entities: DataFrame, statements: DataFrame, kind: str = "pl", predicate: str = "depicts", by: str = "img") -> DataFrame:
+    """D6: entities of a kind and those that an image's statement depicts, with their share in percent."""
+    images = entities.filter(F.col("entity_type") == by).select(F.col("pid").alias("subject_id"))
+    shown = statements.filter((F.col("predicate") == predicate) & F.col("object_id").isNotNull()).join(images, "subject_id", "left_semi")
+    shown = shown.select(F.col("object_id").alias("pid")).distinct().withColumn("shown", F.lit(1))
+    joined = entities.filter(F.col("entity_type") == kind).join(shown, "pid", "left")
+    n, k = F.count("*"), F.count("shown")
+    return joined.agg(n.alias("places"), k.alias("with_photo"), F.round(percent(k, n), 4).alias("rate"))
+
+
+def type_values(values: DataFrame, column: str, k: int) -> DataFrame:
+    """D5: the k most frequent values of a column, each beside the number of distinct values."""
+    counted = values.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    total = counted.agg(F.count("*").alias("distinct_values"))
+    return counted.orderBy(F.desc("n"), "value").limit(k).crossJoin(total)  # k rows by one
+
+
+def region_metrics(entities: DataFrame, statements: DataFrame, points: DataFrame, boxes: DataFrame, predicates: list[str]) -> DataFrame:
+    """D1 to D4 and D6 of every region in one row: n_entities, d2, d3, d4, d6 (percent), as grade and report take them.
+
+    entities: pid, entity_type, region; statements: subject_id, predicate, object_id, evidence_id. Statements of
+    the named predicates refer to entities, and count as dangling where the object is null or no entity.
+    """
+    here = entities.select("pid", "entity_type", "region")
+    evidenced = statements.filter(F.col("evidence_id").isNotNull()).select(F.col("subject_id").alias("pid")).distinct().withColumn("spoken", F.lit(1))
+    images = here.filter("entity_type = 'img'").select(F.col("pid").alias("subject_id"))
+    shown = statements.filter("predicate = 'depicts' AND object_id IS NOT NULL").join(images, "subject_id", "left_semi")
+    shown = shown.select(F.col("object_id").alias("pid")).distinct().withColumn("shown", F.lit(1))
+    place = F.col("entity_type") == "pl"
+    by_entity = here.join(evidenced, "pid", "left").join(shown, "pid", "left").groupBy("region").agg(
+        F.count("*").alias("n_entities"), percent(F.count_if(F.col("spoken").isNull()), F.count("*")).alias("d3"),
+        percent(F.count_if(place & F.col("shown").isNotNull()), F.count_if(place)).alias("d6"))
+    refs = statements.filter(F.col("predicate").isin(*predicates)).join(here.select(F.col("pid").alias("subject_id"), "region"), "subject_id")
+    # null objects stay out of the join, as they would be one key
+    known = refs.filter(F.col("object_id").isNotNull()).join(here.select(F.col("pid").alias("object_id")), "object_id", "left_semi")
+    by_ref = refs.groupBy("region").agg(F.count("*").alias("refs")).join(known.groupBy("region").agg(F.count("*").alias("known")), "region", "left")
+    by_ref = by_ref.select("region", percent(F.col("refs") - F.coalesce("known", F.lit(0)), F.col("refs")).alias("d2"))
+    by_point = outliers(points, boxes).select("region", F.col("rate").alias("d4"))
+    zero = lambda c: F.round(F.coalesce(c, F.lit(0.0)), 4).alias(c)
+    return by_entity.join(by_ref, "region", "left").join(by_point, "region", "left").select("region", "n_entities", *[zero(c) for c in ("d2", "d3", "d4", "d6")])
+
+
 def grade(metrics: DataFrame) -> DataFrame:
     """Grade and actions from columns d2, d3, d4, d6 (percent) and n_entities."""
     mvp = (F.col("d3") == 0) & (F.col("d4") == 0)
@@ -98,14 +142,68 @@ def numeric_range(values: DataFrame, low: float, high: float) -> DataFrame:
     )
 
 
+def illegal_types(entities: DataFrame, legal: tuple[str, ...] = TYPES) -> DataFrame:
+    """C1: entity types outside the schema, with their counts."""
+    return entities.groupBy("entity_type").agg(F.count("*").alias("n")).filter(F.col("entity_type").isNull() | ~F.col("entity_type").isin(*legal))
+
+
+def out_of_range(points: DataFrame) -> DataFrame:
+    """C4: points (x, y) outside the globe."""
+    bad = F.count_if(~(F.col("x").between(-180, 180) & F.col("y").between(-90, 90)))
+    return points.agg(F.count("*").alias("n"), bad.alias("n_bad"))
+
+
+def alignment(entities: DataFrame, values: DataFrame, vocabulary: DataFrame, numbers: DataFrame, low: float, high: float, points: DataFrame) -> DataFrame:
+    """(check, n_bad) of C1 to C4 and the verdict over all of them: row "aligned" has 0 if all pass, else 1."""
+    checks = [
+        ("C1", illegal_types(entities).agg(F.count("*").alias("n_bad"))),
+        ("C2", out_of_vocabulary(values, vocabulary).agg(F.coalesce(F.sum("n_bad"), F.lit(0)).alias("n_bad"))),
+        ("C3", numeric_range(numbers, low, high).agg(F.coalesce(F.sum("n_bad"), F.lit(0)).alias("n_bad"))),
+        ("C4", out_of_range(points).select("n_bad")),
+    ]
+    rows = reduce(DataFrame.unionByName, [df.select(F.lit(n).alias("check"), F.col("n_bad").cast("long").alias("n_bad")) for n, df in checks])
+    verdict = rows.agg((F.sum("n_bad") > 0).cast("long").alias("n_bad")).select(F.lit("aligned").alias("check"), "n_bad")
+    return rows.unionByName(verdict)
+
+
+def _named(statements: DataFrame, aliases: DataFrame) -> DataFrame:
+    return statements.join(aliases.select("predicate", F.col("alias").alias("object_value"), "canonical"), ["predicate", "object_value"], "left")
+
+
+def alias_counts(statements: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Dry run of normalise: (predicate, alias, canonical, n) of the aliases that occur."""
+    hit = _named(statements, aliases).filter(F.col("canonical").isNotNull())
+    return hit.groupBy("predicate", F.col("object_value").alias("alias"), "canonical").agg(F.count("*").alias("n"))
+
+
 def normalise(statements: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Statements with aliases replaced by their canonical value; one that then repeats another goes.
+    """Statements, all columns kept, with aliases replaced by their canonical value.
 
-    aliases: predicate, alias, canonical. All aliases are mapped at once, then duplicates drop.
+    aliases: predicate, alias, canonical; all are mapped at once. A row with an alias goes only if the canonical value is
+    there already for the same subject, predicate, evidence, object and start of validity (nulls equal), or if
+    another row with an alias now says the same; rows without an alias all stay.
     """
-    names = aliases.select("predicate", F.col("alias").alias("object_value"), "canonical")
-    joined = statements.join(F.broadcast(names), ["predicate", "object_value"], "left")  # a dictionary of fixed size
-    return joined.select("subject_id", "predicate", F.coalesce("canonical", "object_value").alias("object_value")).distinct()
+    columns = statements.columns
+    mapped = _named(statements, aliases)
+    kept = mapped.filter(F.col("canonical").isNull()).select(*columns)
+    changed = mapped.filter(F.col("canonical").isNotNull()).withColumn("object_value", F.col("canonical"))
+    names = [c for c in ("evidence_id", "object_id", "valid_from") if c in columns]
+    same = F.struct("subject_id", "predicate", "object_value", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")).alias(c) for c in names])
+    changed = changed.withColumn("_same", same).dropDuplicates(["_same"])
+    twins = kept.select(same.alias("_same")).join(aliases.select("predicate", F.col("canonical").alias("object_value")).distinct(), [
+        F.col("_same.predicate") == F.col("predicate"), F.col("_same.object_value") == F.col("object_value")], "left_semi")
+    return kept.unionByName(changed.join(twins, "_same", "left_anti").select(*columns))
+
+
+def misplaced_units(entities: DataFrame, statements: DataFrame, layers: list[str], predicate: str = "hasLayer") -> DataFrame:
+    """Reclassification checks both ways: (check, n_bad) of units without a layer of units, and of places with one."""
+    layer = statements.filter(F.col("predicate") == predicate).select(F.col("subject_id").alias("pid"), F.col("object_value").alias("layer"))
+    both = entities.filter(F.col("entity_type").isin("clu", "pl")).select("pid", "entity_type").join(layer, "pid", "left")
+    fits = F.coalesce(F.col("layer").isin(*layers), F.lit(False))
+    counted = both.agg(
+        F.count_if((F.col("entity_type") == "clu") & ~fits).alias("unit"), F.count_if((F.col("entity_type") == "pl") & fits).alias("place"))
+    return counted.select(F.inline(F.array(
+        F.struct(F.lit("unit_without_unit_layer").alias("check"), F.col("unit").alias("n_bad")), F.struct(F.lit("place_with_unit_layer").alias("check"), F.col("place").alias("n_bad")))))
 
 
 def drift(actual: DataFrame, canonical: DataFrame) -> DataFrame:

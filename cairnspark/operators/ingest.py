@@ -29,7 +29,7 @@ def mention_statements(rows: DataFrame, dictionary: DataFrame, predicates: tuple
     found = mentions(spoken.select("text"), dictionary).filter(F.col("kind").isin(*MENTION_KINDS)).withColumnRenamed("kind", "mention")
     said = F.to_json(F.struct("surface", "canonical", F.lit(1.0).alias("confidence")))
     known = F.coalesce(F.from_json("metadata", "map<string,string>"), F.create_map().cast("map<string,string>"))
-    joined = spoken.withColumn("text_key", F.sha2("text", 256)).join(found, "text_key")
+    joined = spoken.withColumn("text_key", F.sha2(F.concat(F.lit("dictionary\n"), F.col("text")), 256)).join(found, "text_key")
     return joined.withColumns({
         "predicate": F.concat(F.lit("mentions"), "mention"), "stmt_value": said, "valid_from": F.lit(None).cast("string"), "valid_to": F.lit(None).cast("string"),
         "metadata": F.to_json(F.map_concat(F.map_filter(known, lambda k, _: k != "extractor"), F.create_map(F.lit("extractor"), F.lit("dictionary")))),

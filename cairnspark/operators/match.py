@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairnspark.functions.clean import normal_header
+from cairnspark.functions.session import cut, read_or_empty
 
 MIN_COVER = 0.34
 
@@ -16,12 +17,13 @@ def suggest(headers: DataFrame, aliases: DataFrame) -> DataFrame:
     aliases: target, alias, priority; of equal aliases the smallest priority counts. Latin
     aliases of at most three letters must stand between word edges.
     """
-    first = aliases.groupBy("alias").agg(F.min_by("target", "priority").alias("target"))
+    first = aliases.withColumn("alias", normal_header(F.col("alias"))).groupBy("alias").agg(F.min_by("target", "priority").alias("target"))
     named = headers.select("table", "header", normal_header(F.col("header")).alias("h"))
     short = F.col("alias").rlike("^[a-z]{1,3}$")
     at_edges = F.concat(F.lit(" "), F.regexp_replace("h", "[^a-z0-9]+", " "), F.lit(" ")).contains(F.concat(F.lit(" "), F.col("alias"), F.lit(" ")))
     fits = F.col("h").contains(F.col("alias")) & (~short | at_edges)
-    matched = named.join(F.broadcast(first), fits)  # the alias list belongs to the schema and does not grow with data
+    # a nested loop of distinct headers with the schema's aliases: neither side grows with the rows of the tables
+    matched = named.join(first, fits)
     cover = F.length("alias") / F.length("h")
     best = matched.withColumn("cover", cover).filter(F.col("cover") >= MIN_COVER).groupBy("table", "header").agg(
         F.max_by(F.struct("target", "cover"), F.struct("cover", F.length("alias"), "alias")).alias("b")
@@ -35,6 +37,8 @@ def suggest(headers: DataFrame, aliases: DataFrame) -> DataFrame:
 
 #: Fixed value: headers that name a relation, not data.
 RELATION = r"关系|consists|took\s*place|carried\s*out|has\s*type|has\s*time|\bP\d+\b|包含|发生在|执行者|有类型|有时间|有执行"
+#: Cells that are dates, and the scores of the rules below.
+DATED, SCORES = r"\d{3,4}\s*年|\d{4}-\d", {"relation": 0.9, "type": 0.8, "lon": 0.6, "lat": 0.45, "date": 0.55, "none": 0.2}
 SAMPLES = 20
 
 
@@ -47,7 +51,7 @@ def suggest_mapping(cells: DataFrame, aliases: DataFrame, entity_types: tuple[st
     order = F.row_number().over(Window.partitionBy("table", "header").orderBy(F.col("value").isNull() | (F.col("value") == ""), "ord"))
     first = cells.select("table", "header", "value", order.alias("r")).filter(F.col("r") <= SAMPLES).withColumn(
         "v", F.when(F.trim("value") != "", F.trim("value"))).withColumn("x", F.col("v").try_cast("double"))
-    dated = F.count_if(F.col("v").rlike(r"\d{3,4}\s*年|\d{4}-\d"))
+    dated = F.count_if(F.col("v").rlike(DATED))
     profile = first.groupBy("table", "header").agg(
         F.count("v").alias("n"), F.count("x").alias("numbers"), F.min("x").alias("low"), F.max("x").alias("high"),
         F.bool_and(F.col("v").isin(*entity_types)).alias("typed"), dated.alias("dates"),
@@ -57,13 +61,13 @@ def suggest_mapping(cells: DataFrame, aliases: DataFrame, entity_types: tuple[st
     some, numeric = F.col("n") > 0, F.col("numbers") * 10 >= F.col("n") * 7
     wide = F.col("low").between(-180, 180) & F.col("high").between(-180, 180)
     rules = [
-        (F.col("header").rlike(RELATION), (None, "relation_meta", 0.9)),
+        (F.col("header").rlike(RELATION), (None, "relation_meta", SCORES["relation"])),
         (F.col("alias_score") > 0.2, (F.col("by_alias"), "predicate", F.col("alias_score"))),
-        (some & F.col("typed"), ("ENTITY_TYPE", "role", 0.8)),
-        (some & numeric & wide & ((F.col("low") < -90) | (F.col("high") > 90)), ("LON", "role", 0.6)),
-        (some & numeric & F.col("low").between(-90, 90) & F.col("high").between(-90, 90), ("LAT", "role", 0.45)),
-        (some & (F.col("dates") * 10 >= F.col("n") * 6), ("hasShownDate", "predicate", 0.55)),
-        (F.lit(True), ("hasNotes", "predicate", 0.2)),
+        (some & F.col("typed"), ("ENTITY_TYPE", "role", SCORES["type"])),
+        (some & numeric & wide & ((F.col("low") < -90) | (F.col("high") > 90)), ("LON", "role", SCORES["lon"])),
+        (some & numeric & F.col("low").between(-90, 90) & F.col("high").between(-90, 90), ("LAT", "role", SCORES["lat"])),
+        (some & (F.col("dates") * 10 >= F.col("n") * 6), ("hasShownDate", "predicate", SCORES["date"])),
+        (F.lit(True), ("hasNotes", "predicate", SCORES["none"])),
     ]
     column = lambda x: x if isinstance(x, Column) else F.lit(x)
     said = [F.when(F.coalesce(when, F.lit(False)), F.struct(
@@ -79,13 +83,58 @@ def summary(suggested: DataFrame) -> DataFrame:
         F.count_if(sure).alias("sure"), F.count_if(~skipped & ~sure).alias("unsure"), F.count_if(skipped).alias("skipped"))
 
 
-def mentions(texts: DataFrame, dictionary: DataFrame, seen: DataFrame | None = None) -> DataFrame:
-    """(text_key, surface, canonical, kind) of dictionary words in texts; each distinct text is annotated once.
+def _surfaces(text: Column) -> Column:
+    """The words of a text (runs of letters and digits of any script), lower case."""
+    return F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+"))
 
-    texts: text; dictionary: surface (one lower-case word), canonical, kind; seen: text_key already annotated.
+
+#: A surface that is one word of an alphabet: such words are looked up, others are sought in the text.
+ONE_WORD = r"^[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]]+$"
+
+
+def mentions(texts: DataFrame, dictionary: DataFrame, seen: DataFrame | None = None, model: str = "dictionary") -> DataFrame:
+    """(text_key, surface, canonical, kind) of dictionary surfaces in texts; each distinct text is annotated once.
+
+    texts: text; dictionary: surface, canonical, kind; seen: text_key already annotated (see annotate_new). A key is the
+    hash of the model's name and the text. A surface that is one word of an alphabet must be a whole word of the
+    text, so it is an equi-join; one of several words, or of a script that sets no blanks, may stand anywhere: texts that
+    hold its first two characters are found by an equi-join and then compared with it. Letter case does not count.
     """
-    keyed = texts.filter(F.length("text") >= 4).select(F.sha2("text", 256).alias("text_key"), "text").dropDuplicates(["text_key"])
+    key = F.sha2(F.concat(F.lit(f"{model}\n"), F.col("text")), 256)
+    keyed = texts.filter(F.length("text") >= 4).select(key.alias("text_key"), "text").dropDuplicates(["text_key"])
     if seen is not None:
         keyed = keyed.join(seen, "text_key", "left_anti")
-    words = keyed.select("text_key", F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-z]+"))).alias("surface"))
-    return words.join(dictionary, "surface").select("text_key", "surface", "canonical", "kind")
+    named = dictionary.withColumn("surface", F.lower("surface")).filter(F.length("surface") > 0)
+    single = named.filter(F.col("surface").rlike(ONE_WORD))
+    words = keyed.select("text_key", F.explode(_surfaces(F.col("text"))).alias("surface"))
+    found = words.join(single, "surface").select("text_key", "surface", "canonical", "kind")
+
+    anywhere = named.filter(~F.col("surface").rlike(ONE_WORD)).withColumn("start", F.substring("surface", 1, 2))
+    if anywhere.isEmpty():
+        return found
+    low = keyed.select("text_key", F.lower("text").alias("low"))
+    starts = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("low")), lambda i: F.substring("low", i, F.lit(2))))
+    begun = low.select("text_key", F.explode(starts).alias("start")).join(anywhere, "start").drop("start").join(low, "text_key")
+    # where a surface begins or ends with a letter of an alphabet, it must begin or end a word there
+    border = lambda c, look: F.when(c.rlike(ONE_WORD), look + r"[\p{L}\p{M}\p{N}])").otherwise("")
+    quoted = F.concat(F.lit(r"\Q"), F.replace("surface", F.lit(r"\E"), F.lit("")), F.lit(r"\E"))
+    pattern = F.concat(border(F.substring("surface", 1, 1), "(?<!"), quoted, border(F.right("surface", F.lit(1)), "(?!"))
+    hits = begun.withColumn("pattern", pattern).filter(F.contains("low", "surface") & F.expr("low RLIKE pattern"))
+    return found.unionByName(hits.select("text_key", "surface", "canonical", "kind"))
+
+
+def annotate_new(texts: DataFrame, dictionary: DataFrame, cache: str, model: str = "dictionary") -> DataFrame:
+    """All mentions in texts, of which those that the cache table at this path holds are not sought again.
+
+    The cache holds one row for each annotated text (text_key, mentions), new ones are appended; texts without
+    mentions are kept too.
+    """
+    spark = texts.sparkSession
+    schema = "text_key string, mentions array<struct<surface: string, canonical: string, kind: string>>"
+    keys = texts.filter(F.length("text") >= 4).select(F.sha2(F.concat(F.lit(f"{model}\n"), F.col("text")), 256).alias("text_key"), "text").dropDuplicates(["text_key"])
+    known = read_or_empty(spark, cache, schema)
+    found = mentions(texts, dictionary, known.select("text_key"), model)
+    found = found.groupBy("text_key").agg(F.collect_set(F.struct("surface", "canonical", "kind")).alias("mentions"))
+    new = keys.select("text_key").join(known, "text_key", "left_anti").join(found, "text_key", "left")
+    cut(new.select("text_key", F.coalesce("mentions", F.array().cast("array<struct<surface: string, canonical: string, kind: string>>")).alias("mentions"))).write.mode("append").parquet(cache)
+    return spark.read.schema(schema).parquet(cache).join(keys.select("text_key"), "text_key", "left_semi").select("text_key", F.inline("mentions"))

@@ -2,29 +2,93 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Curated mapping of predicates, and substring rules in their order.
-CURATED = {"hasName": "P1_is_identified_by", "hasType": "P2_has_type", "locatedAt": "P168_place_is_defined_by", "locatedIn": "P89_falls_within", "containsPlace": "P89i_contains"}
-RULES = (("date", "P4_has_time-span"), ("time", "P4_has_time-span"), ("sender", "P14_carried_out_by"), ("place", "P7_took_place_at"), ("note", "P3_has_note"))
+#: Classes of entity types with their labels and standard class.
+CLASSES = {
+    "pl": ("Place", "地点", "E53_Place"), "clu": ("CulturalLandscapeUnit", "文化景观单元", "E27_Site"), "ac": ("Actor", "行动者", "E39_Actor"),
+    "doc": ("Document", "文档", "E31_Document"), "ev": ("Event", "事件", "E5_Event"), "img": ("DigitalImage", "图像", "E36_Visual_Item"),
+}
+#: Predicates whose values are decimals.
+NUMERIC = ("hasEmotionScore", "hasAmount", "hasPaidAmount", "hasConvertedAmount", "hasArea", "hasShapeArea", "hasShapeLength")
+#: Curated mapping of predicates to a standard term, with the level of the match.
+CURATED = {
+    "tookPlaceIn": ("P7_took_place_at", "exact"), "carriedOutBy": ("P14_carried_out_by", "exact"), "containsPlace": ("P89_falls_within", "close"),
+    "locatedAt": ("P168_place_is_defined_by", "close"), "mentionsPlaceEntity": ("P67_refers_to", "broad"), "mentionsGroup": ("P67_refers_to", "broad"),
+    "hasSender": ("—", "none"), "hasRecipient": ("—", "none"), "hasOriginPlace": ("P27_moved_from", "broad"), "hasDestinationPlace": ("P26_moved_to", "broad"),
+    "hasName": ("P1_is_identified_by", "close"), "hasTitle": ("P102_has_title", "close"), "hasAuthor": ("P14_carried_out_by", "broad"),
+}
+#: For other predicates the first group with a part of the predicate's name decides.
+RULES = (
+    (("Date", "Time", "Era", "Span", "captured"), "P4_has_time-span", "broad"),
+    (("Type", "Layer", "Category", "EventType"), "P2_has_type", "close"),
+    (("Code", "Number", "Reference", "Batch", "Identifier"), "P1_is_identified_by", "close"),
+    (("Description", "Note", "FullText", "Abstract", "Record", "SurveyHistory", "CulturalValue", "Concept"), "P3_has_note / P190", "close"),
+    (("Address", "Prefecture", "County", "Town", "Village", "District", "Country"), "P87_is_identified_by", "broad"),
+)
+RDF, RDFS, OWL = "http://www.w3.org/1999/02/22-rdf-syntax-ns#", "http://www.w3.org/2000/01/rdf-schema#", "http://www.w3.org/2002/07/owl#"
+XSD, SKOS, CRM = "http://www.w3.org/2001/XMLSchema#", "http://www.w3.org/2004/02/skos/core#", "http://www.cidoc-crm.org/cidoc-crm/"
 
 
 def inventory(statements: DataFrame, entities: DataFrame) -> DataFrame:
-    """Each predicate with sorted subject and object types, what its objects are, and its count."""
+    """Each predicate with sorted subject and object types, what its objects are, its count and its category (see category).
+
+    Only statements with an object are joined with it, as the null objects of all literals would be one key. statements
+    may lack the column geometry.
+    """
     s = entities.select(F.col("pid").alias("subject_id"), F.col("entity_type").alias("subject_type"))
     o = entities.select(F.col("pid").alias("object_id"), F.col("entity_type").alias("object_type"))
-    typed = statements.join(s, "subject_id").join(o, "object_id", "left")
-    return typed.groupBy("predicate").agg(
+    shape = F.col("geometry") if "geometry" in statements.columns else F.lit(None).cast("string")
+    typed = statements.select("subject_id", "predicate", "object_value", "object_id", shape.alias("geometry")).join(s, "subject_id")
+    ref = typed.filter(F.col("object_id").isNotNull()).join(o, "object_id", "left")
+    rest = typed.filter(F.col("object_id").isNull()).withColumn("object_type", F.lit(None).cast("string"))
+    found = ref.unionByName(rest).groupBy("predicate").agg(
         F.array_join(F.array_sort(F.collect_set("subject_type")), ",").alias("domain"),
         F.array_join(F.array_sort(F.collect_set("object_type")), ",").alias("object_types"),
         F.bool_or(F.col("object_id").isNotNull()).alias("has_ref"),
         F.bool_or(F.col("object_value").isNotNull()).alias("has_value"),
+        F.bool_or(F.col("geometry").isNotNull()).alias("has_geo"),
         F.count("*").alias("n"),
     )
+    return found.withColumn("category", category(F.col("has_ref"), F.col("has_geo")))
+
+
+def category(has_ref: Column, has_geo: Column) -> Column:
+    """Edges refer to entities, spatial predicates hold geometries and no references, the others are attributes."""
+    return F.when(has_ref, "edge").when(has_geo, "spatial").otherwise("attribute")
+
+
+def merge_inventories(*found: DataFrame) -> DataFrame:
+    """One inventory of several regions' inventories."""
+    types = lambda c: F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.filter(F.split(c, ","), lambda t: t != ""))))), ",").alias(c)
+    flags = ("has_ref", "has_value", "has_geo")
+    merged = reduce(DataFrame.unionByName, found).groupBy("predicate").agg(
+        types("domain"), types("object_types"), *[F.bool_or(c).alias(c) for c in flags], F.sum("n").alias("n"))
+    return merged.withColumn("category", category(F.col("has_ref"), F.col("has_geo")))
+
+
+def geometry_sources(inventoried: DataFrame) -> DataFrame:
+    """Entity types that have geometries: the sources of the edges to the geometry node."""
+    return inventoried.filter("has_geo").select(F.explode(F.split("domain", ",")).alias("entity_type")).distinct()
 
 
-def ranges(inventoried: DataFrame, numeric: list[str]) -> DataFrame:
+def class_nodes(inventoried: DataFrame, spark: SparkSession) -> DataFrame:
+    """(entity_type, class, label, attributes): every class with its number of attribute predicates."""
+    known = spark.createDataFrame([(t, c, zh) for t, (c, zh, _) in CLASSES.items()], "entity_type string, class string, label string")
+    counts = inventoried.filter("category = 'attribute'").select(F.explode(F.split("domain", ",")).alias("entity_type")).groupBy("entity_type").agg(F.count("*").alias("k"))
+    return known.join(counts, "entity_type", "left").select("entity_type", "class", "label", F.coalesce("k", F.lit(0)).alias("attributes"))
+
+
+def with_labels(inventoried: DataFrame, spec: DataFrame) -> DataFrame:
+    """inventoried with the display label of each predicate: the first filled one in the order (ord) of the sheets."""
+    first = spec.filter(F.col("label").isNotNull() & (F.col("label") != "")).groupBy("predicate").agg(F.min_by("label", "ord").alias("label"))
+    return inventoried.join(first, "predicate", "left")
+
+
+def ranges(inventoried: DataFrame, numeric: tuple[str, ...] = NUMERIC) -> DataFrame:
     """Domain and range of each predicate, unions where there are several classes."""
     joined = lambda c: F.when(F.col(c).contains(","), F.concat(F.lit("union("), F.col(c), F.lit(")"))).otherwise(F.col(c))
     data = F.when(F.col("predicate").isin(*numeric), "decimal").otherwise("string")
@@ -40,16 +104,21 @@ def top_attributes(statements: DataFrame, entities: DataFrame, k: int) -> DataFr
 
 
 def crm(predicate: Column) -> tuple[Column, Column]:
-    """(term, level): the curated mapping, else the first substring rule that fits, else none."""
-    term, level = F.lit(None).cast("string"), F.lit("none")
-    for part, t in reversed(RULES):
-        hit = F.lower(predicate).contains(part)
-        term, level = F.when(hit, t).otherwise(term), F.when(hit, "rule").otherwise(level)
-    for p, t in CURATED.items():
-        term, level = F.when(predicate == p, t).otherwise(term), F.when(predicate == p, "curated").otherwise(level)
+    """(term, level): the curated mapping, else the first rule with a part of the name, else none."""
+    term, level = F.lit("—"), F.lit("none")
+    for parts, t, how in reversed(RULES):
+        hit = predicate.rlike("|".join(parts))
+        term, level = F.when(hit, t).otherwise(term), F.when(hit, how).otherwise(level)
+    for p, (t, how) in CURATED.items():
+        term, level = F.when(predicate == p, t).otherwise(term), F.when(predicate == p, how).otherwise(level)
     return term, level
 
 
+def crm_levels(mapped: DataFrame) -> DataFrame:
+    """Number of terms at each level of match."""
+    return mapped.groupBy("level").agg(F.count("*").alias("n"))
+
+
 def class_graph(statements: DataFrame, entities: DataFrame) -> DataFrame:
     """Edges between classes with their sorted predicates."""
     s = entities.select(F.col("pid").alias("subject_id"), F.col("entity_type").alias("source"))
@@ -76,11 +145,31 @@ def child_types(statements: DataFrame, entities: DataFrame, types: DataFrame, pr
 
 
 def triples(inventoried: DataFrame, base: str = "urn:kg:") -> DataFrame:
-    """N-Triples lines of the terms: one for each property's kind, domain and range class."""
-    node = lambda c: F.concat(F.lit(f"<{base}"), c, F.lit(">"))
-    kind = F.when(F.col("has_ref"), "ObjectProperty").otherwise("DatatypeProperty")
+    """N-Triples lines of the terms: kind, domains, ranges and standard match of each property, and its label if there is one."""
+    node = lambda c: F.concat(F.lit("<"), c, F.lit(">"))
+    own = lambda c: node(F.concat(F.lit(base), c))
+    iri = lambda x: F.lit(f"<{x}>")
+    line = lambda verb, what: F.concat_ws(" ", own(F.col("predicate")), iri(verb), what, F.lit("."))
+    each = lambda c, verb: F.transform(F.filter(F.split(c, ","), lambda t: t != ""), lambda t: line(verb, own(t)))
+    edge = F.col("category") == "edge"
+    kind = F.when(edge | (F.col("category") == "spatial"), "ObjectProperty").otherwise("DatatypeProperty")
+    decimal = F.when(F.col("predicate").isin(*NUMERIC), "decimal").otherwise("string")
+    term, level = crm(F.col("predicate"))
+    match = F.when(level == "none", F.array().cast("array<string>")).otherwise(
+        F.array(line(f"{SKOS}closeMatch", node(F.concat(F.lit(CRM), F.split_part(term, F.lit(" "), F.lit(1)))))))
+    none = F.array().cast("array<string>")
+    label = F.when(F.col("label").isNotNull(), F.array(line(f"{RDFS}label", F.concat(F.lit('"'), F.replace("label", F.lit('"'), F.lit('\\"')), F.lit('"@zh'))))).otherwise(none) if "label" in inventoried.columns else none
     parts = F.concat(
-        F.array(F.concat_ws(" ", node(F.col("predicate")), F.lit("<rdf:type>"), node(kind), F.lit("."))),
-        F.transform(F.split("domain", ","), lambda d: F.concat_ws(" ", node(F.col("predicate")), F.lit("<rdfs:domain>"), node(d), F.lit("."))),
+        F.array(line(f"{RDF}type", node(F.concat(F.lit(OWL), kind)))), each("domain", f"{RDFS}domain"),
+        F.when(edge, each("object_types", f"{RDFS}range")).when(F.col("category") == "spatial", F.array(line(f"{RDFS}range", own(F.lit("Geometry")))))
+        .otherwise(F.array(line(f"{RDFS}range", node(F.concat(F.lit(XSD), decimal))))), match, label,
     )
     return inventoried.select(F.explode(parts).alias("line"))
+
+
+def write_triples(inventoried: DataFrame, path: str, base: str = "urn:kg:") -> None:
+    """The lines as text files, with those of the classes."""
+    spark = inventoried.sparkSession
+    rows = [(f"<{base}{t}> <{p}> {o} .",) for t, (c, zh, match) in CLASSES.items() for p, o in (
+        (f"{RDF}type", f"<{OWL}Class>"), (f"{RDFS}label", f'"{zh}"@zh'), (f"{RDFS}label", f'"{c}"@en'), (f"{SKOS}closeMatch", f"<{CRM}{match}>"))]
+    triples(inventoried, base).unionByName(spark.createDataFrame(rows, "line string")).write.text(path)

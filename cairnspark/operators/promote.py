@@ -5,7 +5,9 @@ A graph is a dict of DataFrames: registry (region, kind, natural_key, pid, seria
 and statements (subject_id, predicate, object_value, object_id, geometry, valid_from, valid_to,
 evidence_id, confidence). Staged rows have batch_id, row_seq, source_uri, source_type, metadata (optional), collector,
 region, kind, temporal, natural_key, predicate, stmt_value (JSON), valid_from, valid_to.
-Promoting the same rows again changes nothing: every insert is an anti join on a null-safe key.
+Promoting the same rows again changes nothing: every insert is an anti join on a null-safe key. What a batch
+adds is computed as deltas, so the work is that of the batch and of an anti join with the regions it touches;
+operators/store.py keeps a graph as appended deltas.
 """
 
 from __future__ import annotations
@@ -37,13 +39,18 @@ def empty_graph(spark: SparkSession) -> dict[str, DataFrame]:
     return {n: spark.createDataFrame([], s) for n, s in SCHEMAS.items()}
 
 
-def insert_new(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """old with those rows of new whose key (nulls equal) it lacks, one row for each key."""
+def missing(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
+    """Those rows of new whose key (nulls equal) old lacks, one row for each key."""
     mark = F.xxhash64(*[F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in key]).alias("_mark")
     same = [F.coalesce(F.col(k).cast("string"), F.lit("\0")).alias(f"_{k}") for k in key]
-    names = [f"_{k}" for k in key]
-    fresh = new.select("*", *same, mark).dropDuplicates(["_mark", *names])
-    return old.unionByName(fresh.join(old.select(*same, mark), ["_mark", *names], "left_anti").select(*old.columns))
+    names = ["_mark", *[f"_{k}" for k in key]]
+    fresh = new.select("*", *same, mark).dropDuplicates(names)
+    return fresh.join(old.select(*same, mark), names, "left_anti").drop(*names)
+
+
+def insert_new(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
+    """old with those rows of new whose key (nulls equal) it lacks, one row for each key."""
+    return old.unionByName(missing(old, new, key).select(*old.columns))
 
 
 def _srid(stmt_value: Column) -> Column:
@@ -53,19 +60,23 @@ def _srid(stmt_value: Column) -> Column:
 def reject(staged: DataFrame) -> DataFrame:
     """staged with a column error: the code of why a row cannot be promoted, or null."""
     value, kind = F.col("stmt_value"), C.json_kind(F.col("stmt_value"))
+    ref = lambda k: F.get_json_object(value, f"$.ref_{k}")
+    sound = lambda c, rule: F.coalesce(rule(c), c.isNull())  # noqa: E731  absent parts have defaults
+    ref_fails = C.clean(ref("natural_key")).isNull() | ~sound(ref("type_abbr"), C.valid_type) | ~sound(ref("region"), C.valid_region)
     return staged.withColumn(
         "error",
         F.when(~F.coalesce(C.valid_region(F.col("region")), F.lit(False)), "bad_region")
         .when(~F.coalesce(C.valid_type(F.col("kind")), F.lit(False)), "bad_type")
         .when(C.clean(F.col("natural_key")).isNull(), "no_key")
         .when(C.confidence_of(value).isNull(), "bad_confidence")
+        .when((kind == "ref") & ref_fails, "bad_reference")
         .when((kind == "geometry") & ~G.valid_wkt(F.get_json_object(value, "$.wkt")), "bad_geometry")
         .when((kind == "geometry") & ~G.known_srid(_srid(value)), "unknown_srid"),
     )
 
 
-def mint(registry: DataFrame, keys: DataFrame) -> DataFrame:
-    """registry with a new identifier for each (region, kind, natural_key) that it lacks.
+def minted(registry: DataFrame, keys: DataFrame) -> DataFrame:
+    """A new identifier for each (region, kind, natural_key) that registry lacks.
 
     keys has region, kind, natural_key, temporal. Serials go on from the largest of each
     region and kind, in order of the natural key, so the same keys give the same identifiers.
@@ -76,7 +87,12 @@ def mint(registry: DataFrame, keys: DataFrame) -> DataFrame:
     made = numbered(new, ["natural_key"], ["region", "kind"], "_n").join(base, ["region", "kind"], "left")
     serial = F.coalesce("base", F.lit(0)) + F.col("_n")
     made = made.withColumn("serial", serial).withColumn("pid", C.pid(F.col("region"), F.col("kind"), F.col("temporal"), F.col("serial")))
-    return registry.unionByName(made.select(*registry.columns))
+    return made.select(*registry.columns)
+
+
+def mint(registry: DataFrame, keys: DataFrame) -> DataFrame:
+    """registry with the identifiers that minted makes."""
+    return registry.unionByName(minted(registry, keys))
 
 
 def upsert_labels(entities: DataFrame, named: DataFrame) -> DataFrame:
@@ -94,8 +110,25 @@ def upsert_labels(entities: DataFrame, named: DataFrame) -> DataFrame:
     )
 
 
-def promote(graph: dict[str, DataFrame], staged: DataFrame) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
-    """(new graph, audit row, rejected rows)."""
+Graph = dict[str, DataFrame]
+
+
+def apply(graph: Graph, deltas: Graph) -> Graph:
+    """The graph after a batch: rows of registry, evidence and statements are added, those of entities replace the old."""
+    old = graph["entities"].join(deltas["entities"].select("pid"), "pid", "left_anti")
+    return {n: (old if n == "entities" else graph[n]).unionByName(deltas[n]) for n in SCHEMAS}
+
+
+def _of_regions(df: DataFrame, region: Column, regions: list[str]) -> DataFrame:
+    return df.filter(region.isin(*regions)) if regions else df.limit(0)
+
+
+def promote_deltas(graph: Graph, staged: DataFrame, batches: list[str] | None = None) -> tuple[Graph, DataFrame, DataFrame]:
+    """(deltas, audit, rejected rows). audit has one row for each batch, also for those of batches without rows.
+
+    The new statements of each batch are counted where it is the first to say them; rows that were there already
+    are rows_skipped. A batch without rejected rows is a success, also if all its rows are skipped.
+    """
     if "metadata" not in staged.columns:
         staged = staged.withColumn("metadata", F.lit(None).cast("string"))
     checked = cut(reject(staged))
@@ -112,8 +145,17 @@ def promote(graph: dict[str, DataFrame], staged: DataFrame) -> tuple[dict[str, D
     refs = rows.filter(F.col("form") == "ref").select(
         F.col("ref_region").alias("region"), F.col("ref_kind").alias("kind"), F.col("ref_key").alias("natural_key"), F.lit("unk").alias("temporal")
     )
-    registry = cut(mint(cut(mint(graph["registry"], own)), refs))
-    ids = registry.select("region", "kind", "natural_key", "pid")
+    # a batch names few regions; the old graph is read for those alone
+    touched = sorted(r[0] for r in own.select("region").union(refs.select("region")).distinct().collect())
+    here = F.split_part("subject_id", F.lit(":"), F.lit(2))
+    old_registry = _of_regions(graph["registry"], F.col("region"), touched)
+    old_statements = _of_regions(graph["statements"], here, touched)
+    # subjects come before what is only referred to, so a key that is both takes the subject's temporal part
+    both = own.withColumn("late", F.lit(0)).unionByName(refs.withColumn("late", F.lit(1)))
+    keys = both.groupBy("region", "kind", "natural_key").agg(F.min_by("temporal", F.struct("late", "temporal")).alias("temporal"))
+    registry = cut(minted(old_registry, keys))
+    used = old_registry.join(keys, ["region", "kind", "natural_key"], "left_semi").unionByName(registry)
+    ids = cut(used.select("region", "kind", "natural_key", "pid"))
 
     names = rows.filter((F.col("predicate") == "hasName") & (F.col("form") == "text")).groupBy("region", "kind", "natural_key").agg(
         F.min_by(C.literal_of(value), "row_seq").alias("label")
@@ -125,35 +167,55 @@ def promote(graph: dict[str, DataFrame], staged: DataFrame) -> tuple[dict[str, D
     named = subjects.unionByName(stubs).join(ids, ["region", "kind", "natural_key"]).select(
         "pid", F.col("kind").alias("entity_type"), "label", "stub"
     )
-    entities = cut(upsert_labels(graph["entities"], named))
+    before = graph["entities"].join(ids.select("pid"), "pid", "left_semi")
+    after = upsert_labels(before, named)
+    entities = cut(after.exceptAll(before))
 
     source = rows.groupBy(F.col("source_uri").alias("source_name")).agg(
         F.min_by("source_type", "row_seq").alias("source_type"), F.min_by("collector", "row_seq").alias("collector"),
         F.min_by("metadata", "row_seq").alias("metadata"),
     )
-    top = graph["evidence"].agg(F.coalesce(F.max("evidence_id"), F.lit(0))).first()[0]
-    unseen = source.join(graph["evidence"].select("source_name"), "source_name", "left_anti")
-    made = numbered(unseen, ["source_name"], None, "_n").withColumn("evidence_id", F.col("_n") + F.lit(top))
-    evidence = cut(graph["evidence"].unionByName(made.select(*graph["evidence"].columns)))
-    by_name = evidence.groupBy(F.col("source_name").alias("source_uri")).agg(F.min("evidence_id").alias("evidence_id"))
+    source = source.filter(F.col("source_name").isNotNull())
+    evidence, by_name = new_evidence(graph["evidence"], source)
 
+    built = rows.join(ids.withColumnRenamed("pid", "subject_id"), ["region", "kind", "natural_key"]).join(by_name, "source_uri", "left")
+    # only references are joined with their objects: the nulls of all literals would be one key
     objects = ids.select(*[F.col(c).alias(f"ref_{n}") for c, n in (("region", "region"), ("kind", "kind"), ("natural_key", "key"))], F.col("pid").alias("object_id"))
-    built = (
-        rows.join(ids.withColumnRenamed("pid", "subject_id"), ["region", "kind", "natural_key"])
-        .join(objects, ["ref_region", "ref_kind", "ref_key"], "left")
-        .join(by_name, "source_uri", "left")
-        .select(
-            "subject_id", "predicate", C.literal_of(value).alias("object_value"), "object_id",
-            G.to_wgs84(F.get_json_object(value, "$.wkt"), _srid(value)).alias("geometry"), "valid_from", "valid_to", "evidence_id", C.confidence_of(value).alias("confidence"),
-        )
+    is_ref = F.col("form") == "ref"
+    built = built.filter(is_ref).join(objects, ["ref_region", "ref_kind", "ref_key"]).unionByName(
+        built.filter(~is_ref).withColumn("object_id", F.lit(None).cast("string")))
+    built = built.select(
+        "batch_id", "subject_id", "predicate", C.literal_of(value).alias("object_value"), "object_id",
+        G.to_wgs84(F.get_json_object(value, "$.wkt"), _srid(value)).alias("geometry"), "valid_from", "valid_to", "evidence_id", C.confidence_of(value).alias("confidence"),
     )
-    statements = cut(insert_new(graph["statements"], built, _KEY))
-    new = {"registry": registry, "entities": entities, "evidence": evidence, "statements": statements}
-    inserted = statements.count() - graph["statements"].count()
-    audit = checked.groupBy("batch_id").agg(
-        F.count("*").alias("rows_in"), F.count_if(F.col("error").isNotNull()).alias("rows_err")
-    ).withColumn("rows_inserted", F.lit(inserted)).withColumn("status", F.when(F.col("rows_err") == 0, "success").otherwise("partial"))
-    return new, audit, checked.filter(F.col("error").isNotNull())
+    statements = cut(missing(old_statements, built, _KEY))
+    audit = checked.groupBy("batch_id").agg(F.count("*").alias("rows_in"), F.count_if(F.col("error").isNotNull()).alias("rows_err"))
+    if batches:
+        asked = staged.sparkSession.createDataFrame([(b,) for b in batches], "batch_id string")
+        audit = asked.join(audit, "batch_id", "full_outer").fillna(0, ["rows_in", "rows_err"])
+    inserted = statements.groupBy("batch_id").agg(F.count("*").alias("rows_inserted"))
+    audit = audit.join(inserted, "batch_id", "left").fillna(0, ["rows_inserted"]).withColumn(
+        "rows_skipped", F.col("rows_in") - F.col("rows_err") - F.col("rows_inserted")).withColumn(
+        "status", F.when(F.col("rows_err") == 0, "success").otherwise("partial"))
+    deltas = {"registry": registry, "entities": entities, "evidence": evidence, "statements": statements.drop("batch_id")}
+    return deltas, audit, checked.filter(F.col("error").isNotNull())
+
+
+def new_evidence(old: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(new rows, ids by source_uri): sources that old has keep their id, others get the next ones in order of their name."""
+    top = old.agg(F.coalesce(F.max("evidence_id"), F.lit(0))).first()[0]
+    have = old.join(source.select("source_name"), "source_name", "left_semi").groupBy("source_name").agg(F.min("evidence_id").alias("evidence_id"))
+    have = cut(have)
+    unseen = source.join(have, "source_name", "left_anti")
+    made = numbered(unseen, ["source_name"], None, "_n").withColumn("evidence_id", F.col("_n") + F.lit(top))
+    made = cut(made.select(*old.columns))
+    return made, have.unionByName(made.select("source_name", "evidence_id")).withColumnRenamed("source_name", "source_uri")
+
+
+def promote(graph: Graph, staged: DataFrame, batches: list[str] | None = None) -> tuple[Graph, DataFrame, DataFrame]:
+    """(new graph, audit, rejected rows)."""
+    deltas, audit, rejected = promote_deltas(graph, staged, batches)
+    return apply(graph, deltas), audit, rejected
 
 
 def reclassify(entities: DataFrame, statements: DataFrame, predicate: str, layers: list[str], to: str) -> DataFrame:
@@ -161,3 +223,22 @@ def reclassify(entities: DataFrame, statements: DataFrame, predicate: str, layer
     hit = statements.filter((F.col("predicate") == predicate) & F.col("object_value").isin(*layers)).select(F.col("subject_id").alias("pid")).distinct()
     marked = entities.join(hit.withColumn("_hit", F.lit(True)), "pid", "left")
     return marked.withColumn("entity_type", F.when(F.col("_hit"), to).otherwise(F.col("entity_type"))).drop("_hit")
+
+
+def reclassify_registry(registry: DataFrame, entities: DataFrame) -> DataFrame:
+    """registry with each identifier's kind as in entities (after reclassify); identifiers themselves never change."""
+    kinds = entities.select("pid", F.col("entity_type").alias("_kind"))
+    return registry.join(kinds, "pid", "left").withColumn("kind", F.coalesce("_kind", "kind")).select(*registry.columns)
+
+
+def authority_list(registry: DataFrame, entities: DataFrame) -> DataFrame:
+    """(region, entity_type, natural_key, label, pid) of every identifier, with its entity's label where there is one."""
+    labels = entities.select("pid", "label")
+    return registry.join(labels, "pid", "left").select("region", F.col("kind").alias("entity_type"), "natural_key", "label", "pid")
+
+
+def write_authority(listed: DataFrame, path: str) -> None:
+    """One folder of CSV files for each region, sorted by type and key; each file begins with a byte order mark."""
+    named = listed.withColumnRenamed("entity_type", "\ufeffentity_type")
+    named.repartitionByRange("region", "\ufeffentity_type", "natural_key").sortWithinPartitions("region", "\ufeffentity_type", "natural_key").write.partitionBy(
+        "region").csv(path, header=True)

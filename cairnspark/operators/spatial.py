@@ -7,27 +7,45 @@ from pyspark.sql import functions as F
 
 from cairnspark.functions import geo as G
 from cairnspark.functions.session import cut
-from cairnspark.operators.connect import numbered
-from cairnspark.operators.promote import insert_new, statement_key
+from cairnspark.operators.promote import missing, new_evidence, statement_key
 
 
-def contains_place(polygons: DataFrame, points: DataFrame, cell: float) -> DataFrame:
+#: A polygon's bounding box is covered by at most about this many cells.
+MOST_CELLS = 10_000
+
+
+def contains_place(polygons: DataFrame, points: DataFrame, cell: float | None = None) -> DataFrame:
     """(region, polygon_id, point_id) of the points strictly inside, once each.
 
     polygons: region, polygon_id, wkt; points: region, point_id, x, y. A polygon goes to every grid
     cell of its bounding box, a point to its one cell, so the join is an equi-join; only
-    matches of a cell take the exact test.
+    matches of a cell take the exact test. Only ids travel with the cells; the outlines are joined to the matches
+    afterwards. Without cell, its width is the mean extent of the polygons; a polygon over more than MOST_CELLS
+    cells is put on a coarser grid of its own, to whose cells points go as well.
     """
-    shaped = polygons.select("region", "polygon_id", G.edges(G.rings(F.col("wkt"))).alias("edges"))
-    low = lambda c: F.floor(F.array_min(F.transform("edges", lambda e: F.least(e[f"{c}1"], e[f"{c}2"]))) / cell)
-    high = lambda c: F.floor(F.array_max(F.transform("edges", lambda e: F.greatest(e[f"{c}1"], e[f"{c}2"]))) / cell)
-    tiles = shaped.withColumn("cx", F.explode(F.sequence(low("x"), high("x")))).withColumn("cy", F.explode(F.sequence(low("y"), high("y"))))
-    placed = points.withColumn("cx", F.floor(F.col("x") / cell)).withColumn("cy", F.floor(F.col("y") / cell))
-    hits = placed.join(tiles, ["region", "cx", "cy"]).filter(G.inside(F.col("edges"), F.col("x"), F.col("y")))
+    shaped = polygons.select("region", "polygon_id", G.edges(G.rings(F.col("wkt"))).alias("edges")).filter(F.size("edges") > 0)
+    side = lambda f, g, c: f(F.transform("edges", lambda e: g(e[f"{c}1"], e[f"{c}2"])))
+    boxes = shaped.select("region", "polygon_id", *[
+        side(f, g, c).alias(f"{n}_{c}") for c in "xy" for n, f, g in (("low", F.array_min, F.least), ("high", F.array_max, F.greatest))])
+    boxes = cut(boxes)
+    if cell is None:
+        cell = boxes.agg(F.avg((F.col("high_x") - F.col("low_x") + F.col("high_y") - F.col("low_y")) / 2)).first()[0] or 1.0
+    reach = lambda c: (F.col(f"high_{c}") - F.col(f"low_{c}")) / cell + 1
+    over = F.greatest(reach("x") * reach("y") / MOST_CELLS, F.lit(1.0))
+    graded = boxes.withColumn("grade", F.ceil(F.log2(over) / 2).cast("int"))
+    grades = sorted(r[0] for r in graded.select("grade").distinct().collect())  # a few powers of two
+    width = lambda: F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("grade"))
+    at = lambda c: F.floor(F.col(c) / width())
+    tiles = graded.select("region", "polygon_id", "grade", *[at(f"{n}_{c}").alias(f"{n}_{c}") for c in "xy" for n in ("low", "high")])
+    tiles = tiles.withColumn("cx", F.explode(F.sequence("low_x", "high_x"))).withColumn("cy", F.explode(F.sequence("low_y", "high_y")))
+    placed = points.select("region", "point_id", "x", "y", F.explode(F.array(*map(F.lit, grades or [0]))).alias("grade"))
+    placed = placed.withColumn("cx", at("x")).withColumn("cy", at("y"))
+    near = placed.join(tiles.select("region", "polygon_id", "grade", "cx", "cy"), ["region", "grade", "cx", "cy"])
+    hits = near.join(shaped, ["region", "polygon_id"]).filter(G.inside(F.col("edges"), F.col("x"), F.col("y")))
     return hits.select("region", "polygon_id", "point_id").distinct()
 
 
-def infer_containment(graph: dict[str, DataFrame], cell: float) -> dict[str, DataFrame]:
+def infer_containment(graph: dict[str, DataFrame], cell: float | None = None) -> dict[str, DataFrame]:
     """graph with a containsPlace edge from each unit to the places of its region inside it; a second run adds nothing.
 
     Each region's edges have one evidence row spatial://{region}/inference/contains_place.
@@ -42,19 +60,15 @@ def infer_containment(graph: dict[str, DataFrame], cell: float) -> dict[str, Dat
         polygons.select("region", F.col("subject_id").alias("polygon_id"), "wkt"),
         points.select("region", F.col("subject_id").alias("point_id"), G.point_x(F.col("wkt")).alias("x"), G.point_y(F.col("wkt")).alias("y")), cell,
     )).withColumn("source_name", F.concat(F.lit("spatial://"), "region", F.lit("/inference/contains_place")))
-    evidence = graph["evidence"]
-    top = evidence.agg(F.coalesce(F.max("evidence_id"), F.lit(0))).first()[0]
-    unseen = inside.select("source_name").distinct().join(evidence.select("source_name"), "source_name", "left_anti")
-    made = numbered(unseen, ["source_name"], None, "_n").select(
-        (F.col("_n") + F.lit(top)).alias("evidence_id"), "source_name", F.lit("spatial_inference").alias("source_type"),
-        F.lit("spatial_within_join").alias("collector"), F.lit(None).cast("string").alias("metadata"),
-    )
-    evidence = cut(evidence.unionByName(made))
-    ids = evidence.groupBy("source_name").agg(F.min("evidence_id").alias("evidence_id"))
+    source = inside.select("source_name").distinct().select(
+        "source_name", F.lit("spatial_inference").alias("source_type"), F.lit("spatial_within_join").alias("collector"), F.lit(None).cast("string").alias("metadata"))
+    evidence, by_name = new_evidence(graph["evidence"], source)
+    ids = by_name.withColumnRenamed("source_uri", "source_name")
     none = F.lit(None).cast("string")
     # one row for each region, so the side is small; Spark measures it and decides
     edges = inside.join(ids, "source_name").select(
         F.col("polygon_id").alias("subject_id"), F.lit("containsPlace").alias("predicate"), none.alias("object_value"), F.col("point_id").alias("object_id"),
         none.alias("geometry"), none.alias("valid_from"), none.alias("valid_to"), "evidence_id", F.lit(1.0).alias("confidence"),
     )
-    return {**graph, "evidence": evidence, "statements": cut(insert_new(graph["statements"], edges, statement_key()))}
+    old = graph["statements"].filter(F.col("predicate") == "containsPlace")
+    return {**graph, "evidence": graph["evidence"].unionByName(evidence), "statements": graph["statements"].unionByName(cut(missing(old, edges, statement_key())))}

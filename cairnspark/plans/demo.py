@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from cairnspark.functions import geo as G
 from cairnspark.functions.session import table
-from cairnspark.operators.connect import unpivot
+from cairnspark.operators.connect import fan_out, unpivot, with_other
 from cairnspark.operators.govern import histogram
 from cairnspark.operators.spatial import contains_place
-from cairnspark.plans.graph import ENTITIES, STATEMENTS, entities, id_of, lat, lon, nation_polygons, statements
+from cairnspark.plans.graph import ENTITIES, STATEMENTS, entities, id_of, lat, lon, nation_polygons, statements, supplier_polygons
 from cairnspark.plans.registry import query
 
 POINTS = """points AS (SELECT c_custkey, c_nationkey, CAST(c_custkey * 7919 % 36000 AS DOUBLE) / 100.0 - 180.0 AS x, CAST(c_custkey * 104729 % 18000 AS DOUBLE) / 100.0 - 90.0 AS y FROM customer)"""
@@ -32,24 +32,41 @@ def entity_type_distribution(spark: SparkSession, d: str) -> DataFrame:
     return entities(spark, d).groupBy("entity_type").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "entity_type")
 
 
-@query("""SELECT r_name AS parent, count(n_nationkey) AS n, coalesce(string_agg(n_name, ', ' ORDER BY n_name) FILTER (WHERE n_nationkey % 2 = 0), '') AS even_children
-FROM region LEFT JOIN nation ON r_regionkey = n_regionkey GROUP BY r_name ORDER BY n DESC, parent LIMIT 10""")
+@query("""SELECT c_name AS parent, count(o_orderkey) AS n, coalesce(string_agg(CAST(o_orderkey AS VARCHAR), ', ' ORDER BY CAST(o_orderkey AS VARCHAR)) FILTER (WHERE o_orderkey % 2 = 0), '') AS even_children
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name ORDER BY n DESC, parent LIMIT 10""")
 def container_children(spark: SparkSession, d: str) -> DataFrame:
-    joined = table(spark, d, "region").join(table(spark, d, "nation"), F.col("r_regionkey") == F.col("n_regionkey"), "left")
-    even = F.array_sort(F.collect_list(F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name"))))
-    return joined.groupBy(F.col("r_name").alias("parent")).agg(
-        F.count("n_nationkey").alias("n"), F.array_join(even, ", ").alias("even_children")
-    ).orderBy(F.desc("n"), "parent").limit(10)
+    """Containers with their children, also those without any; a customer has a few orders."""
+    joined = table(spark, d, "customer").join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left")
+    even = F.array_sort(F.collect_list(F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey").cast("string"))))
+    return joined.groupBy("c_custkey", F.col("c_name").alias("parent")).agg(
+        F.count("o_orderkey").alias("n"), F.array_join(even, ", ").alias("even_children")
+    ).orderBy(F.desc("n"), "parent").limit(10).drop("c_custkey")
 
 
 @query("""SELECT CAST(date_trunc('month', ts) AS DATE) AS month, count(DISTINCT event_id) AS n,
-count(DISTINCT event_id) FILTER (WHERE event_id % 3 = 0) AS located FROM events GROUP BY 1""")
+count(DISTINCT event_id) FILTER (WHERE event_id % 3 = 0) AS located FROM events WHERE ts < TIMESTAMP '2030-01-01' GROUP BY 1""")
 def capture_timeline(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").groupBy(F.date_trunc("month", "ts").cast("date").alias("month")).agg(
-        F.count_distinct("event_id").alias("n"), F.count_distinct(F.when(F.col("event_id") % 3 == 0, F.col("event_id"))).alias("located")
+    """Photos by month of capture and those of them that are located, from a left self-join of statements."""
+    none = F.lit(None).cast("string")
+    events = table(spark, d, "events").select(id_of("ev", "event_id").alias("subject_id"), F.inline(fan_out(
+        ("predicate", "object_value", "geometry"), (F.lit("capturedAt"), F.col("ts").cast("string"), none),
+        (F.lit("locatedAt"), none, F.when(F.col("event_id") % 3 == 0, F.lit("POINT(1 2)")))))).filter("predicate = 'capturedAt' OR geometry IS NOT NULL")
+    joined = with_other(events, "capturedAt", "locatedAt").filter(F.col("object_value").cast("timestamp_ntz") < F.lit("2030-01-01").cast("timestamp_ntz"))
+    return joined.groupBy(F.date_trunc("month", F.col("object_value").cast("timestamp_ntz")).cast("date").alias("month")).agg(
+        F.count_distinct("subject_id").alias("n"), F.count_distinct(F.when(F.col("other_geometry").isNotNull(), F.col("subject_id"))).alias("located")
     )
 
 
+@query(f"""WITH {ENTITIES}, {STATEMENTS} SELECT s.object_id AS sender, count(*) AS letters, count(DISTINCT substr(t.object_value, 1, 4)) AS active_years
+FROM statements s LEFT JOIN statements t ON t.subject_id = s.subject_id AND t.predicate = 'hasDate' WHERE s.predicate = 'hasSender' GROUP BY 1 ORDER BY letters DESC, sender LIMIT 15""")
+def sender_dates(spark: SparkSession, d: str) -> DataFrame:
+    """The busiest senders with the years of their letters' dates, from a left self-join of statements."""
+    joined = with_other(statements(spark, d), "hasSender", "hasDate")
+    return joined.groupBy(F.col("object_id").alias("sender")).agg(
+        F.count("*").alias("letters"), F.count_distinct(F.substring("other_object_value", 1, 4)).alias("active_years")
+    ).orderBy(F.desc("letters"), "sender").limit(15)
+
+
 FLOWS = """flows AS (SELECT s_nationkey AS origin, c_nationkey AS destination, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2)"""
 
@@ -126,11 +143,11 @@ def contains_places(spark: SparkSession, d: str) -> DataFrame:
     return contains_place(nation_polygons(spark, d), points, 12.0).select("polygon_id", "point_id")
 
 
-@query("""SELECT 'n:' || n_nationkey AS polygon_id, round(-180.0 + 72.0 * (n_nationkey % 5) + 36.0, 6) AS x, round(-90.0 + 36.0 * (n_nationkey // 5) + 18.0, 6) AS y FROM nation""")
+@query("""SELECT 's:' || s_suppkey AS polygon_id, round(CAST(s_suppkey * 7919 % 36000 AS DOUBLE) / 100.0 - 180.0, 4) AS x, round(CAST(s_suppkey * 104729 % 18000 AS DOUBLE) / 100.0 - 90.0, 4) AS y FROM supplier""")
 def polygon_centroid(spark: SparkSession, d: str) -> DataFrame:
-    polygons = nation_polygons(spark, d).filter(G.kind(F.col("wkt")) == "POLYGON")
+    polygons = supplier_polygons(spark, d).filter(G.kind(F.col("wkt")) == "POLYGON")
     c = polygons.select("polygon_id", G.centroid(G.edges(G.rings(F.col("wkt")))).alias("c"))
-    return c.select("polygon_id", F.round("c.x", 6).alias("x"), F.round("c.y", 6).alias("y"))
+    return c.select("polygon_id", (F.round("c.x", 4) + 0.0).alias("x"), (F.round("c.y", 4) + 0.0).alias("y"))
 
 
 GAZETTEER = "SELECT * FROM (VALUES (0, 'green'), (1, 'blue'), (2, 'red'), (3, 'an')) AS g(ordinal, place)"

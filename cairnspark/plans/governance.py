@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnspark.functions.session import table
+from cairnspark.functions.session import fresh_folder, table
 from cairnspark.operators import govern, match, ontology, promote
 from cairnspark.operators.connect import fan_out
 from cairnspark.plans.graph import ENTITIES, STATEMENTS, entities, lat, lon, statements
@@ -28,7 +28,7 @@ def audit_d2_dangling(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH {ENTITIES}, {STATEMENTS} SELECT entity_type, count(*) AS n, count(*) FILTER (WHERE s.subject_id IS NULL) AS unevidenced,
 round(count(*) FILTER (WHERE s.subject_id IS NULL) * 100.0 / count(*), 4) AS rate
-FROM entities e LEFT JOIN (SELECT DISTINCT subject_id FROM statements) s ON s.subject_id = e.pid GROUP BY 1""")
+FROM entities e LEFT JOIN (SELECT DISTINCT subject_id FROM statements WHERE evidence_id IS NOT NULL) s ON s.subject_id = e.pid GROUP BY 1""")
 def audit_d3_no_evidence(spark: SparkSession, d: str) -> DataFrame:
     return govern.without_evidence(entities(spark, d), statements(spark, d))
 
@@ -62,35 +62,58 @@ def audit_d4_outliers(spark: SparkSession, d: str) -> DataFrame:
     return govern.outliers(_places(spark, d), _boxes(spark, d))
 
 
-@query(f"WITH {STATEMENTS} SELECT object_value AS value, count(*) AS n FROM statements WHERE predicate = 'hasType' GROUP BY 1 ORDER BY n DESC, value LIMIT 15")
+@query(f"WITH {STATEMENTS} SELECT object_value AS value, count(*) AS n, (SELECT count(DISTINCT object_value) FROM statements WHERE predicate = 'hasType') AS distinct_values FROM statements WHERE predicate = 'hasType' GROUP BY 1 ORDER BY n DESC, value LIMIT 15")
 def audit_d5_types(spark: SparkSession, d: str) -> DataFrame:
-    return govern.histogram(statements(spark, d).filter("predicate = 'hasType'"), "object_value", 15)
+    return govern.type_values(statements(spark, d).filter("predicate = 'hasType'"), "object_value", 15)
 
 
-@query("""SELECT count(*) AS places, count(*) FILTER (WHERE n_nationkey IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9900)) AS with_photo,
-round(count(*) FILTER (WHERE n_nationkey IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9900)) * 100.0 / count(*), 4) AS rate FROM nation""")
+@query(f"""WITH {ENTITIES}, {STATEMENTS}, p AS (SELECT pid IN (SELECT object_id FROM statements WHERE predicate = 'depicts' AND subject_id LIKE 'img:%') AS shown FROM entities WHERE entity_type = 'pl')
+SELECT count(*) AS places, count(*) FILTER (WHERE shown) AS with_photo, round(count(*) FILTER (WHERE shown) * 100.0 / count(*), 4) AS rate FROM p""")
 def audit_d6_assets(spark: SparkSession, d: str) -> DataFrame:
-    shown = table(spark, d, "customer").filter("c_acctbal > 9900").select(F.col("c_nationkey").alias("n_nationkey")).distinct().withColumn("shown", F.lit(1))
-    joined = table(spark, d, "nation").join(shown, "n_nationkey", "left")
-    return joined.agg(F.count("*").alias("places"), F.count("shown").alias("with_photo"), F.round(F.count("shown") * 100.0 / F.count("*"), 4).alias("rate"))
+    return govern.assets(entities(spark, d), statements(spark, d))
 
 
-@query("""WITH m AS (SELECT n_regionkey AS region, CAST(n_regionkey % 3 AS DOUBLE) AS d2, 0.0 AS d3, CAST(max(n_nationkey) % 2 AS DOUBLE) AS d4, 60.0 + 10 * n_regionkey AS d6, count(*) * 50 AS n_entities FROM nation GROUP BY 1)
+_REFS = ["hasSender", "locatedIn", "carriedOutBy", "depicts"]
+#: D1 to D4 and D6 of each region, straight from the tables.
+_METRICS = f"""{ENTITIES}, {STATEMENTS}, {PLACES}, e AS (SELECT *, 'r' || CAST(split_part(pid, ':', 2) AS BIGINT) % 5 AS region FROM entities),
+s1 AS (SELECT region, count(*) AS n_entities, count(*) FILTER (WHERE pid NOT IN (SELECT subject_id FROM statements WHERE evidence_id IS NOT NULL)) * 100.0 / count(*) AS d3,
+count(*) FILTER (WHERE entity_type = 'pl' AND pid IN (SELECT object_id FROM statements WHERE predicate = 'depicts' AND object_id IS NOT NULL)) * 100.0 / count(*) FILTER (WHERE entity_type = 'pl') AS d6 FROM e GROUP BY 1),
+s2 AS (SELECT region, count(*) FILTER (WHERE o.pid IS NULL) * 100.0 / count(*) AS d2 FROM statements t JOIN e ON t.subject_id = e.pid LEFT JOIN entities o ON o.pid = t.object_id
+WHERE predicate IN ('hasSender', 'locatedIn', 'carriedOutBy', 'depicts') GROUP BY 1),
+s4 AS (SELECT region, round(count(*) FILTER (WHERE entity_type IN ('pl', 'clu') AND NOT (x BETWEEN lon_min AND lon_max AND y BETWEEN lat_min AND lat_max)) * 100.0 / count(*), 4) AS d4 FROM places JOIN boxes USING (region) GROUP BY 1),
+m AS (SELECT s1.region, n_entities, round(coalesce(d2, 0), 4) AS d2, round(d3, 4) AS d3, round(coalesce(d4, 0), 4) AS d4, round(d6, 4) AS d6 FROM s1 LEFT JOIN s2 USING (region) LEFT JOIN s4 USING (region))"""
+
+
+def _region_metrics(spark: SparkSession, d: str) -> DataFrame:
+    region = F.concat(F.lit("r"), (F.split_part("pid", F.lit(":"), F.lit(2)).cast("long") % 5).cast("string"))
+    return govern.region_metrics(entities(spark, d).withColumn("region", region), statements(spark, d), _places(spark, d), _boxes(spark, d), _REFS)
+
+
+@query(f"WITH {_METRICS} SELECT * FROM m")
+def audit_region_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """D1 to D4 and D6 of every region, which grade and report read."""
+    return _region_metrics(spark, d)
+
+
+@query(f"""WITH {_METRICS}
 SELECT region, n_entities, CASE WHEN d3 = 0 AND d4 = 0 AND d2 < 1 AND n_entities >= 100 AND d6 >= 80 THEN 'publish' WHEN d3 = 0 AND d4 = 0 AND d2 < 1 AND n_entities >= 100 THEN 'research'
 WHEN d3 = 0 AND d4 = 0 THEN 'mvp' ELSE 'draft' END AS grade,
 concat_ws(',', CASE WHEN d2 >= 1 THEN 'repair_references' END, CASE WHEN d3 > 0 THEN 'add_evidence' END, CASE WHEN d4 > 0 THEN 'check_coordinates' END, CASE WHEN d6 < 80 THEN 'add_photos' END) AS actions FROM m""")
 def audit_grade(spark: SparkSession, d: str) -> DataFrame:
-    k = F.col("n_regionkey")
-    metrics = table(spark, d, "nation").groupBy(k.alias("region")).agg(
-        (F.max(F.col("n_nationkey")) % 2).cast("double").alias("d4"), (F.count("*") * 50).alias("n_entities")
-    ).withColumns({"d2": (F.col("region") % 3).cast("double"), "d3": F.lit(0.0), "d6": 60.0 + 10 * F.col("region")})
-    return govern.grade(metrics).select("region", "n_entities", "grade", "actions")
+    return govern.grade(_region_metrics(spark, d)).select("region", "n_entities", "grade", "actions")
+
 
+@query(f"""WITH {_METRICS}
+SELECT region, 'D1' AS dimension, 'entities' AS metric, CAST(n_entities AS DOUBLE) AS value, CASE WHEN n_entities > 0 THEN 'pass' ELSE 'check' END AS verdict FROM m UNION ALL SELECT region, 'D2', 'dangling_percent', d2, CASE WHEN d2 < 1 THEN 'pass' ELSE 'check' END FROM m
+UNION ALL SELECT region, 'D3', 'unevidenced_percent', d3, CASE WHEN d3 = 0 THEN 'pass' ELSE 'check' END FROM m UNION ALL SELECT region, 'D4', 'outlier_percent', d4, CASE WHEN d4 = 0 THEN 'pass' ELSE 'check' END FROM m
+UNION ALL SELECT region, 'D6', 'photo_percent', d6, CASE WHEN d6 >= 80 THEN 'pass' ELSE 'check' END FROM m""")
+def audit_report(spark: SparkSession, d: str) -> DataFrame:
+    return govern.report(_region_metrics(spark, d))
 
-@query(f"WITH {ENTITIES} SELECT DISTINCT entity_type FROM entities WHERE entity_type NOT IN ('pl', 'clu', 'doc', 'img')")
+
+@query(f"WITH {ENTITIES} SELECT entity_type, count(*) AS n FROM entities WHERE entity_type NOT IN ('pl', 'clu', 'doc', 'img') GROUP BY 1")
 def validate_types(spark: SparkSession, d: str) -> DataFrame:
-    legal = spark.createDataFrame([("pl",), ("clu",), ("doc",), ("img",)], "entity_type string")
-    return entities(spark, d).select("entity_type").distinct().join(legal, "entity_type", "left_anti")
+    return govern.illegal_types(entities(spark, d), ("pl", "clu", "doc", "img"))
 
 
 VOCABULARY = [("hasType", "BUILDING"), ("hasType", "AUTOMOBILE"), ("hasType", "click"), ("hasType", "view"), ("hasPriority", "1-URGENT"), ("hasPriority", "2-HIGH"), ("hasPriority", "5-LOW")]
@@ -115,31 +138,85 @@ def validate_numeric(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT count(*) AS n, count(*) FILTER (WHERE abs(c_acctbal / 25) > 180 OR abs(c_acctbal / 50) > 90) AS n_bad FROM customer")
 def validate_coords(spark: SparkSession, d: str) -> DataFrame:
-    x, y = F.col("c_acctbal") / 25, F.col("c_acctbal") / 50
-    return table(spark, d, "customer").agg(F.count("*").alias("n"), F.count_if((F.abs(x) > 180) | (F.abs(y) > 90)).alias("n_bad"))
+    return govern.out_of_range(table(spark, d, "customer").select((F.col("c_acctbal") / 25).alias("x"), (F.col("c_acctbal") / 50).alias("y")))
+
+
+@query(f"""WITH {ENTITIES}, {STATEMENTS}, {_VOCABULARY_SQL}, u AS (SELECT DISTINCT predicate, object_value AS value FROM statements WHERE predicate IN ('hasType', 'hasPriority')),
+c AS (SELECT 'C1' AS "check", CAST(coalesce(sum(n), 0) AS BIGINT) AS n_bad FROM (SELECT CAST(count(DISTINCT entity_type) AS BIGINT) AS n FROM entities WHERE entity_type NOT IN ('pl', 'clu', 'ac', 'doc', 'ev', 'img'))
+UNION ALL SELECT 'C2', count(*) FROM u WHERE (predicate, value) NOT IN (SELECT predicate, value FROM v) UNION ALL SELECT 'C3', count(*) FROM customer WHERE c_acctbal NOT BETWEEN 0 AND 9000
+UNION ALL SELECT 'C4', count(*) FROM customer WHERE abs(c_acctbal / 25) > 180 OR abs(c_acctbal / 50) > 90)
+SELECT * FROM c UNION ALL SELECT 'aligned', CAST(sum(n_bad) > 0 AS BIGINT) FROM c""")
+def alignment_verdict(spark: SparkSession, d: str) -> DataFrame:
+    """C1 to C4 and whether all of them pass."""
+    said, people = statements(spark, d), table(spark, d, "customer")
+    values = said.filter(F.col("predicate").isin("hasType", "hasPriority")).select("predicate", F.col("object_value").alias("value"))
+    numbers = said.filter("predicate = 'hasAmount'").select("predicate", F.col("object_value").alias("value"))
+    points = people.select((F.col("c_acctbal") / 25).alias("x"), (F.col("c_acctbal") / 50).alias("y"))
+    return govern.alignment(entities(spark, d), values, spark.createDataFrame(VOCABULARY, "predicate string, value string"), numbers, 0, 9000, points)
+
+
+_TWINS = """t AS (SELECT subject_id, predicate, object_value, evidence_id FROM statements WHERE predicate = 'hasType'
+UNION ALL SELECT 'ac:' || c_custkey, 'hasType', 'CONSTRUCTION', CASE WHEN c_custkey % 4 = 1 THEN 99 WHEN c_custkey % 9 <> 0 THEN c_custkey % 3 + 1 END FROM customer WHERE c_custkey % 4 IN (0, 1)),
+a(alias, canonical) AS (VALUES ('BUILDING', 'CONSTRUCTION'), ('click', 'view'), ('AUTOMOBILE', 'CONSTRUCTION'))"""
+
+
+def _aliased(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Types of the graph, with the canonical value beside some aliases: with the same evidence, and with another one."""
+    c = F.col("c_custkey")
+    ev = F.when(c % 4 == 1, 99).when(c % 9 != 0, c % 3 + 1).cast("long")
+    more = table(spark, d, "customer").filter((c % 4).isin(0, 1)).select(
+        F.concat(F.lit("ac:"), c.cast("string")).alias("subject_id"), F.lit("hasType").alias("predicate"), F.lit("CONSTRUCTION").alias("object_value"), ev.alias("evidence_id"))
+    rows = statements(spark, d).filter("predicate = 'hasType'").select("subject_id", "predicate", "object_value", "evidence_id").unionByName(more)
+    aliases = [("hasType", "BUILDING", "CONSTRUCTION"), ("hasType", "click", "view"), ("hasType", "AUTOMOBILE", "CONSTRUCTION")]
+    return rows, spark.createDataFrame(aliases, "predicate string, alias string, canonical string")
+
+
+@query(f"""WITH {STATEMENTS}, {_TWINS}, k AS (SELECT t.*, canonical FROM t LEFT JOIN a ON object_value = alias)
+SELECT subject_id, coalesce(canonical, object_value) AS object_value, evidence_id FROM k WHERE canonical IS NULL OR NOT EXISTS (SELECT 1 FROM t b
+WHERE b.subject_id = k.subject_id AND b.predicate = k.predicate AND b.object_value = k.canonical AND b.evidence_id IS NOT DISTINCT FROM k.evidence_id)""")
+def normalise_aliases(spark: SparkSession, d: str) -> DataFrame:
+    """Aliases become canonical, but for those whose null-safe twin is there already."""
+    rows, aliases = _aliased(spark, d)
+    return govern.normalise(rows, aliases).select("subject_id", "object_value", "evidence_id")
 
 
-@query(f"""WITH {STATEMENTS}, a(alias, canonical) AS (VALUES ('BUILDING', 'CONSTRUCTION'), ('click', 'view')), r AS (SELECT DISTINCT subject_id, predicate, coalesce(canonical, object_value) AS object_value
-FROM statements LEFT JOIN a ON predicate = 'hasType' AND object_value = alias WHERE predicate = 'hasType') SELECT object_value, count(*) AS n FROM r GROUP BY 1""")
-def normalise_aliases(spark: SparkSession, d: str) -> DataFrame:
-    aliases = spark.createDataFrame([("hasType", "BUILDING", "CONSTRUCTION"), ("hasType", "click", "view")], "predicate string, alias string, canonical string")
-    done = govern.normalise(statements(spark, d).filter("predicate = 'hasType'"), aliases)
-    return done.groupBy("object_value").agg(F.count("*").alias("n"))
+@query(f"""WITH {STATEMENTS}, {_TWINS} SELECT 'hasType' AS predicate, alias, canonical, count(*) AS n FROM t JOIN a ON object_value = alias GROUP BY ALL""")
+def alias_dry_run(spark: SparkSession, d: str) -> DataFrame:
+    return govern.alias_counts(*_aliased(spark, d))
+
+
+_LAYERS = """layers AS (SELECT 's:' || s_suppkey AS pid, CASE WHEN s_suppkey % 3 = 0 THEN '群体' WHEN s_suppkey % 3 = 1 THEN '单体' END AS layer FROM supplier),
+after AS (SELECT e.pid, CASE WHEN layer = '群体' THEN 'clu' ELSE entity_type END AS entity_type, layer FROM entities e LEFT JOIN layers l ON l.pid = e.pid AND layer IS NOT NULL)"""
+
+
+def _layers(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    layer = F.when(k % 3 == 0, "群体").when(k % 3 == 1, "单体")
+    rows = table(spark, d, "supplier").select(F.concat(F.lit("s:"), k.cast("string")).alias("subject_id"), F.lit("hasLayer").alias("predicate"), layer.alias("object_value"))
+    return rows.filter("object_value IS NOT NULL")
 
 
-@query(f"""WITH {ENTITIES} SELECT CASE WHEN pid IN (SELECT 'n:' || n_nationkey FROM nation WHERE n_nationkey % 3 = 0) THEN 'clu' ELSE entity_type END AS entity_type, count(*) AS n FROM entities GROUP BY 1""")
+@query(f"""WITH {ENTITIES}, {_LAYERS} SELECT entity_type, count(*) AS n FROM after GROUP BY 1""")
 def reclassify_units(spark: SparkSession, d: str) -> DataFrame:
-    layers = table(spark, d, "nation").select(
-        F.concat(F.lit("n:"), F.col("n_nationkey").cast("string")).alias("subject_id"), F.lit("hasLayer").alias("predicate"),
-        F.when(F.col("n_nationkey") % 3 == 0, "group").otherwise("single").alias("object_value"),
-    )
-    once = promote.reclassify(entities(spark, d), layers, "hasLayer", ["group", "area"], "clu")
-    twice = promote.reclassify(once, layers, "hasLayer", ["group", "area"], "clu")
-    return twice.groupBy("entity_type").agg(F.count("*").alias("n"))
+    layers, units = _layers(spark, d), ["群体", "区域"]
+    once = promote.reclassify(entities(spark, d), layers, "hasLayer", units, "clu")
+    twice = promote.reclassify(once, layers, "hasLayer", units, "clu")
+    registry = entities(spark, d).select(F.lit("east").alias("region"), F.col("entity_type").alias("kind"), F.col("pid").alias("natural_key"), "pid", F.lit(1).cast("long").alias("serial"))
+    return promote.reclassify_registry(registry, twice).groupBy(F.col("kind").alias("entity_type")).agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {ENTITIES}, {_LAYERS} SELECT 'unit_without_unit_layer' AS "check", count(*) AS n_bad FROM after WHERE entity_type = 'clu' AND coalesce(layer, '') NOT IN ('群体', '区域')
+UNION ALL SELECT 'place_with_unit_layer', count(*) FROM entities e JOIN layers l ON l.pid = e.pid WHERE entity_type = 'pl' AND layer IN ('群体', '区域') AND CAST(split_part(e.pid, ':', 2) AS BIGINT) % 2 = 0""")
+def reclassify_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Bad rows both ways, after reclassifying the suppliers with odd keys alone and before that of the even ones."""
+    layers, units = _layers(spark, d), ["群体", "区域"]
+    odd = layers.filter(F.split_part("subject_id", F.lit(":"), F.lit(2)).cast("long") % 2 == 1)
+    return govern.misplaced_units(promote.reclassify(entities(spark, d), odd, "hasLayer", units, "clu"), layers, units)
 
 
 _INVENTORY = """SELECT predicate, string_agg(DISTINCT s.entity_type, ',' ORDER BY s.entity_type) AS domain, coalesce(string_agg(DISTINCT o.entity_type, ',' ORDER BY o.entity_type), '') AS object_types,
-bool_or(object_id IS NOT NULL) AS has_ref, bool_or(object_value IS NOT NULL) AS has_value, count(*) AS n
+bool_or(object_id IS NOT NULL) AS has_ref, bool_or(object_value IS NOT NULL) AS has_value, bool_or(geometry IS NOT NULL) AS has_geo, count(*) AS n,
+CASE WHEN bool_or(object_id IS NOT NULL) THEN 'edge' WHEN bool_or(geometry IS NOT NULL) THEN 'spatial' ELSE 'attribute' END AS category
 FROM statements t JOIN entities s ON t.subject_id = s.pid LEFT JOIN entities o ON t.object_id = o.pid GROUP BY predicate"""
 
 
@@ -149,9 +226,32 @@ def predicate_inventory(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {ENTITIES}, {STATEMENTS}, i AS ({_INVENTORY}) SELECT predicate, CASE WHEN contains(domain, ',') THEN 'union(' || domain || ')' ELSE domain END AS domain,
-CASE WHEN has_ref THEN CASE WHEN contains(object_types, ',') THEN 'union(' || object_types || ')' ELSE object_types END WHEN predicate = 'hasDate' THEN 'decimal' ELSE 'string' END AS "range", n FROM i""")
+CASE WHEN has_ref THEN CASE WHEN contains(object_types, ',') THEN 'union(' || object_types || ')' ELSE object_types END
+WHEN predicate IN ('hasEmotionScore', 'hasAmount', 'hasPaidAmount', 'hasConvertedAmount', 'hasArea', 'hasShapeArea', 'hasShapeLength') THEN 'decimal' ELSE 'string' END AS "range", n FROM i""")
 def domain_range(spark: SparkSession, d: str) -> DataFrame:
-    return ontology.ranges(ontology.inventory(statements(spark, d), entities(spark, d)), ["hasDate"])
+    return ontology.ranges(ontology.inventory(statements(spark, d), entities(spark, d)))
+
+
+@query(f"""WITH {ENTITIES}, {STATEMENTS}, i AS ({_INVENTORY}), l AS (SELECT p_partkey % 7 AS k, 'Label ' || p_name AS label, p_partkey AS ord FROM part WHERE p_partkey % 5 <> 0),
+p AS (SELECT predicate, CASE predicate WHEN 'hasName' THEN 0 WHEN 'hasType' THEN 1 WHEN 'hasDate' THEN 2 END AS k FROM i)
+SELECT predicate, category, (SELECT arg_min(label, ord) FROM l WHERE l.k = p.k) AS label FROM i JOIN p USING (predicate)""")
+def predicate_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Each predicate with its category and display label: the first filled one in sheet order."""
+    k = F.col("p_partkey") % 7
+    name = F.when(k == 0, "hasName").when(k == 1, "hasType").when(k == 2, "hasDate")
+    spec = table(spark, d, "part").select(name.alias("predicate"), F.when(F.col("p_partkey") % 5 != 0, F.concat(F.lit("Label "), "p_name")).alias("label"), F.col("p_partkey").alias("ord"))
+    return ontology.with_labels(ontology.inventory(statements(spark, d), entities(spark, d)), spec).select("predicate", "category", "label")
+
+
+@query(f"""WITH {ENTITIES}, {STATEMENTS}, i AS ({_INVENTORY}), c(entity_type, class) AS (VALUES ('pl', 'Place'), ('clu', 'CulturalLandscapeUnit'), ('ac', 'Actor'), ('doc', 'Document'), ('ev', 'Event'), ('img', 'DigitalImage'))
+SELECT entity_type, class, (SELECT count(*) FROM i WHERE category = 'attribute' AND list_contains(string_split(domain, ','), c.entity_type)) AS attributes,
+(SELECT count(*) > 0 FROM i WHERE has_geo AND list_contains(string_split(domain, ','), c.entity_type)) AS located FROM c""")
+def class_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """Classes with their number of attributes, and whether they have geometries."""
+    found = ontology.inventory(statements(spark, d), entities(spark, d))
+    located = ontology.geometry_sources(found).withColumn("g", F.lit(True))
+    nodes = ontology.class_nodes(found, spark).join(located, "entity_type", "left")
+    return nodes.select("entity_type", "class", "attributes", F.coalesce("g", F.lit(False)).alias("located"))
 
 
 @query(f"""WITH {ENTITIES}, {STATEMENTS}, c AS (SELECT entity_type, predicate, count(*) AS n FROM statements JOIN entities ON subject_id = pid WHERE object_value IS NOT NULL GROUP BY 1, 2)
@@ -160,22 +260,35 @@ def topk_attributes(spark: SparkSession, d: str) -> DataFrame:
     return ontology.top_attributes(statements(spark, d), entities(spark, d), 2)
 
 
-@query(f"""WITH {STATEMENTS}, p AS (SELECT DISTINCT predicate FROM statements) SELECT predicate,
-CASE predicate WHEN 'hasName' THEN 'P1_is_identified_by' WHEN 'hasType' THEN 'P2_has_type' WHEN 'locatedIn' THEN 'P89_falls_within' WHEN 'hasDate' THEN 'P4_has_time-span' WHEN 'hasSender' THEN 'P14_carried_out_by' END AS term,
-CASE WHEN predicate IN ('hasName', 'hasType', 'locatedIn') THEN 'curated' WHEN predicate IN ('hasDate', 'hasSender') THEN 'rule' ELSE 'none' END AS level FROM p""")
+#: The mapping of the graph's predicates, written out.
+_CRM_SQL = """(SELECT predicate, CASE predicate WHEN 'hasName' THEN 'P1_is_identified_by' WHEN 'hasType' THEN 'P2_has_type' WHEN 'hasDate' THEN 'P4_has_time-span' WHEN 'carriedOutBy' THEN 'P14_carried_out_by'
+WHEN 'locatedAt' THEN 'P168_place_is_defined_by' ELSE '—' END AS term, CASE predicate WHEN 'carriedOutBy' THEN 'exact' WHEN 'hasName' THEN 'close' WHEN 'hasType' THEN 'close' WHEN 'locatedAt' THEN 'close' WHEN 'hasDate' THEN 'broad' ELSE 'none' END AS level
+FROM (SELECT DISTINCT predicate FROM statements))"""
+
+
+@query(f"WITH {STATEMENTS} SELECT * FROM {_CRM_SQL}")
 def crm_mapping_levels(spark: SparkSession, d: str) -> DataFrame:
     term, level = ontology.crm(F.col("predicate"))
     return statements(spark, d).select("predicate").distinct().select("predicate", term.alias("term"), level.alias("level"))
 
 
+@query(f"WITH {STATEMENTS} SELECT level, count(*) AS n FROM {_CRM_SQL} GROUP BY 1")
+def crm_level_counts(spark: SparkSession, d: str) -> DataFrame:
+    return ontology.crm_levels(crm_mapping_levels(spark, d))
+
+
 @query(f"""WITH {ENTITIES}, {STATEMENTS} SELECT s.entity_type AS source, o.entity_type AS target, string_agg(DISTINCT predicate, ',' ORDER BY predicate) AS predicates, count(*) AS n
 FROM statements t JOIN entities s ON t.subject_id = s.pid JOIN entities o ON t.object_id = o.pid GROUP BY 1, 2""")
 def class_graph(spark: SparkSession, d: str) -> DataFrame:
     return ontology.class_graph(statements(spark, d), entities(spark, d))
 
 
-@query(f"""WITH {ENTITIES}, {STATEMENTS}, i AS ({_INVENTORY}) SELECT '<urn:kg:' || predicate || '> <rdf:type> <urn:kg:' || CASE WHEN has_ref THEN 'ObjectProperty' ELSE 'DatatypeProperty' END || '> .' AS line FROM i
-UNION ALL SELECT '<urn:kg:' || predicate || '> <rdfs:domain> <urn:kg:' || unnest(string_split(domain, ',')) || '> .' FROM i""")
+@query(f"""WITH {ENTITIES}, {STATEMENTS}, i AS ({_INVENTORY}), m AS (SELECT * FROM {_CRM_SQL}), n AS (SELECT '<urn:kg:' || predicate || '> ' AS node, * FROM i JOIN m USING (predicate))
+SELECT node || '<http://www.w3.org/1999/02/22-rdf-syntax-ns#type> <http://www.w3.org/2002/07/owl#' || CASE WHEN category = 'attribute' THEN 'DatatypeProperty' ELSE 'ObjectProperty' END || '> .' AS line FROM n
+UNION ALL SELECT node || '<http://www.w3.org/2000/01/rdf-schema#domain> <urn:kg:' || unnest(string_split(domain, ',')) || '> .' FROM n
+UNION ALL SELECT node || '<http://www.w3.org/2000/01/rdf-schema#range> <urn:kg:' || unnest(string_split(object_types, ',')) || '> .' FROM n WHERE category = 'edge'
+UNION ALL SELECT node || '<http://www.w3.org/2000/01/rdf-schema#range> ' || CASE WHEN category = 'spatial' THEN '<urn:kg:Geometry>' WHEN predicate = 'hasAmount' THEN '<http://www.w3.org/2001/XMLSchema#decimal>' ELSE '<http://www.w3.org/2001/XMLSchema#string>' END || ' .' FROM n WHERE category <> 'edge'
+UNION ALL SELECT node || '<http://www.w3.org/2004/02/skos/core#closeMatch> <http://www.cidoc-crm.org/cidoc-crm/' || term || '> .' FROM n WHERE level <> 'none'""")
 def ontology_triples(spark: SparkSession, d: str) -> DataFrame:
     return ontology.triples(ontology.inventory(statements(spark, d), entities(spark, d)))
 
@@ -198,11 +311,12 @@ def dangling_edges(spark: SparkSession, d: str) -> DataFrame:
     return edges.join(entities(spark, d).select(F.col("pid").alias("object_id")), "object_id", "left_anti").select("subject_id", "predicate", "object_id")
 
 
-@query(f"""WITH {ENTITIES}, {STATEMENTS} SELECT subject_id, label, predicate, source FROM statements JOIN entities ON subject_id = pid JOIN documents ON pid = 'ev:' || doc_id WHERE source LIKE 'src1%'""")
+@query(f"""WITH {ENTITIES}, {STATEMENTS}, v AS (SELECT doc_id AS evidence_id, source FROM documents) SELECT subject_id, label, predicate, source FROM statements JOIN entities ON subject_id = pid JOIN v USING (evidence_id) WHERE source LIKE 'src1%'""")
 def provenance_chain(spark: SparkSession, d: str) -> DataFrame:
-    source = table(spark, d, "documents").select(F.concat(F.lit("ev:"), F.col("doc_id").cast("string")).alias("pid"), "source").filter(F.col("source").startswith("src1"))
-    named = entities(spark, d).join(source, "pid")
-    return statements(spark, d).join(named, F.col("subject_id") == F.col("pid")).select("subject_id", "label", "predicate", "source")
+    """Statements with their subject's name and the source of their evidence."""
+    evidence = table(spark, d, "documents").select(F.col("doc_id").alias("evidence_id"), "source").filter(F.col("source").startswith("src1"))
+    named = entities(spark, d).select(F.col("pid").alias("subject_id"), "label")
+    return statements(spark, d).join(evidence, "evidence_id").join(named, "subject_id").select("subject_id", "label", "predicate", "source")
 
 
 @query(f"""WITH {STATEMENTS} SELECT DISTINCT subject_id AS source, subject_id || '::' || predicate || '::' || object_value AS target, predicate AS label
@@ -244,16 +358,27 @@ def suggest_columns(spark: SparkSession, d: str) -> DataFrame:
     return match.suggest(headers, spark.createDataFrame(ALIASES, "target string, alias string, priority int"))
 
 
-WORDS = [("the", "The", "Place"), ("que", "Que", "Period"), ("der", "Der", "Person")]
+WORDS = [("the", "The", "Place"), ("que", "Que", "Period"), ("der", "Der", "Person"), ("für", "Für", "Event"), ("of the", "Of the", "Place"), ("de la", "De la", "Place")]
+_TEXTS = r"""w(surface, kind) AS (VALUES ('the', 'Place'), ('que', 'Period'), ('der', 'Person'), ('für', 'Event'), ('of the', 'Place'), ('de la', 'Place')),
+t AS (SELECT DISTINCT sha256('dictionary' || chr(10) || text) AS text_key, lower(text) AS low FROM documents WHERE length(text) >= 4)
+SELECT DISTINCT text_key, surface, kind FROM t JOIN w ON regexp_matches(low, '(^|[^\p{L}\p{M}\p{N}])' || surface || '($|[^\p{L}\p{M}\p{N}])')"""
 
 
-@query("""WITH w(surface, kind) AS (VALUES ('the', 'Place'), ('que', 'Period'), ('der', 'Person')), t AS (SELECT DISTINCT sha256(text) AS text_key, text FROM documents WHERE length(text) >= 4),
-u AS (SELECT DISTINCT text_key, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS surface FROM t) SELECT text_key, surface, kind FROM u JOIN w USING (surface)""")
+@query(f"WITH {_TEXTS}")
 def mentions_from_text(spark: SparkSession, d: str) -> DataFrame:
     words = spark.createDataFrame(WORDS, "surface string, canonical string, kind string")
     return match.mentions(table(spark, d, "documents"), words).select("text_key", "surface", "kind")
 
 
+@query(f"WITH {_TEXTS}")
+def mentions_cached(spark: SparkSession, d: str) -> DataFrame:
+    """The same from a cache table that already holds the texts of one language."""
+    words = spark.createDataFrame(WORDS, "surface string, canonical string, kind string")
+    docs, cache = table(spark, d, "documents"), fresh_folder(spark, "mentions")
+    match.annotate_new(docs.filter("lang = 'de'"), words, cache)
+    return match.annotate_new(docs, words, cache).select("text_key", "surface", "kind")
+
+
 @query("""SELECT source, count(*) AS n, round(avg(CASE WHEN TRY_CAST(lang AS DOUBLE) IS NULL THEN 0 ELSE 1 END), 4) AS numeric_share, bool_and(lang IN ('en', 'de', 'fr')) AS in_vocabulary,
 bool_or(n_chars BETWEEN 1500 AND 2100) AS year_like FROM documents GROUP BY 1""")
 def column_profile(spark: SparkSession, d: str) -> DataFrame:

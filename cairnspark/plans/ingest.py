@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from cairnspark.functions import clean as C
 from cairnspark.functions import geo as G
 from cairnspark.functions.session import cut, fresh_folder, table
-from cairnspark.operators import connect, promote
+from cairnspark.operators import connect, promote, store
 from cairnspark.plans.demo import PART_SQL, part_statements
-from cairnspark.plans.graph import ENTITIES, entities, nation_polygons
+from cairnspark.plans.graph import ENTITIES, entities, supplier_polygons
 from cairnspark.plans.registry import query
-from cairnspark.sources import readers
+from cairnspark.sources import connectors, readers
 from cairnspark.streaming import filedrop
 
 
@@ -43,7 +43,7 @@ SELECT 'doc:' || id AS entity, 'hasSender' AS predicate, sender AS value FROM p
 UNION ALL SELECT 'ac:' || sender, 'hasName', sender FROM p UNION ALL SELECT 'pl:' || place, 'hasName', place FROM p UNION ALL SELECT 'pl:' || place, 'hasLocation', location FROM p WHERE location <> place""")
 def letters_fan_out(spark: SparkSession, d: str) -> DataFrame:
     joined = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(
-        F.broadcast(table(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))  # 25 nations at every scale
+        table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     area = F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_mktsegment"))
     place = C.first_filled(area, F.col("n_name"))
     rows = joined.select(F.col("o_orderkey").cast("string").alias("id"), F.col("c_name").alias("sender"), place.alias("place"), F.col("n_name").alias("location"))
@@ -132,7 +132,7 @@ def first_per_source(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH k AS (SELECT CASE WHEN c_nationkey % 2 = 0 THEN 'east' ELSE 'west' END AS region, c_name AS nk, c_custkey * 2 < (SELECT max(c_custkey) FROM customer) AS early, c_mktsegment AS temporal FROM customer)
-SELECT region, nk AS natural_key, 'clkg:' || region || ':ac-' || temporal || '-' || printf('%07d', row_number() OVER (PARTITION BY region ORDER BY early DESC, nk)) AS pid FROM k""")
+SELECT region, nk AS natural_key, 'kg:' || region || ':ac-' || temporal || '-' || printf('%07d', row_number() OVER (PARTITION BY region ORDER BY early DESC, nk)) AS pid FROM k""")
 def mint_pids(spark: SparkSession, d: str) -> DataFrame:
     """Customers in two batches, of which the second holds the first again."""
     customers = table(spark, d, "customer")
@@ -166,13 +166,13 @@ def _shaped(k: Column, text: Column, raw: Column) -> Column:
     )
 
 
-@query("""SELECT n_name AS pid, CASE WHEN n_nationkey % 3 = 0 THEN 'real ' || n_name WHEN n_nationkey % 2 = 0 THEN 'old ' || n_name ELSE n_name END AS label, NOT (n_nationkey % 3 = 0 OR n_nationkey % 2 = 0) AS stub FROM nation""")
+@query("""SELECT c_name AS pid, CASE WHEN c_custkey % 3 = 0 THEN 'real ' || c_name WHEN c_custkey % 2 = 0 THEN 'old ' || c_name ELSE c_name END AS label, NOT (c_custkey % 3 = 0 OR c_custkey % 2 = 0) AS stub FROM customer""")
 def entity_upsert(spark: SparkSession, d: str) -> DataFrame:
     """Stubs and named entities meet new names: a real name replaces a stub's label, never a real one."""
-    n, k = table(spark, d, "nation"), F.col("n_nationkey")
+    n, k = table(spark, d, "customer"), F.col("c_custkey")
     named = (k % 2 == 0) & (k % 3 != 0)
-    old = n.select(F.col("n_name").alias("pid"), F.lit("pl").alias("entity_type"), F.when(named, F.concat(F.lit("old "), "n_name")).otherwise(F.col("n_name")).alias("label"), (~named).alias("stub"))
-    new = n.filter((k % 3 == 0) | (k % 2 == 0)).select(F.col("n_name").alias("pid"), F.lit("pl").alias("entity_type"), F.concat(F.lit("real "), "n_name").alias("label"), F.lit(False).alias("stub"))
+    old = n.select(F.col("c_name").alias("pid"), F.lit("pl").alias("entity_type"), F.when(named, F.concat(F.lit("old "), "c_name")).otherwise(F.col("c_name")).alias("label"), (~named).alias("stub"))
+    new = n.filter((k % 3 == 0) | (k % 2 == 0)).select(F.col("c_name").alias("pid"), F.lit("pl").alias("entity_type"), F.concat(F.lit("real "), "c_name").alias("label"), F.lit(False).alias("stub"))
     return promote.upsert_labels(old, new).select("pid", "label", "stub")
 
 
@@ -219,24 +219,47 @@ def promote_idempotent(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
-@query("""SELECT source, CAST(min(doc_id) AS BIGINT) AS first_doc, source IN (SELECT source FROM documents GROUP BY 1 HAVING min(doc_id) % 2 = 0) AS reused FROM documents GROUP BY 1""")
+@query("""SELECT source AS source_name, CASE WHEN count(*) FILTER (WHERE doc_id % 2 = 0) > 0 THEN 'old' ELSE 'new' END AS known FROM documents GROUP BY 1""")
 def evidence_reuse(spark: SparkSession, d: str) -> DataFrame:
-    """Sources of documents, of which those that first occur at an even id are in the evidence already."""
-    first = table(spark, d, "documents").groupBy("source").agg(F.min("doc_id").alias("first_doc"))
-    have = first.filter("first_doc % 2 = 0").select("source")
-    fresh = first.join(have, "source", "left_anti").withColumn("reused", F.lit(False))
-    return fresh.unionByName(first.join(have, "source", "left_semi").withColumn("reused", F.lit(True)))
-
-
-@query("""SELECT CASE event_id % 4 WHEN 0 THEN 'bad_region' WHEN 1 THEN 'bad_geometry' ELSE 'bad_confidence' END AS error, count(*) AS n FROM events WHERE event_id % 4 <> 3 GROUP BY 1""")
+    """Sources of even documents are in the evidence already and keep their ids; a second run adds no row."""
+    sources = lambda df: df.groupBy(F.col("source").alias("source_name")).agg(F.lit("t").alias("source_type"), F.lit("c").alias("collector"), F.lit(None).cast("string").alias("metadata"))
+    docs, empty = table(spark, d, "documents"), promote.empty_graph(spark)["evidence"]
+    old, _ = promote.new_evidence(empty, sources(docs.filter("doc_id % 2 = 0")))
+    added, ids = promote.new_evidence(old, sources(docs))
+    again, same = promote.new_evidence(old.unionByName(added), sources(docs))
+    joined = ids.join(same.withColumnRenamed("evidence_id", "again"), "source_uri").join(again.select(F.col("source_name").alias("source_uri"), F.lit(1).alias("twice")), "source_uri", "left")
+    mark = F.when(F.col("evidence_id") != F.col("again"), "moved").when(F.col("twice").isNotNull(), "doubled").when(F.col("k").isNotNull(), "old").otherwise("new")
+    return joined.join(old.select(F.col("source_name").alias("source_uri"), F.lit(1).alias("k")), "source_uri", "left").select(F.col("source_uri").alias("source_name"), mark.alias("known"))
+
+
+@query("""SELECT CASE event_id % 8 WHEN 0 THEN 'bad_region' WHEN 1 THEN 'bad_geometry' WHEN 2 THEN 'bad_confidence' ELSE 'bad_reference' END AS error, count(*) AS n FROM events WHERE event_id % 8 < 6 GROUP BY 1""")
 def rejects_by_code(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("event_id")
-    value = F.when(k % 4 == 1, F.lit('{"wkt": "POINT(1 )"}')).when(k % 4 == 2, F.lit('{"value": "a", "confidence": "high"}')).otherwise(F.lit('{"wkt": "POLYGON((0 0, 1 0, 1 1, 0 0))"}'))
+    value = (
+        F.when(k % 8 == 1, F.lit('{"wkt": "POINT(1 )"}')).when(k % 8 == 2, F.lit('{"value": "a", "confidence": "high"}')).when(k % 8 == 3, F.lit('{"ref_natural_key": " "}'))
+        .when(k % 8 == 4, F.lit('{"ref_natural_key": "a", "ref_type_abbr": "NOT A TYPE"}')).when(k % 8 == 5, F.lit('{"ref_natural_key": "a", "ref_region": "X Y"}'))
+        .when(k % 8 == 6, F.lit('{"ref_natural_key": "a"}')).otherwise(F.lit('{"wkt": "POLYGON((0 0, 1 0, 1 1, 0 0))"}')))
     staged = table(spark, d, "events").select(
-        F.when(k % 4 == 0, "East!").otherwise("east").alias("region"), F.lit("ev").alias("kind"), k.cast("string").alias("natural_key"), value.alias("stmt_value"))
+        F.when(k % 8 == 0, "East!").otherwise("east").alias("region"), F.lit("ev").alias("kind"), k.cast("string").alias("natural_key"), value.alias("stmt_value"))
     return promote.reject(staged).filter("error IS NOT NULL").groupBy("error").agg(F.count("*").alias("n"))
 
 
+@query("""WITH b AS (SELECT 'b1' AS batch_id, count(*) AS n FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT 'b2', count(*) FROM orders WHERE o_orderkey % 2 = 1)
+SELECT batch_id, 2 * n AS rows_in, CAST(0 AS BIGINT) AS rows_err, 2 * n AS rows_inserted, CAST(0 AS BIGINT) AS rows_skipped, 'success' AS status FROM b
+UNION ALL SELECT 'b3', 2 * (SELECT count(*) FROM orders), 0, 0, 2 * (SELECT count(*) FROM orders), 'success'""")
+def graph_store(spark: SparkSession, d: str) -> DataFrame:
+    """Two batches staged twice and promoted in one commit, then all rows again as a third batch: the store's audit."""
+    staging, kept = fresh_folder(spark, "staging"), fresh_folder(spark, "store")
+    rows = staged_orders(spark, d, "b1").withColumn("batch_id", F.when(F.regexp_extract("natural_key", r"(\d+)$", 1).cast("long") % 2 == 0, "b1").otherwise("b2"))
+    for _ in range(2):
+        store.stage_rows(rows, staging)
+    store.promote_waiting(spark, staging, kept)
+    store.stage_rows(staged_orders(spark, d, "b3"), staging)
+    store.promote_waiting(spark, staging, kept)
+    store.promote_waiting(spark, staging, kept)  # nothing waits
+    return store.audit_of(spark, kept).select("batch_id", "rows_in", "rows_err", "rows_inserted", "rows_skipped", "status")
+
+
 _UTM = "c_custkey, 400000.0 + CAST(c_custkey * 7919 % 200000 AS DOUBLE) AS e, 3000000.0 + CAST(c_custkey * 104729 % 900000 AS DOUBLE) AS n"
 
 
@@ -258,43 +281,95 @@ def dms_to_decimal(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").select("c_custkey", F.round(value, 8).alias("value"))
 
 
-@query(f"WITH {ENTITIES} SELECT entity_type, pid, coalesce(label, '') AS label FROM entities WHERE entity_type IN ('pl', 'clu')")
+_REGISTRY = """reg AS (SELECT CASE WHEN CAST(split_part(pid, ':', 2) AS BIGINT) % 2 = 0 THEN 'east' ELSE 'west' END AS region, entity_type, 'key ' || pid AS natural_key, pid FROM entities WHERE entity_type IN ('pl', 'clu', 'ac')),
+named AS (SELECT pid, label FROM entities WHERE CAST(split_part(pid, ':', 2) AS BIGINT) % 10 <> 3)"""
+
+
+def _registry(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Identifiers of places, units and actors, and the entities, of which one in ten is missing."""
+    number = F.split_part("pid", F.lit(":"), F.lit(2)).cast("long")
+    all_ = entities(spark, d)
+    registry = all_.filter(F.col("entity_type").isin("pl", "clu", "ac")).select(
+        F.when(number % 2 == 0, "east").otherwise("west").alias("region"), F.col("entity_type").alias("kind"), F.concat(F.lit("key "), "pid").alias("natural_key"), "pid")
+    return registry, all_.filter(number % 10 != 3)
+
+
+@query(f"WITH {ENTITIES}, {_REGISTRY} SELECT region, entity_type, natural_key, label, pid FROM reg LEFT JOIN named USING (pid)")
 def authority_list(spark: SparkSession, d: str) -> DataFrame:
-    """Places with labels, written as CSV by type and read again."""
+    """The registry with labels, written as CSV by region and read again."""
     path = fresh_folder(spark, "authority")
-    places = entities(spark, d).filter(F.col("entity_type").isin("pl", "clu"))
-    places.repartitionByRange("entity_type", "pid").sortWithinPartitions("entity_type", "pid").write.partitionBy("entity_type").csv(path, header=True)
-    return spark.read.csv(path, header=True, schema="pid string, label string, entity_type string").select("entity_type", "pid", F.coalesce("label", F.lit("")).alias("label"))
+    promote.write_authority(promote.authority_list(*_registry(spark, d)), path)
+    schema = "entity_type string, natural_key string, label string, pid string, region string"
+    return spark.read.csv(path, header=True, schema=schema, enforceSchema=True).select("region", "entity_type", "natural_key", "label", "pid")
+
 
+@query(f"WITH {ENTITIES}, {_REGISTRY} SELECT region, entity_type, count(*) AS n, count(label) AS named FROM reg LEFT JOIN named USING (pid) GROUP BY 1, 2")
+def authority_counts(spark: SparkSession, d: str) -> DataFrame:
+    listed = promote.authority_list(*_registry(spark, d))
+    return listed.groupBy("region", "entity_type").agg(F.count("*").alias("n"), F.count("label").alias("named"))
 
-@query("""SELECT o_orderkey, CASE o_orderkey % 7 WHEN 6 THEN NULL WHEN 0 THEN date_trunc('day', o_orderdate) + INTERVAL 5 HOUR WHEN 1 THEN date_trunc('day', o_orderdate) + INTERVAL 5 HOUR WHEN 2 THEN date_trunc('day', o_orderdate) + INTERVAL 5 HOUR ELSE date_trunc('day', o_orderdate) END AS captured FROM orders""")
+
+@query("""WITH o AS (SELECT o_orderkey, date_trunc('day', o_orderdate) AS day FROM orders) SELECT o_orderkey, CASE o_orderkey % 8 WHEN 0 THEN day + INTERVAL '9:03:02' HOUR TO SECOND WHEN 1 THEN day + INTERVAL '9:03' HOUR TO MINUTE
+WHEN 2 THEN day + INTERVAL '9:03:02' HOUR TO SECOND WHEN 3 THEN day + INTERVAL '9:03' HOUR TO MINUTE WHEN 4 THEN day WHEN 5 THEN day END AS captured FROM o""".replace(
+    "INTERVAL '9:03:02' HOUR TO SECOND", "INTERVAL 32582 SECOND").replace("INTERVAL '9:03' HOUR TO MINUTE", "INTERVAL 32580 SECOND"))
 def parse_capture_time(spark: SparkSession, d: str) -> DataFrame:
-    """Order dates printed in six formats by key, and one text that is no time."""
-    k, at = F.col("o_orderkey"), F.date_trunc("day", "o_orderdate") + F.expr("INTERVAL 5 HOURS")
-    text = F.lit("unknown")
-    for i, f in enumerate(C.CAPTURE_FORMATS):
-        text = F.when(k % 7 == i, F.date_format(at, f)).otherwise(text)
+    """Order dates printed in the six formats by key, with digits left out where they may be; two texts are no times."""
+    k, day = F.col("o_orderkey"), F.date_trunc("day", "o_orderdate")
+    text = F.when(k % 8 == 6, "unknown").otherwise("2024:05:01 09:03:02")
+    for i, f in enumerate(("yyyy/M/d '9:03:02'", "yyyy/M/d '9:03'", "yyyy-M-d '9:3:2'", "yyyy-MM-dd '09:03'", "yyyy/M/d", "yyyy-MM-dd")):
+        text = F.when(k % 8 == i, F.date_format(day, f)).otherwise(text)
     return table(spark, d, "orders").select("o_orderkey", C.capture_time(text).cast("timestamp_ntz").alias("captured"))
 
 
-@query("SELECT 'n:' || n_nationkey AS polygon_id, 'Polygon' AS kind, 5 AS corners, round(-180.0 + 72.0 * (n_nationkey % 5), 6) AS x_first FROM nation")
+@query("""SELECT p_partkey, trim(lower(p_name || ' ' || p_type)) AS header FROM part""")
+def header_cleaning(spark: SparkSession, d: str) -> DataFrame:
+    """Headers with standard codes, brackets of two scripts and blanks; what the brackets hold stays."""
+    shown = F.concat(F.lit("E48 "), "p_name", F.when(F.col("p_partkey") % 2 == 0, "（").otherwise("("), "p_type", F.when(F.col("p_partkey") % 2 == 0, "）").otherwise(")  "))
+    return table(spark, d, "part").select("p_partkey", C.normal_header(shown).alias("header"))
+
+
+@query("SELECT 's:' || s_suppkey AS polygon_id, 'Polygon' AS kind, 5 AS corners, round(CAST(s_suppkey * 7919 % 36000 AS DOUBLE) / 100.0 - 181.0, 4) AS x_first FROM supplier")
 def geojson_features(spark: SparkSession, d: str) -> DataFrame:
-    """Nation polygons written as GeoJSON and read again."""
+    """Supplier polygons written as GeoJSON and read again."""
     path = fresh_folder(spark, "features")
     ring = F.transform(G.rings(F.col("wkt"))[0], lambda p: F.array(p["x"], p["y"]))
     feature = F.struct(F.struct(F.col("polygon_id").alias("ID")).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
-    nation_polygons(spark, d).select(F.array(feature).alias("features")).write.json(path)
+    supplier_polygons(spark, d).select(F.array(feature).alias("features")).write.json(path)
     rows = readers.geojson_features(spark, path, multi_line=False)
     first = F.col("rings")[0]
-    return rows.select(F.col("properties")["ID"].alias("polygon_id"), "kind", F.size(first).alias("corners"), F.round(first[0][0], 6).alias("x_first"))
+    return rows.select(F.col("properties")["ID"].alias("polygon_id"), "kind", F.size(first).alias("corners"), (F.round(first[0][0], 4) + 0.0).alias("x_first"))
+
 
+@query("""SELECT DISTINCT 'hasType' AS predicate, p_type AS alias, p_brand AS canonical FROM part""")
+def alias_file(spark: SparkSession, d: str) -> DataFrame:
+    """Aliases of part types as JSON dictionaries with notes beside them, one for each brand, read again."""
+    path = fresh_folder(spark, "aliases")
+    pairs = table(spark, d, "part").select("p_brand", "p_type").distinct()
+    names = pairs.groupBy("p_brand").agg(F.map_from_entries(F.collect_list(F.struct("p_type", "p_brand"))).alias("hasType"))
+    names.select("hasType", F.lit("a note").alias("_note")).write.option("maxRecordsPerFile", 1).json(path)
+    return readers.alias_dictionary(spark, path)
 
-@query("SELECT 'east' AS region, CAST(r_regionkey AS BIGINT) AS key, r_name AS name FROM region UNION ALL SELECT 'west', CAST(n_nationkey AS BIGINT), n_name FROM nation")
+
+@query("SELECT 'east' AS region, c_custkey AS key, c_name AS name FROM customer UNION ALL SELECT 'west', s_suppkey, s_name FROM supplier")
 def file_drop_stream(spark: SparkSession, d: str) -> DataFrame:
     """Files dropped for two regions, streamed to a staging table twice; each file is staged once."""
     box, target = fresh_folder(spark, "inbox"), fresh_folder(spark, "staged")
-    for region, t, k, v in (("east", "region", "r_regionkey", "r_name"), ("west", "nation", "n_nationkey", "n_name")):
+    for region, t, k, v in (("east", "customer", "c_custkey", "c_name"), ("west", "supplier", "s_suppkey", "s_name")):
         table(spark, d, t).select(F.col(k).cast("long").alias("key"), F.col(v).alias("name")).write.csv(f"{box}/{region}", header=True)
     for _ in range(2):  # the second run has no checkpoint of the first and must still add nothing
         filedrop.stage(spark, box, "key long, name string", target, fresh_folder(spark, "drop"))
     return spark.read.parquet(target).select("region", "key", "name")
+
+
+@query("SELECT 'hasLayer' AS predicate, count(*) AS n FROM supplier UNION ALL SELECT 'hasName', count(*) FROM supplier")
+def file_drop_graph(spark: SparkSession, d: str) -> DataFrame:
+    """Point files of two regions dropped twice: the region with a pipeline is promoted once into a stored graph."""
+    box, staging, kept, files = (fresh_folder(spark, n) for n in ("inbox", "staging", "store", "files"))
+    rows = table(spark, d, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("OBJECTID"), F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ID"), F.col("s_name").alias("Name"), F.lit("单体").alias("Layer"))
+    for region in ("east", "nowhere"):
+        rows.write.csv(f"{box}/{region}", header=True)
+    pipelines = {"east": connectors.heritage_points}
+    for _ in range(2):
+        filedrop.ingest(spark, box, "OBJECTID string, ID string, Name string, Layer string", pipelines, staging, kept, files, fresh_folder(spark, "drop"))
+    return store.load(spark, kept)["statements"].groupBy("predicate").agg(F.count("*").alias("n"))

@@ -205,9 +205,18 @@ def ingest_sources(spark: SparkSession, d: str) -> DataFrame:
     return graph["statements"].groupBy("predicate").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT "table", header, target, kind, CAST(s AS DOUBLE) AS score FROM (VALUES ('customer', '名称', 'hasName', 'predicate', 0.99), ('customer', 'has type P2', NULL, 'relation_meta', 0.9),
-('customer', 'segment', 'hasNotes', 'predicate', 0.2), ('customer', 'kind', 'ENTITY_TYPE', 'role', 0.8), ('customer', 'e', 'LON', 'role', 0.6), ('customer', 'n', 'LAT', 'role', 0.45),
-('orders', 'when', 'hasShownDate', 'predicate', 0.55)) t("table", header, target, kind, s)""")
+_CELLS = """c AS (SELECT 'customer' AS "table", c_custkey AS ord, unnest(['名称', 'has type P2', 'segment', 'kind', 'e', 'n']) AS header,
+unnest([c_name, 'x', c_mktsegment, CASE WHEN c_custkey % 2 = 0 THEN 'pl' ELSE 'ac' END, CAST(100 + c_custkey % 50 AS VARCHAR), CAST(c_custkey % 50 AS VARCHAR)]) AS value FROM customer
+UNION ALL SELECT 'orders', o_orderkey, 'when', strftime(o_orderdate, '%Y-%m-%d') FROM orders)"""
+
+
+@query(f"""WITH {_CELLS}, f AS (SELECT *, TRY_CAST(value AS DOUBLE) AS x FROM c QUALIFY row_number() OVER (PARTITION BY "table", header ORDER BY ord) <= 20),
+p AS (SELECT "table", header, count(value) AS n, count(x) AS numbers, min(x) AS low, max(x) AS high, bool_and(value IN ('pl', 'clu', 'ac', 'doc', 'ev', 'img')) AS typed,
+count(*) FILTER (WHERE regexp_matches(value, '[0-9]{{4}}-[0-9]')) AS dates FROM f GROUP BY 1, 2),
+r AS (SELECT *, regexp_matches(header, 'has\\s*type|P[0-9]') AS relation, header = '名称' AS named, numbers * 10 >= n * 7 AND low BETWEEN -180 AND 180 AND high BETWEEN -180 AND 180 AS numeric FROM p)
+SELECT "table", header, CASE WHEN relation THEN NULL WHEN named THEN 'hasName' WHEN typed THEN 'ENTITY_TYPE' WHEN numeric AND (low < -90 OR high > 90) THEN 'LON' WHEN numeric THEN 'LAT' WHEN dates * 10 >= n * 6 THEN 'hasShownDate' ELSE 'hasNotes' END AS target,
+CASE WHEN relation THEN 'relation_meta' WHEN named THEN 'predicate' WHEN typed OR numeric THEN 'role' ELSE 'predicate' END AS kind,
+CAST(CASE WHEN relation THEN 0.9 WHEN named THEN 0.99 WHEN typed THEN 0.8 WHEN numeric AND (low < -90 OR high > 90) THEN 0.6 WHEN numeric THEN 0.45 WHEN dates * 10 >= n * 6 THEN 0.55 ELSE 0.2 END AS DOUBLE) AS score FROM r""")
 def mapping_suggestions(spark: SparkSession, d: str) -> DataFrame:
     """Columns of two tables as headers with sample cells; the rules decide in their order."""
     k = F.col("c_custkey")
@@ -218,15 +227,3 @@ def mapping_suggestions(spark: SparkSession, d: str) -> DataFrame:
     dated = table(spark, d, "orders").select(F.lit("orders").alias("table"), F.col("o_orderkey").alias("ord"), F.inline(F.array(cell("when", F.date_format("o_orderdate", "yyyy-MM-dd")))))
     aliases = spark.createDataFrame([("hasName", "名称", 0)], "target string, alias string, priority int")
     return match.suggest_mapping(people.unionByName(dated), aliases, govern.TYPES)
-
-
-@query("""WITH m AS (SELECT n_regionkey AS region, CAST(n_regionkey % 3 AS DOUBLE) AS d2, 0.0 AS d3, CAST(max(n_nationkey) % 2 AS DOUBLE) AS d4, 60.0 + 10 * n_regionkey AS d6, count(*) * 50 AS k FROM nation GROUP BY 1)
-SELECT region, 'D1' AS dimension, 'entities' AS metric, CAST(k AS DOUBLE) AS value, CASE WHEN k > 0 THEN 'pass' ELSE 'check' END AS verdict FROM m UNION ALL SELECT region, 'D2', 'dangling_percent', d2, CASE WHEN d2 < 1 THEN 'pass' ELSE 'check' END FROM m
-UNION ALL SELECT region, 'D3', 'unevidenced_percent', CAST(d3 AS DOUBLE), CASE WHEN d3 = 0 THEN 'pass' ELSE 'check' END FROM m UNION ALL SELECT region, 'D4', 'outlier_percent', d4, CASE WHEN d4 = 0 THEN 'pass' ELSE 'check' END FROM m
-UNION ALL SELECT region, 'D6', 'photo_percent', CAST(d6 AS DOUBLE), CASE WHEN d6 >= 80 THEN 'pass' ELSE 'check' END FROM m""")
-def audit_report(spark: SparkSession, d: str) -> DataFrame:
-    k = F.col("n_regionkey")
-    metrics = table(spark, d, "nation").groupBy(k.alias("region")).agg(
-        (F.max(F.col("n_nationkey")) % 2).cast("double").alias("d4"), (F.count("*") * 50).alias("n_entities")
-    ).withColumns({"d2": (F.col("region") % 3).cast("double"), "d3": F.lit(0.0), "d6": 60.0 + 10 * F.col("region")})
-    return govern.report(metrics)

@@ -2,34 +2,73 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairnspark.functions.session import cut, read_or_empty
+from cairnspark.operators import store as S
+from cairnspark.sources.connectors import stage as number_rows
 
-def stage(spark: SparkSession, inbox: str, schema: str, target: str, checkpoint: str) -> None:
-    """Stage all files that wait in inbox/{region}/ into the table folder target, then stop.
+#: Makes the statement rows of a region's files: (rows, source, region) to a table as connectors emit it.
+Pipeline = Callable[[DataFrame, str, str], DataFrame]
 
-    A batch id is derived from the file's path and time; rows of a batch id that target
-    holds are skipped, so a replayed micro-batch adds nothing.
-    """
+
+def _dropped(spark: SparkSession, inbox: str, schema: str) -> DataFrame:
     meta = F.col("_metadata")
     files = spark.readStream.schema(schema).option("header", True).option("recursiveFileLookup", "true").csv(inbox)
-    rows = files.select(
+    return files.select(
         "*",
         F.sha1(F.concat_ws(":", meta["file_path"], meta["file_modification_time"].cast("string"))).alias("batch_id"),
         F.regexp_extract(meta["file_path"], r"([^/]+)/[^/]+$", 1).alias("region"),
     )
 
+
+def _unseen(batch: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of files that known lacks; only the partitions of the files at hand are read."""
+    ids = [r[0] for r in batch.select("batch_id").distinct().collect()]  # the files of one micro-batch
+    return batch.join(known.filter(F.col("batch_id").isin(*ids)).select("batch_id").distinct(), "batch_id", "left_anti")
+
+
+def stage(spark: SparkSession, inbox: str, schema: str, target: str, checkpoint: str) -> None:
+    """Stage all files that wait in inbox/{region}/ into the table folder target, then stop.
+
+    A batch id is derived from the file's path and time, and target is partitioned by it; rows of a batch id
+    that target holds are skipped, so a replayed micro-batch adds nothing.
+    """
+
     def append(batch: DataFrame, _: int) -> None:
+        known = read_or_empty(batch.sparkSession, target, f"{schema}, region string, batch_id string")
+        _unseen(batch, known).write.mode("append").partitionBy("batch_id").parquet(target)
+
+    rows = _dropped(spark, inbox, schema)
+    rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def ingest(
+    spark: SparkSession, inbox: str, schema: str, pipelines: dict[str, Pipeline], staging: str, store: str, files: str, checkpoint: str
+) -> None:
+    """Promote all files that wait in inbox/{region}/ into the graph at store, then stop.
+
+    Each region's pipeline makes statements of its files; regions without one are left out. A micro-batch is staged as one
+    batch for each region, promoted, and then its files are noted in the table files, so a replay adds nothing:
+    a batch id follows from the region and its files.
+    """
+
+    def run(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        try:
-            known = session.read.parquet(target).select("batch_id").distinct()
-        except Exception as e:  # the target does not exist before the first batch
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            known = None
-        fresh = batch if known is None else batch.join(known, "batch_id", "left_anti")
-        fresh.write.mode("append").parquet(target)
-
-    query = rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+        fresh = cut(_unseen(batch, read_or_empty(session, files, "batch_id string, region string")))
+        seen = cut(fresh.select("batch_id", "region").distinct())
+        for region, pipeline in sorted(pipelines.items()):
+            ids = sorted(r[0] for r in seen.filter(F.col("region") == region).select("batch_id").collect())
+            if not ids:
+                continue
+            name = session.createDataFrame([(",".join(ids),)], "ids string").select(F.sha1("ids")).first()[0]
+            rows = fresh.filter(F.col("region") == region).drop("batch_id", "region")
+            S.stage_rows(number_rows(pipeline(rows, f"/{region}", region), name), staging)
+        S.promote_waiting(session, staging, store)
+        seen.write.mode("append").parquet(files)
+
+    rows = _dropped(spark, inbox, schema)
+    rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

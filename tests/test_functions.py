@@ -24,8 +24,8 @@ def test_composite_key(spark):
 
 def test_pid_keeps_long_serials(spark):
     p = C.pid(F.lit("east"), F.lit("pl"), F.col("t"), F.col("n"))
-    assert one(spark, p, t="", n=12) == "clkg:east:pl-unk-0000012"
-    assert one(spark, p, t="2024", n=123456789) == "clkg:east:pl-2024-123456789"
+    assert one(spark, p, t="", n=12) == "kg:east:pl-unk-0000012"
+    assert one(spark, p, t="2024", n=123456789) == "kg:east:pl-2024-123456789"
 
 
 def test_headers_and_refs(spark):
@@ -75,3 +75,15 @@ def test_shapes_are_projected_in_place(spark):
     pair = one(spark, F.concat(lon.cast("string"), F.lit(" "), lat.cast("string")), a=1)
     assert moved("POINT(400000 3000000)", 32644) == f"POINT({pair})"
     assert one(spark, G.known_srid(F.lit(3857)), a=1) is False and one(spark, G.known_srid(F.lit(None).cast("int")), a=1) is True
+
+
+def test_capture_times(spark):
+    seen = lambda t, formats=C.CAPTURE_FORMATS: str(one(spark, C.capture_time(F.col("t"), formats), t=t))
+    assert seen("2024/05/01 10:30") == seen(" 2024-05-01 10:30 ") == "2024-05-01 10:30:00"
+    assert seen("2024/5/1 9:03:02") == seen("2024-5-1 09:3:2") == "2024-05-01 09:03:02"
+    assert seen("2024/5/1") == "2024-05-01 00:00:00" and seen("2024:05:01 09:03:02") == seen("20240501") == "None"
+    assert seen("2024:05:01 09:03:02", C.EXIF_FORMATS) == "2024-05-01 09:03:02"
+
+
+def test_brackets_become_blanks(spark):
+    assert [one(spark, C.normal_header(F.col("h")), h=h) for h in ("Time(Span)", "名称（类型）", "E52 Date")] == ["time span", "名称 类型", "date"]

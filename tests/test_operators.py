@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cairnspark.operators import connect, govern, match, promote, spatial
+from cairnspark.operators import connect, govern, match, ontology, promote, spatial, store
 from cairnspark.sources import readers
 
 
@@ -34,8 +34,40 @@ def test_promote_is_idempotent_and_typed(spark):
 
 
 def test_promote_empty(spark):
-    g, audit, rejected = promote.promote(promote.empty_graph(spark), staged(spark, ROWS).limit(0))
-    assert audit.count() == 0 and rejected.count() == 0 and g["statements"].count() == 0
+    g, audit, rejected = promote.promote(promote.empty_graph(spark), staged(spark, ROWS).limit(0), ["b"])
+    assert rejected.count() == 0 and g["statements"].count() == 0
+    assert audit.select("batch_id", "rows_in", "rows_err", "rows_inserted", "rows_skipped", "status").collect() == [("b", 0, 0, 0, 0, "success")]
+
+
+def test_audit_counts_each_batch(spark):
+    rows = staged(spark, ROWS[:2]).withColumn("batch_id", F.concat(F.lit("b"), F.col("row_seq").cast("string")))
+    _, audit, _ = promote.promote(promote.empty_graph(spark), rows.unionByName(rows.filter("row_seq = 1").withColumn("row_seq", F.lit(9).cast("long"))))
+    got = {r["batch_id"]: (r["rows_in"], r["rows_inserted"], r["rows_skipped"], r["status"]) for r in audit.collect()}
+    assert got == {"b0": (1, 1, 0, "success"), "b1": (2, 1, 1, "success")}
+
+
+def test_references_are_checked(spark):
+    bad = ['{"ref_natural_key": " "}', '{"ref_natural_key": "b", "ref_type_abbr": "NOT A TYPE"}', '{"ref_natural_key": "b", "ref_region": "X Y"}']
+    rows = staged(spark, [("img", "unk", "i", "depicts", v) for v in [*bad, '{"ref_natural_key": "b", "ref_type_abbr": "ac", "ref_region": "west"}']])
+    g, _, rejected = promote.promote(promote.empty_graph(spark), rows)
+    assert [r["error"] for r in rejected.collect()] == ["bad_reference"] * 3
+    assert {(r["region"], r["kind"], r["natural_key"]) for r in g["registry"].collect()} == {("east", "img", "i"), ("west", "ac", "b")}
+
+
+def test_a_batch_writes_in_proportion_to_itself(spark, tmp_path):
+    many = staged(spark, [("pl", "unk", f"k{i}", "hasName", f'{{"value": "n{i}"}}') for i in range(300)])
+    few = staged(spark, [("pl", "unk", f"k{i}", "hasNote", '{"value": "x"}') for i in range(3)]).withColumn("batch_id", F.lit("c"))
+    staging, kept = str(tmp_path / "staging"), str(tmp_path / "store")
+    for rows in (many, few, few):
+        store.stage_rows(rows, staging)
+        store.promote_waiting(spark, staging, kept)
+    written = {n: spark.read.parquet(f"{kept}/{n}/commit=2").count() for n in promote.SCHEMAS}
+    assert written == {"registry": 0, "entities": 0, "evidence": 0, "statements": 3}
+    g = store.load(spark, kept)
+    assert {n: d.count() for n, d in g.items()} == {"registry": 300, "entities": 300, "evidence": 1, "statements": 303}
+    assert store.audit_of(spark, kept).count() == 2 and store.processed(spark, staging, kept).filter("processed_at IS NULL").count() == 0
+    store.commit({n: d.limit(1) for n, d in g.items()}, spark.createDataFrame([], store.AUDIT.rsplit(", ", 1)[0]), kept)
+    assert store.load(spark, kept)["statements"].count() == 303  # deltas without audit rows are not read
 
 
 def test_numbers_are_gapless(spark):
@@ -58,10 +90,19 @@ def test_grid_join_equals_brute_force(spark):
     assert got == want
 
 
-def test_aliases_map_at_once(spark):
-    rows = spark.createDataFrame([("a", "p", "x"), ("a", "p", "y"), ("b", "p", "x")], "subject_id string, predicate string, object_value string")
-    alias = spark.createDataFrame([("p", "x", "y"), ("p", "y", "z")], "predicate string, alias string, canonical string")
-    assert {tuple(r) for r in govern.normalise(rows, alias).collect()} == {("a", "p", "y"), ("a", "p", "z"), ("b", "p", "y")}
+def test_aliases_map_at_once_and_keep_what_differs(spark):
+    schema = "subject_id string, predicate string, object_value string, object_id string, evidence_id long"
+    rows = [("a", "p", "x", None, 1), ("a", "p", "y", None, 1), ("b", "p", "x", None, 1), ("b", "p", "x", None, 2), ("c", "p", "x", "o1", 1), ("c", "p", "x", "o2", 1),
+            ("d", "p", "q", None, 1), ("d", "p", "q", None, 1), ("e", "p", "x", None, None), ("e", "p", "y2", None, None)]
+    alias = spark.createDataFrame([("p", "x", "y"), ("p", "y2", "y")], "predicate string, alias string, canonical string")
+    data = spark.createDataFrame(rows, schema)
+    got = sorted((tuple(r) for r in govern.normalise(data, alias).collect()), key=str)
+    want = [("a", "p", "y", None, 1), ("b", "p", "y", None, 1), ("b", "p", "y", None, 2), ("c", "p", "y", "o1", 1), ("c", "p", "y", "o2", 1),
+            ("d", "p", "q", None, 1), ("d", "p", "q", None, 1), ("e", "p", "y", None, None)]
+    assert got == sorted(want, key=str)
+    assert {(r["alias"], r["n"]) for r in govern.alias_counts(data, alias).collect()} == {("x", 6), ("y2", 1)}
+    chain = spark.createDataFrame([("p", "x", "y"), ("p", "y", "z")], "predicate string, alias string, canonical string")
+    assert {(r["object_value"], r["subject_id"]) for r in govern.normalise(data.filter("subject_id = 'a'"), chain).collect()} == {("y", "a"), ("z", "a")}
 
 
 def test_short_alias_needs_word_edges(spark):
@@ -98,3 +139,43 @@ def test_each_file_is_decoded_over_all_its_bytes(spark, tmp_path):
     rows = readers.encoded_csv(spark, f"{tmp_path}/*.csv", "id int, name string").collect()
     assert len(rows) == 602 and {r["id"]: r["name"] for r in rows if r["id"] >= 300} == {300: "照片", 301: "照片"}
     assert readers.encoded_csv(spark, f"{tmp_path}/a*.csv", "id int, name string").filter("id = 300").first()["name"] == "照片"
+
+
+def test_mentions_in_any_script(spark):
+    words = [("泉州", "Quanzhou", "Place"), ("river bank", "Bank", "Place"), ("über", "Over", "Period"), ("gate", "Gate", "Place"), ("c++", "C", "Event")]
+    dictionary = spark.createDataFrame(words, "surface string, canonical string, kind string")
+    texts = ["寄往泉州的信", "On the River Bank there", "ÜBER den Fluss", "the gates of", "A Gate.", "driver bank", "in C++ code", "泉", ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    keys = {r["k"]: r["text"] for r in rows.select("text", F.sha2(F.concat(F.lit("dictionary\n"), "text"), 256).alias("k")).collect()}
+    found = {(keys[r["text_key"]], r["surface"]) for r in match.mentions(rows, dictionary).collect()}
+    assert found == {(texts[0], "泉州"), (texts[1], "river bank"), (texts[2], "über"), (texts[4], "gate"), (texts[6], "c++")}
+
+
+def test_annotation_cache(spark, tmp_path):
+    dictionary = spark.createDataFrame([("gate", "Gate", "Place")], "surface string, canonical string, kind string")
+    rows = lambda *t: spark.createDataFrame([(x,) for x in t], "text string")
+    cache = str(tmp_path / "cache")
+    assert match.annotate_new(rows("a gate", "nothing here"), dictionary, cache).count() == 1
+    other = spark.createDataFrame([("gate", "Door", "Place")], "surface string, canonical string, kind string")
+    assert {r["canonical"] for r in match.annotate_new(rows("a gate", "one gate"), other, cache).collect()} == {"Gate", "Door"}
+    assert spark.read.parquet(cache).count() == 3
+
+
+def test_inventories_of_regions_merge(spark):
+    e = spark.createDataFrame([("a", "pl"), ("b", "ac")], "pid string, entity_type string")
+    schema = "subject_id string, predicate string, object_value string, object_id string, geometry string"
+    one = ontology.inventory(spark.createDataFrame([("a", "hasName", "x", None, None), ("a", "near", None, "b", None)], schema), e)
+    two = ontology.inventory(spark.createDataFrame([("b", "hasName", "y", None, None), ("a", "locatedAt", None, None, "POINT(1 2)")], schema), e)
+    got = {r["predicate"]: (r["domain"], r["object_types"], r["category"], r["n"]) for r in ontology.merge_inventories(one, two).collect()}
+    assert got == {"hasName": ("ac,pl", "", "attribute", 2), "near": ("pl", "ac", "edge", 1), "locatedAt": ("pl", "", "spatial", 1)}
+    assert [r["entity_type"] for r in ontology.geometry_sources(two).collect()] == ["pl"]
+
+
+def test_large_polygons_go_to_coarser_cells(spark):
+    rng = random.Random(6)
+    points = [("r", str(i), rng.uniform(-170, 170), rng.uniform(-80, 80)) for i in range(200)]
+    s = spark.createDataFrame([("r", "big", "POLYGON((-160 -70, 160 -70, 160 70, -160 70, -160 -70))"), ("r", "tiny", "POLYGON((0 0, 1 0, 1 1, 0 1, 0 0))")], "region string, polygon_id string, wkt string")
+    p = spark.createDataFrame([*points, ("r", "in", 0.5, 0.5)], "region string, point_id string, x double, y double")
+    for cell in (0.5, None):
+        got = {(r["polygon_id"], r["point_id"]) for r in spatial.contains_place(s, p, cell).collect()}
+        assert got == {("big", i) for _, i, x, y in points if abs(x) < 160 and abs(y) < 70} | {("big", "in"), ("tiny", "in")} | {("tiny", i) for _, i, x, y in points if 0 < x < 1 and 0 < y < 1}
