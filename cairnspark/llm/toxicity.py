@@ -14,9 +14,12 @@ As the kernel is a sum over subsequences, the machine folds into one table with
 for each subsequence, so scoring a unit does not depend on the number of landmarks.
 
 Training reads a bounded sample: at most per_class documents of each label (by hash of
-their key) of at most max_chars characters. Scores cover every whole text.
+their key) of at most max_chars characters, and of their units at most the numbers that Bounds names. Scores cover
+every whole text. A unit of more than LONGEST symbols is compared by overlapping windows, also as a landmark. The
+number of units counts up to the largest in training, so a long text is not excused by its length.
 Edge cases: null, empty or blank text: the score of "no unit", the lowest; rows repeat;
-several labels of one key: the largest counts; null labels are ignored; without both
+several labels of one key: the largest counts; several texts of one key: the one with the smallest hash is learned from;
+a null key is in the part that is not held out; null labels are ignored; without both
 labels every score is 0; only key and text are read, clashing columns do not matter.
 """
 
@@ -25,6 +28,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
 
@@ -37,6 +41,19 @@ from cairnspark.llm.common import small_batches, table
 
 LAMBDA, SYMBOLS, LONGEST = 0.6, 64, 24
 PER_CLASS, MAX_CHARS, LANDMARKS, THRESHOLD = 2000, 20_000, 160, 0.3
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """How much of the sample's units a fit uses: landmarks, insults that are disguised, clean units at random, and the
+    highest clean units that each round adds."""
+
+    landmarks: int = LANDMARKS
+    disguised: int = 200
+    clean: int = 4000
+    hard: int = 1000
+
+
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum()) + b"\x00"
 _SPACED = re.compile(rb"(?<!\S)(?:[a-z0-9] ){2,}[a-z0-9](?!\S)")
 
@@ -89,11 +106,11 @@ def _triples(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return at[:, 0], at[:, 1], at[:, 2], (LAMBDA ** (at[:, 2] - at[:, 0] + 1.0)).astype(np.float32)
 
 
-def _by_length(found: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(row of found, matrix of symbols) for windows of equal length, a few thousand at a time."""
+def _by_length(found: list[bytes] | list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row of found, matrix of symbols) for windows of equal length, a few thousand at a time; found holds units or windows."""
     groups: dict[int, tuple[list, list]] = {}
     for i, u in enumerate(found):
-        for c in _codes(u):
+        for c in _codes(u) if isinstance(u, bytes) else [u]:
             rows, codes = groups.setdefault(len(c), ([], []))
             rows.append(i)
             codes.append(c)
@@ -114,17 +131,20 @@ def _scores(found: list[bytes], weights: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Weights of subsequences, the bias, and the logistic weights that turn a text's features into a probability."""
+    """Weights of subsequences, the bias, and the logistic weights that turn a text's features into a probability;
+    the features' third, the number of units, counts up to most."""
 
-    def __init__(self, weights: np.ndarray, bias: float, logistic: np.ndarray | None = None):
-        self.weights, self.bias = weights.astype(np.float32), bias
+    def __init__(self, weights: np.ndarray, bias: float, logistic: np.ndarray | None = None, most: float = np.inf):
+        self.weights, self.bias, self.most = weights.astype(np.float32), bias, most
         self.logistic = np.array([1.0, 0.0, 0.0, 0.0]) if logistic is None else logistic
 
     def margins(self, found: list[bytes]) -> np.ndarray:
         return _scores(found, self.weights) + self.bias
 
     def probability(self, features: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(features @ self.logistic, -60, 60)))
+        held = np.array(features, float)
+        held[..., 2] = np.minimum(held[..., 2], self.most)
+        return 1 / (1 + np.exp(-np.clip(held @ self.logistic, -60, 60)))
 
 
 def _features(bag: set[bytes], margin: dict[bytes, float]) -> tuple[float, float, float, float]:
@@ -174,19 +194,18 @@ def _platt(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         use[1] = False
 
 
-def _landmark_columns(found: list[bytes], landmarks: list[bytes]) -> np.ndarray:
-    """Normalised kernel of units with landmarks; a unit's windows count by their best."""
-    own = [c[0] for c in map(_codes, landmarks)]
-    norm = [float(np.sqrt(kernel(c[None], c[None])[0])) for c in own]
+def _landmark_columns(found: list[bytes] | list[np.ndarray], landmarks: list[np.ndarray]) -> np.ndarray:
+    """Normalised kernel of units with landmarks (windows of symbols); a unit's windows count by their best."""
+    norm = [float(np.sqrt(kernel(c[None], c[None])[0])) for c in landmarks]
     out = np.zeros((len(found), len(landmarks)), np.float32)
     for rows, codes in _by_length(found):
         size = np.sqrt(np.maximum(kernel(codes, codes), 1e-12))
-        for j, c in enumerate(own):
+        for j, c in enumerate(landmarks):
             np.maximum.at(out[:, j], rows, kernel(codes, c[None]) / size / norm[j])
     return out
 
 
-def fit(bags: list[tuple[bool, set[bytes]]], landmarks: int = LANDMARKS, rounds: int = 3) -> Model | None:
+def fit(bags: list[tuple[bool, set[bytes]]], bounds: Bounds = Bounds(), rounds: int = 3) -> Model | None:
     """Train on (toxic, units) of the sampled documents; None unless both labels occur."""
     toxic, clean = [u for t, u in bags if t and u], [u for t, u in bags if not t]
     if not toxic or not any(clean):
@@ -211,10 +230,11 @@ def fit(bags: list[tuple[bool, set[bytes]]], landmarks: int = LANDMARKS, rounds:
         for x in witness:
             counts[x] = counts.get(x, 0) + 1
         positive = sorted(counts, key=lambda x: (-counts[x], x))
-        train_n = sorted((set(negatives[:4000]) | hard) - set(positive))
-        marks = positive[: landmarks * 3 // 4]
-        marks += [x for x in sorted(hard) + negatives[:4000] if x not in counts][: landmarks - len(marks)]
-        spread = [(v, 0.5 * counts[x] ** 0.5) for x in positive[:200] for v in _disguised(x) if v not in in_clean]
+        train_n = sorted((set(negatives[: bounds.clean]) | hard) - set(positive))
+        named = positive[: bounds.landmarks * 3 // 4]
+        named += [x for x in sorted(hard) + negatives[: bounds.clean] if x not in counts][: bounds.landmarks - len(named)]
+        marks = [c for x in named for c in _codes(x)]
+        spread = [(v, 0.5 * counts[x] ** 0.5) for x in positive[: bounds.disguised] for v in _disguised(x) if v not in in_clean]
         units_ = positive + [v for v, _ in spread] + train_n
         y = np.array([1.0] * (len(positive) + len(spread)) + [-1.0] * len(train_n))
         weight = np.array([counts[x] ** 0.5 for x in positive] + [w for _, w in spread] + [1.0] * len(train_n))
@@ -227,8 +247,9 @@ def fit(bags: list[tuple[bool, set[bytes]]], landmarks: int = LANDMARKS, rounds:
         model = Model(_fold(marks, root @ w), bias)
         margin = dict(zip(everything, model.margins(everything), strict=True))
         witness = [best(u, margin) for u in own]
-        hard |= set(sorted(in_clean, key=lambda x: (-margin[x], x))[:1000])
+        hard |= set(sorted(in_clean, key=lambda x: (-margin[x], x))[: bounds.hard])
     x = np.array([_features(u, margin) for u in toxic + clean])
+    model.most = float(x[:, 2].max())
     model.logistic = _platt(x, np.array([1.0] * len(toxic) + [-1.0] * len(clean)))
     return model
 
@@ -248,11 +269,10 @@ def hash_of(unit: bytes) -> int:
     return h
 
 
-def _fold(marks: list[bytes], beta: np.ndarray) -> np.ndarray:
+def _fold(marks: list[np.ndarray], beta: np.ndarray) -> np.ndarray:
     """Weight of each subsequence: the landmarks' features times their coefficients."""
     weights = np.zeros(SYMBOLS**3)
-    for u, b in zip(marks, beta, strict=True):
-        c = _codes(u)[0]
+    for c, b in zip(marks, beta, strict=True):
         i, j, k, decay = _triples(len(c))
         norm = np.sqrt(kernel(c[None], c[None])[0])
         np.add.at(weights, (c[i] * SYMBOLS + c[j]) * SYMBOLS + c[k], b * decay / norm)
@@ -291,15 +311,16 @@ def training_sample(
         return t.map(lambda x: sorted(units(x)))
 
     short = docs.select(F.col(key), F.col(text).alias("_text")).filter(F.length("_text") <= max_chars)
-    rows = short.join(keys, key).select("_label", units_of("_text").alias("units"), key)
-    return [(r["_label"] == 1, set(map(bytes, r["units"]))) for r in rows.dropDuplicates([key]).orderBy(key).toLocalIterator()]
+    one = short.join(keys, key).groupBy(key).agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"), F.first("_label").alias("_label"))
+    rows = one.select("_label", units_of("_text").alias("units"), key)
+    return [(r["_label"] == 1, set(map(bytes, r["units"]))) for r in rows.orderBy(key).toLocalIterator()]
 
 
 def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-    per_class: int = PER_CLASS, max_chars: int = MAX_CHARS,
+    per_class: int = PER_CLASS, max_chars: int = MAX_CHARS, bounds: Bounds = Bounds(),
 ) -> Model | None:
-    return fit(training_sample(docs, labels, key, text, label, per_class, max_chars))
+    return fit(training_sample(docs, labels, key, text, label, per_class, max_chars), bounds)
 
 
 def score(model: Model | None, text: Column) -> Column:
@@ -321,7 +342,7 @@ def not_held_out(labels: DataFrame) -> DataFrame:
 
 
 def _remainder(key: Column) -> Column:
-    return F.crc32(key.cast("string")) % 4
+    return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % 4
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

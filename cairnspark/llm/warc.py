@@ -130,9 +130,9 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 h AS (SELECT page_id, html, sha1(html) AS hex, max(page_id) OVER (PARTITION BY html) AS first FROM p),
-b AS (SELECT *, array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (
-  CAST(list_sum(list_transform(range(0, 5), k -> (instr('0123456789abcdef', substr(hex, CAST(5 * (i // 4) + k + 1 AS BIGINT), 1)) - 1) * CAST(pow(16, 4 - k) AS BIGINT))) AS BIGINT)
-  // CAST(pow(2, 15 - 5 * (i % 4)) AS BIGINT)) % 32 AS BIGINT), 1)), '') AS digest FROM h)
+b AS (SELECT *, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (
+  CAST(list_sum([(instr('0123456789abcdef', substr(hex, CAST(5 * (i // 4) + k + 1 AS BIGINT), 1)) - 1) * CAST(pow(16, 4 - k) AS BIGINT) FOR k IN range(0, 5)]) AS BIGINT)
+  // CAST(pow(2, 15 - 5 * (i % 4)) AS BIGINT)) % 32 AS BIGINT), 1) FOR i IN range(0, 32)], '') AS digest FROM h)
 SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first THEN first END AS refers_to, true AS digest_matches
 FROM b
