@@ -103,3 +103,14 @@ def confidence_of(value: Column) -> Column:
     """Confidence of a statement, 1 where absent or empty, null where it is not a number."""
     raw = F.trim(F.coalesce(F.get_json_object(value, "$.confidence"), F.lit("")))
     return F.when(raw == "", 1.0).otherwise(raw.try_cast("double"))
+
+
+#: Metadata fields that name who collected a row, in this order.
+COLLECTORS = ("surveyor", "recorder", "collector")
+
+
+def collector_of(metadata: Column) -> Column:
+    """The first filled of the collectors' fields in a JSON object, whatever the case of its names; null without any."""
+    fields = F.map_entries(F.from_json(metadata, "map<string,string>"))
+    named = lambda n: clean(F.get(F.filter(fields, lambda e: F.lower(e["key"]) == n), F.lit(0))["value"])
+    return F.coalesce(*[named(n) for n in COLLECTORS])

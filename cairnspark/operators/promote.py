@@ -172,8 +172,8 @@ def promote_deltas(graph: Graph, staged: DataFrame, batches: list[str] | None =
     entities = cut(after.exceptAll(before))
 
     source = rows.groupBy(F.col("source_uri").alias("source_name")).agg(
-        F.min_by("source_type", "row_seq").alias("source_type"), F.min_by("collector", "row_seq").alias("collector"),
-        F.min_by("metadata", "row_seq").alias("metadata"),
+        F.min_by("source_type", "row_seq").alias("source_type"),
+        F.min_by(F.coalesce("collector", C.collector_of(F.col("metadata"))), "row_seq").alias("collector"), F.min_by("metadata", "row_seq").alias("metadata"),
     )
     source = source.filter(F.col("source_name").isNotNull())
     evidence, by_name = new_evidence(graph["evidence"], source)

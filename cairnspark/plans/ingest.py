@@ -373,3 +373,18 @@ def file_drop_graph(spark: SparkSession, d: str) -> DataFrame:
     for _ in range(2):
         filedrop.ingest(spark, box, "OBJECTID string, ID string, Name string, Layer string", pipelines, staging, kept, files, fresh_folder(spark, "drop"))
     return store.load(spark, kept)["statements"].groupBy("predicate").agg(F.count("*").alias("n"))
+
+
+@query("""WITH s AS (SELECT s_suppkey, 'S' || s_suppkey AS nk FROM supplier WHERE s_suppkey <> 1), e AS (SELECT 'ev-' || lpad(CAST(row_number() OVER (ORDER BY event_id) AS VARCHAR), 4, '0') AS nk, event_type, user_id FROM events)
+SELECT 'pl' AS kind, nk AS natural_key, 'hasName' AS predicate, s_name AS literal FROM supplier JOIN s USING (s_suppkey) UNION ALL SELECT 'ev', nk, 'hasType', event_type FROM e UNION ALL SELECT 'ev', nk, 'carriedOutBy', 'u' || user_id FROM e""")
+def template_workbook(spark: SparkSession, d: str) -> DataFrame:
+    """A workbook of two known sheets, one with an example row and one without keys, and a sheet that is skipped."""
+    places = table(spark, d, "supplier").select(F.col("s_suppkey").alias("row"), F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("key"), F.col("s_name").alias("name"))
+    happened = table(spark, d, "events").select(F.col("event_id").alias("row"), "event_type", F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("who"))
+    specs = {
+        "Place": {"columns": [("key", None, "NATURAL_KEY"), ("name", "hasName", "VALUE")], "example_key": "S1"},
+        "Event": {"columns": [("event_type", "hasType", "VALUE"), ("who", "carriedOutBy", "REF_AC")], "kind": "ev", "prefix": "ev"},
+    }
+    made = connectors.template_workbook({" Place ": places, "Event": happened, "Notes": places}, specs, "/in/book", "east", "row")
+    get = lambda k: F.get_json_object("stmt_value", f"$.{k}")
+    return made.select("kind", "natural_key", "predicate", F.coalesce(get("value"), get("ref_natural_key")).alias("literal"))

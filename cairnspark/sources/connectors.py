@@ -288,6 +288,32 @@ def template_sheet(
         "source_type", F.coalesce(F.get_json_object("metadata", "$.source_type"), F.col("source_type")))
 
 
+def template_workbook(
+    sheets: dict[str, DataFrame], specs: dict[str, dict], source: str, region: str, order: str, max_entities: int | None = None
+) -> DataFrame:
+    """Statements of all sheets of a workbook that specs knows, in one run; other sheets are skipped.
+
+    specs maps a sheet's name to columns (column, predicate, role) and, where they differ from template_sheet's
+    defaults, kind, example_key and prefix. Sheet names count without the blanks around them.
+    """
+    known = [(n.strip(), rows) for n, rows in sheets.items() if n.strip() in specs]
+    if not known:
+        raise ValueError("no sheet of the workbook is known")
+    made = []
+    for name, rows in known:
+        spec = specs[name]
+        more = {k: spec[k] for k in ("kind", "example_key", "prefix") if k in spec}
+        made.append(template_sheet(rows, spec["columns"], source, name, region, order, max_entities=max_entities, **more))
+    return reduce(DataFrame.unionByName, made)
+
+
+def common_region(sheet: DataFrame, region: str, order: str, default: str) -> str:
+    """The most common region of a sheet, on ties the one that comes first; default where none is filled."""
+    named = sheet.select(cell(sheet, region).alias("region"), F.col(order).alias("at")).filter("region IS NOT NULL")
+    top = named.groupBy("region").agg(F.count("*").alias("n"), F.min("at").alias("first")).orderBy(F.desc("n"), "first").first()
+    return top["region"] if top else default
+
+
 def mapped_table(rows: DataFrame, spec: dict, source: str, order: str) -> DataFrame:
     """Statements by a mapping spec (region, source_type, subject, columns by position); order names the row number.
 

@@ -87,3 +87,9 @@ def test_capture_times(spark):
 
 def test_brackets_become_blanks(spark):
     assert [one(spark, C.normal_header(F.col("h")), h=h) for h in ("Time(Span)", "名称（类型）", "E52 Date")] == ["time span", "名称 类型", "date"]
+
+
+def test_collector_of_metadata(spark):
+    who = lambda m: one(spark, C.collector_of(F.col("m")), m=m)
+    assert who('{"Recorder": "Ke", "SURVEYOR": "Lin"}') == "Lin" and who('{"Surveyor": " ", "collector": "Wu"}') == "Wu"
+    assert who('{"x": "y"}') is None and who("no json") is None
