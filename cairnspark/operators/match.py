@@ -113,7 +113,8 @@ def mentions(texts: DataFrame, dictionary: DataFrame, seen: DataFrame | None = N
     if anywhere.isEmpty():
         return found
     low = keyed.select("text_key", F.lower("text").alias("low"))
-    starts = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("low")), lambda i: F.substring("low", i, F.lit(2))))
+    # all pairs of neighbours by a look ahead, and single characters for surfaces of one
+    starts = F.array_union(F.regexp_extract_all("low", F.lit("(?s)(?=(..))"), F.lit(1)), F.regexp_extract_all("low", F.lit("(?s)(.)"), F.lit(1)))
     begun = low.select("text_key", F.explode(starts).alias("start")).join(anywhere, "start").drop("start").join(low, "text_key")
     # where a surface begins or ends with a letter of an alphabet, it must begin or end a word there
     border = lambda c, look: F.when(c.rlike(ONE_WORD), look + r"[\p{L}\p{M}\p{N}])").otherwise("")

@@ -142,13 +142,13 @@ def test_each_file_is_decoded_over_all_its_bytes(spark, tmp_path):
 
 
 def test_mentions_in_any_script(spark):
-    words = [("泉州", "Quanzhou", "Place"), ("river bank", "Bank", "Place"), ("über", "Over", "Period"), ("gate", "Gate", "Place"), ("c++", "C", "Event")]
+    words = [("泉州", "Quanzhou", "Place"), ("river bank", "Bank", "Place"), ("über", "Over", "Period"), ("gate", "Gate", "Place"), ("c++", "C", "Event"), ("泉", "Spring", "Place")]
     dictionary = spark.createDataFrame(words, "surface string, canonical string, kind string")
-    texts = ["寄往泉州的信", "On the River Bank there", "ÜBER den Fluss", "the gates of", "A Gate.", "driver bank", "in C++ code", "泉", ""]
+    texts = ["寄往泉州的信", "On the River Bank there", "ÜBER den Fluss", "the gates of", "A Gate.", "driver bank", "in C++ code", "short", ""]
     rows = spark.createDataFrame([(t,) for t in texts], "text string")
     keys = {r["k"]: r["text"] for r in rows.select("text", F.sha2(F.concat(F.lit("dictionary\n"), "text"), 256).alias("k")).collect()}
     found = {(keys[r["text_key"]], r["surface"]) for r in match.mentions(rows, dictionary).collect()}
-    assert found == {(texts[0], "泉州"), (texts[1], "river bank"), (texts[2], "über"), (texts[4], "gate"), (texts[6], "c++")}
+    assert found == {(texts[0], "泉州"), (texts[0], "泉"), (texts[1], "river bank"), (texts[2], "über"), (texts[4], "gate"), (texts[6], "c++")}
 
 
 def test_annotation_cache(spark, tmp_path):
