@@ -118,13 +118,14 @@ def test_one_doubtful_unit_of_a_long_text_is_not_enough():
 
 def test_token_tree_equals_encoding_again(spark):
     path, rng = default_vocabulary(), random.Random(3)
-    count = lambda t: len(encoding(path).encode_ordinary(t))
-    for _ in range(60):
-        text = "".join(rng.choices("ab \n'1.  ", k=rng.randint(0, 300)))
+    count = lambda t: len(token_ids(t, path))
+    for k in range(120):
+        signs = list("ab \n'1.  ") if k % 2 else ["a", "漢", "字", "。", "'s", "|", "<|endoftext|>", "<|end", "oftext|>", " ", "é", "²", "_"]
+        text = "".join(rng.choices(signs, k=rng.randint(0, 300)))
         tree = token_counts.TokenTree(text, path, size=8)
         for _ in range(6):
             i, j = rng.randint(0, len(text) + 2), rng.randint(0, len(text) + 2)
-            new = "".join(rng.choices("ab \n'1. ", k=rng.choice([0, 1, 3, 40, 200])))
+            new = "".join(rng.choices(signs, k=rng.choice([0, 1, 3, 40, 200])))
             tree.edit(i, j, new)
             i = min(i, len(text))
             text = text[:i] + new + text[max(i, min(j, len(text))):]
@@ -134,11 +135,33 @@ def test_token_tree_equals_encoding_again(spark):
     before = tree.encoded_chars
     tree.edit(40_000, 40_010, "other")
     assert tree.encoded_chars - before < 1000
+    chinese = token_counts.TokenTree("漢字很多。" * 5000, path)
+    before = chinese.encoded_chars
+    chinese.edit(12_000, 12_010, "другое")
+    assert chinese.encoded_chars - before < 1000
     rows = token_counts.count_with_edits(docs(spark, EDGE, IDS)).collect()
     assert sorted(r["n_tokens"] for r in rows) == sorted(count(t or "") for t in EDGE)
     assert token_counts.count_with_edits(docs(spark, []).limit(0)).count() == 0
 
 
+def test_edits_of_kept_trees(spark):
+    path = default_vocabulary()
+    texts = ["some words here " * 300, "short", "", None, "漢字很多。" * 300]
+    kept = token_counts.trees(docs(spark, texts))
+    edits = [(0, 2, 5, 9, "x y"), (0, 1, 0, 4, ""), (2, 1, 0, 0, "new text"), (4, 1, 700, 710, None), (9, 1, 0, 1, "lost"), (1, 1, -5, 500, "all")]
+    table = spark.createDataFrame(edits, "doc_id long, seq long, start long, end long, new string")
+    got = {r["doc_id"]: r for r in token_counts.apply_edits(kept, table).collect()}
+    after = list(t or "" for t in texts)
+    for i, _, a, b, new in sorted(edits):
+        if i < 5:
+            a = max(a, 0)
+            after[i] = after[i][:a] + (new or "") + after[i][b:]
+    for i, t in enumerate(texts):
+        assert got[i]["n_tokens"] == len(token_ids(t, path)) and got[i]["edited_tokens"] == len(token_ids(after[i], path))
+        assert "".join(x["text"] for x in got[i]["leaves"]) == after[i] and sum(x["tokens"] for x in got[i]["leaves"]) == got[i]["edited_tokens"]
+    assert got[3]["reencoded_chars"] == 0 and got[0]["reencoded_chars"] < 1500
+
+
 def test_rank_file_and_tokenizer_agree():
     import public_tokenizers
 
@@ -571,5 +594,6 @@ def test_heavy_groups_give_the_same_texts(spark, monkeypatch, heavy):
     body = "<body><p>Site name</p><p>{}</p></body>"
     rows = [(i, f"http://h{i % 2}.example/{i}", body.format(f"text {i}")) for i in range(30)]
     monkeypatch.setattr(common, "HEAVY", heavy)  # no group is heavy, or all are
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
     got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert sorted((r["page_id"], r["text"]) for r in got) == [(i, f"text {i}") for i in range(30)]
