@@ -1,6 +1,6 @@
 """Queries of this subpackage and their SQL where it can express them."""
 
-from cairnspark.llm import chat, digest, html, packing, pieces, quality, simhash, token_counts, toxicity, warc
+from cairnspark.llm import align, bpe, chat, digest, hardneg, html, packing, pieces, quality, simhash, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_chat": chat.op1_chat,
@@ -13,9 +13,13 @@ QUERIES = {
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_packing": packing.op9_packing,
     "op10_html": html.op10_html,
+    "op11_hard_negatives": hardneg.op11_hard_negatives,
+    "op12_bpe": bpe.op12_bpe,
+    "op13_align": align.op13_align,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_chat": chat.ORACLE_SQL,
     "op2_warc": warc.ORACLE_SQL,
+    "op11_hard_negatives": hardneg.ORACLE_SQL,
 }

@@ -20,6 +20,9 @@ TEXTS = [*CLEAN, CLEAN[0], CLEAN[0] + " more", None, "", " \n", "<|endoftext|> a
 PAGES = [(i, f"http://h.example/{i}", f"<body><ul><li><a>m {i}</a><li><a>n</a></ul><article><h1>T {i}</h1><p>text &amp; {i}</p></article><footer>f</footer></body>") for i in range(6)]
 PAGES += [(10, None, None), (11, "x", ""), (12, "http://h.example/c", PAGES[0][2]), (12, "http://h.example/c", PAGES[0][2])]
 CHATS = [(1, 2, "assistant", "b"), (1, 1, "user", "a"), (1, 3, "assistant", None), (2, 1, "a</turn>\nb:%#", "x\n### y"), (2, 1, "a</turn>\nb:%#", "x\n### y"), (3, 1, None, SAYING * 3), (1, 4, "assistant", "é\n" * 50)]
+_DRAWN = np.random.default_rng(5).normal(0, 0.12, (230, 8)).astype(np.float32).tolist()
+VECTORS = [(i, v if i % 9 else _DRAWN[0], i % 4, 1, "clash") for i, v in enumerate(_DRAWN)]  # every ninth is the same vector
+VECTORS += [(1000, None, 1, 0, ""), (1050, _DRAWN[3], None, 0, ""), (1100, [float("nan"), *_DRAWN[1][1:]], 1, 0, ""), (1150, [None, *_DRAWN[1][1:]], 1, 0, ""), (1200, [float("inf"), *_DRAWN[1][1:]], 1, 0, "")]
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +32,7 @@ def folder(spark, tmp_path_factory):
     labels = [(i, 1, int(i % 3 == 0)) for i in range(30)] + [(1, 1, None), (None, 1, 1)]
     for name, rows, schema in (
         ("documents", docs, "doc_id long, text string, lang string, source string, n_chars long, key string, fp int"), ("labels", labels, "doc_id long, quality int, toxic int"),
-        ("pages", PAGES, "page_id long, url string, html string"), ("conversations", CHATS, "conv_id long, turn long, role string, text string")):
+        ("embeddings", VECTORS, "vec_id long, embedding array<float>, label int, row int, leaf string"), ("pages", PAGES, "page_id long, url string, html string"), ("conversations", CHATS, "conv_id long, turn long, role string, text string")):
         spark.createDataFrame(rows, schema).write.parquet(f"{d}/{name}.parquet")
         spark.createDataFrame([], schema).write.parquet(f"{d}/none/{name}.parquet")
     return d
@@ -47,7 +50,7 @@ def test_empty_tables(spark, folder, name):
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
 def test_sql(spark, folder, name):
     c = duckdb.connect()
-    for t in ("documents", "labels", "pages", "conversations"):
+    for t in ("documents", "embeddings", "labels", "pages", "conversations"):
         c.sql(f"create view {t} as select * from '{folder}/{t}.parquet/*.parquet'")
     frame = catalog.QUERIES[name](spark, folder)
     want = c.sql(catalog.ORACLE_SQL[name])
@@ -167,7 +170,7 @@ def test_pipeline(spark, folder):
 
 def test_extra_columns_do_not_matter(spark, folder, tmp_path):
     d = str(tmp_path)
-    for t in ("documents", "labels", "pages", "conversations"):
+    for t in ("documents", "embeddings", "labels", "pages", "conversations"):
         spark.read.parquet(f"{folder}/{t}.parquet").withColumn("u", F.lit(1)).withColumn("node", F.lit("x")).withColumn("_hash", F.lit(2)).withColumn("n", F.lit(3)).write.parquet(f"{d}/{t}.parquet")
     for name in ("op1_chat", "op2_warc", "op5_simhash", "op8_quality_rules", "op10_html"):
         assert sorted(map(str, rows_of(spark, d, name))) == sorted(map(str, rows_of(spark, folder, name)))
