@@ -81,30 +81,46 @@ def percent(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part * 100.0, whole), F.lit(0.0))
 
 
-def json_kind(value: Column) -> Column:
+#: Fields of a statement value. Each is read as text, whatever its JSON type.
+VALUE_FIELDS = ("value", "wkt", "srid", "ref_natural_key", "ref_type_abbr", "ref_region", "iso", "confidence")
+
+
+def value_parts(value: Column) -> Column:
+    """The fields of a statement value as one struct, so that its JSON is parsed once; all null where it is no JSON object."""
+    whole = F.when(F.ltrim(value).startswith("{"), value)
+    return F.from_json(whole, ", ".join(f"{f} string" for f in VALUE_FIELDS))
+
+
+def kind_of_parts(parts: Column) -> Column:
     """Shape of a statement value: geometry, ref, text, time or json."""
-    has = lambda k: F.get_json_object(value, f"$.{k}").isNotNull()
-    return (
-        F.when(has("wkt"), "geometry").when(has("ref_natural_key"), "ref").when(has("value"), "text").when(has("iso"), "time").otherwise("json")
-    )
+    has = lambda k: parts[k].isNotNull()
+    return F.when(has("wkt"), "geometry").when(has("ref_natural_key"), "ref").when(has("value"), "text").when(has("iso"), "time").otherwise("json")
 
 
-def literal_of(value: Column) -> Column:
+def literal_of_parts(parts: Column, value: Column) -> Column:
     """Text of a literal value; null for references and geometries; other shapes keep their JSON text."""
-    kind = json_kind(value)
-    return (
-        F.when(kind == "text", F.get_json_object(value, "$.value"))
-        .when(kind == "time", F.get_json_object(value, "$.iso"))
-        .when(kind == "json", value)
-    )
+    kind = kind_of_parts(parts)
+    return F.when(kind == "text", parts["value"]).when(kind == "time", parts["iso"]).when(kind == "json", value)
 
 
-def confidence_of(value: Column) -> Column:
+def confidence_of_parts(parts: Column) -> Column:
     """Confidence of a statement, 1 where absent or empty, null where it is not a number."""
-    raw = F.trim(F.coalesce(F.get_json_object(value, "$.confidence"), F.lit("")))
+    raw = F.trim(F.coalesce(parts["confidence"], F.lit("")))
     return F.when(raw == "", 1.0).otherwise(raw.try_cast("double"))
 
 
+def json_kind(value: Column) -> Column:
+    return kind_of_parts(value_parts(value))
+
+
+def literal_of(value: Column) -> Column:
+    return literal_of_parts(value_parts(value), value)
+
+
+def confidence_of(value: Column) -> Column:
+    return confidence_of_parts(value_parts(value))
+
+
 #: Metadata fields that name who collected a row, in this order.
 COLLECTORS = ("surveyor", "recorder", "collector")
 

@@ -36,7 +36,17 @@ def cut(df: DataFrame) -> DataFrame:
     """
     path = fresh_folder(df.sparkSession, "cut")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._cut_at = path
+    return out
+
+
+def uncut(*frames: DataFrame) -> None:
+    """Remove the tables that cut wrote for these frames, which nothing reads any more; other frames are left alone."""
+    for df in frames:
+        if (path := getattr(df, "_cut_at", None)) is not None:
+            hadoop = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -69,6 +69,14 @@ def numbered(rows: DataFrame, order: list[str], within: list[str] | None = None,
     return out.withColumn(name, (F.col("_local") - F.col("_first") + F.col("_before") + 1).cast("long")).select(*[F.col(f"`{c}`") for c in columns], name)
 
 
+def first_entities(rows: DataFrame, key: Column, order: str, most: int) -> DataFrame:
+    """The rows up to the one, by order, with which the most-th different key first appears; all, if there are fewer keys. Rows without key count for none."""
+    at = F.col(f"`{order}`")
+    appears = rows.filter(key.isNotNull()).groupBy(key.alias("_key")).agg(F.min(at).alias("_at")).orderBy("_at").limit(most)
+    last = appears.agg(F.count("*").alias("_n"), F.max("_at").alias("_last"))
+    return rows.join(F.broadcast(last), (F.col("_n") < most) | (at <= F.col("_last"))).drop("_n", "_last")
+
+
 def synthetic_keys(rows: DataFrame, group: str, order: str, prefix: str, width: int = 4) -> DataFrame:
     """Keys prefix-0001 and so on for the rows of each group in order."""
     made = numbered(rows, [order], [group], "_ordinal")

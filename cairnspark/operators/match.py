@@ -1,14 +1,51 @@
-"""Column-mapping suggestions from headers, and dictionary annotation of texts."""
+"""Substring joins by rare q-grams, column-mapping suggestions from headers, and annotation of texts."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairnspark.functions.clean import normal_header
+from cairnspark.functions.joins import attach
 from cairnspark.functions.session import cut, read_or_empty
 
 MIN_COVER = 0.34
+#: Patterns are sought by pieces of so many characters; shorter ones by all they have.
+GRAM = 3
+
+
+def _grams(text: Column, size: int) -> Column:
+    """All runs of size characters, by a look ahead, which takes time linear in the text."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=({'.' * size}))"), F.lit(1))
+
+
+def containing(texts: DataFrame, key: str, text: str, patterns: DataFrame, pattern: str = "pattern") -> DataFrame:
+    """(key, text, found): the texts that contain a pattern, once each, with all the patterns that they contain.
+
+    texts has one row for each key. Each pattern waits under the one of its q-grams that the fewest texts hold (one that some gram
+    of it is in no text is dropped), so many patterns with a common start do not meet every text that has it. The join is by
+    equality, on distinct grams; a gram that many texts hold is dealt out. Only keys and patterns move until each text is
+    compared with its own candidates.
+    """
+    wanted = patterns.select(F.col(pattern).alias("_p")).filter(F.length("_p") > 0).distinct()
+    sizes = sorted(r[0] for r in wanted.select(F.least(F.length("_p"), F.lit(GRAM)).alias("n")).distinct().collect())
+    of_size = lambda c, n: F.when(F.least(F.length("_p"), F.lit(GRAM)) == n, _grams(F.col(c), n))
+    own = wanted.select("_p", F.explode(F.array_distinct(F.coalesce(*[of_size("_p", n) for n in sizes], F.array().cast("array<string>")))).alias("_gram"))
+    own = cut(own)
+    none = F.array().cast("array<string>")
+    held = texts.select(key, F.explode(F.array_distinct(F.concat(none, *[_grams(F.col(text), n) for n in sizes]))).alias("_gram"))
+    known = own.select("_gram").distinct()
+    counts = cut(held.join(known, "_gram", "left_semi").groupBy("_gram").agg(F.count("*").alias("n")))
+    rarest = own.join(counts, "_gram", "left").groupBy("_p").agg(F.min_by("_gram", F.struct("n", "_gram")).alias("_gram"), F.count_if(F.col("n").isNull()).alias("_absent"))
+    waiting = cut(rarest.filter("_absent = 0").groupBy("_gram").agg(F.collect_list("_p").alias("_ps")))
+    size = F.aggregate("_ps", F.lit(64), lambda n, p: n + F.octet_length(p) + 32)
+    met = attach(held, waiting, ["_gram"], counts.join(waiting.select("_gram"), "_gram", "left_semi"), F.xxhash64(key), "inner", size)
+    mine = met.select(key, F.explode("_ps").alias("_p")).groupBy(key).agg(F.collect_set("_p").alias("_ps"))
+    found = F.filter("_ps", lambda p: F.contains(F.col(text), p))
+    return texts.select(key, text).join(mine, key).select(key, text, found.alias("found")).filter(F.size("found") > 0)
 
 
 def suggest(headers: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -21,16 +58,15 @@ def suggest(headers: DataFrame, aliases: DataFrame) -> DataFrame:
     named = headers.select("table", "header", normal_header(F.col("header")).alias("h"))
     short = F.col("alias").rlike("^[a-z]{1,3}$")
     at_edges = F.concat(F.lit(" "), F.regexp_replace("h", "[^a-z0-9]+", " "), F.lit(" ")).contains(F.concat(F.lit(" "), F.col("alias"), F.lit(" ")))
-    fits = F.col("h").contains(F.col("alias")) & (~short | at_edges)
-    # a nested loop of distinct headers with the schema's aliases: neither side grows with the rows of the tables
-    matched = named.join(first, fits)
+    shown = named.select("h").filter(F.length("h") > 0).distinct().withColumn("shown", F.col("h"))
+    fits = containing(shown, "h", "shown", first, "alias").select("h", F.explode("found").alias("alias")).filter(~short | at_edges).join(first, "alias")
     cover = F.length("alias") / F.length("h")
-    best = matched.withColumn("cover", cover).filter(F.col("cover") >= MIN_COVER).groupBy("table", "header").agg(
+    best = fits.withColumn("cover", cover).filter(F.col("cover") >= MIN_COVER).groupBy("h").agg(
         F.max_by(F.struct("target", "cover"), F.struct("cover", F.length("alias"), "alias")).alias("b")
     )
     # least ignores nulls, so headers without an alias are left out first
     score = F.when(F.col("b").isNotNull(), F.round(F.least(F.lit(0.99), 0.5 + F.col("b.cover") / 2), 2))
-    return headers.join(best, ["table", "header"], "left").select(
+    return named.join(best, "h", "left").select(
         "table", "header", F.coalesce("b.target", F.lit("hasNotes")).alias("target"), F.coalesce(score, F.lit(0.2)).alias("score")
     )
 
@@ -92,16 +128,25 @@ def _surfaces(text: Column) -> Column:
 ONE_WORD = r"^[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]]+$"
 
 
+def text_key(text: Column, model: str) -> Column:
+    """Identity of a text as a model reads it."""
+    return F.sha2(F.concat(F.lit(f"{model}\n"), text), 256)
+
+
+def _distinct_texts(texts: DataFrame, model: str) -> DataFrame:
+    """(text_key, text) of the texts of four characters at least, once each."""
+    return texts.filter(F.length("text") >= 4).select(text_key(F.col("text"), model).alias("text_key"), "text").dropDuplicates(["text_key"])
+
+
 def mentions(texts: DataFrame, dictionary: DataFrame, seen: DataFrame | None = None, model: str = "dictionary") -> DataFrame:
     """(text_key, surface, canonical, kind) of dictionary surfaces in texts; each distinct text is annotated once.
 
     texts: text; dictionary: surface, canonical, kind; seen: text_key already annotated (see annotate_new). A key is the
     hash of the model's name and the text. A surface that is one word of an alphabet must be a whole word of the
-    text, so it is an equi-join; one of several words, or of a script that sets no blanks, may stand anywhere: texts that
-    hold its first two characters are found by an equi-join and then compared with it. Letter case does not count.
+    text, so it is an equi-join; one of several words, or of a script that sets no blanks, may stand anywhere and is
+    sought by its rarest characters (see containing). Letter case does not count.
     """
-    key = F.sha2(F.concat(F.lit(f"{model}\n"), F.col("text")), 256)
-    keyed = texts.filter(F.length("text") >= 4).select(key.alias("text_key"), "text").dropDuplicates(["text_key"])
+    keyed = _distinct_texts(texts, model)
     if seen is not None:
         keyed = keyed.join(seen, "text_key", "left_anti")
     named = dictionary.withColumn("surface", F.lower("surface")).filter(F.length("surface") > 0)
@@ -109,33 +154,74 @@ def mentions(texts: DataFrame, dictionary: DataFrame, seen: DataFrame | None = N
     words = keyed.select("text_key", F.explode(_surfaces(F.col("text"))).alias("surface"))
     found = words.join(single, "surface").select("text_key", "surface", "canonical", "kind")
 
-    anywhere = named.filter(~F.col("surface").rlike(ONE_WORD)).withColumn("start", F.substring("surface", 1, 2))
+    anywhere = named.filter(~F.col("surface").rlike(ONE_WORD))
     if anywhere.isEmpty():
         return found
-    low = keyed.select("text_key", F.lower("text").alias("low"))
-    # all pairs of neighbours by a look ahead, and single characters for surfaces of one
-    starts = F.array_union(F.regexp_extract_all("low", F.lit("(?s)(?=(..))"), F.lit(1)), F.regexp_extract_all("low", F.lit("(?s)(.)"), F.lit(1)))
-    begun = low.select("text_key", F.explode(starts).alias("start")).join(anywhere, "start").drop("start").join(low, "text_key")
+    low = cut(keyed.select("text_key", F.lower("text").alias("low")))
     # where a surface begins or ends with a letter of an alphabet, it must begin or end a word there
     border = lambda c, look: F.when(c.rlike(ONE_WORD), look + r"[\p{L}\p{M}\p{N}])").otherwise("")
-    quoted = F.concat(F.lit(r"\Q"), F.replace("surface", F.lit(r"\E"), F.lit("")), F.lit(r"\E"))
-    pattern = F.concat(border(F.substring("surface", 1, 1), "(?<!"), quoted, border(F.right("surface", F.lit(1)), "(?!"))
-    hits = begun.withColumn("pattern", pattern).filter(F.contains("low", "surface") & F.expr("low RLIKE pattern"))
+    quoted = lambda s: F.concat(F.lit(r"\Q"), F.replace(s, F.lit(r"\E"), F.lit("")), F.lit(r"\E"))
+    pattern = lambda s: F.concat(border(F.substring(s, 1, 1), "(?<!"), quoted(s), border(F.right(s, F.lit(1)), "(?!"))
+    held = containing(low, "text_key", "low", anywhere, "surface").select("text_key", F.filter("found", lambda s: F.rlike(F.col("low"), pattern(s))).alias("found"))
+    hits = held.select("text_key", F.explode("found").alias("surface")).join(anywhere, "surface")
     return found.unionByName(hits.select("text_key", "surface", "canonical", "kind"))
 
 
-def annotate_new(texts: DataFrame, dictionary: DataFrame, cache: str, model: str = "dictionary") -> DataFrame:
+#: Takes a batch of distinct texts and gives, for each, its mentions as (surface, canonical, kind). It may raise.
+Annotator = Callable[[list[str]], list[list[tuple[str, str, str]]]]
+_MENTIONS = "array<struct<surface: string, canonical: string, kind: string>>"
+
+
+def annotate(texts: DataFrame, annotator: Annotator, batch: int = 64) -> DataFrame:
+    """(text_key, mentions, failed) of texts (text_key, text) by an annotator of one's own, which runs in the tasks.
+
+    It is called with at most batch texts. Where such a call fails, its texts are tried one by one; a text that fails
+    alone has failed set and no mentions, and the others are as if it were not there.
+    """
+
+    def alone(text: str) -> tuple[list, bool]:
+        try:
+            return list(annotator([text])[0]), False
+        except Exception:  # whatever a model raises concerns its text only
+            return [], True
+
+    def together(part: list[str]) -> list[tuple[list, bool]]:
+        try:
+            found = annotator(part)
+            if len(found) == len(part):
+                return [(list(x), False) for x in found]
+        except Exception:
+            pass
+        return [alone(t) for t in part]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for at in range(0, len(frame), batch):
+                part = frame.iloc[at : at + batch]
+                got = together(part["text"].tolist())
+                yield pd.DataFrame({
+                    "text_key": part["text_key"].tolist(), "mentions": [[dict(zip(("surface", "canonical", "kind"), m, strict=True)) for m in x] for x, _ in got],
+                    "failed": [f for _, f in got]})
+
+    return texts.select("text_key", "text").mapInPandas(run, f"text_key string, mentions {_MENTIONS}, failed boolean")
+
+
+def annotate_new(texts: DataFrame, by: DataFrame | Annotator, cache: str, model: str = "dictionary") -> DataFrame:
     """All mentions in texts, of which those that the cache table at this path holds are not sought again.
 
-    The cache holds one row for each annotated text (text_key, mentions), new ones are appended; texts without
-    mentions are kept too.
+    by: a dictionary (see mentions) or an annotator (see annotate). The cache holds one row for each annotated text (text_key, mentions);
+    new ones are appended, those without mentions too, but not those that an annotator failed on, which the next run tries again.
     """
     spark = texts.sparkSession
-    schema = "text_key string, mentions array<struct<surface: string, canonical: string, kind: string>>"
-    keys = texts.filter(F.length("text") >= 4).select(F.sha2(F.concat(F.lit(f"{model}\n"), F.col("text")), 256).alias("text_key"), "text").dropDuplicates(["text_key"])
+    schema = f"text_key string, mentions {_MENTIONS}"
+    keys = _distinct_texts(texts, model)
     known = read_or_empty(spark, cache, schema)
-    found = mentions(texts, dictionary, known.select("text_key"), model)
-    found = found.groupBy("text_key").agg(F.collect_set(F.struct("surface", "canonical", "kind")).alias("mentions"))
-    new = keys.select("text_key").join(known, "text_key", "left_anti").join(found, "text_key", "left")
-    cut(new.select("text_key", F.coalesce("mentions", F.array().cast("array<struct<surface: string, canonical: string, kind: string>>")).alias("mentions"))).write.mode("append").parquet(cache)
+    new = keys.join(known.select("text_key"), "text_key", "left_anti")
+    if callable(by):
+        made = annotate(new, by).filter("NOT failed").select("text_key", "mentions")
+    else:
+        found = mentions(texts, by, known.select("text_key"), model)
+        found = found.groupBy("text_key").agg(F.collect_set(F.struct("surface", "canonical", "kind")).alias("mentions"))
+        made = new.select("text_key").join(found, "text_key", "left").select("text_key", F.coalesce("mentions", F.array().cast(_MENTIONS)).alias("mentions"))
+    cut(made).write.mode("append").parquet(cache)
     return spark.read.schema(schema).parquet(cache).join(keys.select("text_key"), "text_key", "left_semi").select("text_key", F.inline("mentions"))

@@ -1,9 +1,11 @@
 """Set-based promotion of staged rows: identifiers, entities, evidence and typed statements.
 
 A graph is a dict of DataFrames: registry (region, kind, natural_key, pid, serial), entities
-(pid, entity_type, label, stub), evidence (evidence_id, source_name, source_type, collector, metadata)
-and statements (subject_id, predicate, object_value, object_id, geometry, valid_from, valid_to,
-evidence_id, confidence). Staged rows have batch_id, row_seq, source_uri, source_type, metadata (optional), collector,
+(region, pid, entity_type, label, stub), evidence (evidence_id, source_name, source_type, collector, metadata)
+and statements (region, subject_id, predicate, object_value, object_id, geometry, valid_from, valid_to,
+evidence_id, confidence, key_a, key_b). The region is that of the identifier; a stored graph is partitioned by it.
+key_a and key_b are two independent 64-bit hashes of what makes two statements the same, so that the question
+which statements are new reads and shuffles nothing else of the old ones. Staged rows have batch_id, row_seq, source_uri, source_type, metadata (optional), collector,
 region, kind, temporal, natural_key, predicate, stmt_value (JSON), valid_from, valid_to.
 Promoting the same rows again changes nothing: every insert is an anti join on a null-safe key. What a batch
 adds is computed as deltas, so the work is that of the batch and of an anti join with the regions it touches;
@@ -17,64 +19,90 @@ from pyspark.sql import functions as F
 
 from cairnspark.functions import clean as C
 from cairnspark.functions import geo as G
+from cairnspark.functions.joins import attach
 from cairnspark.functions.session import cut
 from cairnspark.operators.connect import numbered
 
 SCHEMAS = {
     "registry": "region string, kind string, natural_key string, pid string, serial long",
-    "entities": "pid string, entity_type string, label string, stub boolean",
+    "entities": "region string, pid string, entity_type string, label string, stub boolean",
     "evidence": "evidence_id long, source_name string, source_type string, collector string, metadata string",
-    "statements": "subject_id string, predicate string, object_value string, object_id string, geometry string, "
-    "valid_from string, valid_to string, evidence_id long, confidence double",
+    "statements": "region string, subject_id string, predicate string, object_value string, object_id string, geometry string, "
+    "valid_from string, valid_to string, evidence_id long, confidence double, key_a long, key_b long",
 }
+#: Columns that make two statements the same, nulls being equal.
 _KEY = ["subject_id", "predicate", "object_value", "object_id", "geometry", "valid_from", "evidence_id"]
 
 
-def statement_key() -> list[str]:
-    """Columns that make two statements the same, nulls being equal."""
-    return list(_KEY)
-
-
 def empty_graph(spark: SparkSession) -> dict[str, DataFrame]:
     return {n: spark.createDataFrame([], s) for n, s in SCHEMAS.items()}
 
 
-def missing(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """Those rows of new whose key (nulls equal) old lacks, one row for each key."""
-    mark = F.xxhash64(*[F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in key]).alias("_mark")
-    same = [F.coalesce(F.col(k).cast("string"), F.lit("\0")).alias(f"_{k}") for k in key]
-    names = ["_mark", *[f"_{k}" for k in key]]
-    fresh = new.select("*", *same, mark).dropDuplicates(names)
-    return fresh.join(old.select(*same, mark), names, "left_anti").drop(*names)
+def region_of(pid: Column) -> Column:
+    """The region that an identifier names."""
+    return F.split_part(pid, F.lit(":"), F.lit(2))
+
+
+def hashes(*columns: Column) -> list[Column]:
+    """Two independent 64-bit hashes (key_a, key_b) of some columns, nulls being equal and unlike any text."""
+    said = [F.struct(c.isNull(), c.cast("string")) for c in columns]
+    return [F.xxhash64(*said).alias("key_a"), F.xxhash64(F.lit("second"), *reversed(said)).alias("key_b")]
 
 
-def insert_new(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """old with those rows of new whose key (nulls equal) it lacks, one row for each key."""
-    return old.unionByName(missing(old, new, key).select(*old.columns))
+def keyed(statements: DataFrame) -> DataFrame:
+    """statements with region, key_a and key_b, in the order of the schema."""
+    region = region_of(F.col("subject_id")).alias("region")
+    return statements.select(region, *_columns("statements")[1:-2], *hashes(*map(F.col, _KEY)))
 
 
-def _srid(stmt_value: Column) -> Column:
-    return F.get_json_object(stmt_value, "$.srid").try_cast("int")
+def _columns(table: str) -> list[str]:
+    return [c.split()[0] for c in SCHEMAS[table].split(", ")]
+
+
+def missing(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Those statements of new (with key_a and key_b) that old lacks, one row for each key."""
+    return new.dropDuplicates(["key_a", "key_b"]).join(old.select("key_a", "key_b"), ["key_a", "key_b"], "left_anti")
 
 
 def reject(staged: DataFrame) -> DataFrame:
     """staged with a column error: the code of why a row cannot be promoted, or null."""
-    value, kind = F.col("stmt_value"), C.json_kind(F.col("stmt_value"))
-    ref = lambda k: F.get_json_object(value, f"$.ref_{k}")
+    return staged.withColumn("_v", C.value_parts(F.col("stmt_value"))).withColumn("error", _error(F.col("_v"))).drop("_v")
+
+
+def _error(v: Column) -> Column:
+    """v: the parts of the statement's value (see value_parts)."""
+    kind = C.kind_of_parts(v)
     sound = lambda c, rule: F.coalesce(rule(c), c.isNull())  # noqa: E731  absent parts have defaults
-    ref_fails = C.clean(ref("natural_key")).isNull() | ~sound(ref("type_abbr"), C.valid_type) | ~sound(ref("region"), C.valid_region)
-    return staged.withColumn(
-        "error",
+    ref_fails = C.clean(v["ref_natural_key"]).isNull() | ~sound(v["ref_type_abbr"], C.valid_type) | ~sound(v["ref_region"], C.valid_region)
+    return (
         F.when(~F.coalesce(C.valid_region(F.col("region")), F.lit(False)), "bad_region")
         .when(~F.coalesce(C.valid_type(F.col("kind")), F.lit(False)), "bad_type")
         .when(C.clean(F.col("natural_key")).isNull(), "no_key")
-        .when(C.confidence_of(value).isNull(), "bad_confidence")
+        .when(C.confidence_of_parts(v).isNull(), "bad_confidence")
         .when((kind == "ref") & ref_fails, "bad_reference")
-        .when((kind == "geometry") & ~G.valid_wkt(F.get_json_object(value, "$.wkt")), "bad_geometry")
-        .when((kind == "geometry") & ~G.known_srid(_srid(value)), "unknown_srid"),
+        .when((kind == "geometry") & ~G.valid_wkt(v["wkt"]), "bad_geometry")
+        .when((kind == "geometry") & ~G.known_srid(v["srid"].try_cast("int")), "unknown_srid")
     )
 
 
+#: What is left of a staged row once its value is parsed.
+_PARSED = ("batch_id", "row_seq", "source_uri", "source_type", "metadata", "collector", "region", "kind", "temporal", "natural_key", "predicate", "valid_from", "valid_to")
+
+
+def _parsed(staged: DataFrame) -> DataFrame:
+    """Staged rows with their error, or without one with the parts of their statement; each JSON text is parsed once."""
+    v, said = F.col("_v"), lambda c: F.when(F.col("error").isNull(), c)
+    kind = C.kind_of_parts(v)
+    is_ref = kind == "ref"
+    rows = staged.withColumn("_v", C.value_parts(F.col("stmt_value"))).withColumn("error", _error(v))
+    return rows.select(
+        *_PARSED, "error", F.when(F.col("error").isNotNull(), F.col("stmt_value")).alias("stmt_value"), said(is_ref).alias("is_ref"),
+        said(F.when(is_ref, v["ref_natural_key"])).alias("ref_key"), said(F.when(is_ref, F.coalesce(v["ref_type_abbr"], F.lit("pl")))).alias("ref_kind"),
+        said(F.when(is_ref, F.coalesce(v["ref_region"], "region"))).alias("ref_region"), said(F.coalesce((F.col("predicate") == "hasName") & (kind == "text"), F.lit(False))).alias("is_name"),
+        said(C.literal_of_parts(v, F.col("stmt_value"))).alias("object_value"), said(F.when(kind == "geometry", G.to_wgs84(v["wkt"], v["srid"].try_cast("int")))).alias("geometry"),
+        said(C.confidence_of_parts(v)).alias("confidence"))
+
+
 def minted(registry: DataFrame, keys: DataFrame) -> DataFrame:
     """A new identifier for each (region, kind, natural_key) that registry lacks.
 
@@ -95,19 +123,21 @@ def mint(registry: DataFrame, keys: DataFrame) -> DataFrame:
     return registry.unionByName(minted(registry, keys))
 
 
-def upsert_labels(entities: DataFrame, named: DataFrame) -> DataFrame:
-    """Full outer upsert of (pid, entity_type, label, stub): a real name replaces a stub's, else the old label stays."""
+def _upserted(entities: DataFrame, named: DataFrame) -> DataFrame:
     new = named.groupBy("pid").agg(
         F.max("entity_type").alias("t"), F.min_by("label", F.struct("stub", "label")).alias("l"), F.min("stub").alias("s")
     )
     both = entities.join(new, "pid", "full_outer")
     keeps = F.col("label").isNotNull() & (~F.col("stub") | F.coalesce("s", F.lit(True)))
-    return both.select(
-        "pid",
-        F.coalesce("entity_type", "t").alias("entity_type"),
-        F.when(keeps, F.col("label")).otherwise(F.coalesce("l", "label")).alias("label"),
-        F.when(F.col("stub").isNull(), F.col("s")).otherwise(F.col("stub") & F.coalesce("s", F.lit(True))).alias("stub"),
-    )
+    label = F.when(keeps, F.col("label")).otherwise(F.coalesce("l", "label"))
+    stub = F.when(F.col("stub").isNull(), F.col("s")).otherwise(F.col("stub") & F.coalesce("s", F.lit(True)))
+    changed = F.col("stub").isNull() | ~label.eqNullSafe(F.col("label")) | (stub != F.col("stub"))
+    return both.select("pid", F.coalesce("entity_type", "t").alias("entity_type"), label.alias("label"), stub.alias("stub"), changed.alias("changed"))
+
+
+def upsert_labels(entities: DataFrame, named: DataFrame) -> DataFrame:
+    """Full outer upsert of (pid, entity_type, label, stub): a real name replaces a stub's, else the old label stays."""
+    return _upserted(entities, named).drop("changed")
 
 
 Graph = dict[str, DataFrame]
@@ -115,12 +145,13 @@ Graph = dict[str, DataFrame]
 
 def apply(graph: Graph, deltas: Graph) -> Graph:
     """The graph after a batch: rows of registry, evidence and statements are added, those of entities replace the old."""
-    old = graph["entities"].join(deltas["entities"].select("pid"), "pid", "left_anti")
+    old = graph["entities"].join(deltas["entities"].select("region", "pid"), ["region", "pid"], "left_anti")
     return {n: (old if n == "entities" else graph[n]).unionByName(deltas[n]) for n in SCHEMAS}
 
 
-def _of_regions(df: DataFrame, region: Column, regions: list[str]) -> DataFrame:
-    return df.filter(region.isin(*regions)) if regions else df.limit(0)
+def _of_regions(df: DataFrame, regions: list[str]) -> DataFrame:
+    """The rows of some regions: of a stored graph only their folders are read."""
+    return df.filter(F.col("region").isin(*regions)) if regions else df.limit(0)
 
 
 def promote_deltas(graph: Graph, staged: DataFrame, batches: list[str] | None = None) -> tuple[Graph, DataFrame, DataFrame]:
@@ -131,45 +162,27 @@ def promote_deltas(graph: Graph, staged: DataFrame, batches: list[str] | None =
     """
     if "metadata" not in staged.columns:
         staged = staged.withColumn("metadata", F.lit(None).cast("string"))
-    checked = cut(reject(staged))
-    rows = checked.filter(F.col("error").isNull()).drop("error")
-    value = F.col("stmt_value")
-    ref = lambda k: F.get_json_object(value, f"$.ref_{k}")
-    rows = rows.withColumns({
-        "form": C.json_kind(value),
-        "ref_key": ref("natural_key"),
-        "ref_kind": F.coalesce(ref("type_abbr"), F.lit("pl")),
-        "ref_region": F.coalesce(ref("region"), F.col("region")),
-    })
-    own = rows.select("region", "kind", "natural_key", "temporal")
-    refs = rows.filter(F.col("form") == "ref").select(
-        F.col("ref_region").alias("region"), F.col("ref_kind").alias("kind"), F.col("ref_key").alias("natural_key"), F.lit("unk").alias("temporal")
-    )
-    # a batch names few regions; the old graph is read for those alone
-    touched = sorted(r[0] for r in own.select("region").union(refs.select("region")).distinct().collect())
-    here = F.split_part("subject_id", F.lit(":"), F.lit(2))
-    old_registry = _of_regions(graph["registry"], F.col("region"), touched)
-    old_statements = _of_regions(graph["statements"], here, touched)
+    checked = cut(_parsed(staged))
+    rows = checked.filter(F.col("error").isNull())
+    key = ["region", "kind", "natural_key"]
+    refs = rows.filter("is_ref").select(*[F.col(f"ref_{c}").alias(n) for c, n in (("region", "region"), ("kind", "kind"), ("key", "natural_key"))])
     # subjects come before what is only referred to, so a key that is both takes the subject's temporal part
-    both = own.withColumn("late", F.lit(0)).unionByName(refs.withColumn("late", F.lit(1)))
-    keys = both.groupBy("region", "kind", "natural_key").agg(F.min_by("temporal", F.struct("late", "temporal")).alias("temporal"))
-    registry = cut(minted(old_registry, keys))
-    used = old_registry.join(keys, ["region", "kind", "natural_key"], "left_semi").unionByName(registry)
-    ids = cut(used.select("region", "kind", "natural_key", "pid"))
-
-    names = rows.filter((F.col("predicate") == "hasName") & (F.col("form") == "text")).groupBy("region", "kind", "natural_key").agg(
-        F.min_by(C.literal_of(value), "row_seq").alias("label")
-    )
-    subjects = own.select("region", "kind", "natural_key").distinct().join(names, ["region", "kind", "natural_key"], "left").select(
-        "*", F.lit(False).alias("stub")
-    )
-    stubs = refs.select("region", "kind", "natural_key").distinct().select("*", F.col("natural_key").alias("label"), F.lit(True).alias("stub"))
-    named = subjects.unionByName(stubs).join(ids, ["region", "kind", "natural_key"]).select(
-        "pid", F.col("kind").alias("entity_type"), "label", "stub"
-    )
-    before = graph["entities"].join(ids.select("pid"), "pid", "left_semi")
-    after = upsert_labels(before, named)
-    entities = cut(after.exceptAll(before))
+    own = rows.groupBy(*key).agg(
+        F.min("temporal").alias("temporal"), F.min_by(F.when(F.col("is_name"), F.col("object_value")), F.when(F.col("is_name"), F.col("row_seq"))).alias("label"), F.count("*").alias("n_own"))
+    said = refs.groupBy(*key).agg(F.count("*").alias("n_refs"))
+    keys = cut(own.join(said, key, "full_outer"))
+    # a batch names few regions; the old graph is read for those alone
+    touched = sorted(r[0] for r in keys.select("region").distinct().collect())
+    old_registry = _of_regions(graph["registry"], touched)
+    own_key = F.col("n_own").isNotNull()
+    registry = cut(minted(old_registry, keys.select(*key, F.when(own_key, F.col("temporal")).otherwise("unk").alias("temporal"))))
+    used = old_registry.select(*key, "pid").unionByName(registry.select(*key, "pid"))
+    ids = cut(keys.join(used, key))
+
+    named = ids.select("pid", F.col("kind").alias("entity_type"), F.when(own_key, F.col("label")).otherwise(F.col("natural_key")).alias("label"), (~own_key).alias("stub"))
+    both_ways = ids.filter(own_key & F.col("n_refs").isNotNull()).select("pid", F.col("kind").alias("entity_type"), F.col("natural_key").alias("label"), F.lit(True).alias("stub"))
+    before = _of_regions(graph["entities"], touched).join(ids.select("pid"), "pid", "left_semi").drop("region")
+    entities = cut(_upserted(before, named.unionByName(both_ways)).filter("changed").select(region_of(F.col("pid")).alias("region"), "pid", "entity_type", "label", "stub"))
 
     source = rows.groupBy(F.col("source_uri").alias("source_name")).agg(
         F.min_by("source_type", "row_seq").alias("source_type"),
@@ -178,17 +191,16 @@ def promote_deltas(graph: Graph, staged: DataFrame, batches: list[str] | None =
     source = source.filter(F.col("source_name").isNotNull())
     evidence, by_name = new_evidence(graph["evidence"], source)
 
-    built = rows.join(ids.withColumnRenamed("pid", "subject_id"), ["region", "kind", "natural_key"]).join(by_name, "source_uri", "left")
+    # a popular subject or object may have most of the rows
+    built = attach(rows, ids.select(*key, F.col("pid").alias("subject_id")), key, ids.select(*key, F.col("n_own").alias("n")).filter("n > 0"), F.xxhash64("row_seq"), "inner")
+    built = built.join(by_name, "source_uri", "left")
     # only references are joined with their objects: the nulls of all literals would be one key
-    objects = ids.select(*[F.col(c).alias(f"ref_{n}") for c, n in (("region", "region"), ("kind", "kind"), ("natural_key", "key"))], F.col("pid").alias("object_id"))
-    is_ref = F.col("form") == "ref"
-    built = built.filter(is_ref).join(objects, ["ref_region", "ref_kind", "ref_key"]).unionByName(
-        built.filter(~is_ref).withColumn("object_id", F.lit(None).cast("string")))
-    built = built.select(
-        "batch_id", "subject_id", "predicate", C.literal_of(value).alias("object_value"), "object_id",
-        G.to_wgs84(F.get_json_object(value, "$.wkt"), _srid(value)).alias("geometry"), "valid_from", "valid_to", "evidence_id", C.confidence_of(value).alias("confidence"),
-    )
-    statements = cut(missing(old_statements, built, _KEY))
+    ref = ["ref_region", "ref_kind", "ref_key"]
+    objects = ids.filter("n_refs > 0").select(*[F.col(c).alias(r) for c, r in zip(key, ref, strict=True)], F.col("pid").alias("object_id"), F.col("n_refs").alias("n"))
+    built = attach(built.filter("is_ref"), objects.drop("n"), ref, objects.select(*ref, "n"), F.xxhash64("row_seq", "batch_id"), "inner").unionByName(
+        built.filter("NOT is_ref").withColumn("object_id", F.lit(None).cast("string")))
+    said_in = built.select("batch_id", region_of(F.col("subject_id")).alias("region"), *_columns("statements")[1:-2], *hashes(*map(F.col, _KEY)))
+    statements = cut(missing(_of_regions(graph["statements"], touched), said_in))
     audit = checked.groupBy("batch_id").agg(F.count("*").alias("rows_in"), F.count_if(F.col("error").isNotNull()).alias("rows_err"))
     if batches:
         asked = staged.sparkSession.createDataFrame([(b,) for b in batches], "batch_id string")
@@ -198,7 +210,7 @@ def promote_deltas(graph: Graph, staged: DataFrame, batches: list[str] | None =
         "rows_skipped", F.col("rows_in") - F.col("rows_err") - F.col("rows_inserted")).withColumn(
         "status", F.when(F.col("rows_err") == 0, "success").otherwise("partial"))
     deltas = {"registry": registry, "entities": entities, "evidence": evidence, "statements": statements.drop("batch_id")}
-    return deltas, audit, checked.filter(F.col("error").isNotNull())
+    return deltas, audit, checked.filter(F.col("error").isNotNull()).select(*_PARSED, "stmt_value", "error")
 
 
 def new_evidence(old: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,34 +1,45 @@
 """A graph kept as appended deltas, and the staging table that feeds it.
 
-A store is a folder with one folder for each graph table and one for the audit, all partitioned by commit number. A
+A store is a folder with one folder for each graph table and one for the audit. All are partitioned by commit number, and
+registry, entities and statements within it by region, so a batch reads the regions that it names and no other folder. A
 commit writes its deltas first and its audit rows last; a number without audit rows was never finished, is not
 read, and is written over by the next commit. Entities are read as of the last commit that has them.
-A staging table is partitioned by batch; a batch is processed when the store's audit has it.
+
+A staging table is partitioned by batch and load: every call of stage_rows is a load of its own. The audit names the loads that it took, so rows
+that are staged for a batch after its promotion are promoted by the next run, with an audit row of their own.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnspark.functions.session import cut, read_or_empty
-from cairnspark.operators.promote import SCHEMAS, Graph, promote_deltas
+from cairnspark.operators.promote import SCHEMAS, Graph, apply, promote_deltas
+from cairnspark.operators.spatial import infer_fresh
 
-AUDIT = "batch_id string, rows_in long, rows_err long, rows_inserted long, rows_skipped long, status string, finished_at timestamp"
+AUDIT = (
+    "batch_id string, rows_in long, rows_err long, rows_inserted long, rows_skipped long, status string, loads array<string>, finished_at timestamp"
+)
 STAGED = (
     "batch_id string, row_seq long, source_uri string, source_type string, metadata string, collector string, region string, kind string, "
     "temporal string, natural_key string, predicate string, stmt_value string, valid_from string, valid_to string"
 )
 
 
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
 def stage_rows(staged: DataFrame, path: str) -> None:
     """Append those staged rows whose (batch_id, row_seq) the table at path lacks; only the batches at hand are read."""
-    names = [c.split()[0] for c in STAGED.split(", ")]
-    rows = cut(staged.select(*[F.col(c) if c in staged.columns else F.lit(None).cast("string").alias(c) for c in names]))
+    rows = cut(staged.select(*[F.col(c) if c in staged.columns else F.lit(None).cast("string").alias(c) for c in _names(STAGED)]))
     batches = [r[0] for r in rows.select("batch_id").distinct().collect()]
     known = read_or_empty(rows.sparkSession, path, STAGED).filter(F.col("batch_id").isin(*batches)).select("batch_id", "row_seq")
     fresh = rows.dropDuplicates(["batch_id", "row_seq"]).join(known, ["batch_id", "row_seq"], "left_anti")
-    fresh.write.mode("append").partitionBy("batch_id").parquet(path)
+    fresh.withColumn("load", F.lit(uuid.uuid4().hex)).write.mode("append").partitionBy("batch_id", "load").parquet(path)
 
 
 def audit_of(spark: SparkSession, store: str) -> DataFrame:
@@ -36,9 +47,9 @@ def audit_of(spark: SparkSession, store: str) -> DataFrame:
 
 
 def processed(spark: SparkSession, staging: str, store: str) -> DataFrame:
-    """The staging table with processed_at, null for rows of batches that are not promoted yet."""
-    done = audit_of(spark, store).groupBy("batch_id").agg(F.max("finished_at").alias("processed_at"))
-    return read_or_empty(spark, staging, STAGED).join(done, "batch_id", "left")
+    """The staging table with processed_at, null for rows of loads that are not promoted yet."""
+    done = audit_of(spark, store).select("batch_id", F.explode("loads").alias("load"), F.col("finished_at").alias("processed_at"))
+    return read_or_empty(spark, staging, f"{STAGED}, load string").join(done, ["batch_id", "load"], "left")
 
 
 def _last(spark: SparkSession, store: str) -> int:
@@ -49,27 +60,41 @@ def load(spark: SparkSession, store: str) -> Graph:
     last, graph = _last(spark, store), {}
     for name, schema in SCHEMAS.items():
         rows = read_or_empty(spark, f"{store}/{name}", f"{schema}, commit long").filter(F.col("commit") <= last)
-        columns = [c.split()[0] for c in schema.split(", ")]
-        if name == "entities":
-            rows = rows.groupBy("pid").agg(F.max_by(F.struct(*columns), "commit").alias("e")).select("e.*")
-        graph[name] = rows.select(*columns)
+        if name == "entities":  # by region as well, so that a choice of regions reaches the folders
+            rows = rows.groupBy("region", "pid").agg(F.max_by(F.struct("entity_type", "label", "stub"), "commit").alias("e")).select("region", "pid", "e.*")
+        graph[name] = rows.select(*_names(schema))
     return graph
 
 
 def commit(deltas: Graph, audit: DataFrame, store: str) -> None:
-    """Write a batch's deltas, then its audit rows, which make them count."""
-    spark = audit.sparkSession
-    number = _last(spark, store) + 1
+    """Write a batch's deltas, then its audit rows, which make them count. audit may have the loads that it is about."""
+    number = _last(audit.sparkSession, store) + 1
     for name, df in deltas.items():
-        df.write.mode("overwrite").parquet(f"{store}/{name}/commit={number}")
-    done = audit.withColumn("finished_at", F.current_timestamp()).select(*[c.split()[0] for c in AUDIT.split(", ")])
+        path = f"{store}/{name}/commit={number}"
+        if "region" not in df.columns:
+            df.write.mode("overwrite").parquet(path)
+        elif df.isEmpty():  # a folder that no region can be, so that every commit has every table
+            df.drop("region").coalesce(1).write.mode("overwrite").parquet(f"{path}/region=-")
+        else:
+            df.write.mode("overwrite").partitionBy("region").parquet(path)
+    if "loads" not in audit.columns:
+        audit = audit.withColumn("loads", F.array().cast("array<string>"))
+    done = audit.withColumn("finished_at", F.current_timestamp()).select(*_names(AUDIT))
     done.coalesce(1).write.mode("overwrite").parquet(f"{store}/audit/commit={number}")  # one row for each batch
 
 
-def promote_waiting(spark: SparkSession, staging: str, store: str) -> DataFrame:
-    """Promote all batches of the staging table that are not processed, in one commit; returns their rejected rows."""
-    waiting = cut(processed(spark, staging, store).filter(F.col("processed_at").isNull()).drop("processed_at"))
-    deltas, audit, rejected = promote_deltas(load(spark, store), waiting)
+def promote_waiting(spark: SparkSession, staging: str, store: str, cell: float | None = None, batches: list[str] | None = None) -> DataFrame:
+    """Promote all loads of the staging table that are not processed, or those of some batches, in one commit; returns their rejected rows.
+
+    With cell, the width of a grid cell, the commit also has the containment edges that its geometries bring about.
+    """
+    waiting = processed(spark, staging, store).filter(F.col("processed_at").isNull()).drop("processed_at")
+    waiting = cut(waiting if batches is None else waiting.filter(F.col("batch_id").isin(*batches)))
+    graph = load(spark, store)
+    deltas, audit, rejected = promote_deltas(graph, waiting.drop("load"))
     if not waiting.isEmpty():
-        commit(deltas, audit, store)
+        if cell is not None:
+            deltas = infer_fresh(apply(graph, deltas), deltas, cell)
+        loads = waiting.groupBy("batch_id").agg(F.collect_set("load").alias("loads"))  # one for each call of stage_rows
+        commit(deltas, audit.join(loads, "batch_id"), store)
     return rejected

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnspark.functions import geo as G
-from cairnspark.functions.session import table
+from cairnspark.functions.session import cut, table
 from cairnspark.operators.connect import fan_out, unpivot, with_other
 from cairnspark.operators.govern import histogram
+from cairnspark.operators.match import containing
 from cairnspark.operators.spatial import contains_place
 from cairnspark.plans.graph import ENTITIES, STATEMENTS, entities, id_of, lat, lon, nation_polygons, statements, supplier_polygons
 from cairnspark.plans.registry import query
@@ -36,11 +37,13 @@ def entity_type_distribution(spark: SparkSession, d: str) -> DataFrame:
 FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name ORDER BY n DESC, parent LIMIT 10""")
 def container_children(spark: SparkSession, d: str) -> DataFrame:
     """Containers with their children, also those without any; a customer has a few orders."""
-    joined = table(spark, d, "customer").join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left")
-    even = F.array_sort(F.collect_list(F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey").cast("string"))))
-    return joined.groupBy("c_custkey", F.col("c_name").alias("parent")).agg(
-        F.count("o_orderkey").alias("n"), F.array_join(even, ", ").alias("even_children")
-    ).orderBy(F.desc("n"), "parent").limit(10).drop("c_custkey")
+    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    sizes = table(spark, d, "customer").select("c_custkey", F.col("c_name").alias("parent")).join(orders.groupBy("c_custkey").agg(F.count("*").alias("n")), "c_custkey", "left")
+    top = cut(sizes.select("c_custkey", "parent", F.coalesce("n", F.lit(0)).alias("n")).orderBy(F.desc("n"), "parent").limit(10))
+    # only the children of those ten are gathered
+    even = orders.filter("o_orderkey % 2 = 0").join(F.broadcast(top.select("c_custkey")), "c_custkey")
+    named = even.groupBy("c_custkey").agg(F.array_join(F.array_sort(F.collect_list(F.col("o_orderkey").cast("string"))), ", ").alias("even_children"))
+    return top.join(named, "c_custkey", "left").select("parent", "n", F.coalesce("even_children", F.lit("")).alias("even_children"))
 
 
 @query("""SELECT CAST(date_trunc('month', ts) AS DATE) AS month, count(DISTINCT event_id) AS n,
@@ -156,8 +159,10 @@ GAZETTEER = "SELECT * FROM (VALUES (0, 'green'), (1, 'blue'), (2, 'red'), (3, 'a
 @query(f"""WITH g AS ({GAZETTEER}), m AS (SELECT p_partkey, coalesce(arg_min(place, CASE WHEN p_name = place THEN -1 ELSE ordinal END), 'other') AS place
 FROM part LEFT JOIN g ON contains(p_name, place) GROUP BY 1) SELECT place, count(*) AS n FROM m GROUP BY 1""")
 def gazetteer_fold(spark: SparkSession, d: str) -> DataFrame:
-    g = F.broadcast(spark.createDataFrame([(0, "green"), (1, "blue"), (2, "red"), (3, "an")], "ordinal int, place string"))  # a fixed word list
-    named = table(spark, d, "part").join(g, F.col("p_name").contains(F.col("place")), "left")
+    g = spark.createDataFrame([(0, "green"), (1, "blue"), (2, "red"), (3, "an")], "ordinal int, place string")
+    parts = table(spark, d, "part").select("p_partkey", "p_name")
+    held = containing(parts, "p_partkey", "p_name", g, "place").select("p_partkey", F.explode("found").alias("place"))
+    named = parts.join(held.join(g, "place"), "p_partkey", "left")
     rank = F.when(F.col("p_name") == F.col("place"), -1).otherwise(F.col("ordinal"))
     folded = named.groupBy("p_partkey").agg(F.coalesce(F.min_by("place", rank), F.lit("other")).alias("place"))
     return folded.groupBy("place").agg(F.count("*").alias("n"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -379,6 +381,44 @@ def mentions_cached(spark: SparkSession, d: str) -> DataFrame:
     return match.annotate_new(docs, words, cache).select("text_key", "surface", "kind")
 
 
+@query("""WITH p AS (SELECT doc_id, 'c' || doc_id || ' 寄往' || CASE doc_id % 3 WHEN 0 THEN '泉州府' WHEN 1 THEN '厦门' ELSE '漳州' END || '的信' AS text FROM documents),
+w(surface, kind) AS (VALUES ('泉州', 'Place'), ('泉州府', 'Place'), ('厦门', 'Place'), ('信', 'Event'), ('州', 'Period'), ('福州', 'Place'))
+SELECT sha256('dictionary' || chr(10) || text) AS text_key, surface, kind FROM p JOIN w ON contains(text, surface) WHERE length(text) >= 4""")
+def mentions_cjk(spark: SparkSession, d: str) -> DataFrame:
+    """Surfaces of a script without blanks, some within others, in a line made from each document."""
+    words = [("泉州", "Place"), ("泉州府", "Place"), ("厦门", "Place"), ("信", "Event"), ("州", "Period"), ("福州", "Place")]
+    k = F.col("doc_id")
+    where = F.when(k % 3 == 0, "泉州府").when(k % 3 == 1, "厦门").otherwise("漳州")
+    texts = table(spark, d, "documents").select(F.concat(F.lit("c"), k.cast("string"), F.lit(" 寄往"), where, F.lit("的信")).alias("text"))
+    dictionary = spark.createDataFrame([(s, s, t) for s, t in words], "surface string, canonical string, kind string")
+    return match.mentions(texts, dictionary).select("text_key", "surface", "kind")
+
+
+@query("""WITH p AS (SELECT p_partkey, lower(p_name) AS h FROM part), s AS (SELECT DISTINCT left(lower(p_name), 5) || right(lower(p_name), 3) AS piece FROM part UNION SELECT DISTINCT substr(lower(p_name), 3, 6) FROM part)
+SELECT p_partkey, piece FROM p JOIN s ON contains(h, piece) WHERE length(piece) > 0""")
+def substring_join(spark: SparkSession, d: str) -> DataFrame:
+    """Part names that hold pieces taken from part names, of which most are in no name."""
+    parts = table(spark, d, "part").select("p_partkey", F.lower("p_name").alias("h"))
+    pieces = parts.select(F.concat(F.left("h", F.lit(5)), F.right("h", F.lit(3))).alias("piece")).unionByName(parts.select(F.substring("h", 3, 6).alias("piece")))
+    return match.containing(parts, "p_partkey", "h", pieces, "piece").select("p_partkey", F.explode("found").alias("piece"))
+
+
+@query("""WITH t AS (SELECT DISTINCT text FROM documents WHERE length(text) >= 4 AND length(text) % 5 <> 0)
+SELECT DISTINCT sha256('numbers' || chr(10) || text) AS text_key, unnest(regexp_extract_all(text, '[0-9]{3}')) AS surface FROM t""")
+def mentions_by_annotator(spark: SparkSession, d: str) -> DataFrame:
+    """An annotator of one's own that fails on one text in five, over texts of which some are in its cache."""
+
+    def numbers(texts: list[str]) -> list[list[tuple[str, str, str]]]:
+        """Runs of three digits; no text whose length is divisible by five is taken."""
+        if any(len(t) % 5 == 0 for t in texts):
+            raise ValueError("a text that it does not take")
+        return [[(m, m, "Number") for m in dict.fromkeys(re.findall("[0-9]{3}", t))] for t in texts]
+
+    docs, cache = table(spark, d, "documents"), fresh_folder(spark, "numbers")
+    match.annotate_new(docs.filter("lang = 'de'"), numbers, cache, "numbers")
+    return match.annotate_new(docs, numbers, cache, "numbers").select("text_key", "surface")
+
+
 @query("""SELECT source, count(*) AS n, round(avg(CASE WHEN TRY_CAST(lang AS DOUBLE) IS NULL THEN 0 ELSE 1 END), 4) AS numeric_share, bool_and(lang IN ('en', 'de', 'fr')) AS in_vocabulary,
 bool_or(n_chars BETWEEN 1500 AND 2100) AS year_like FROM documents GROUP BY 1""")
 def column_profile(spark: SparkSession, d: str) -> DataFrame:

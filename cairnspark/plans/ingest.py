@@ -119,7 +119,7 @@ def row_sequence(spark: SparkSession, d: str) -> DataFrame:
     return connect.numbered(part_statements(spark, d), ["p_partkey", "predicate", "value"])
 
 
-@query("SELECT doc_id, source, source || '-' || lpad(CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS VARCHAR), 4, '0') AS key FROM documents WHERE length(trim(text)) > 0")
+@query("SELECT doc_id, source, source || '-' || printf('%04d', row_number() OVER (PARTITION BY source ORDER BY doc_id)) AS key FROM documents WHERE length(trim(text)) > 0")
 def synthetic_keys(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").filter(F.length(F.trim("text")) > 0).select("doc_id", "source")
     made = connect.synthetic_keys(rows, "source", "doc_id", "")
@@ -375,7 +375,26 @@ def file_drop_graph(spark: SparkSession, d: str) -> DataFrame:
     return store.load(spark, kept)["statements"].groupBy("predicate").agg(F.count("*").alias("n"))
 
 
-@query("""WITH s AS (SELECT s_suppkey, 'S' || s_suppkey AS nk FROM supplier WHERE s_suppkey <> 1), e AS (SELECT 'ev-' || lpad(CAST(row_number() OVER (ORDER BY event_id) AS VARCHAR), 4, '0') AS nk, event_type, user_id FROM events)
+@query("SELECT 'east' AS region, false AS failed, count(*) AS files, (SELECT count(*) FROM supplier WHERE s_suppkey % 3 <> 0) AS entities FROM (VALUES (1), (2)) UNION ALL SELECT 'east', true, 1, (SELECT count(*) FROM supplier WHERE s_suppkey % 3 <> 0)")
+def file_drop_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Three files of a region of which one is no readable file: two are promoted, one is set aside, and the stream goes on."""
+    box, staging, kept, files = (fresh_folder(spark, n) for n in ("inbox", "staging", "store", "files"))
+    rows = table(spark, d, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("OBJECTID"), F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ID"), F.col("s_name").alias("Name"), F.lit("单体").alias("Layer"))
+    for k in (1, 2):
+        rows.filter(f"OBJECTID % 3 = {k}").coalesce(1).write.csv(f"{box}/{k}/east", header=True)
+    rows.select(F.concat_ws(",", *rows.columns)).coalesce(1).write.text(f"{box}/0/east")
+    fs = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jvm.java.net.URI(box), spark._jsc.hadoopConfiguration())
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    text = next(x.getPath() for x in fs.listStatus(path(f"{box}/0/east")) if x.getPath().getName().startswith("part-"))
+    fs.rename(text, path(f"{box}/0/east/broken.csv.gz"))  # plain text under the name of a packed file
+    for _ in range(2):
+        filedrop.ingest(spark, box, "OBJECTID string, ID string, Name string, Layer string", {"east": connectors.heritage_points}, staging, kept, files, fresh_folder(spark, "drop"), max_files=2)
+    seen = spark.read.parquet(files).groupBy("region", F.col("error").isNotNull().alias("failed")).agg(F.count("*").alias("files"))
+    return seen.join(store.load(spark, kept)["entities"].agg(F.count("*").alias("entities")), F.lit(True))
+
+
+@query("""WITH s AS (SELECT s_suppkey, 'S' || s_suppkey AS nk FROM supplier WHERE s_suppkey <> 1), e AS (SELECT 'ev-' || printf('%04d', row_number() OVER (ORDER BY event_id)) AS nk, event_type, user_id FROM events)
 SELECT 'pl' AS kind, nk AS natural_key, 'hasName' AS predicate, s_name AS literal FROM supplier JOIN s USING (s_suppkey) UNION ALL SELECT 'ev', nk, 'hasType', event_type FROM e UNION ALL SELECT 'ev', nk, 'carriedOutBy', 'u' || user_id FROM e""")
 def template_workbook(spark: SparkSession, d: str) -> DataFrame:
     """A workbook of two known sheets, one with an example row and one without keys, and a sheet that is skipped."""

@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnspark.functions.session import table
-from cairnspark.operators import govern, ingest, match, promote, spatial
+from cairnspark.operators import connect, govern, ingest, match, promote, spatial
 from cairnspark.plans.graph import lat, lon, nation_polygons
 from cairnspark.plans.registry import query
 from cairnspark.sources import connectors
+from cairnspark.sources import sheets as S
 
 FILE = "/in/table"
 
@@ -227,3 +228,60 @@ def mapping_suggestions(spark: SparkSession, d: str) -> DataFrame:
     dated = table(spark, d, "orders").select(F.lit("orders").alias("table"), F.col("o_orderkey").alias("ord"), F.inline(F.array(cell("when", F.date_format("o_orderdate", "yyyy-MM-dd")))))
     aliases = spark.createDataFrame([("hasName", "名称", 0)], "target string, alias string, priority int")
     return match.suggest_mapping(people.unionByName(dated), aliases, govern.TYPES)
+
+
+@query(f"""WITH {_POINTS}, q AS (SELECT count(*) AS n, count(*) FILTER (WHERE s_suppkey % 2 = 1) AS d, count(*) FILTER (WHERE kind = 'clu') AS c FROM p), e AS (SELECT * FROM part WHERE p_partkey % 13 <> 0)
+SELECT 'east' AS region, 3 * n + 2 * d AS rows_in, 3 * n + 2 * d AS inserted, n AS subjects, 0 AS moved FROM q
+UNION ALL SELECT 'north', (SELECT 3 * count(*) FROM e), (SELECT 3 * count(*) FROM e), (SELECT count(*) FROM e), 0
+UNION ALL SELECT 'west', (SELECT 3 * n + d FROM q), (SELECT 3 * n + d FROM q), (SELECT n FROM q), (SELECT n - c FROM q)""")
+def region_pipelines(spark: SparkSession, d: str) -> DataFrame:
+    """Three regions with plans of their own in one run: statements and entities by region, and how many entities the plans moved to another type."""
+    heritage = ingest.Source("points", connectors.heritage_points, needed=True)
+    plans = [
+        ingest.RegionPlan("east", (heritage, ingest.Source("photos", connectors.photo_table))),
+        ingest.RegionPlan("north", (ingest.Source("sites", connectors.survey_sites),), annotate=(), contains=False),
+        ingest.RegionPlan("west", (heritage,), annotate=(), contains=False, reclassify={("hasLayer", "ev"): ("单体",)}),
+    ]
+    words = spark.createDataFrame([("river", "River", "Place")], "surface string, canonical string, kind string")
+    tables = {"east/points": points(spark, d), "west/points": points(spark, d), "north/sites": _sites(spark, d)}
+    graph, audit, _ = ingest.ingest_regions(promote.empty_graph(spark), plans, tables, "r1", 1.0, words)
+    kinds = graph["entities"].groupBy("region").agg(F.count_if(~F.col("stub")).alias("subjects"), F.count_if(F.col("entity_type") == "ev").alias("moved"))
+    return audit.join(kinds, "region").select("region", "rows_in", F.col("rows_inserted").alias("inserted"), "subjects", "moved")
+
+
+_SHEET_REGION = """(SELECT r FROM (SELECT CASE WHEN s_suppkey <= 20 THEN 'west' ELSE 'east' END AS r, count(*) AS n, min(s_suppkey) AS f FROM (SELECT * FROM supplier ORDER BY s_suppkey LIMIT 51) GROUP BY 1 ORDER BY n DESC, f LIMIT 1))"""
+
+
+@query(f"""WITH s AS (SELECT CASE WHEN s_suppkey % 4 = 0 THEN 'clu' ELSE 'pl' END AS kind FROM supplier), e AS (SELECT * FROM events WHERE event_id % 3 <> 0), c AS (
+SELECT kind, 'hasName' AS predicate, count(*) AS n FROM s GROUP BY 1 UNION ALL SELECT kind, 'locatedAt', count(*) FROM s GROUP BY 1 UNION ALL SELECT 'doc', 'hasTitle', count(*) FROM orders
+UNION ALL SELECT 'doc', 'relatedActor', count(*) FROM orders UNION ALL SELECT 'ev', 'hasDescription', count(*) FROM e UNION ALL SELECT 'ev', 'hasAddress', count(*) FROM e)
+SELECT kind, predicate, n, {_SHEET_REGION} AS region FROM c""")
+def workbook_of_known_sheets(spark: SparkSession, d: str) -> DataFrame:
+    """A workbook read by the registry of sheets: types left empty, a region found in the first rows, events numbered, and rows without a critical cell."""
+    k = F.col("s_suppkey")
+    places = table(spark, d, "supplier").select(
+        k.alias("row"), F.when(k <= 20, "west").otherwise("east").alias("region*"), F.when(k % 4 == 0, "clu").otherwise(" ").alias("entity_type*"), _text("S", "s_suppkey").alias("natural_key*"),
+        F.col("s_name").alias("hasName_名称*"), (k % 90).cast("string").alias("lon_经度"), (k % 80).cast("string").alias("lat_纬度"), F.lit("GCJ-02").alias("CRS_坐标系"))
+    letters = table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("row"), _text("o", "o_orderkey").alias("natural_key*"), F.col("o_orderpriority").alias("hasTitle_标题*"), _text("c", "o_custkey").alias("relatedActor_关联人物"))
+    happened = table(spark, d, "events").select(
+        F.col("event_id").alias("row"), F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("事件描述"), F.lit("here").alias("地点"))
+    made = S.read_workbook({" Place_地点": places, "Document_文档": letters, "军垦_事件": happened, "Notes": places}, "/in/book", "row")
+    return made.groupBy("kind", "predicate").agg(F.count("*").alias("n"), F.min("region").alias("region"))
+
+
+@query("""SELECT DISTINCT p_brand AS "table", CASE p_partkey % 4 WHEN 0 THEN '遗址地址' WHEN 1 THEN '作者姓名' WHEN 2 THEN '手稿来源' ELSE 'xyz' END AS header,
+CASE p_partkey % 4 WHEN 0 THEN 'hasAddress' WHEN 1 THEN 'hasName' WHEN 2 THEN 'SOURCE_NAME' ELSE 'hasNotes' END AS target, CAST(CASE p_partkey % 4 WHEN 3 THEN 0.2 ELSE 0.75 END AS DOUBLE) AS score FROM part""")
+def suggest_from_sheets(spark: SparkSession, d: str) -> DataFrame:
+    """Headers of many tables mapped by the aliases that the registry of sheets gives."""
+    k = F.col("p_partkey") % 4
+    headers = table(spark, d, "part").select(F.col("p_brand").alias("table"), F.when(k == 0, "遗址地址").when(k == 1, "作者姓名").when(k == 2, "手稿来源").otherwise("xyz").alias("header")).distinct()
+    return match.suggest(headers, S.alias_index(S.registry(spark)))
+
+
+@query("""WITH a AS (SELECT l_partkey, min(l_orderkey * 10 + l_linenumber) AS appears FROM lineitem GROUP BY 1 ORDER BY appears LIMIT 100)
+SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey * 10 + l_linenumber <= (SELECT max(appears) FROM a)""")
+def first_entities(spark: SparkSession, d: str) -> DataFrame:
+    """A source read up to its hundredth entity, whose keys come again and again."""
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row"))
+    return connect.first_entities(rows, F.col("l_partkey"), "row", 100).drop("row")

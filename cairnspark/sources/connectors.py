@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cairnspark.functions import clean as C
 from cairnspark.functions import geo as G
-from cairnspark.operators.connect import numbered, spread_ref_names, synthetic_keys
+from cairnspark.operators.connect import first_entities, numbered, spread_ref_names, synthetic_keys
 
 ROW = ("source_uri", "source_type", "metadata", "collector", "region")
 STATEMENT = ("kind", "temporal", "natural_key", "predicate", "stmt_value", "valid_from", "valid_to")
@@ -237,26 +237,28 @@ def photo_files(files: DataFrame, source: str, region: str) -> DataFrame:
 
 def template_sheet(
     rows: DataFrame, spec: list[tuple[str, str | None, str]], source: str, sheet: str, region: str, order: str,
-    kind: str = "pl", example_key: str | None = None, prefix: str | None = None, max_entities: int | None = None,
+    kind: str = "pl", example_key: str | None = None, prefix: str | None = None, max_entities: int | None = None, critical: list[str] | None = None,
 ) -> DataFrame:
     """Statements of a sheet by its columns' roles; spec holds (column, predicate, role).
 
-    The example row and rows whose key and required cells are all empty are left out. Sheets without
-    a key column number their rows (prefix-0001). The spec becomes expressions, so no join is needed.
+    The example row and rows whose critical cells (without critical, all cells) are all empty are left out. Sheets without
+    a key column number their rows (prefix-0001). max_entities ends the sheet with the row in which the last of so many keys
+    first appears. The spec becomes expressions, so no join is needed.
     """
     with_role = lambda *roles: [(n, p) for n, p, r in spec if r in roles and n in rows.columns]
     keyed = with_role("NATURAL_KEY")
     if not keyed:
         if prefix is None:
             raise ValueError("a sheet without key column needs a prefix")
-        filled = F.coalesce(*[cell(rows, n, ("nan", "none")) for n, _, _ in spec if n in rows.columns])
+        counts = [n for n, _, _ in spec if n in rows.columns and (critical is None or n in critical)]
+        filled = F.coalesce(*[cell(rows, n, ("nan", "none")) for n in counts], F.lit(None).cast("string"))
         rows = synthetic_keys(rows.filter(filled.isNotNull()).withColumn("_sheet", F.lit(sheet)), "_sheet", order, prefix).drop("_sheet")
         keyed = [("natural_key", None)]
     c = lambda n: cell(rows, n, ("nan", "none"))
     key = c(keyed[0][0])
     rows = rows.filter(key.isNotNull() & ~key.eqNullSafe(F.lit(example_key)))
     if max_entities is not None:
-        rows = rows.orderBy(F.col(f"`{order}`")).limit(max_entities)
+        rows = first_entities(rows, key, order, max_entities)
     first = lambda role, default: F.coalesce(*[c(n) for n, _ in with_role(role)], default)
     here = first("REGION", F.lit(region))
     era = [c(n) for n, p, _ in spec if p == "hasEra" and n in rows.columns]
@@ -307,7 +309,7 @@ def template_workbook(
     return reduce(DataFrame.unionByName, made)
 
 
-def common_region(sheet: DataFrame, region: str, order: str, default: str) -> str:
+def common_region(sheet: DataFrame, region: str, order: str, default: str | None) -> str | None:
     """The most common region of a sheet, on ties the one that comes first; default where none is filled."""
     named = sheet.select(cell(sheet, region).alias("region"), F.col(order).alias("at")).filter("region IS NOT NULL")
     top = named.groupBy("region").agg(F.count("*").alias("n"), F.min("at").alias("first")).orderBy(F.desc("n"), "first").first()
@@ -354,5 +356,9 @@ def mapped_table(rows: DataFrame, spec: dict, source: str, order: str) -> DataFr
 
 def stage(statements: DataFrame, batch: str) -> DataFrame:
     """Statement rows with batch id and gapless row numbers by source, kind, key, predicate and value, as promote takes them."""
-    order = ["source_uri", "kind", "natural_key", "predicate", "stmt_value"]
-    return numbered(statements, order).withColumn("batch_id", F.lit(batch))
+    return stage_batches(statements.withColumn("batch_id", F.lit(batch)))
+
+
+def stage_batches(statements: DataFrame) -> DataFrame:
+    """stage for statement rows of several batches, which their column batch_id tells apart; each is numbered from 1."""
+    return numbered(statements, ["source_uri", "kind", "natural_key", "predicate", "stmt_value"], ["batch_id"])

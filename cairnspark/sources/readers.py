@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairnspark.operators.connect import first_entities
+
 #: Layers that name a cluster of places.
 CLUSTER_LAYERS = ("群体", "区域")
 
@@ -12,7 +14,8 @@ CLUSTER_LAYERS = ("群体", "区域")
 def points_csv(spark: SparkSession, path: str, schema: str, max_rows: int | None = None) -> DataFrame:
     """Heritage points; rows without an ID go, and the layer decides the entity type."""
     rows = spark.read.csv(path, header=True, schema=schema).filter(F.col("ID").isNotNull())
-    rows = rows.limit(max_rows) if max_rows is not None else rows
+    if max_rows is not None:  # entities, not rows, in the order of their numbers
+        rows = first_entities(rows.withColumn("_order", F.monotonically_increasing_id()), F.col("ID"), "_order", max_rows).drop("_order")
     kind = F.when(F.col("Layer").isin(*CLUSTER_LAYERS), "clu").otherwise("pl")
     return rows.select("*", kind.alias("kind"), F.concat(F.lit("file#ID="), F.col("ID")).alias("source_uri"))
 

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +71,46 @@ def test_a_batch_writes_in_proportion_to_itself(spark, tmp_path):
     assert store.load(spark, kept)["statements"].count() == 303  # deltas without audit rows are not read
 
 
+def test_rows_staged_for_a_promoted_batch_are_promoted_too(spark, tmp_path):
+    staging, kept = str(tmp_path / "staging"), str(tmp_path / "store")
+    rows = staged(spark, [("pl", "unk", f"k{i}", "hasName", f'{{"value": "n{i}"}}') for i in range(4)])
+    for part in (rows.filter("row_seq < 2"), rows, rows):
+        store.stage_rows(part, staging)
+        store.promote_waiting(spark, staging, kept)
+    got = store.audit_of(spark, kept).orderBy("commit").select("batch_id", "rows_in", "rows_inserted").collect()
+    assert [tuple(r) for r in got] == [("b", 2, 2), ("b", 2, 2)] and store.load(spark, kept)["statements"].count() == 4
+    assert store.processed(spark, staging, kept).filter("processed_at IS NULL").count() == 0
+
+
+def test_a_batch_reads_the_folders_of_its_regions_only(spark, tmp_path):
+    staging, kept = str(tmp_path / "staging"), str(tmp_path / "store")
+    both = staged(spark, [("pl", "unk", f"k{i}", "hasName", f'{{"value": "n{i}"}}') for i in range(8)]).withColumn("region", F.expr("if(row_seq % 2 = 0, 'east', 'west')"))
+    store.stage_rows(both, staging)
+    store.promote_waiting(spark, staging, kept)
+    for name in ("registry", "entities", "statements"):
+        plan = store.load(spark, kept)[name].filter("region = 'east'")._jdf.queryExecution().executedPlan().toString()
+        found = [part for part in plan.split("PartitionFilters: [")[1:] if "region" in part.split("]")[0]]
+        assert found, name
+    broken = list((tmp_path / "store").glob("*/commit=1/region=west/*.parquet"))
+    assert {f.parts[-4] for f in broken} == {"registry", "entities", "statements"}
+    for f in broken:
+        f.write_bytes(b"no parquet")
+        f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+    more = staged(spark, [("pl", "unk", "k0", "hasNote", '{"value": "x"}'), ("pl", "unk", "k0", "hasName", '{"value": "n0"}')]).withColumn("batch_id", F.lit("c"))
+    store.stage_rows(more, staging)
+    assert store.promote_waiting(spark, staging, kept).count() == 0
+    assert store.audit_of(spark, kept).filter("batch_id = 'c'").select("rows_inserted", "rows_skipped").collect() == [(1, 1)]
+    with pytest.raises(Exception, match="(?i)parquet"):
+        store.load(spark, kept)["statements"].filter("region = 'west'").collect()
+
+
+def test_popular_keys_are_dealt_out(spark):
+    rows = staged(spark, [("img", "unk", f"i{i}", "depicts", f'{{"ref_natural_key": "{"hot" if i % 3 else i}"}}') for i in range(300)])
+    g, audit, _ = promote.promote(promote.empty_graph(spark), rows)
+    assert g["statements"].count() == 300 and g["registry"].count() == 401 and audit.first()["rows_inserted"] == 300
+    assert g["statements"].groupBy("object_id").count().agg(F.max("count")).first()[0] == 200
+
+
 def test_numbers_are_gapless(spark):
     rows = spark.range(500).select((F.col("id") * 7919 % 503).alias("k"), (F.col("id") % 3).alias("g"))
     whole = connect.numbered(rows, ["k"]).orderBy("k").collect()
@@ -90,6 +131,64 @@ def test_grid_join_equals_brute_force(spark):
     assert got == want
 
 
+def in_polygon(corners, x, y):
+    """Even-odd rule over numpy arrays of points."""
+    x1, y1 = np.array(corners, float).T
+    x2, y2 = np.roll(x1, -1), np.roll(y1, -1)
+    out = np.zeros(len(x), int)
+    for a, b, c, d in zip(x1, y1, x2, y2, strict=True):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out += ((b > y) != (d > y)) & (x < a + (c - a) * (y - b) / (d - b))
+    return out % 2 == 1
+
+
+def star(n, seed, cx=0.0, cy=0.0, size=10.0):
+    rng = np.random.default_rng(seed)
+    at, r = np.sort(rng.uniform(0, 2 * np.pi, n)), size * rng.uniform(0.6, 1.0, n)
+    return list(zip((cx + r * np.cos(at)).tolist(), (cy + r * np.sin(at)).tolist(), strict=True))
+
+
+def wkt(corners):
+    return "POLYGON((" + ", ".join(f"{x!r} {y!r}" for x, y in [*corners, corners[0]]) + "))"
+
+
+@pytest.mark.parametrize("corners, tile", [(2000, 16), (100_000, 256)])
+def test_tiles_of_one_large_polygon_with_most_points(spark, monkeypatch, corners, tile):
+    monkeypatch.setattr(spatial, "TILE_POINTS", tile)
+    monkeypatch.setattr("cairnspark.functions.joins.BROADCAST_BYTES", 0)
+    rng = np.random.default_rng(8)
+    big, small = star(corners, 3), star(7, 4, 30, 30, 4)
+    n = 6000
+    x = np.concatenate([rng.normal(0, 4, n), rng.uniform(-40, 40, n // 10), np.full(n // 3, 1.25)])
+    y = np.concatenate([rng.normal(0, 4, n), rng.uniform(-40, 40, n // 10), np.full(n // 3, -2.5)])
+    points = spark.createDataFrame([("r", str(i), float(a), float(b)) for i, (a, b) in enumerate(zip(x, y, strict=True))], "region string, point_id string, x double, y double")
+    polygons = spark.createDataFrame([("r", "big", wkt(big)), ("r", "small", wkt(small)), ("r", "far", wkt(star(5, 1, 500, 500)))], "region string, polygon_id string, wkt string")
+    c = spatial.candidates(polygons, points)
+    assert c.sure is not None and c.sure.count() > 0.5 * n and c.others.count() < n
+    got = {(r["polygon_id"], int(r["point_id"])) for r in spatial.contains_place(polygons, points).collect()}
+    assert got == {(k, int(i)) for k, p in (("big", big), ("small", small)) for i in np.flatnonzero(in_polygon(p, x, y))}
+
+
+def test_containment_of_a_second_batch_tests_its_own_pairs(spark):
+    rng = random.Random(2)
+    place = lambda k: ("pl", "unk", f"p{k}", "locatedAt", f'{{"wkt": "POINT({rng.uniform(0, 20)} {rng.uniform(0, 20)})"}}')
+    unit = lambda k: ("clu", "unk", f"u{k}", "locatedAt", '{"wkt": "%s"}' % wkt(star(6, k, rng.uniform(0, 20), rng.uniform(0, 20), 3)))
+    first = staged(spark, [place(k) for k in range(600)] + [unit(k) for k in range(40)])
+    second = staged(spark, [place(k) for k in range(600, 606)] + [unit(40)]).withColumn("batch_id", F.lit("c"))
+    graph = promote.empty_graph(spark)
+    deltas, _, _ = promote.promote_deltas(graph, first)
+    graph = promote.apply(graph, spatial.infer_fresh(promote.apply(graph, deltas), deltas, 3.0))
+    deltas, _, _ = promote.promote_deltas(graph, second)
+    after = promote.apply(graph, deltas)
+    tested = sum(spatial.candidates(*sides, 3.0).others.count() for sides in spatial.fresh_sides(after, deltas))
+    whole = spatial.candidates(*spatial._places(after), 3.0).others.count()
+    assert 0 < tested < 0.1 * whole
+    edges = lambda g: sorted((r["subject_id"], r["object_id"]) for r in g["statements"].filter("predicate = 'containsPlace'").collect())
+    added = promote.apply(graph, spatial.infer_fresh(after, deltas, 3.0))
+    assert edges(added) == edges(spatial.infer_containment(after, 3.0)) and len(edges(added)) > len(edges(graph))
+    assert edges(spatial.infer_containment(added, 3.0)) == edges(added)
+
+
 def test_aliases_map_at_once_and_keep_what_differs(spark):
     schema = "subject_id string, predicate string, object_value string, object_id string, evidence_id long"
     rows = [("a", "p", "x", None, 1), ("a", "p", "y", None, 1), ("b", "p", "x", None, 1), ("b", "p", "x", None, 2), ("c", "p", "x", "o1", 1), ("c", "p", "x", "o2", 1),
@@ -161,6 +260,38 @@ def test_annotation_cache(spark, tmp_path):
     assert spark.read.parquet(cache).count() == 3
 
 
+def test_failed_texts_are_empty_and_tried_again(spark, tmp_path):
+    ready = tmp_path / "ready"
+
+    def annotator(texts):
+        if any("bad" in t for t in texts) and not ready.exists():
+            raise RuntimeError("no")
+        return [[(t[:3], t, "Place")] for t in texts]
+
+    cache = str(tmp_path / "cache")
+    rows = spark.createDataFrame([(t,) for t in ["good one", "bad text", "good two", "good one", "x", None]], "text string")
+    keyed = rows.filter("length(text) >= 4").select(match.text_key(F.col("text"), "m").alias("text_key"), "text").distinct()
+    got = {r["text_key"]: (len(r["mentions"]), r["failed"]) for r in match.annotate(keyed, annotator).collect()}
+    assert sorted(got.values()) == [(0, True), (1, False), (1, False)]
+    assert {r["canonical"] for r in match.annotate_new(rows, annotator, cache, "m").collect()} == {"good one", "good two"}
+    assert spark.read.parquet(cache).count() == 2
+    ready.touch()
+    assert {r["canonical"] for r in match.annotate_new(rows, annotator, cache, "m").collect()} == {"good one", "good two", "bad text"}
+    assert spark.read.parquet(cache).count() == 3
+
+
+def test_substrings_of_many_patterns_with_one_start(spark, monkeypatch):
+    monkeypatch.setattr("cairnspark.functions.joins.BROADCAST_BYTES", 0)
+    rng = random.Random(3)
+    patterns = [f"the same start {i:04d}x" for i in range(10_000)] + ["a", "ab", "é漢", "𝒳y", "aaa", "(?s)[", ""]
+    texts = [f"{rng.choice('ab')} the same start {rng.randint(0, 9999):04d}x the same start {rng.randint(0, 9999):04d}y aaa é漢 (?s)[" for _ in range(200)] + ["𝒳y𝒳", "", "the same start", "b"]
+    t = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
+    found = match.containing(t, "k", "text", spark.createDataFrame([(p,) for p in patterns], "pattern string"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert {r["k"]: set(r["found"]) for r in found.collect()} == {k: w for k, x in enumerate(texts) if (w := {p for p in patterns if p and p in x})}
+
+
 def test_inventories_of_regions_merge(spark):
     e = spark.createDataFrame([("a", "pl"), ("b", "ac")], "pid string, entity_type string")
     schema = "subject_id string, predicate string, object_value string, object_id string, geometry string"
