@@ -10,35 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnspark.functions.session import cut, shared_folder, table  # noqa: F401  shared with the operators
+from cairnspark.functions.joins import BROADCAST_BYTES, HEAVY, PARTS, attach  # noqa: F401  shared with the operators
+from cairnspark.functions.session import cut, shared_folder, table, uncut  # noqa: F401
 
 #: Java regex class body of the white space that ends a word, and the characters themselves.
 SPACE = r"\x20\x09-\x0D"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
-#: A value that more than one in HEAVY rows has is heavy; its rows are dealt over PARTS parts. Sides of a measured size up to BROADCAST_BYTES are broadcast.
-HEAVY, PARTS, BROADCAST_BYTES = 1000, 64, 8 << 20
-
-
-def attach(
-    rows: DataFrame, side: DataFrame, on: list[str], counts: DataFrame, spread: Column, how: str = "left", size: Column | None = None
-) -> DataFrame:
-    """rows joined with side, which has one row for each value of on; counts (on, n) says how many rows have it.
-
-    With size, the bytes of a row of side, a side that is small enough is broadcast and rows stay where they are. Else fewer than HEAVY values are heavy. Only those values are broadcast; their rows are dealt over PARTS parts by
-    spread (a hash of what else a row holds), each part with its own copy of the side's row.
-    """
-    if size is not None and (side.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES:
-        return rows.join(F.broadcast(side), on, how)
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    heavy = F.broadcast(counts.filter(F.col("n") * HEAVY > total).select(*on, F.lit(True).alias("_heavy")))
-    parts = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
-    many = side.join(heavy, on, "left").withColumn("_dealt", F.explode(parts)).drop("_heavy")
-    dealt = F.when(F.col("_heavy"), F.pmod(spread, F.lit(PARTS)).cast("int")).otherwise(0)
-    return rows.join(heavy, on, "left").withColumn("_dealt", dealt).drop("_heavy").join(many, [*on, "_dealt"], how).drop("_dealt")
-
-
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Bound the rows of an Arrow batch, so that long texts do not pile up in a Python worker.
 

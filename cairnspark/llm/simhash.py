@@ -25,9 +25,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnspark.llm.common import attach, cut, per_batch, small_batches, table
+from cairnspark.llm.common import attach, cut, per_batch, small_batches, table, uncut
 from cairnspark.llm.components import connected_components
-from cairnspark.llm.nearcopies import near_copies
+from cairnspark.llm.nearcopies import near_copies, text_mark
 
 SHINGLE, SEED, MAX_BITS, HOT_BUCKET = 3, 42, 3, 64
 
@@ -143,6 +143,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     classes = cut(prints.groupBy("fp").agg(F.min("key").alias("first"), F.count("*").alias("n")))
     edges = cut(links(classes))
     labels = connected_components(edges, classes.select(F.col("fp").alias("node"), F.col("first").alias("label")))
+    uncut(edges)
     named = cut(
         classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
             "fp", "n", F.coalesce("label", "first").alias("component_id")
@@ -154,10 +155,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs without those whose near copies (five-word shingles, similarity 0.8: see nearcopies)
-    have a smaller key; rows with the same key stay or go together."""
-    dropped = near_copies(docs, key, text).filter(F.col(key) != F.col("component_id")).select(key)
-    return docs.join(dropped, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of docs that represent their near copies (five-word shingles, similarity 0.8: see nearcopies); rows with the
+    same key and text stay or go together."""
+    found = near_copies(docs, key, text)
+    gone = cut(found.filter(~F.col("kept")).select(F.col(key).alias("_key"), F.col("mark").alias("_mark")).distinct())
+    uncut(found)
+    same = F.col(f"`{key}`").cast("long").eqNullSafe(F.col("_key")) & (text_mark(F.col(f"`{text}`")) == F.col("_mark"))
+    return docs.join(gone, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cairnspark.llm import chat, common, digest, html, nearcopies, packing, pieces, quality, simhash, token_counts, toxicity, warc
+from cairnspark.functions import joins
+from cairnspark.llm import chat, digest, html, nearcopies, packing, pieces, quality, simhash, token_counts, toxicity, warc
 from cairnspark.llm.tokens import default_vocabulary, encoding, token_ids
 
 DOCS = "doc_id long, text string, lang string, source string, key string, at long, fp long"
@@ -227,7 +228,7 @@ def test_simhash_edges(spark):
 def test_heavy_fingerprints_get_the_same_class(spark, monkeypatch, share):
     rows = docs(spark, ["a b c d e"] * 30 + ["f g h i j", "k l m n o"] + [None] * 3, list(range(35)))
     want = {tuple(r) for r in simhash.near_duplicates(rows).collect()}
-    monkeypatch.setattr(common, "HEAVY", share)  # none is heavy, or all are
+    monkeypatch.setattr(joins, "HEAVY", share)  # none is heavy, or all are
     assert {tuple(r) for r in simhash.near_duplicates(rows).collect()} == want and len(want) == 35
 
 
@@ -255,6 +256,29 @@ def test_keep_one_joins_near_copies_only(spark, monkeypatch, hot):
     assert {r["doc_id"] for r in simhash.keep_one(docs(spark, texts)).collect()} == set(parent)
 
 
+@pytest.mark.parametrize("few", [-1, 1000])
+def test_torn_buckets_by_sketches_and_by_sets(spark, monkeypatch, few):
+    for name, value in (("HOT_BUCKET", 2), ("SKETCH_NODES", 30), ("BLOCK_NODES", 25), ("FEW", few)):  # dense always, never
+        monkeypatch.setattr(nearcopies, name, value)
+    rng = random.Random(4)
+    shared = [f"s{i}" for i in range(60)]
+    texts = [" ".join(shared + [f"w{rng.randint(0, 10**6)}" for _ in range(rng.choice((4, 40)))]) for _ in range(60)]
+    texts += [t + f" y{i}" for i, t in enumerate(texts[:20])]
+    sets = [set(nearcopies.shingles(nearcopies.words_of(t)).tolist()) for t in texts]
+    parent = list(range(len(texts)))
+    for _ in texts:
+        parent = [min(parent[j] for j in range(len(texts)) if len(a & sets[j]) >= 0.8 * len(a | sets[j])) for a in sets]
+    got = {r["doc_id"]: r["component_id"] for r in nearcopies.near_copies(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == parent and 2 < len(set(parent)) < 60
+
+
+def test_a_text_does_not_go_with_another_of_its_key(spark):
+    copied, own = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, copied), (5, copied), (5, own), (None, own), (None, "c d e"), (7, "c d e")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == [("1", copied), ("5", own), ("7", "c d e")]
+
+
 # 6 pieces
 def test_n_best_equals_brute_force_and_decodes(spark):
     s = pieces.segmenter(pieces.default_model())
@@ -593,7 +617,26 @@ def test_deep_and_wide_pages(spark):
 def test_heavy_groups_give_the_same_texts(spark, monkeypatch, heavy):
     body = "<body><p>Site name</p><p>{}</p></body>"
     rows = [(i, f"http://h{i % 2}.example/{i}", body.format(f"text {i}")) for i in range(30)]
-    monkeypatch.setattr(common, "HEAVY", heavy)  # no group is heavy, or all are
-    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(joins, "HEAVY", heavy)  # no group is heavy, or all are
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
     got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert sorted((r["page_id"], r["text"]) for r in got) == [(i, f"text {i}") for i in range(30)]
+
+
+def test_nothing_of_an_article_is_lost(spark):
+    """Headings and paragraphs that begin alike on all pages, and a list of linked sources, stay, whether the article is marked or not."""
+    rng = random.Random(5)
+    said = lambda n: " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(n))
+    rows, want = [], {}
+    for k, (opening, closing) in enumerate((("<article>", "</article>"), ("<div class=text>", "</div>"))):
+        for i in range(12):
+            own = said(40)
+            page = (
+                f"<body><div><ul><li><a href=/a>{said(1)}</a><li><a href=/b>Home</a></ul></div><div>Buy {said(2)}</div>{opening}<h1>Review of item {i}</h1><p>In this part {own}</p>"
+                f"<h2>Sources</h2><ul><li><a href=/{i}>{said(2)} {i}</a><li><a href=/s>Second source</a></ul>{closing}<div>Copyright h.example page {i}</div></body>")
+            rows.append((100 * k + i, f"http://h{k}.example/{i}", page))
+            links = page.split("<h2>")[1].split("<a href=")[1].split(">")[1].split("<")[0]
+            want[100 * k + i] = f"Review of item {i}\n\nIn this part {own}\n\nSources\n\n{links}\n\nSecond source"
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for names in (True, False):
+        assert {r["page_id"]: r["text"] for r in html.extract(pages, names=names).collect()} == want
