@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from cairnspark.llm.common import small_batches, table
 
-BUCKETS, RANGE_BYTES = 256, 16 << 20
+BUCKETS, RANGE_BYTES = 256, 256 << 20
 _CHANCE = BUCKETS * 26 / 16  # mean difference of independent quartile codes: steps 0, 1, 2, 6 at 4, 6, 4, 2 of 16
 _STEP = np.array([[(0, 1, 2, 6)[abs(i - j)] for j in range(4)] for i in range(4)])
 _PAIRS = np.array(
@@ -70,7 +70,8 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
     Rows are cut into ranges of (key, hash of the text) that hold about RANGE_BYTES each, and the first row of each
     range is also sent to the range before it, so the neighbour is found within a range and no task sees
-    all rows. The driver holds four longs for each range: some tens of MB at 100 TB.
+    all rows. A range is also a shuffle partition. The driver holds four longs for each range, and tasks get them as a broadcast
+    variable: 400,000 ranges and 13 MB at 100 TB.
     """
     least = -(2**63)
     rows = docs.select(
@@ -85,10 +86,12 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     bounds = ranged.select("l.*", F.col("h.at").alias("at2"), F.col("h.mark").alias("mark2")).toPandas().sort_values(["at", "mark"])
     low_at, low_mark, high_at, high_mark = (bounds[c].to_numpy(np.int64) for c in ("at", "mark", "at2", "mark2"))
     small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast((low_at, low_mark, high_at, high_mark))
 
     @F.pandas_udf("array<long>")
     def places(at: pd.Series, mark: pd.Series) -> pd.Series:
         """The range of a row, and if it is the largest of its range, the range that comes before it."""
+        low_at, low_mark, high_at, high_mark = shared.value
         a, m = at.to_numpy(), mark.to_numpy()
         first, last = np.searchsorted(low_at, a, side="left"), np.searchsorted(low_at, a, side="right")
         i = last - 1

@@ -7,9 +7,10 @@ spaces are cut as well. A segment tree holds the sums of characters and tokens.
 it touches and one neighbour on each side as context, and updates the sums above them. Added tokens count as
 the tokenizer counts them: as one.
 
-Trees are kept as a table: trees gives the leaves of every text with their counts, and apply_edits takes that table and one
-of edits and gives the counts before and after, with the leaves as they are then. Only what an edit touches is
-encoded; a document's leaves stay in one row, so nothing but the edits is shuffled to their documents.
+Trees are kept as a table: trees gives the leaves of every text with their counts, keep_trees writes them in buckets by key, and
+apply_edits takes that table and one of edits and gives the counts before and after, with the leaves as they are then. Only what
+an edit touches is encoded, and only documents with edits reach a Python worker. A document's leaves stay in one row; where trees are
+kept in buckets, only the edits are shuffled to their documents, else large tables of edits move the trees too.
 
 Edge cases: null or empty text: one empty leaf, no tokens; edits outside the text are
 clipped to it; edits of one key apply in the order of seq, later ones to the text that the earlier made; edits of
@@ -191,11 +192,23 @@ def edited(kept: DataFrame, key: str, edits: Column, vocabulary: str | None = No
     return made.select(key, *[F.col(f"c.{c.split()[0]}") for c in _COUNTED.split(", ")], leaves_.alias("leaves"))
 
 
+def keep_trees(kept: DataFrame, name: str, key: str = "doc_id", buckets: int = 64) -> DataFrame:
+    """Write trees as a table of the session's catalog in so many buckets by key, and read it."""
+    kept.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(name)
+    return kept.sparkSession.table(name)
+
+
 def apply_edits(kept: DataFrame, edits: DataFrame, key: str = "doc_id", vocabulary: str | None = None) -> DataFrame:
-    """edited for a table of edits (key, seq, start, end, new); documents without edits keep their counts."""
+    """edited for a table of edits (key, seq, start, end, new); documents without edits keep their counts and leaves, with nothing encoded again."""
     one = edits.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("seq", "start", "end", "new"))).alias("_edits"))
+    joined = kept.join(one, key, "left")
     changes = F.transform("_edits", lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end"), e["new"].alias("new")))
-    return edited(kept.join(one, key, "left"), key, changes, vocabulary)
+    total = lambda f: F.aggregate("leaves", F.lit(0).cast("long"), lambda n, x: n + f(x))
+    chars, tokens = total(lambda x: F.char_length(x["text"])), total(lambda x: x["tokens"])
+    still = joined.filter(F.col("_edits").isNull()).select(
+        key, chars.alias("n_chars"), tokens.alias("n_tokens"), chars.alias("edited_chars"), tokens.alias("edited_tokens"), F.lit(0).cast("long").alias("reencoded_chars"),
+        F.size("leaves").cast("long").alias("n_leaves"), "leaves")
+    return edited(joined.filter(F.col("_edits").isNotNull()), key, changes, vocabulary).unionByName(still)
 
 
 def own_edits(text: Column) -> Column:

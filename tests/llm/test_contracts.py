@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from cairnspark.llm import catalog, digest, simhash
+from cairnspark.llm import catalog, digest, pieces, simhash, token_counts
+from cairnspark.llm.tokens import default_vocabulary, encoding
 
 SAYING = "\\### Assistant: </turn> ok"
 LONG = " ".join(f"word{i % 997}" for i in range(20_000))
@@ -175,3 +176,46 @@ def test_extra_columns_do_not_matter(spark, folder, tmp_path):
     for name in ("op1_chat", "op2_warc", "op5_simhash", "op8_quality_rules", "op10_html"):
         assert sorted(map(str, rows_of(spark, d, name))) == sorted(map(str, rows_of(spark, folder, name)))
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, d).collect()} == {r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()}
+
+
+def test_token_counts(spark, folder):
+    known = encoding(default_vocabulary())
+    count = lambda t: len(known.encode(t, allowed_special="all"))
+    got = {r["doc_id"]: r for r in rows_of(spark, folder, "op4_token_counts")}
+    for i, t in enumerate(TEXTS):
+        t = t or ""
+        n, new = len(t), t
+        for start, end, said in ((n // 3, n // 3 + 20, t[:40]), (n // 2, n // 2, "\n" + t[-30:] if t else "\n"), (0, 10, "")):
+            start, end = min(start, len(new)), min(end, len(new))
+            new = new[:start] + said + new[end:]
+        r = got[i]
+        assert (r["n_chars"], r["n_tokens"], r["edited_chars"], r["edited_tokens"]) == (n, count(t), len(new), count(new)), i
+
+
+def test_trees_in_buckets_stay_where_they_are(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = token_counts.keep_trees(token_counts.trees(docs), "kept_trees", buckets=4)
+    edits = spark.createDataFrame([(1, 2, 0, 3, "new words "), (1, 1, 5, 9, None), (3, 1, 0, 0, "x"), (999, 1, 0, 1, "none")], "doc_id long, seq int, start long, end long, new string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = token_counts.apply_edits(kept, edits)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning(doc_id" in line]
+        got = {r["doc_id"]: r for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(shuffled) == 2 and "Bucketed: true" in plan  # the edits, once for each of the two branches
+    known = encoding(default_vocabulary())
+    want = "new words " + (TEXTS[1][:5] + TEXTS[1][9:])[3:]
+    assert len(got) == len(TEXTS) and "".join(x["text"] for x in got[1]["leaves"]) == want
+    assert got[1]["edited_tokens"] == len(known.encode_ordinary(want)) and got[2]["reencoded_chars"] == 0 and got[2]["n_tokens"] == got[2]["edited_tokens"] == len(known.encode_ordinary(TEXTS[2]))
+
+
+def test_pieces(spark, folder):
+    s = pieces.segmenter(pieces.default_model())
+    got = {r["doc_id"]: r for r in rows_of(spark, folder, "op6_pieces")}
+    for i, t in enumerate(TEXTS):
+        ids, n, scores = s.encode(t)
+        assert (got[i]["n_pieces"], got[i]["ids_crc32"], got[i]["scores"]) == (n, zlib.crc32(ids), pytest.approx(scores)) and len(scores) >= 1
+        assert got[i]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
