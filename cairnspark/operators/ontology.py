@@ -21,6 +21,10 @@ CURATED = {
     "hasSender": ("—", "none"), "hasRecipient": ("—", "none"), "hasOriginPlace": ("P27_moved_from", "broad"), "hasDestinationPlace": ("P26_moved_to", "broad"),
     "hasName": ("P1_is_identified_by", "close"), "hasTitle": ("P102_has_title", "close"), "hasAuthor": ("P14_carried_out_by", "broad"),
 }
+#: Properties that the written ontology matches with a standard one.
+MATCHED = {
+    "tookPlaceIn": "P7_took_place_at", "carriedOutBy": "P14_carried_out_by", "containsPlace": "P89_falls_within", "locatedAt": "P168_place_is_defined_by",
+}
 #: For other predicates the first group with a part of the predicate's name decides.
 RULES = (
     (("Date", "Time", "Era", "Span", "captured"), "P4_has_time-span", "broad"),
@@ -88,9 +92,19 @@ def with_labels(inventoried: DataFrame, spec: DataFrame) -> DataFrame:
     return inventoried.join(first, "predicate", "left")
 
 
+def class_names(types: Column) -> Column:
+    """Sorted class names of comma-separated entity types; unknown types are left out."""
+    names = F.create_map(*[F.lit(x) for t, (c, _, _) in CLASSES.items() for x in (t, c)])
+    return F.array_sort(F.filter(F.transform(F.split(types, ","), lambda t: F.try_element_at(names, t)), lambda c: c.isNotNull()))
+
+
 def ranges(inventoried: DataFrame, numeric: tuple[str, ...] = NUMERIC) -> DataFrame:
-    """Domain and range of each predicate, unions where there are several classes."""
-    joined = lambda c: F.when(F.col(c).contains(","), F.concat(F.lit("union("), F.col(c), F.lit(")"))).otherwise(F.col(c))
+    """Domain and range of each predicate by class names, unions where there are several classes."""
+
+    def joined(types: str) -> Column:
+        names = class_names(F.col(types))
+        return F.when(F.size(names) > 1, F.concat(F.lit("union("), F.array_join(names, ","), F.lit(")"))).otherwise(F.array_join(names, ","))
+
     data = F.when(F.col("predicate").isin(*numeric), "decimal").otherwise("string")
     return inventoried.select("predicate", joined("domain").alias("domain"), F.when(F.col("has_ref"), joined("object_types")).otherwise(data).alias("range"), "n")
 
@@ -144,25 +158,43 @@ def child_types(statements: DataFrame, entities: DataFrame, types: DataFrame, pr
     return typed.groupBy("parent", F.coalesce("type", F.lit("unknown")).alias("type")).agg(F.count_distinct("pid").alias("n"))
 
 
+def _escaped(text: Column) -> Column:
+    """A text as it stands between the quotes of an N-Triples literal."""
+    for plain, said in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        text = F.replace(text, F.lit(plain), F.lit(said))
+    return text
+
+
 def triples(inventoried: DataFrame, base: str = "urn:kg:") -> DataFrame:
-    """N-Triples lines of the terms: kind, domains, ranges and standard match of each property, and its label if there is one."""
-    node = lambda c: F.concat(F.lit("<"), c, F.lit(">"))
-    own = lambda c: node(F.concat(F.lit(base), c))
+    """N-Triples lines of the terms: kind, domain, range and standard match (MATCHED) of each property, and its label if there is one.
+
+    Several classes are one union, as a list; its blank nodes are named after the property, so the same terms give the same lines.
+    """
     iri = lambda x: F.lit(f"<{x}>")
-    line = lambda verb, what: F.concat_ws(" ", own(F.col("predicate")), iri(verb), what, F.lit("."))
-    each = lambda c, verb: F.transform(F.filter(F.split(c, ","), lambda t: t != ""), lambda t: line(verb, own(t)))
-    edge = F.col("category") == "edge"
-    kind = F.when(edge | (F.col("category") == "spatial"), "ObjectProperty").otherwise("DatatypeProperty")
-    decimal = F.when(F.col("predicate").isin(*NUMERIC), "decimal").otherwise("string")
-    term, level = crm(F.col("predicate"))
-    match = F.when(level == "none", F.array().cast("array<string>")).otherwise(
-        F.array(line(f"{SKOS}closeMatch", node(F.concat(F.lit(CRM), F.split_part(term, F.lit(" "), F.lit(1)))))))
+    own = lambda c: F.concat(F.lit(f"<{base}"), c, F.lit(">"))
+    told = lambda subject, verb, what: F.concat_ws(" ", subject, iri(verb), what, F.lit("."))
+    line = lambda verb, what: told(own(F.col("predicate")), verb, what)
     none = F.array().cast("array<string>")
-    label = F.when(F.col("label").isNotNull(), F.array(line(f"{RDFS}label", F.concat(F.lit('"'), F.replace("label", F.lit('"'), F.lit('\\"')), F.lit('"@zh'))))).otherwise(none) if "label" in inventoried.columns else none
+
+    def classes(types: str, verb: str) -> Column:
+        names, blank = class_names(F.col(types)), F.concat(F.lit("_:"), F.regexp_replace("predicate", "[^A-Za-z0-9]", "x"), F.lit(f"-{verb}"))
+        at = lambda i: F.concat(blank, F.lit("-"), i.cast("string"))
+        listed = F.flatten(F.transform(names, lambda c, i: F.array(
+            told(at(i), f"{RDF}first", own(c)), told(at(i), f"{RDF}rest", F.when(i + 1 < F.size(names), at(i + 1)).otherwise(iri(f"{RDF}nil"))))))
+        union = F.array(line(f"{RDFS}{verb}", blank), told(blank, f"{RDF}type", iri(f"{OWL}Class")), told(blank, f"{OWL}unionOf", at(F.lit(0))))
+        return F.when(F.size(names) == 0, none).when(F.size(names) == 1, F.array(line(f"{RDFS}{verb}", own(names[0])))).otherwise(F.concat(union, listed))
+
+    edge, spatial = F.col("category") == "edge", F.col("category") == "spatial"
+    decimal = F.when(F.col("predicate").isin(*NUMERIC), "decimal").otherwise("string")
+    term = F.try_element_at(F.create_map(*[F.lit(x) for pair in MATCHED.items() for x in pair]), F.col("predicate"))
+    label = F.col("label") if "label" in inventoried.columns else F.lit(None).cast("string")
     parts = F.concat(
-        F.array(line(f"{RDF}type", node(F.concat(F.lit(OWL), kind)))), each("domain", f"{RDFS}domain"),
-        F.when(edge, each("object_types", f"{RDFS}range")).when(F.col("category") == "spatial", F.array(line(f"{RDFS}range", own(F.lit("Geometry")))))
-        .otherwise(F.array(line(f"{RDFS}range", node(F.concat(F.lit(XSD), decimal))))), match, label,
+        F.array(line(f"{RDF}type", F.concat(F.lit(f"<{OWL}"), F.when(edge | spatial, "ObjectProperty").otherwise("DatatypeProperty"), F.lit(">")))),
+        classes("domain", "domain"),
+        F.when(edge, classes("object_types", "range")).when(spatial, F.array(line(f"{RDFS}range", own(F.lit("Geometry")))))
+        .otherwise(F.array(line(f"{RDFS}range", F.concat(F.lit(f"<{XSD}"), decimal, F.lit(">"))))),
+        F.when(term.isNotNull(), F.array(line(f"{SKOS}closeMatch", F.concat(F.lit(f"<{CRM}"), term, F.lit(">"))))).otherwise(none),
+        F.when(label.isNotNull(), F.array(line(f"{RDFS}label", F.concat(F.lit('"'), _escaped(label), F.lit('"@zh'))))).otherwise(none),
     )
     return inventoried.select(F.explode(parts).alias("line"))
 
@@ -170,6 +202,6 @@ def triples(inventoried: DataFrame, base: str = "urn:kg:") -> DataFrame:
 def write_triples(inventoried: DataFrame, path: str, base: str = "urn:kg:") -> None:
     """The lines as text files, with those of the classes."""
     spark = inventoried.sparkSession
-    rows = [(f"<{base}{t}> <{p}> {o} .",) for t, (c, zh, match) in CLASSES.items() for p, o in (
+    rows = [(f"<{base}{c}> <{p}> {o} .",) for _, (c, zh, match) in CLASSES.items() for p, o in (
         (f"{RDF}type", f"<{OWL}Class>"), (f"{RDFS}label", f'"{zh}"@zh'), (f"{RDFS}label", f'"{c}"@en'), (f"{SKOS}closeMatch", f"<{CRM}{match}>"))]
     triples(inventoried, base).unionByName(spark.createDataFrame(rows, "line string")).write.text(path)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnspark.functions.session import table
+from cairnspark.functions.session import fresh_folder, table
 from cairnspark.operators import connect, govern, ingest, match, promote, spatial
 from cairnspark.plans.graph import lat, lon, nation_polygons
-from cairnspark.plans.registry import query
-from cairnspark.sources import connectors
+from cairnspark.plans.registry import ORACLE_SQL, query
+from cairnspark.sources import connectors, readers
 from cairnspark.sources import sheets as S
 
 FILE = "/in/table"
@@ -285,3 +285,27 @@ def first_entities(spark: SparkSession, d: str) -> DataFrame:
     """A source read up to its hundredth entity, whose keys come again and again."""
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row"))
     return connect.first_entities(rows, F.col("l_partkey"), "row", 100).drop("row")
+
+
+@query(f"""WITH {_POINTS} SELECT nk AS natural_key, CASE WHEN s_suppkey % 3 = 0 THEN '{{"Surveyor":"Lin","Recorder":"Ke"}}' ELSE '{{"Recorder":"Ke"}}' END AS metadata, 'csv_row' AS source_type FROM p""")
+def heritage_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """What a connector tells about its source rows: the filled metadata fields, and the kind of source."""
+    return connectors.heritage_points(points(spark, d), FILE, "east").select("natural_key", "metadata", "source_type").distinct()
+
+
+@query(f"""SELECT "table", count(*) FILTER (WHERE kind <> 'relation_meta' AND score >= 0.5) AS sure, count(*) FILTER (WHERE kind <> 'relation_meta' AND score < 0.5) AS unsure, count(*) FILTER (WHERE kind = 'relation_meta') AS skipped
+FROM ({ORACLE_SQL['mapping_suggestions']}) GROUP BY 1""")
+def mapping_summary(spark: SparkSession, d: str) -> DataFrame:
+    return match.summary(mapping_suggestions(spark, d))
+
+
+@query("""SELECT 'img:P' || s_nationkey || '/' || s_suppkey || '.jpg' AS natural_key, 'P' || s_nationkey AS place, s_suppkey || '.jpg' AS file, CAST(s_suppkey % 50 + 1 AS BIGINT) AS bytes FROM supplier WHERE s_suppkey % 5 <> 0""")
+def photo_folder(spark: SparkSession, d: str) -> DataFrame:
+    """A folder of image files, one folder for each place, with files beside them that are no images; contents are not read."""
+    root, jvm = fresh_folder(spark, "photo-folder"), spark._jvm
+    fs = jvm.org.apache.hadoop.fs.FileSystem.get(jvm.java.net.URI(root), spark._jsc.hadoopConfiguration())
+    for k, n in table(spark, d, "supplier").select("s_suppkey", "s_nationkey").toLocalIterator():
+        out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/P{n}/{k}.{'txt' if k % 5 == 0 else 'jpg'}"))
+        out.write(bytearray(k % 50 + 1))
+        out.close()
+    return readers.photo_folder(spark, root)

@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -310,3 +311,32 @@ def test_large_polygons_go_to_coarser_cells(spark):
     for cell in (0.5, None):
         got = {(r["polygon_id"], r["point_id"]) for r in spatial.contains_place(s, p, cell).collect()}
         assert got == {("big", i) for _, i, x, y in points if abs(x) < 160 and abs(y) < 70} | {("big", "in"), ("tiny", "in")} | {("tiny", i) for _, i, x, y in points if 0 < x < 1 and 0 < y < 1}
+
+
+def test_written_ontology_parses_and_unions_classes(spark, tmp_path):
+    e = spark.createDataFrame([("a", "pl"), ("b", "ac"), ("c", "clu")], "pid string, entity_type string")
+    schema = "subject_id string, predicate string, object_value string, object_id string, geometry string"
+    rows = [("a", "hasName", "x", None, None), ("b", "hasName", "y", None, None), ("c", "hasName", "z", None, None), ("a", "near", None, "b", None), ("a", "near", None, "c", None), ("a", "locatedAt", None, None, "POINT(1 2)")]
+    found = ontology.inventory(spark.createDataFrame(rows, schema), e)
+    spec = spark.createDataFrame([("hasName", 'a "b" \\ c\nd', 1)], "predicate string, label string, ord int")
+    ontology.write_triples(ontology.with_labels(found, spec), str(tmp_path / "o"))
+    lines = sorted(r["value"] for r in spark.read.text(str(tmp_path / "o")).collect())
+    term = r'(?:<[^<>" ]+>|_:[A-Za-z0-9-]+)'
+    assert all(re.fullmatch(rf'{term} <[^<>" ]+> (?:{term}|"(?:[^"\\\n]|\\["\\nrt])*"@[a-z]+) \.', x) for x in lines)
+    read = {}
+    for x in lines:
+        subject, verb, what = x[:-2].split(" ", 2)
+        read.setdefault((subject, re.split("[#/]", verb[:-1])[-1]), []).append(what)
+
+    def union(node):
+        at, out = read[node, "unionOf"][0], []
+        while at.startswith("_:"):
+            out += read[at, "first"]
+            at = read[at, "rest"][0]
+        return out
+
+    assert len(read["<urn:kg:hasName>", "domain"]) == 1
+    assert union(read["<urn:kg:hasName>", "domain"][0]) == ["<urn:kg:Actor>", "<urn:kg:CulturalLandscapeUnit>", "<urn:kg:Place>"]
+    assert union(read["<urn:kg:near>", "range"][0]) == ["<urn:kg:Actor>", "<urn:kg:CulturalLandscapeUnit>"] and read["<urn:kg:near>", "domain"] == ["<urn:kg:Place>"]
+    assert read["<urn:kg:hasName>", "label"] == ['"a \\"b\\" \\\\ c\\nd"@zh'] and ("<urn:kg:near>", "closeMatch") not in read
+    assert read["<urn:kg:locatedAt>", "closeMatch"] == ["<http://www.cidoc-crm.org/cidoc-crm/P168_place_is_defined_by>"]
