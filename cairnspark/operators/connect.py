@@ -88,8 +88,16 @@ def spread_ref_names(refs: DataFrame, nk: Column, kind: Column, label: Column, o
     return refs.groupBy(nk.alias("natural_key"), kind.alias("ref_type")).agg(F.max_by(label, order).alias("label"))
 
 
-def with_other(statements: DataFrame, predicate: str, other: str) -> DataFrame:
-    """Statements of a predicate, each beside those of another one about the same subject (columns other_*), null where there are none."""
+def with_other(statements: DataFrame, predicate: str, other: str, how: str = "left") -> DataFrame:
+    """Statements of a predicate, each beside those of another one about the same subject (columns other_*); null where there are none, or with
+    how "inner" none."""
     right = statements.filter(F.col("predicate") == other).drop("predicate")
     right = right.select(*[F.col(c).alias(c if c == "subject_id" else f"other_{c}") for c in right.columns])
-    return statements.filter(F.col("predicate") == predicate).join(right, "subject_id", "left")
+    return statements.filter(F.col("predicate") == predicate).join(right, "subject_id", how)
+
+
+def last_of(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """One row for each key, the last by order; rows without key are left out."""
+    kept = [c for c in rows.columns if c != key]
+    last = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*kept), order).alias("_last"))
+    return last.select(key, "_last.*").select(*rows.columns)

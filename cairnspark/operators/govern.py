@@ -70,9 +70,9 @@ def type_values(values: DataFrame, column: str, k: int) -> DataFrame:
 
 
 def region_metrics(entities: DataFrame, statements: DataFrame, points: DataFrame, boxes: DataFrame, predicates: list[str]) -> DataFrame:
-    """D1 to D4 and D6 of every region in one row: n_entities, d2, d3, d4, d6 (percent), as grade and report take them.
+    """D1 to D6 of every region in one row: n_entities, d2, d3, d4, d6 (percent), d5 (different values of hasType), as grade and report take them.
 
-    entities: pid, entity_type, region; statements: subject_id, predicate, object_id, evidence_id. Statements of
+    entities: pid, entity_type, region; statements: subject_id, predicate, object_value, object_id, evidence_id. Statements of
     the named predicates refer to entities, and count as dangling where the object is null or no entity.
     """
     here = entities.select("pid", "entity_type", "region")
@@ -90,8 +90,11 @@ def region_metrics(entities: DataFrame, statements: DataFrame, points: DataFrame
     by_ref = refs.groupBy("region").agg(F.count("*").alias("refs")).join(known.groupBy("region").agg(F.count("*").alias("known")), "region", "left")
     by_ref = by_ref.select("region", percent(F.col("refs") - F.coalesce("known", F.lit(0)), F.col("refs")).alias("d2"))
     by_point = outliers(points, boxes).select("region", F.col("rate").alias("d4"))
+    typed = statements.filter("predicate = 'hasType' AND object_value IS NOT NULL").join(here.select(F.col("pid").alias("subject_id"), "region"), "subject_id")
+    by_type = typed.groupBy("region").agg(F.count_distinct("object_value").alias("d5"))
     zero = lambda c: F.round(F.coalesce(c, F.lit(0.0)), 4).alias(c)
-    return by_entity.join(by_ref, "region", "left").join(by_point, "region", "left").select("region", "n_entities", *[zero(c) for c in ("d2", "d3", "d4", "d6")])
+    return by_entity.join(by_ref, "region", "left").join(by_point, "region", "left").join(by_type, "region", "left").select(
+        "region", "n_entities", *[zero(c) for c in ("d2", "d3", "d4")], F.coalesce("d5", F.lit(0)).alias("d5"), zero("d6"))
 
 
 def grade(metrics: DataFrame) -> DataFrame:
@@ -108,11 +111,11 @@ def grade(metrics: DataFrame) -> DataFrame:
 
 
 def report(metrics: DataFrame) -> DataFrame:
-    """(region, dimension, metric, value, verdict) rows of d2, d3, d4, d6 (percent) and n_entities of every region."""
+    """(region, dimension, metric, value, verdict) rows of d2, d3, d4, d6 (percent), d5 and n_entities of every region."""
     checks = [
         ("D1", "entities", "n_entities", F.col("n_entities") > 0), ("D2", "dangling_percent", "d2", F.col("d2") < 1),
         ("D3", "unevidenced_percent", "d3", F.col("d3") == 0), ("D4", "outlier_percent", "d4", F.col("d4") == 0),
-        ("D6", "photo_percent", "d6", F.col("d6") >= 80),
+        ("D5", "type_values", "d5", F.col("d5") > 0), ("D6", "photo_percent", "d6", F.col("d6") >= 80),
     ]
     rows = [
         F.struct(F.lit(d).alias("dimension"), F.lit(m).alias("metric"), F.col(c).cast("double").alias("value"), F.when(ok, "pass").otherwise("check").alias("verdict"))

@@ -158,6 +158,24 @@ def child_types(statements: DataFrame, entities: DataFrame, types: DataFrame, pr
     return typed.groupBy("parent", F.coalesce("type", F.lit("unknown")).alias("type")).agg(F.count_distinct("pid").alias("n"))
 
 
+def container_star(statements: DataFrame, entities: DataFrame, types: DataFrame, predicate: str, width: int = 14) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) of all containers: a node for each with its number of children, one for each child with its type (unknown without one), each
+    entity once, and an edge to each child.
+
+    nodes: id, label (a child's is cut to width characters), kind, type, n; edges: source, target. types: pid, type. Statements of the predicate
+    run from child to container. An entity that is both is a container.
+    """
+    edges = statements.filter((F.col("predicate") == predicate) & F.col("object_id").isNotNull()).select(F.col("object_id").alias("source"), F.col("subject_id").alias("target")).distinct()
+    named = entities.select("pid", "label")
+    edges = edges.join(named.select(F.col("pid").alias("source")), "source", "left_semi").join(named.select(F.col("pid").alias("target")), "target", "left_semi").select("source", "target")
+    counts = edges.groupBy(F.col("source").alias("id")).agg(F.count("*").alias("n"))
+    containers = counts.join(named.withColumnRenamed("pid", "id"), "id").select("id", "label", F.lit("container").alias("kind"), F.lit(None).cast("string").alias("type"), "n")
+    children = edges.select(F.col("target").alias("id")).distinct().join(counts.select("id"), "id", "left_anti").join(named.withColumnRenamed("pid", "id"), "id").join(
+        types.withColumnRenamed("pid", "id"), "id", "left")
+    children = children.select("id", F.left("label", F.lit(width)).alias("label"), F.lit("child").alias("kind"), F.coalesce("type", F.lit("unknown")).alias("type"), F.lit(None).cast("long").alias("n"))
+    return containers.unionByName(children), edges
+
+
 def _escaped(text: Column) -> Column:
     """A text as it stands between the quotes of an N-Triples literal."""
     for plain, said in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):

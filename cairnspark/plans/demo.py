@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cairnspark.functions import geo as G
 from cairnspark.functions.session import cut, table
-from cairnspark.operators.connect import fan_out, unpivot, with_other
+from cairnspark.operators.connect import fan_out, last_of, unpivot, with_other
 from cairnspark.operators.govern import histogram
 from cairnspark.operators.match import containing
 from cairnspark.operators.spatial import contains_place
@@ -175,3 +175,31 @@ def flow_with_coordinates(spark: SparkSession, d: str) -> DataFrame:
     start = places.select(F.col("n_nationkey").alias("origin"), F.col("x").alias("x_from"))
     end = places.filter("n_nationkey <> 3").select(F.col("n_nationkey").alias("destination"), F.col("x").alias("x_to"))
     return flows(spark, d).join(start, "origin").join(end, "destination").select("origin", "destination", "n", "x_from", "x_to")
+
+
+def _journeys(spark: SparkSession, d: str) -> DataFrame:
+    """Statements of orders: an origin for each line (the supplier's nation), and a destination (the customer's)."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey").join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    sent = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    said = lambda rows, key, predicate, nation: rows.select(
+        id_of("doc", key).alias("subject_id"), F.lit(predicate).alias("predicate"), id_of("n", nation).alias("object_id"))
+    return said(lines, "l_orderkey", "hasOriginPlace", "s_nationkey").unionByName(said(sent, "o_orderkey", "hasDestinationPlace", "c_nationkey"))
+
+
+@query(f"WITH {FLOWS} SELECT 'n:' || origin AS origin, 'n:' || destination AS destination, n FROM flows")
+def statement_flows(spark: SparkSession, d: str) -> DataFrame:
+    """Flows from an inner self-join of statements: every origin of a letter with every destination."""
+    both = with_other(_journeys(spark, d), "hasOriginPlace", "hasDestinationPlace", "inner")
+    return both.groupBy(F.col("object_id").alias("origin"), F.col("other_object_id").alias("destination")).agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {FLOWS}, p AS (SELECT left(n_name, 1) AS name, arg_max(n_nationkey, n_nationkey) AS k FROM nation WHERE n_nationkey <> 3 GROUP BY 1),
+g AS (SELECT n_nationkey, CAST(n_nationkey * 7919 % 36000 AS DOUBLE) / 100.0 - 180.0 AS x FROM nation WHERE n_nationkey % 4 <> 1), f AS (SELECT origin, left(n_name, 1) AS name, sum(n) AS n FROM flows JOIN nation ON destination = n_nationkey GROUP BY 1, 2)
+SELECT origin, f.name AS destination, CAST(n AS BIGINT) AS n, g.x AS x_from, CAST(p.k * 7919 % 36000 AS DOUBLE) / 100.0 - 180.0 AS x_to FROM f JOIN p USING (name) JOIN g ON origin = g.n_nationkey""")
+def flow_by_names(spark: SparkSession, d: str) -> DataFrame:
+    """Flows by the destination's name with coordinates: of places with one name the last counts, and flows without a known place go."""
+    nation = table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), F.left("n_name", F.lit(1)).alias("name"), lon("n_nationkey").alias("x"))
+    named = flows(spark, d).join(nation.select(F.col("k").alias("destination"), "name"), "destination").groupBy("origin", "name").agg(F.sum("n").alias("n"))
+    end = last_of(nation.filter("k <> 3"), "name", "k").select("name", F.col("x").alias("x_to"))
+    start = nation.filter("k % 4 <> 1").select(F.col("k").alias("origin"), F.col("x").alias("x_from"))
+    return named.join(end, "name").join(start, "origin").select("origin", F.col("name").alias("destination"), "n", "x_from", "x_to")

@@ -77,14 +77,15 @@ def audit_d6_assets(spark: SparkSession, d: str) -> DataFrame:
 
 
 _REFS = ["hasSender", "locatedIn", "carriedOutBy", "depicts"]
-#: D1 to D4 and D6 of each region, straight from the tables.
+#: D1 to D6 of each region, straight from the tables.
 _METRICS = f"""{ENTITIES}, {STATEMENTS}, {PLACES}, e AS (SELECT *, 'r' || CAST(split_part(pid, ':', 2) AS BIGINT) % 5 AS region FROM entities),
 s1 AS (SELECT region, count(*) AS n_entities, count(*) FILTER (WHERE pid NOT IN (SELECT subject_id FROM statements WHERE evidence_id IS NOT NULL)) * 100.0 / count(*) AS d3,
 count(*) FILTER (WHERE entity_type = 'pl' AND pid IN (SELECT object_id FROM statements WHERE predicate = 'depicts' AND object_id IS NOT NULL)) * 100.0 / count(*) FILTER (WHERE entity_type = 'pl') AS d6 FROM e GROUP BY 1),
 s2 AS (SELECT region, count(*) FILTER (WHERE o.pid IS NULL) * 100.0 / count(*) AS d2 FROM statements t JOIN e ON t.subject_id = e.pid LEFT JOIN entities o ON o.pid = t.object_id
 WHERE predicate IN ('hasSender', 'locatedIn', 'carriedOutBy', 'depicts') GROUP BY 1),
 s4 AS (SELECT region, round(count(*) FILTER (WHERE entity_type IN ('pl', 'clu') AND NOT (x BETWEEN lon_min AND lon_max AND y BETWEEN lat_min AND lat_max)) * 100.0 / count(*), 4) AS d4 FROM places JOIN boxes USING (region) GROUP BY 1),
-m AS (SELECT s1.region, n_entities, round(coalesce(d2, 0), 4) AS d2, round(d3, 4) AS d3, round(coalesce(d4, 0), 4) AS d4, round(d6, 4) AS d6 FROM s1 LEFT JOIN s2 USING (region) LEFT JOIN s4 USING (region))"""
+s5 AS (SELECT region, count(DISTINCT object_value) AS d5 FROM statements JOIN e ON subject_id = pid WHERE predicate = 'hasType' GROUP BY 1),
+m AS (SELECT s1.region, n_entities, round(coalesce(d2, 0), 4) AS d2, round(d3, 4) AS d3, round(coalesce(d4, 0), 4) AS d4, coalesce(d5, 0) AS d5, round(d6, 4) AS d6 FROM s1 LEFT JOIN s2 USING (region) LEFT JOIN s4 USING (region) LEFT JOIN s5 USING (region))"""
 
 
 def _region_metrics(spark: SparkSession, d: str) -> DataFrame:
@@ -94,7 +95,7 @@ def _region_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_METRICS} SELECT * FROM m")
 def audit_region_metrics(spark: SparkSession, d: str) -> DataFrame:
-    """D1 to D4 and D6 of every region, which grade and report read."""
+    """D1 to D6 of every region, which grade and report read."""
     return _region_metrics(spark, d)
 
 
@@ -109,7 +110,7 @@ def audit_grade(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {_METRICS}
 SELECT region, 'D1' AS dimension, 'entities' AS metric, CAST(n_entities AS DOUBLE) AS value, CASE WHEN n_entities > 0 THEN 'pass' ELSE 'check' END AS verdict FROM m UNION ALL SELECT region, 'D2', 'dangling_percent', d2, CASE WHEN d2 < 1 THEN 'pass' ELSE 'check' END FROM m
 UNION ALL SELECT region, 'D3', 'unevidenced_percent', d3, CASE WHEN d3 = 0 THEN 'pass' ELSE 'check' END FROM m UNION ALL SELECT region, 'D4', 'outlier_percent', d4, CASE WHEN d4 = 0 THEN 'pass' ELSE 'check' END FROM m
-UNION ALL SELECT region, 'D6', 'photo_percent', d6, CASE WHEN d6 >= 80 THEN 'pass' ELSE 'check' END FROM m""")
+UNION ALL SELECT region, 'D5', 'type_values', CAST(d5 AS DOUBLE), CASE WHEN d5 > 0 THEN 'pass' ELSE 'check' END FROM m UNION ALL SELECT region, 'D6', 'photo_percent', d6, CASE WHEN d6 >= 80 THEN 'pass' ELSE 'check' END FROM m""")
 def audit_report(spark: SparkSession, d: str) -> DataFrame:
     return govern.report(_region_metrics(spark, d))
 
@@ -468,3 +469,18 @@ def collector_of_metadata(spark: SparkSession, d: str) -> DataFrame:
     meta = F.when(k == 1, '{"Surveyor": "Lin", "Recorder": "Ke"}').when(k == 2, '{"recorder": "Ke", "collector": "Wu"}').when(k == 3, '{"COLLECTOR": "Wu"}').when(
         k == 4, '{"collector": "Wu", "surveyor": " Lin "}').when(k == 5, '{"surveyor": "", "other": "x"}').when(k == 6, '{"surveyor": "nan", "recorder": "Su"}')
     return table(spark, d, "orders").select("o_orderkey", C.collector_of(meta).alias("collector"))
+
+
+@query(f"""WITH {ENTITIES}, {STATEMENTS}, t AS (SELECT subject_id AS pid, min(object_value) AS type FROM statements WHERE predicate = 'hasType' GROUP BY 1),
+e AS (SELECT DISTINCT object_id AS source, subject_id AS target FROM statements WHERE predicate = 'locatedIn' AND object_id IN (SELECT pid FROM entities) AND subject_id IN (SELECT pid FROM entities)),
+c AS (SELECT source AS pid, count(*) AS n FROM e GROUP BY 1)
+SELECT 'edge' AS kind, source AS id, target AS label, CAST(NULL AS VARCHAR) AS type, CAST(NULL AS BIGINT) AS n FROM e UNION ALL SELECT 'container', pid, label, NULL, n FROM c JOIN entities USING (pid)
+UNION ALL SELECT 'child', pid, left(label, 14), coalesce(type, 'unknown'), NULL FROM entities LEFT JOIN t USING (pid) WHERE pid IN (SELECT target FROM e) AND pid NOT IN (SELECT pid FROM c)""")
+def container_star(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes and edges of all containers and their children as one table."""
+    all_ = statements(spark, d)
+    types = all_.filter("predicate = 'hasType'").groupBy(F.col("subject_id").alias("pid")).agg(F.min("object_value").alias("type"))
+    nodes, edges = ontology.container_star(all_, entities(spark, d), types, "locatedIn")
+    none = F.lit(None)
+    return nodes.select("kind", "id", "label", "type", "n").unionByName(edges.select(
+        F.lit("edge").alias("kind"), F.col("source").alias("id"), F.col("target").alias("label"), none.cast("string").alias("type"), none.cast("long").alias("n")))
