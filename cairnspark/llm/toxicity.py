@@ -45,13 +45,14 @@ PER_CLASS, MAX_CHARS, LANDMARKS, THRESHOLD = 2000, 20_000, 160, 0.3
 
 @dataclass(frozen=True)
 class Bounds:
-    """How much of the sample's units a fit uses: landmarks, insults that are disguised, clean units at random, and the
-    highest clean units that each round adds."""
+    """How much of the sample's units a fit uses: landmarks, insults that are disguised, clean units at random, the
+    highest clean units that each round adds, and how many toxic documents must hold a unit before it can be their insult at first."""
 
     landmarks: int = LANDMARKS
     disguised: int = 200
     clean: int = 4000
     hard: int = 1000
+    evidence: int = 2
 
 
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum()) + b"\x00"
@@ -216,12 +217,11 @@ def fit(bags: list[tuple[bool, set[bytes]]], bounds: Bounds = Bounds(), rounds:
         for x in u - in_clean:
             df[x] = df.get(x, 0) + 1
     best = lambda u, score: max(u, key=lambda x: (score.get(x, -1e9), x))
-    least = 2 if len(toxic) < 400 else 3
     # a unit that clean documents hold too is no insult; a toxic document with no other unit teaches nothing
     own = [o for u in toxic if (o := u - in_clean)]
     if not own:
         return None
-    witness = [x for u in own if df[x := best(u, df)] >= least] or [best(u, df) for u in own]
+    witness = [x for u in own if df[x := best(u, df)] >= bounds.evidence] or [best(u, df) for u in own]
     negatives = sorted(in_clean, key=lambda x: hash_of(x))
     everything = sorted(in_clean.union(*toxic))
     hard: set[bytes] = set()
