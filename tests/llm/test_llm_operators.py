@@ -258,7 +258,7 @@ def test_keep_one_joins_near_copies_only(spark, monkeypatch, hot):
 
 @pytest.mark.parametrize("few", [-1, 1000])
 def test_torn_buckets_by_sketches_and_by_sets(spark, monkeypatch, few):
-    for name, value in (("HOT_BUCKET", 2), ("SKETCH_NODES", 30), ("BLOCK_NODES", 25), ("FEW", few)):  # dense always, never
+    for name, value in (("HOT_BUCKET", 2), ("SKETCH_NODES", 30), ("BLOCK_NODES", 25), ("FEW", few), ("MARK_BYTES", max(0, few))):  # dense always, never
         monkeypatch.setattr(nearcopies, name, value)
     rng = random.Random(4)
     shared = [f"s{i}" for i in range(60)]
