@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from cairnspark.llm.common import attach, cut, per_batch, small_batches, table, uncut
 from cairnspark.llm.components import connected_components
-from cairnspark.llm.nearcopies import near_copies, text_mark
+from cairnspark.llm.nearcopies import MARK_BYTES, near_copies, text_mark
 
 SHINGLE, SEED, MAX_BITS, HOT_BUCKET = 3, 42, 3, 64
 
@@ -156,10 +156,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that represent their near copies (five-word shingles, similarity 0.8: see nearcopies); rows with the
-    same key and text stay or go together."""
+    same key and text stay or go together. Up to MARK_BYTES of what goes is broadcast, so that no text moves."""
     found = near_copies(docs, key, text)
     gone = cut(found.filter(~F.col("kept")).select(F.col(key).alias("_key"), F.col("mark").alias("_mark")).distinct())
     uncut(found)
+    gone = F.broadcast(gone) if gone.count() * 24 <= MARK_BYTES else gone
     same = F.col(f"`{key}`").cast("long").eqNullSafe(F.col("_key")) & (text_mark(F.col(f"`{text}`")) == F.col("_mark"))
     return docs.join(gone, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
