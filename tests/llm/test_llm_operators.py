@@ -604,6 +604,18 @@ def test_template_alone_removes_menus_and_footers(spark):
     assert all(len(got[50 + i].split("\n\n")) == 5 for i in range(4))  # a page that is nothing but links keeps them
 
 
+def test_template_is_found_from_all_pages(spark):
+    """The 20 pages with the smallest hashes have another head than the 280 others, which make it the template."""
+    made = [(i, head, f"<body><p>{head}</p><p>text {i}</p></body>") for i in range(1500) for head in ("Site name", "Other name")]
+    hashed = spark.createDataFrame(made, "i long, head string, html string").withColumn("h", F.pmod(F.xxhash64("html"), F.lit(1 << 20))).collect()
+    few = [r for r in hashed if r["head"] == "Other name" and r["h"] * 300 < 64 << 20][:20]
+    many = [r for r in hashed if r["head"] == "Site name" and r["h"] * 300 >= 64 << 20 and r["i"] not in {x["i"] for x in few}][:280]
+    rows = [(k, "http://h.example/", r["html"]) for k, r in enumerate([*many, *few])]
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), names=False).collect()}
+    assert len(few) == 20 and [got[k] for k in range(280)] == [f"text {r['i']}" for r in many]
+    assert [got[280 + k] for k in range(20)] == [f"Other name\n\ntext {r['i']}" for r in few]
+
+
 def test_deep_and_wide_pages(spark):
     deep = lambda t: "<div>" * 5000 + f"<p>{t}</p>"
     wide = lambda i: "<body>" + "".join(f"<p class=c{(k * i) % 3}>w{k} {i}</p>" for k in range(20_000))
