@@ -218,6 +218,14 @@ def test_photo_folder(spark, tmp_path):
     assert [tuple(r) for r in readers.photo_folder(spark, str(tmp_path)).collect()] == [("img:gate/a.jpg", "gate", "a.jpg", 3)]
 
 
+def test_files_are_written_by_tasks(spark, tmp_path):
+    files = spark.range(500).select(F.concat(F.lit("p"), F.col("id") % 3, F.lit("/"), F.col("id"), F.lit(".jpg")).alias("name"), F.repeat(F.lit("x"), (F.col("id") + 1).cast("int")).cast("binary").alias("content"))
+    for root in (f"file:{tmp_path}/a", f"file://{tmp_path}/b", f"{tmp_path}/c"):
+        readers.write_files(files, root)
+        got = {r["natural_key"]: r["bytes"] for r in readers.photo_folder(spark, root).collect()}
+        assert got == {f"img:p{i % 3}/{i}.jpg": i + 1 for i in range(500)}
+
+
 def test_encoding_fallback(spark, tmp_path):
     (tmp_path / "x.csv").write_bytes("id,name\n1,照片\n".encode("gb18030"))
     assert readers.encoded_csv(spark, str(tmp_path / "x.csv"), "id int, name string").first()["name"] == "照片"
