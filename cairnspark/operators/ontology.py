@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cairnspark.functions.joins import by_key
+
 #: Classes of entity types with their labels and standard class.
 CLASSES = {
     "pl": ("Place", "地点", "E53_Place"), "clu": ("CulturalLandscapeUnit", "文化景观单元", "E27_Site"), "ac": ("Actor", "行动者", "E39_Actor"),
@@ -41,20 +43,23 @@ def inventory(statements: DataFrame, entities: DataFrame) -> DataFrame:
     """Each predicate with sorted subject and object types, what its objects are, its count and its category (see category).
 
     Only statements with an object are joined with it, as the null objects of all literals would be one key. statements
-    may lack the column geometry.
+    may lack the column geometry. Texts that only have to be there do not move, and what a task sorts has a bound (see by_key).
     """
     s = entities.select(F.col("pid").alias("subject_id"), F.col("entity_type").alias("subject_type"))
     o = entities.select(F.col("pid").alias("object_id"), F.col("entity_type").alias("object_type"))
     shape = F.col("geometry") if "geometry" in statements.columns else F.lit(None).cast("string")
-    typed = statements.select("subject_id", "predicate", "object_value", "object_id", shape.alias("geometry")).join(s, "subject_id")
-    ref = typed.filter(F.col("object_id").isNotNull()).join(o, "object_id", "left")
+    said = statements.select("subject_id", "predicate", F.col("object_value").isNotNull().alias("has_value"), "object_id", shape.isNotNull().alias("has_geo"))
+    total, with_object = said.agg(F.count("*"), F.count("object_id")).first()
+    typed = by_key(said, "subject_id", total).join(by_key(s, "subject_id", total), "subject_id").drop("subject_id")
+    ref = typed.filter(F.col("object_id").isNotNull())
+    ref = by_key(ref, "object_id", with_object).join(by_key(o, "object_id", with_object), "object_id", "left")
     rest = typed.filter(F.col("object_id").isNull()).withColumn("object_type", F.lit(None).cast("string"))
     found = ref.unionByName(rest).groupBy("predicate").agg(
         F.array_join(F.array_sort(F.collect_set("subject_type")), ",").alias("domain"),
         F.array_join(F.array_sort(F.collect_set("object_type")), ",").alias("object_types"),
         F.bool_or(F.col("object_id").isNotNull()).alias("has_ref"),
-        F.bool_or(F.col("object_value").isNotNull()).alias("has_value"),
-        F.bool_or(F.col("geometry").isNotNull()).alias("has_geo"),
+        F.bool_or("has_value").alias("has_value"),
+        F.bool_or("has_geo").alias("has_geo"),
         F.count("*").alias("n"),
     )
     return found.withColumn("category", category(F.col("has_ref"), F.col("has_geo")))
