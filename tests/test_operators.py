@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cairnspark.functions import joins
 from cairnspark.operators import connect, govern, match, ontology, promote, spatial, store
 from cairnspark.sources import readers
 
@@ -218,6 +219,21 @@ def test_photo_folder(spark, tmp_path):
     assert [tuple(r) for r in readers.photo_folder(spark, str(tmp_path)).collect()] == [("img:gate/a.jpg", "gate", "a.jpg", 3)]
 
 
+def test_joins_by_key_keep_partitions_small(spark, monkeypatch):
+    monkeypatch.setattr(joins, "ROWS", 100)
+    entities = spark.range(2000).select(F.concat(F.lit("e"), "id").alias("pid"), F.lit("pl").alias("entity_type"), F.concat(F.lit("l"), "id").alias("label"))
+    said = spark.range(2000).select(
+        F.concat(F.lit("e"), "id").alias("subject_id"), F.lit("p").alias("predicate"), F.when(F.col("id") % 2 == 0, "v").alias("object_value"),
+        F.when(F.col("id") % 2 == 1, F.lit("e1")).alias("object_id"), (F.col("id") % 2).alias("evidence_id"))
+    rows = spark.createDataFrame([(0, "s0"), (5, "s5")], "evidence_id long, source string")
+    made = govern.provenance(said, entities, rows)
+    assert {tuple(r) for r in made.collect()} == {(f"e{i}", f"l{i}", "p", "s0") for i in range(0, 2000, 2)} and made.count() == 1000
+    assert made.rdd.getNumPartitions() == 10
+    assert [tuple(r) for r in ontology.inventory(said, entities).collect()] == [("p", "pl", "pl", True, True, False, 2000, "edge")]
+    typed = joins.by_key(said, "subject_id", 2000)
+    assert typed.rdd.getNumPartitions() == 20 and max(typed.groupBy(F.spark_partition_id()).count().toPandas()["count"]) < 200
+
+
 def test_files_are_written_by_tasks(spark, tmp_path):
     files = spark.range(500).select(F.concat(F.lit("p"), F.col("id") % 3, F.lit("/"), F.col("id"), F.lit(".jpg")).alias("name"), F.repeat(F.lit("x"), (F.col("id") + 1).cast("int")).cast("binary").alias("content"))
     for root in (f"file:{tmp_path}/a", f"file://{tmp_path}/b", f"{tmp_path}/c"):
