@@ -16,6 +16,8 @@ from cairnspark.functions.session import cut, shared_folder, table, uncut  # noq
 #: Java regex class body of the white space that ends a word, and the characters themselves.
 SPACE = r"\x20\x09-\x0D"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
+#: Up to so many bytes of hashes are broadcast, so that no text moves.
+MARK_BYTES = 32 << 20
 
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
@@ -51,3 +53,8 @@ def per_batch(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) ->
                 yield f(b)
 
     return run
+
+
+def text_mark(text: Column) -> Column:
+    """Hash of a text; null counts as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))

@@ -25,16 +25,24 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnspark.llm.common import attach, cut, per_batch, small_batches, table, uncut
+from cairnspark.llm.common import MARK_BYTES, attach, cut, per_batch, small_batches, table, text_mark, uncut
 from cairnspark.llm.components import connected_components
-from cairnspark.llm.nearcopies import MARK_BYTES, near_copies, text_mark
 
 SHINGLE, SEED, MAX_BITS, HOT_BUCKET = 3, 42, 3, 64
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """Unsigned 64-bit fingerprint of one text."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return fingerprint_of((text or "").encode("utf-8", "surrogatepass").lower().split(), shingle)
+
+
+def signed(fp: int) -> int:
+    """A fingerprint's bits as a signed long."""
+    return fp - (1 << 64) if fp >> 63 else fp
+
+
+def fingerprint_of(words: list[bytes], shingle: int = SHINGLE) -> int:
+    """fingerprint of a text's lower-case words."""
     if not words:
         return 0
     n = max(1, len(words) - shingle + 1)
@@ -155,8 +163,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that represent their near copies (five-word shingles, similarity 0.8: see nearcopies); rows with the
+    """The rows of docs that represent their near copies (fingerprints and bands, verified on five-word shingles at 0.8: see nearcopies); rows with the
     same key and text stay or go together. Up to MARK_BYTES of what goes is broadcast, so that no text moves."""
+    from cairnspark.llm.nearcopies import near_copies  # it takes its first candidates from this module
+
     found = near_copies(docs, key, text)
     gone = cut(found.filter(~F.col("kept")).select(F.col(key).alias("_key"), F.col("mark").alias("_mark")).distinct())
     uncut(found)

@@ -224,6 +224,24 @@ def test_simhash_edges(spark):
     assert simhash.near_duplicates(docs(spark, EDGE, IDS).limit(0)).count() == 0
 
 
+def test_near_copies_are_sought_by_fingerprints(spark):
+    """Without any band, texts whose fingerprints lie within three bits are still found and verified."""
+    base = " ".join(f"w{i}" for i in range(2000))
+    texts = [base, "another " + base, "n0 " + base, " ".join(f"v{i}" for i in range(2000))]
+    nodes = spark.createDataFrame(
+        [(nearcopies.node_of(w), len(nearcopies.shingles(w)), [], b"", simhash.signed(simhash.fingerprint_of(w)), (False, i, 0)) for i, w in enumerate(map(nearcopies.words_of, texts))],
+        "node long, size long, bands array<long>, sketch binary, fp long, first struct<none: boolean, key: long, mark: long>")
+    rows = docs(spark, texts)
+    marked = rows.select("doc_id", nearcopies.text_mark(F.col("text")).alias("m"))
+    nodes = nodes.join(marked, F.col("doc_id") == F.col("first.key")).withColumn("first", F.struct(F.lit(False).alias("none"), F.col("doc_id").alias("key"), F.col("m").alias("mark"))).drop("doc_id", "m")
+    at = {nearcopies.node_of(nearcopies.words_of(t)): i for i, t in enumerate(texts)}
+    found = {frozenset((at[r["u"]], at[r["v"]])) for r in nearcopies.links(nodes, rows, "text").collect()}
+    prints = [simhash.fingerprint(t) for t in texts]
+    want = {frozenset((i, j)) for i in range(4) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 3}
+    assert prints[0] == prints[1] != prints[2]  # a shared fingerprint and one apart
+    assert found <= want and set().union(*found) == {0, 1, 2} and len(found) >= 2
+
+
 @pytest.mark.parametrize("share", [1, 10**9])
 def test_heavy_fingerprints_get_the_same_class(spark, monkeypatch, share):
     rows = docs(spark, ["a b c d e"] * 30 + ["f g h i j", "k l m n o"] + [None] * 3, list(range(35)))
