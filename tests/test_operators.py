@@ -234,6 +234,14 @@ def test_joins_by_key_keep_partitions_small(spark, monkeypatch):
     assert typed.rdd.getNumPartitions() == 20 and max(typed.groupBy(F.spark_partition_id()).count().toPandas()["count"]) < 200
 
 
+def test_heavy_statements_are_made_on_all_cores(spark):
+    from cairnspark.plans import sources
+
+    n = spark.sparkContext.defaultParallelism
+    assert sources.photo_statements(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == n
+    assert sources.layer_statements(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 2 * n
+
+
 def test_files_are_written_by_tasks(spark, tmp_path):
     files = spark.range(500).select(F.concat(F.lit("p"), F.col("id") % 3, F.lit("/"), F.col("id"), F.lit(".jpg")).alias("name"), F.repeat(F.lit("x"), (F.col("id") + 1).cast("int")).cast("binary").alias("content"))
     for root in (f"file:{tmp_path}/a", f"file://{tmp_path}/b", f"{tmp_path}/c"):
