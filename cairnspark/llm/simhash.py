@@ -104,7 +104,8 @@ def links(prints: DataFrame) -> DataFrame:
         F.explode(F.concat(F.array(F.lit(0).cast("long")), _flips(F.col("value")))).alias("mask"),
         "value",
     ).select("seg", "u", F.col("value").bitwiseXOR(F.col("mask")).alias("value"), (F.col("mask") == 0).alias("same"))
-    matched = probes.join(cold.withColumnRenamed("fp", "v"), ["seg", "value"])
+    # Spark's estimate of probes leaves out that each row was made 17, so it would broadcast a table that it takes for a small one
+    matched = probes.join(cold.withColumnRenamed("fp", "v").hint("merge"), ["seg", "value"])
     near = (_distance("u", "v") <= MAX_BITS) & (F.col("u") != F.col("v"))
     pairs = matched.filter(near & (~F.col("same") | (F.col("u") < F.col("v")))).select("u", "v")
     return pairs.unionByName(_hot_links(stored, probes, hot)) if hot.limit(1).count() else pairs
@@ -141,7 +142,7 @@ def _hot_links(stored: DataFrame, probes: DataFrame, hot: DataFrame) -> DataFram
     centres = points.groupBy("seg", "value", "point").agg(
         F.min(F.when(F.col("near"), F.col("u"))).alias("v"), F.count("*").alias("n")
     ).filter((F.col("n") > 1) & F.col("v").isNotNull())
-    stars = points.join(centres, ["seg", "value", "point"]).filter(F.col("u") != F.col("v"))
+    stars = points.join(centres.hint("merge"), ["seg", "value", "point"]).filter(F.col("u") != F.col("v"))
     return stars.select("u", "v").distinct()
 
 

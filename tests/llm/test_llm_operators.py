@@ -215,6 +215,19 @@ def test_links_give_the_components_of_brute_force(spark, monkeypatch, hot):
     assert [labels.get(p, i) for i, p in enumerate(signed)] == components(prints)
 
 
+@pytest.mark.parametrize("hot", [64, 2])
+def test_exploded_probes_are_not_broadcast(spark, monkeypatch, hot):
+    monkeypatch.setattr(simhash, "HOT_BUCKET", hot)
+    prints = spark.range(400).select((F.xxhash64("id").bitwiseAND(F.lit(-16)) if hot == 64 else F.col("id")).alias("fp"))
+    plan = simhash.links(simhash.cut(prints))._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    for at, line in enumerate(plan):
+        if "BroadcastExchange" in line:
+            below = plan[at + 1 :]
+            end = next((i for i, x in enumerate(below) if depth(x) <= depth(line)), len(below))
+            assert not any("explode" in x and "posexplode" not in x for x in below[:end])
+
+
 def test_simhash_edges(spark):
     rows = simhash.near_duplicates(docs(spark, EDGE, IDS)).collect()
     assert len(rows) == len(EDGE)
