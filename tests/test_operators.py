@@ -372,3 +372,13 @@ def test_written_ontology_parses_and_unions_classes(spark, tmp_path):
     assert union(read["<urn:kg:near>", "range"][0]) == ["<urn:kg:Actor>", "<urn:kg:CulturalLandscapeUnit>"] and read["<urn:kg:near>", "domain"] == ["<urn:kg:Place>"]
     assert read["<urn:kg:hasName>", "label"] == ['"a \\"b\\" \\\\ c\\nd"@zh'] and ("<urn:kg:near>", "closeMatch") not in read
     assert read["<urn:kg:locatedAt>", "closeMatch"] == ["<http://www.cidoc-crm.org/cidoc-crm/P168_place_is_defined_by>"]
+
+
+def test_mentions_read_each_text_once(spark):
+    """What is left to do looks neither for equal texts nor for grams again."""
+    texts = spark.createDataFrame([("By the river",), ("by the River",), ("By the river",)], "text string")
+    words = spark.createDataFrame([("river", "River", "Place"), ("by the", "By the", "Place")], "surface string, canonical string, kind string")
+    found = match.mentions(texts, words)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2" not in plan and "regexp_extract_all" not in plan
+    assert found.groupBy("surface").count().orderBy("surface").collect() == [("by the", 2), ("river", 2)]
