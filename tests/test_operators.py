@@ -106,6 +106,15 @@ def test_a_batch_reads_the_folders_of_its_regions_only(spark, tmp_path):
         store.load(spark, kept)["statements"].filter("region = 'west'").collect()
 
 
+def test_promotion_sorts_keys_by_hash_and_reads_no_empty_graph(spark, monkeypatch):
+    plans, write = [], promote.cut
+    monkeypatch.setattr(promote, "cut", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), write(df))[1])
+    promote.promote(promote.empty_graph(spark), staged(spark, ROWS))
+    grouped = [g for p in plans for g in re.findall(r"Aggregate \[([^\]]*)\]", p) if "natural_key" in g]
+    assert grouped and all(g.startswith("key_hash") for g in grouped)
+    assert not any("FullOuter" in p or "LeftAnti" in p for p in plans)  # what an empty graph would be joined for
+
+
 def test_popular_keys_are_dealt_out(spark):
     rows = staged(spark, [("img", "unk", f"i{i}", "depicts", f'{{"ref_natural_key": "{"hot" if i % 3 else i}"}}') for i in range(300)])
     g, audit, _ = promote.promote(promote.empty_graph(spark), rows)
