@@ -12,12 +12,14 @@ that are staged for a batch after its promotion are promoted by the next run, wi
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnspark.functions.session import cut, read_or_empty
-from cairnspark.operators.promote import SCHEMAS, Graph, apply, promote_deltas
+from cairnspark.operators.promote import REJECTED, SCHEMAS, Graph, apply, promote_deltas
 from cairnspark.operators.spatial import infer_fresh
 
 AUDIT = (
@@ -38,7 +40,8 @@ def stage_rows(staged: DataFrame, path: str) -> None:
     rows = cut(staged.select(*[F.col(c) if c in staged.columns else F.lit(None).cast("string").alias(c) for c in _names(STAGED)]))
     batches = [r[0] for r in rows.select("batch_id").distinct().collect()]
     known = read_or_empty(rows.sparkSession, path, STAGED).filter(F.col("batch_id").isin(*batches)).select("batch_id", "row_seq")
-    fresh = rows.dropDuplicates(["batch_id", "row_seq"]).join(known, ["batch_id", "row_seq"], "left_anti")
+    key = ["row_seq", "batch_id"]  # the number first: rows are sorted by it, and batches are few
+    fresh = rows.repartition(*key).join(known, key, "left_anti").dropDuplicates(key)  # dealt and sorted once for both
     fresh.withColumn("load", F.lit(uuid.uuid4().hex)).write.mode("append").partitionBy("batch_id", "load").parquet(path)
 
 
@@ -61,7 +64,7 @@ def load(spark: SparkSession, store: str) -> Graph:
     for name, schema in SCHEMAS.items():
         rows = read_or_empty(spark, f"{store}/{name}", f"{schema}, commit long").filter(F.col("commit") <= last)
         if name == "entities":  # by region as well, so that a choice of regions reaches the folders
-            rows = rows.groupBy("region", "pid").agg(F.max_by(F.struct("entity_type", "label", "stub"), "commit").alias("e")).select("region", "pid", "e.*")
+            rows = rows.groupBy(F.xxhash64("pid"), "region", "pid").agg(F.max_by(F.struct("entity_type", "label", "stub"), "commit").alias("e")).select("region", "pid", "e.*")
         graph[name] = rows.select(*_names(schema))
     return graph
 
@@ -88,13 +91,18 @@ def promote_waiting(spark: SparkSession, staging: str, store: str, cell: float |
 
     With cell, the width of a grid cell, the commit also has the containment edges that its geometries bring about.
     """
-    waiting = processed(spark, staging, store).filter(F.col("processed_at").isNull()).drop("processed_at")
-    waiting = cut(waiting if batches is None else waiting.filter(F.col("batch_id").isin(*batches)))
+    pending = processed(spark, staging, store).filter(F.col("processed_at").isNull())
+    if batches is not None:
+        pending = pending.filter(F.col("batch_id").isin(*batches))
+    loads = pending.groupBy("batch_id").agg(F.collect_set("load").alias("loads")).collect()  # one for each call of stage_rows
+    if not loads:
+        return spark.createDataFrame([], REJECTED).limit(0)
+    # these loads are read where they lie: a load that is staged from now on is not among them, and none is ever written again
+    wanted = reduce(or_, [F.col("batch_id").eqNullSafe(b) & F.col("load").isin(*names) for b, names in loads])
+    waiting = read_or_empty(spark, staging, f"{STAGED}, load string").filter(wanted)
     graph = load(spark, store)
     deltas, audit, rejected = promote_deltas(graph, waiting.drop("load"))
-    if not waiting.isEmpty():
-        if cell is not None:
-            deltas = infer_fresh(apply(graph, deltas), deltas, cell)
-        loads = waiting.groupBy("batch_id").agg(F.collect_set("load").alias("loads"))  # one for each call of stage_rows
-        commit(deltas, audit.join(loads, "batch_id"), store)
+    if cell is not None:
+        deltas = infer_fresh(apply(graph, deltas), deltas, cell)
+    commit(deltas, audit.join(spark.createDataFrame(loads, "batch_id string, loads array<string>"), "batch_id"), store)
     return rejected

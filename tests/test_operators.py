@@ -115,6 +115,37 @@ def test_promotion_sorts_keys_by_hash_and_reads_no_empty_graph(spark, monkeypatc
     assert not any("FullOuter" in p or "LeftAnti" in p for p in plans)  # what an empty graph would be joined for
 
 
+def test_a_run_with_nothing_waiting_writes_nothing(spark, tmp_path, monkeypatch):
+    staging, kept = str(tmp_path / "staging"), str(tmp_path / "store")
+    store.stage_rows(staged(spark, ROWS), staging)
+    assert store.promote_waiting(spark, staging, kept).count() == 1
+    for module in (promote, connect, store):
+        monkeypatch.setattr(module, "cut", lambda df: pytest.fail("a table was written"))
+    nothing = store.promote_waiting(spark, staging, kept)
+    assert nothing.count() == 0 and nothing.columns[-2:] == ["stmt_value", "error"]
+    assert store.audit_of(spark, kept).count() == 1
+
+
+def test_waiting_rows_are_read_where_they_lie(spark, tmp_path, monkeypatch):
+    staging, kept = str(tmp_path / "staging"), str(tmp_path / "store")
+    rows = staged(spark, ROWS)
+    store.stage_rows(rows.unionByName(rows), staging)
+    late = staged(spark, ROWS[:1]).withColumn("row_seq", F.lit(77).cast("long"))
+    promoted = store.promote_deltas
+
+    def meanwhile(graph, waiting, *more):  # rows that are staged while a promotion runs wait for the next one
+        store.stage_rows(late, staging)
+        assert "cut-" not in str(waiting.inputFiles())
+        return promoted(graph, waiting, *more)
+
+    monkeypatch.setattr(store, "promote_deltas", meanwhile)
+    store.promote_waiting(spark, staging, kept)
+    monkeypatch.setattr(store, "promote_deltas", promoted)
+    store.promote_waiting(spark, staging, kept)
+    got = store.audit_of(spark, kept).orderBy("commit").select("rows_in", "rows_err", "rows_inserted", "rows_skipped").collect()
+    assert [tuple(r) for r in got] == [(5, 1, 4, 0), (1, 0, 0, 1)]
+
+
 def test_popular_keys_are_dealt_out(spark):
     rows = staged(spark, [("img", "unk", f"i{i}", "depicts", f'{{"ref_natural_key": "{"hot" if i % 3 else i}"}}') for i in range(300)])
     g, audit, _ = promote.promote(promote.empty_graph(spark), rows)
