@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnspark.llm.common import small_batches, table
+from cairnspark.llm.common import give_back, small_batches, table
 
 LAMBDA, SYMBOLS, LONGEST = 0.6, 64, 24
 PER_CLASS, MAX_CHARS, LANDMARKS, THRESHOLD = 2000, 20_000, 160, 0.3
@@ -298,7 +298,7 @@ class Scorer:
 def training_sample(
     docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, per_class: int, max_chars: int
 ) -> list[tuple[bool, set[bytes]]]:
-    """Units of at most per_class documents of each label, chosen by hash of the key."""
+    """Units of at most per_class documents of each label, chosen by hash of the key; a unit that many of them hold is kept once."""
     known = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).alias("_label"))
     chosen = [
         known.filter(F.col("_label") == v).orderBy(F.xxhash64(key), key).limit(per_class) for v in (0, 1)
@@ -313,14 +313,17 @@ def training_sample(
     short = docs.select(F.col(key), F.col(text).alias("_text")).filter(F.length("_text") <= max_chars)
     one = short.join(keys, key).groupBy(key).agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"), F.first("_label").alias("_label"))
     rows = one.select("_label", units_of("_text").alias("units"), key)
-    return [(r["_label"] == 1, set(map(bytes, r["units"]))) for r in rows.orderBy(key).toLocalIterator()]
+    once: dict[bytes, bytes] = {}
+    return [(r["_label"] == 1, {once.setdefault(x, x) for x in map(bytes, r["units"])}) for r in rows.orderBy(key).toLocalIterator()]
 
 
 def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
     per_class: int = PER_CLASS, max_chars: int = MAX_CHARS, bounds: Bounds = Bounds(),
 ) -> Model | None:
-    return fit(training_sample(docs, labels, key, text, label, per_class, max_chars), bounds)
+    model = fit(training_sample(docs, labels, key, text, label, per_class, max_chars), bounds)
+    give_back()
+    return model
 
 
 def score(model: Model | None, text: Column) -> Column:

@@ -87,6 +87,14 @@ def test_kernel_is_the_sum_over_subsequences():
         assert toxicity.kernel(np.array([s]), np.array([t]))[0] == pytest.approx(brute(s, t), rel=1e-4, abs=1e-6)
 
 
+def test_toxicity_sample_keeps_a_unit_once(spark):
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, toxic int")
+    sample = toxicity.training_sample(docs(spark, ["alpha common words", "common words beta"]), labels, "doc_id", "text", "toxic", 10, 100)
+    assert len(sample) == 2
+    (_, a), (_, b) = sample
+    assert a & b and {id(x) for x in a if x in b} == {id(x) for x in b if x in a}
+
+
 def test_toxicity_finds_disguised_insults(spark):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice(["the", "an", "re", "ti", "on", "ou", "wh"]) for _ in range(rng.randint(1, 3)))
