@@ -422,3 +422,17 @@ def test_mentions_read_each_text_once(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "sha2" not in plan and "regexp_extract_all" not in plan
     assert found.groupBy("surface").count().orderBy("surface").collect() == [("by the", 2), ("river", 2)]
+
+
+def test_containment_without_polygons_reads_no_point(spark):
+    polygons = spark.createDataFrame([], "region string, polygon_id string, wkt string")
+    points = spark.range(3).select(F.lit("r").alias("region"), F.col("id").cast("string").alias("point_id"), F.raise_error(F.lit("read")).cast("double").alias("x"), F.lit(1.0).alias("y"))
+    assert spatial.contains_place(polygons, points, 1.0).count() == 0
+    assert spatial.contains_place(polygons, points).count() == 0
+
+
+def test_texts_to_annotate_are_told_apart_without_sorting(spark):
+    texts = spark.createDataFrame([("by the river",), ("by the river",), ("abc",), (None,)], "text string")
+    keyed = match._distinct_texts(texts, "dictionary")
+    assert [r["text"] for r in keyed.collect()] == ["by the river"]
+    assert "SortAggregate" not in keyed._jdf.queryExecution().toString()
