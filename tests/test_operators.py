@@ -436,3 +436,13 @@ def test_texts_to_annotate_are_told_apart_without_sorting(spark):
     keyed = match._distinct_texts(texts, "dictionary")
     assert [r["text"] for r in keyed.collect()] == ["by the river"]
     assert "SortAggregate" not in keyed._jdf.queryExecution().toString()
+
+
+def test_unnamed_evidence_counts_towards_what_is_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 100)
+    entities = spark.range(20).select(F.concat(F.lit("e"), "id").alias("pid"), F.concat(F.lit("l"), "id").alias("label"))
+    said = spark.range(20).select(F.concat(F.lit("e"), "id").alias("subject_id"), F.lit("p").alias("predicate"), (F.col("id") % 10).alias("evidence_id"))
+    unnamed = spark.range(10).select(F.col("id").alias("evidence_id"), F.lit(None).cast("string").alias("source"))
+    made = govern.provenance(said, entities, unnamed)
+    assert {tuple(r) for r in made.collect()} == {(f"e{i}", f"l{i}", "p", None) for i in range(20)}
+    assert "_dealt" in made._jdf.queryExecution().toString()
